@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunnelscan.schemas import SUFFIX_RULE_SCHEMA
+from tunnelscan.schemas import SUFFIX_RULE_SCHEMA  # noqa: F401
 
 # The short default rule list shipped with the repo (a full public
 # suffix list is a user-given file, see read_suffix_rules).
@@ -43,8 +43,19 @@ DEFAULT_SUFFIX_RULES = (
 MAX_BROADCAST_RULES = 2_000_000
 
 
+def rules_from_pairs(spark: SparkSession, pairs) -> DataFrame:
+    """A small rule table as a JVM-side local relation (no Python round trip)."""
+    rows = [F.struct(F.lit(s).alias("suffix"), F.lit(k).alias("kind")) for s, k in pairs]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+
+
 def default_suffix_rules(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(DEFAULT_SUFFIX_RULES), SUFFIX_RULE_SCHEMA)
+    return rules_from_pairs(spark, DEFAULT_SUFFIX_RULES)
+
+
+def _static_stats(pairs) -> tuple[int, int]:
+    suffixes = {s.lower() for s, _ in pairs}
+    return len(suffixes), max(len(s.split(".")) for s in suffixes)
 
 
 def parse_suffix_lines(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -73,16 +84,38 @@ def _flag_table(rules: DataFrame) -> DataFrame:
                  F.max((F.col("kind") == "exception").cast("int")).alias("x")))
 
 
+def _static_flag_table(spark: SparkSession, pairs) -> DataFrame:
+    """The flag table of a short literal rule list, built on the driver."""
+    flags: dict[str, list[int]] = {}
+    for suffix, kind in pairs:
+        f = flags.setdefault(suffix.lower(), [0, 0, 0])
+        f[("exact", "wildcard", "exception").index(kind)] = 1
+    rows = [F.struct(F.lit(s).alias("suffix"), F.lit(e).alias("e"), F.lit(w).alias("w"), F.lit(x).alias("x"))
+            for s, (e, w, x) in flags.items()]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+
+
+def suffix_flags(spark: SparkSession, rules: DataFrame | None = None) -> tuple[DataFrame, int, int]:
+    """(flag table, number of suffixes, depth in labels of the longest suffix).
+
+    A user-given table is aggregated once and written to the shared checkpoint
+    folder; every candidate depth then joins that same small table.
+    """
+    if rules is None:
+        n_rules, depth = _static_stats(DEFAULT_SUFFIX_RULES)
+        return _static_flag_table(spark, DEFAULT_SUFFIX_RULES), n_rules, depth
+    flags = _flag_table(rules).checkpoint(eager=True)
+    stats = flags.agg(F.count(F.lit(1)).alias("n"),
+                      F.max(F.size(F.split("suffix", r"\."))).alias("depth")).first()
+    return flags, int(stats["n"]), int(stats["depth"] or 0)
+
+
 def registrable_domain(df: DataFrame, name_col: str, rules: DataFrame | None = None,
                        out_col: str = "2ld", fallback_last_label: bool = False,
                        preserve_case: bool = False) -> DataFrame:
     """Add ``out_col``: the registrable domain of ``name_col``."""
-    spark = df.sparkSession
-    rules = default_suffix_rules(spark) if rules is None else rules
-    flags = _flag_table(rules)
-    stats = flags.agg(F.count(F.lit(1)).alias("n"),
-                      F.max(F.size(F.split("suffix", r"\."))).alias("depth")).first()
-    n_rules, depth = int(stats["n"]), int(stats["depth"] or 0)
+    flags, n_rules, depth = suffix_flags(df.sparkSession, rules)
+    # The same plan on the build side at every depth: one broadcast, reused.
     side = F.broadcast(flags) if n_rules <= MAX_BROADCAST_RULES else flags
 
     tmp = "__sfx"
@@ -96,11 +129,12 @@ def registrable_domain(df: DataFrame, name_col: str, rules: DataFrame | None = N
 
     exception_len, exact_len, wild_len = [], [], []
     for k in range(1, depth + 1):
-        cand = F.when(n >= k, F.array_join(F.slice(labels, -k, k), "."))
-        side_k = side.select(F.col("suffix").alias(f"{tmp}_s{k}"), F.col("e").alias(f"{tmp}_e{k}"),
-                             F.col("w").alias(f"{tmp}_w{k}"), F.col("x").alias(f"{tmp}_x{k}"))
-        out = out.withColumn(f"{tmp}_c{k}", cand).join(
-            side_k, F.col(f"{tmp}_c{k}") == F.col(f"{tmp}_s{k}"), "left")
+        r = f"{tmp}_r{k}"
+        out = (out.withColumn(f"{tmp}_c{k}", F.when(n >= k, F.array_join(F.slice(labels, -k, k), ".")))
+               .join(side.alias(r), F.col(f"{tmp}_c{k}") == F.col(f"{r}.suffix"), "left")
+               .select("*", F.col(f"{r}.e").alias(f"{tmp}_e{k}"), F.col(f"{r}.w").alias(f"{tmp}_w{k}"),
+                       F.col(f"{r}.x").alias(f"{tmp}_x{k}"))
+               .drop(F.col(f"{r}.suffix")).drop(F.col(f"{r}.e")).drop(F.col(f"{r}.w")).drop(F.col(f"{r}.x")))
         exception_len.append(F.when(F.col(f"{tmp}_x{k}") == 1, F.lit(k - 1)))
         exact_len.append(F.when(F.col(f"{tmp}_e{k}") == 1, F.lit(k)))
         wild_len.append(F.when((F.col(f"{tmp}_w{k}") == 1) & (n >= k + 1), F.lit(k + 1)))
