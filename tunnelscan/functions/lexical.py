@@ -91,7 +91,8 @@ def answer_array(rdata, mode: str = "array", delimiter: str | None = None,
     """
     r = _col(rdata)
     if mode == "chars":
-        return F.split(r, "")
+        # split('', '') is [''] in Spark; the characters of '' are none.
+        return F.when(F.length(r) == 0, F.array().cast("array<string>")).otherwise(F.split(r, ""))
     if mode != "array":
         raise ValueError(f"unknown rdata mode {mode!r}")
     if is_array:
