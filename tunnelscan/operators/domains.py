@@ -116,25 +116,30 @@ def registrable_domain(df: DataFrame, name_col: str, rules: DataFrame | None = N
     """Add ``out_col``: the registrable domain of ``name_col``."""
     flags, n_rules, depth = suffix_flags(df.sparkSession, rules)
     # The same plan on the build side at every depth: one broadcast, reused.
+    tmp = "__sfx"
+    flags = flags.select(*[F.col(c).alias(f"{tmp}_{c}") for c in ("suffix", "e", "w", "x")])
     side = F.broadcast(flags) if n_rules <= MAX_BROADCAST_RULES else flags
 
-    tmp = "__sfx"
     name = F.col(name_col)
-    stripped = F.regexp_replace(name, r"\.$", "")
-    out = df.withColumn(f"{tmp}_labels", F.split(F.lower(stripped), r"\.", -1))
+    # Drop one trailing dot (no regex: endswith + substring).
+    stripped = F.when(name.endswith("."), F.expr(f"substring(`{name_col}`, 1, length(`{name_col}`) - 1)")) \
+        .otherwise(name)
+    out = df.withColumn(f"{tmp}_name", stripped)
+    out = out.withColumn(f"{tmp}_labels", F.split(F.lower(F.col(f"{tmp}_name")), r"\.", -1))
     if preserve_case:
-        out = out.withColumn(f"{tmp}_orig", F.split(stripped, r"\.", -1))
+        out = out.withColumn(f"{tmp}_orig", F.split(F.col(f"{tmp}_name"), r"\.", -1))
     labels = F.col(f"{tmp}_labels")
     n = F.size(labels)
 
     exception_len, exact_len, wild_len = [], [], []
     for k in range(1, depth + 1):
         r = f"{tmp}_r{k}"
-        out = (out.withColumn(f"{tmp}_c{k}", F.when(n >= k, F.array_join(F.slice(labels, -k, k), ".")))
-               .join(side.alias(r), F.col(f"{tmp}_c{k}") == F.col(f"{r}.suffix"), "left")
-               .select("*", F.col(f"{r}.e").alias(f"{tmp}_e{k}"), F.col(f"{r}.w").alias(f"{tmp}_w{k}"),
-                       F.col(f"{r}.x").alias(f"{tmp}_x{k}"))
-               .drop(F.col(f"{r}.suffix")).drop(F.col(f"{r}.e")).drop(F.col(f"{r}.w")).drop(F.col(f"{r}.x")))
+        cand = F.when(n >= k, F.array_join(F.slice(labels, -k, k), "."))
+        keep = [F.col(f"`{c}`") for c in out.columns]
+        out = (out.withColumn(f"{tmp}_c{k}", cand)
+               .join(side.alias(r), F.col(f"{tmp}_c{k}") == F.col(f"{r}.{tmp}_suffix"), "left")
+               .select(*keep, F.col(f"{r}.{tmp}_e").alias(f"{tmp}_e{k}"),
+                       F.col(f"{r}.{tmp}_w").alias(f"{tmp}_w{k}"), F.col(f"{r}.{tmp}_x").alias(f"{tmp}_x{k}")))
         exception_len.append(F.when(F.col(f"{tmp}_x{k}") == 1, F.lit(k - 1)))
         exact_len.append(F.when(F.col(f"{tmp}_e{k}") == 1, F.lit(k)))
         wild_len.append(F.when((F.col(f"{tmp}_w{k}") == 1) & (n >= k + 1), F.lit(k + 1)))
@@ -145,13 +150,13 @@ def registrable_domain(df: DataFrame, name_col: str, rules: DataFrame | None = N
     suffix_len = F.coalesce(greatest(exception_len), greatest(exact_len + wild_len))
     if fallback_last_label:
         suffix_len = F.coalesce(suffix_len, F.lit(1))
+    out = out.withColumn(f"{tmp}_len", suffix_len)
     src = F.col(f"{tmp}_orig") if preserve_case else labels
-    take = suffix_len + 1
+    take = F.col(f"{tmp}_len") + 1
     # A name whose labels are all empty ("", ".") has no registrable domain.
-    result = F.when((suffix_len.isNotNull()) & (n >= take) & (stripped != ""),
+    result = F.when((F.col(f"{tmp}_len").isNotNull()) & (n >= take) & (F.col(f"{tmp}_name") != ""),
                     F.array_join(F.slice(src, -take, take), "."))
-    out = out.withColumn(out_col, result)
-    return out.drop(*[c for c in out.columns if c.startswith(tmp)])
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], result.alias(out_col))
 
 
 def drop_reverse_lookups(df: DataFrame, domain_col: str = "2ld") -> DataFrame:

@@ -17,12 +17,18 @@ from tunnelscan.schemas import FEATURE_COLUMNS
 
 
 def generate_features(df: DataFrame, qname: str = "QNAME", domain: str = "lld", rdata: str = "RDATA",
-                      rdata_mode: str = "array", delimiter: str | None = None) -> DataFrame:
+                      rdata_mode: str = "array", delimiter: str | None = None,
+                      entropy_impl: str = "arrow") -> DataFrame:
     """Append the thirteen features.
 
     The subdomain and the answer array are computed once in their own
     projection; the features read them (Catalyst keeps the projection rather
     than inlining an expensive expression into thirteen places).
+
+    ``entropy_impl='arrow'`` (default) computes the two entropy features in an
+    Arrow-batched pandas UDF vectorised with numpy; ``'native'`` keeps them in
+    higher-order functions.  Measured on 722k DNS rows (local[8], all thirteen
+    features): 8.8 s vs 16.0 s, results equal to 1e-15.
     """
     is_array = isinstance(df.schema[rdata].dataType, T.ArrayType)
     if rdata_mode == "chars" and is_array:
@@ -33,7 +39,7 @@ def generate_features(df: DataFrame, qname: str = "QNAME", domain: str = "lld",
         answer = char_answer_features(F.col(rdata))
     else:
         staged = staged.withColumn(arr, answer_array(rdata, "array", delimiter, is_array))
-        answer = answer_features(F.col(arr))
-    feats = {**name_features(F.col(sub)), **answer}
+        answer = answer_features(F.col(arr), entropy_impl)
+    feats = {**name_features(F.col(sub), entropy_impl), **answer}
     out = staged.select("*", *[feats[c].alias(c) for c in FEATURE_COLUMNS])
     return out.drop(sub, arr)

@@ -21,7 +21,7 @@ from tunnelscan.operators.joins import DEFAULT_BROADCAST_ROWS
 from tunnelscan.schemas import ANSWER, DNS_LOG_SCHEMA, PARTITION_COLUMNS, TRAINING_SAMPLE_SCHEMA
 from tunnelscan.session import fingerprint, path_exists, publish, shared_path
 
-VIEW_VERSION = "dnsview-v2"
+VIEW_VERSION = "dnsview-v3"
 STAGE_PARTITION_BY = "datestr"
 RDATA_DELIMITER = "|"
 
@@ -91,8 +91,9 @@ def stage_dns_log(spark: SparkSession, sf_dir: str) -> str:
     tmp = f"{final}.{uuid.uuid4().hex}.tmp"
     # One directory per day; ``hour`` stays a data column (pushed down as a
     # Parquet filter).  read_dns_log accepts the two-level layout as well.
-    (dns_view(spark, sf_dir).repartition(STAGE_PARTITION_BY)
-     .sortWithinPartitions("hour")
+    # No repartition by day: a day would become one task.  Each input task
+    # writes the (few, time-contiguous) days it holds.
+    (dns_view(spark, sf_dir).sortWithinPartitions(STAGE_PARTITION_BY, "hour")
      .write.mode("error").partitionBy(STAGE_PARTITION_BY).parquet(tmp))
     publish(spark, tmp, final)
     return final
