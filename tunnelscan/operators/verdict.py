@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tunnelscan.config import ScoringConfig
 from tunnelscan.functions.labels import prediction_label
-from tunnelscan.operators.joins import DEFAULT_BROADCAST_ROWS, materialise
+from tunnelscan.operators.joins import DEFAULT_BROADCAST_ROWS, Sized, materialise
 from tunnelscan.schemas import KEYS
 
 
@@ -80,14 +80,15 @@ def with_alert_id(df: DataFrame, mode: str = "constant", keys: Sequence[str] = K
     raise ValueError(f"unknown alert id mode {mode!r}")
 
 
-def join_alerts(rows: DataFrame, alerts: DataFrame, keys: Sequence[str] = KEYS,
+def join_alerts(rows: DataFrame, alerts, keys: Sequence[str] = KEYS,
                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """O-30: rows of alerting groups with the group aggregates and ``alert_id``.
 
     Alerting groups are a subset of the gated groups (at most rows/min_count);
     the table is materialised, counted, and broadcast under the bound.
+    ``alerts`` may be a DataFrame or an already materialised ``Sized``.
     """
-    sized = materialise(alerts)
+    sized = alerts if isinstance(alerts, Sized) else materialise(alerts)
     return rows.join(sized.for_join(max_broadcast_rows), list(keys), "inner")
 
 

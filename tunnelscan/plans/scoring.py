@@ -41,6 +41,7 @@ from tunnelscan.operators.prepare import (
 from tunnelscan.operators.verdict import (
     alerting_groups,
     group_stats,
+    join_alerts,
     output_messages,
     with_alert_id,
     with_indicators,
@@ -96,11 +97,22 @@ class ScoringResult:
             out = one if out is None else out.unionByName(one)
         return out
 
+    def unlabelled(self) -> DataFrame:
+        """D14: scored rows whose prediction has no class name (counted as
+        neither normal nor tunnel)."""
+        return self.scored.where(F.col("label_str").isNull())
+
 
 def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = None,
           rules: DataFrame | None = None, gate: str = "join", alert_id: str = "constant",
-          apply_exclusions: bool = False, approx_distinct: bool = False,
+          apply_exclusions: bool = False, approx_distinct: bool = False, distinct_messages: bool = False,
           keys: Sequence[str] = KEYS, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> ScoringResult:
+    """Score DNS messages.
+
+    ``distinct_messages`` (D12): a message with n questions in alerting groups
+    is written n times, as the reference does; True writes it once
+    (``dropDuplicates(["key"])``, a shuffle of the flagged rows only).
+    """
     cfg = cfg or ScoringConfig()
     prepared = prepare(messages, rules)
     candidates = drop_reverse_lookups(prepared, "2ld")
@@ -117,6 +129,42 @@ def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = Non
     suspicious = materialise(stats.where(F.col("tunnel_count") > 0)).df
     alerts = with_alert_id(alerting_groups(suspicious, cfg), alert_id, keys)
     sized = materialise(alerts)
-    flagged = candidates.join(sized.for_join(max_broadcast_rows), list(keys), "inner")
-    return ScoringResult(prepared, candidates, scored, suspicious, sized.df, flagged,
-                         output_messages(flagged))
+    flagged = join_alerts(candidates, sized, keys, max_broadcast_rows)
+    output = output_messages(flagged)
+    if distinct_messages:
+        output = output.dropDuplicates(["key"])
+    return ScoringResult(prepared, candidates, scored, suspicious, sized.df, flagged, output)
+
+
+def run_scoring_job(spark, input_path: str, model_path: str, config_path: str | None = None,
+                    output_path: str | None = None, kafka_topic: str | None = None,
+                    kafka_brokers: str | None = None, alert_format: bool = False,
+                    datestr: str | None = None, hour: str | None = None, rules: DataFrame | None = None,
+                    mode: str = "error", **score_options) -> ScoringResult:
+    """The scoring job with the reference's options as parameters.
+
+    Kafka needs both topic and brokers (or neither); at least one sink must be
+    given.  The sink is chosen by which option is given (D15): Kafka gets the
+    alert records, a path gets the flagged messages (or the alert table when
+    ``alert_format``).
+    """
+    from tunnelscan.operators.alerts import alert_table
+    from tunnelscan.operators.model import load_model
+    from tunnelscan.sources.readers import load_config, read_dns_log
+    from tunnelscan.sources.sinks import write_alerts, write_messages, write_to_kafka
+
+    if bool(kafka_topic) != bool(kafka_brokers):
+        raise ValueError("give both kafka_topic and kafka_brokers, or neither")
+    if not (kafka_topic or output_path):
+        raise ValueError("no output path or topic given")
+    cfg = load_config(config_path)
+    model = load_model(model_path)
+    logs = read_dns_log(spark, input_path, datestr=datestr, hour=hour)
+    result = score(logs, model_labeler(model), cfg, rules=rules, **score_options)
+    if kafka_topic:
+        write_to_kafka(alert_table(result.flagged), kafka_topic, kafka_brokers)
+    elif alert_format:
+        write_alerts(alert_table(result.flagged), output_path, mode=mode)
+    else:
+        write_messages(result.output, output_path, mode=mode)
+    return result

@@ -67,3 +67,14 @@ def train(sample: DataFrame, rules: DataFrame | None = None, rdata_mode: str = "
     pred = model.transform(test_df)
     path = save_model(model, save_root) if save_root else None
     return TrainingResult(model, feats, train_df, test_df, pred, path)
+
+
+def run_training_job(spark: SparkSession, input_path: str, model_save_root: str,
+                     rules: DataFrame | None = None, rdata_mode: str = "chars",
+                     delimiter: str | None = None, split: str = "hash") -> tuple[str, dict]:
+    """The training job with the reference's options as parameters: reads the
+    '~' sample, trains, evaluates, saves; returns (model path, six metrics)."""
+    from tunnelscan.sources.readers import read_training_sample
+    result = train(read_training_sample(spark, input_path), rules, rdata_mode, delimiter,
+                   split=split, save_root=model_save_root)
+    return result.model_path, result.metrics()
