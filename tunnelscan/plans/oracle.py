@@ -63,19 +63,26 @@ def _name_features(x: str) -> str:
 
 
 def _answer_features(a: str) -> str:
-    def arr(expr: str) -> str:
-        return f"round(CASE WHEN {a} IS NULL THEN NULL WHEN len({a}) = 0 THEN 0.0 ELSE {expr} END, 6)"
+    """NULL array -> NULL; empty array -> 0; a NULL item makes the means NULL
+    (max skips it); an empty item makes the shares NULL."""
+    has_null = f"len(list_filter({a}, lambda i: i IS NULL)) > 0"
+    has_empty = f"len(list_filter({a}, lambda i: i IS NULL OR length(i) = 0)) > 0"
+
+    def arr(expr: str, null_if: str | None = None) -> str:
+        guard = f"WHEN {null_if} THEN NULL " if null_if else ""
+        return f"round(CASE WHEN {a} IS NULL THEN NULL WHEN len({a}) = 0 THEN 0.0 {guard}ELSE {expr} END, 6)"
 
     def share(pattern: str) -> str:
-        return (f"list_sum(list_transform({a}, lambda i: CASE WHEN length(i) > 0 THEN "
-                f"length(regexp_replace(i, {pattern}, '', 'g')) / length(i) END)) / len({a})")
+        return (f"list_sum(list_transform({a}, lambda i: "
+                f"length(regexp_replace(i, {pattern}, '', 'g')) / length(i))) / len({a})")
 
     cols = {
-        "average_answer_length": arr(f"list_sum(list_transform({a}, lambda i: length(i))) / len({a})"),
+        "average_answer_length": arr(f"list_sum(list_transform({a}, lambda i: length(i))) / len({a})", has_null),
         "max_answer_length": arr(f"CAST(list_max(list_transform({a}, lambda i: length(i))) AS DOUBLE)"),
-        "average_answer_uppercase_char": arr(share(_UPPER)),
-        "average_answer_numeric_char": arr(share(_DIGIT)),
-        "average_answer_entropy": arr(f"list_sum(list_transform({a}, lambda i: {_entropy('i', 'c2')})) / len({a})"),
+        "average_answer_uppercase_char": arr(share(_UPPER), has_empty),
+        "average_answer_numeric_char": arr(share(_DIGIT), has_empty),
+        "average_answer_entropy": arr(f"list_sum(list_transform({a}, lambda i: {_entropy('i', 'c2')})) / len({a})",
+                                      has_null),
     }
     return ",\n  ".join(f"{e} AS {c}" for c, e in cols.items())
 
@@ -125,7 +132,7 @@ msg0 AS (
   FROM ev),
 msg AS (SELECT *, CAST(60 + length(qname) AS BIGINT) AS wirelen FROM msg0),
 resp AS (SELECT * FROM msg WHERE qr AND response_code = 'NOERROR' AND "srcIP" IS NOT NULL AND "destIP" IS NOT NULL),
-names AS (SELECT DISTINCT qname FROM resp),
+names AS (SELECT DISTINCT qname FROM msg),
 lab AS (SELECT qname, regexp_replace(qname, '\\.$', '') AS stripped,
                string_split(lower(regexp_replace(qname, '\\.$', '')), '.') AS labels FROM names),
 cand AS (SELECT qname, labels, unnest(range(1, len(labels) + 1)) AS k FROM lab),
@@ -155,6 +162,22 @@ alerts AS (SELECT *, unique_qname_count / sld_count AS unique_perc, tunnel_count
 """
 
 
+# The cleaned '~' training sample (O-01, O-08..O-10, O-20) derived from the view.
+_CLEAN = """
+, lbl AS (SELECT CAST(doc_id AS VARCHAR) AS key, quality, toxic FROM labels),
+t AS (SELECT m.qname AS "QNAME", nullif(array_to_string(m.rdata, '|'), '') AS "RDATA",
+             CASE WHEN length(m.qname) > 45 THEN 'tunnel' ELSE 'normal' END AS base, l.quality, l.toxic, m."srcIP" AS src
+      FROM msg m LEFT JOIN lbl l ON m.key = l.key),
+n AS (SELECT "QNAME", "RDATA", src,
+             CASE WHEN quality = 0 THEN upper(substr(base, 1, 1)) || substr(base, 2)
+                  WHEN toxic = 1 THEN base || ',,' ELSE base END AS raw FROM t),
+c AS (SELECT "QNAME", "RDATA", src, replace(raw, ',', '') AS "DnsTunnel" FROM n),
+clean AS (SELECT "QNAME", "RDATA", "DnsTunnel", src, CASE "DnsTunnel" WHEN 'normal' THEN 0 WHEN 'tunnel' THEN 1 END AS label
+          FROM c WHERE "QNAME" IS NOT NULL AND "RDATA" IS NOT NULL AND "DnsTunnel" IS NOT NULL
+                   AND "DnsTunnel" IN ('tunnel', 'normal'))
+"""
+
+
 def _with(body: str) -> str:
     return "WITH " + VIEW.strip() + "\n" + body.strip()
 
@@ -275,24 +298,31 @@ SELECT round(sum(tp) / sum(n_label), 6) AS accuracy,
        round(sum(n_label * CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END) / sum(n_label), 6) AS f1
 FROM per
 """),
-    "csv_clean_labels": _with("""
-, lbl AS (SELECT CAST(doc_id AS VARCHAR) AS key, quality, toxic FROM labels),
-t AS (SELECT m.qname AS "QNAME", nullif(array_to_string(m.rdata, '|'), '') AS "RDATA",
-             CASE WHEN length(m.qname) > 45 THEN 'tunnel' ELSE 'normal' END AS base, l.quality, l.toxic, m."srcIP" AS src
-      FROM msg m LEFT JOIN lbl l ON m.key = l.key),
-n AS (SELECT "QNAME", "RDATA", src,
-             CASE WHEN quality = 0 THEN upper(substr(base, 1, 1)) || substr(base, 2)
-                  WHEN toxic = 1 THEN base || ',,' ELSE base END AS raw FROM t),
-c AS (SELECT "QNAME", "RDATA", src, replace(raw, ',', '') AS "DnsTunnel" FROM n)
-SELECT "QNAME", "RDATA", "DnsTunnel", src, CASE "DnsTunnel" WHEN 'normal' THEN 0 WHEN 'tunnel' THEN 1 END AS label
-FROM c WHERE "QNAME" IS NOT NULL AND "RDATA" IS NOT NULL AND "DnsTunnel" IS NOT NULL AND "DnsTunnel" IN ('tunnel', 'normal')
+    "csv_clean_labels": _with(_CLEAN + """
+SELECT "QNAME", "RDATA", "DnsTunnel", src, label FROM clean
+"""),
+    "training_features": _with(_CLEAN + f"""
+, t2 AS (SELECT clean.*, dom.sld AS lld FROM clean LEFT JOIN dom ON clean."QNAME" = dom.qname),
+t3 AS (SELECT *, replace("QNAME", lld || '.', '') AS x, string_split("RDATA", '|') AS arr FROM t2)
+SELECT "QNAME", "RDATA", lld,
+  {_name_features('x')},
+  {_answer_features('arr')}
+FROM t3
 """),
+    "document_answer_features": f"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS arr FROM documents)
+SELECT doc_id,
+  {_answer_features('arr')}
+FROM d
+""",
 }
 
 
-ORACLE["answer_features_chars"] = ORACLE["csv_clean_labels"].replace(
-    'SELECT "QNAME", "RDATA", "DnsTunnel", src, CASE "DnsTunnel" WHEN \'normal\' THEN 0 WHEN \'tunnel\' THEN 1 END AS label\nFROM c',
-    f'SELECT "QNAME", "RDATA",\n  {_char_features(chr(34) + "RDATA" + chr(34))}\nFROM c')
+ORACLE["answer_features_chars"] = _with(_CLEAN + f"""
+SELECT "QNAME", "RDATA",
+  {_char_features('"RDATA"')}
+FROM clean
+""")
 
 
 def oracle_sql() -> dict[str, str]:

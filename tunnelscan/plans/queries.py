@@ -125,6 +125,22 @@ def answer_exclusion(spark: SparkSession, sf: str) -> DataFrame:
                       F.size("kept").cast("int").alias("kept_count"))
 
 
+def training_features_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Training path: O-08..O-10, O-14 as ``lld`` on every sample name,
+    O-41..O-53 with RDATA split on the sample's delimiter."""
+    feats = _training_features(spark, sf)
+    return feats.select("QNAME", "RDATA", "lld", *_rounded(feats, FEATURE_COLUMNS))
+
+
+def document_answer_features(spark: SparkSession, sf: str) -> DataFrame:
+    """O-49..O-53 on long, non-ASCII answer data: every line of every whole
+    document is one answer item."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.split("text", "\n", -1).alias("arr"))
+    feats = answer_features(F.col("arr"), "arrow")
+    out = docs.select("doc_id", *[feats[c].alias(c) for c in ANSWER_FEATURES])
+    return out.select("doc_id", *_rounded(out, ANSWER_FEATURES))
+
+
 def csv_clean_labels(spark: SparkSession, sf: str) -> DataFrame:
     """O-01, O-08, O-09, O-10, O-20."""
     return clean_training_sample(_sample(spark, sf)).select("QNAME", "RDATA", "DnsTunnel", "src", "label")
@@ -325,6 +341,8 @@ QUERIES: dict[str, Query] = {
     "answer_features_chars": answer_features_chars,
     "answer_exclusion": answer_exclusion,
     "csv_clean_labels": csv_clean_labels,
+    "training_features": training_features_q,
+    "document_answer_features": document_answer_features,
     "volume_gate": volume_gate_q,
     "suspicious_groups": suspicious_groups,
     "group_verdict": group_verdict,

@@ -64,7 +64,8 @@ def train(sample: DataFrame, rules: DataFrame | None = None, rdata_mode: str = "
     feats = feats.checkpoint(eager=True)
     train_df, test_df = split_train_test(feats, method=split)
     model = fit_pipeline(train_df, classifier if classifier is not None else random_forest())
-    pred = model.transform(test_df)
+    # Six evaluator passes read the predictions: materialise them once.
+    pred = model.transform(test_df).checkpoint(eager=True)
     path = save_model(model, save_root) if save_root else None
     return TrainingResult(model, feats, train_df, test_df, pred, path)
 
