@@ -30,6 +30,16 @@ def test_gate_having_equals_join(spark):
     assert _sorted(a.output.select("key")) == _sorted(b.output.select("key"))
 
 
+def test_auto_gate_falls_back_without_join(spark):
+    msgs = fixtures.read_staged_dns_log(spark, SF_SMALL)
+    a = scoring.score(msgs, Q._stand_in, Q.FIXTURE_CONFIG, gate="join")
+    # No busy-group table may be broadcast: the gate becomes a HAVING.
+    b = scoring.score(msgs, Q._stand_in, Q.FIXTURE_CONFIG, gate="auto", max_broadcast_rows=0)
+    assert "BroadcastHashJoin Inner" not in explain(b.scored, "simple")
+    assert _sorted(a.alerts) == _sorted(b.alerts.select(*a.alerts.columns))
+    assert _sorted(a.output.select("key")) == _sorted(b.output.select("key"))
+
+
 def test_scoring_plan_shape(spark):
     msgs = fixtures.read_staged_dns_log(spark, SF_SMALL)
     res = scoring.score(msgs, Q._stand_in, Q.FIXTURE_CONFIG)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tunnelscan.config import ScoringConfig
 from tunnelscan.operators.domains import drop_reverse_lookups, registrable_domain
 from tunnelscan.operators.features import generate_features
-from tunnelscan.operators.gate import volume_gate
+from tunnelscan.operators.gate import busy_groups, volume_gate
 from tunnelscan.operators.joins import DEFAULT_BROADCAST_ROWS, materialise
 from tunnelscan.operators.prepare import (
     exclude_answers,
@@ -104,11 +104,18 @@ class ScoringResult:
 
 
 def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = None,
-          rules: DataFrame | None = None, gate: str = "join", alert_id: str = "constant",
+          rules: DataFrame | None = None, gate: str = "auto", alert_id: str = "constant",
           apply_exclusions: bool = False, approx_distinct: bool = False, distinct_messages: bool = False,
           keys: Sequence[str] = KEYS, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> ScoringResult:
     """Score DNS messages.
 
+    ``gate``: ``join`` broadcasts the busy-group table (checked size) and
+    scores only gated rows; ``having`` scores every candidate row and applies
+    the volume threshold to the group aggregate (no join at all); ``auto``
+    (default) materialises the busy groups and takes ``join`` when they fit
+    the broadcast bound, ``having`` otherwise - so wide rows are never
+    shuffled for the gate.  All three give the same groups and rows.
+
     ``distinct_messages`` (D12): a message with n questions in alerting groups
     is written n times, as the reference does; True writes it once
     (``dropDuplicates(["key"])``, a shuffle of the flagged rows only).
@@ -116,11 +123,19 @@ def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = Non
     cfg = cfg or ScoringConfig()
     prepared = prepare(messages, rules)
     candidates = drop_reverse_lookups(prepared, "2ld")
-    if gate == "join":
+    if gate == "auto":
+        busy = materialise(busy_groups(candidates, cfg.min_group_count, keys))
+        gate = "join" if busy.rows <= max_broadcast_rows else "having"
+        if gate == "join":
+            gated = candidates.join(busy.for_join(max_broadcast_rows), list(keys), "inner")
+    elif gate == "join":
         gated = volume_gate(candidates, cfg.min_group_count, keys, "join", max_broadcast_rows)
-    elif gate == "having":
-        gated = candidates.where(F.col("srcIP").isNotNull() & F.col("destIP").isNotNull())
-    else:
+    if gate == "having":
+        # Key joins reject NULL keys (D10); without a join, filter them here.
+        gated = candidates
+        for k in keys:
+            gated = gated.where(F.col(f"`{k}`").isNotNull())
+    elif gate != "join":
         raise ValueError(f"unknown gate {gate!r}")
     scored = with_indicators(with_label_str(labeler(featurise(gated, cfg, apply_exclusions))))
     stats = group_stats(scored, keys, approx_distinct)
