@@ -79,3 +79,20 @@ def test_query_matches_oracle_small(spark, name):
 def _py(v):
     from decimal import Decimal
     return v if not isinstance(v, Decimal) else v
+
+
+def test_arrow_udf_runs_without_package_on_worker_path(tmp_path):
+    """Executors need not have this package importable (driver runs elsewhere)."""
+    import subprocess
+    import sys
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "import __spark_entry__ as E\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "df = E.queries()['document_answer_features'](s, %r)\n"
+        "print('SUM', df.agg({'average_answer_entropy': 'sum'}).first()[0])\n" % (ROOT, SF_SMALL))
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True,
+                         timeout=600, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "SUM " in out.stdout and float(out.stdout.split("SUM ")[1].split()[0]) > 0

@@ -10,12 +10,19 @@ rows or characters.  Results equal the native form to ~1e-15.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship this module's code with the UDFs, so executors need only numpy/pandas,
+# not this package on their Python path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _entropies(strings: list) -> np.ndarray:
     """Entropy of each non-None string (None -> NaN, '' -> 0.0)."""
