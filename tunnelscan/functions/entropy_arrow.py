@@ -3,9 +3,9 @@
 Spark's higher-order functions are interpreted per element, which makes the
 native counts-first entropy the most expensive expression of the feature set.
 These UDFs receive a whole Arrow batch, lay every string out as one array of
-code points, sort (string, code point) pairs once, and turn run lengths into
-per-string sums of c*log2(c) with ``np.add.reduceat`` - no Python loop over
-rows or characters.  Results equal the native form to ~1e-15.
+code points, sort packed (string, code point) keys once, and turn run lengths
+into per-string sums of c*log2(c) with ``np.bincount`` - no Python loop over
+characters.  Results equal the native form to ~1e-15.
 """
 
 from __future__ import annotations
@@ -36,17 +36,18 @@ def _entropies(strings: list) -> np.ndarray:
     codes = np.frombuffer("".join(present).encode("utf-32-le"), dtype=np.uint32)
     ent = np.zeros(len(present))
     if codes.size:
+        # One sort of packed (string index, code point) keys; code points < 2**21.
         seg = np.repeat(np.arange(len(present), dtype=np.int64), lengths)
-        order = np.lexsort((codes, seg))
-        seg_s, codes_s = seg[order], codes[order]
-        starts = np.flatnonzero(np.r_[True, (seg_s[1:] != seg_s[:-1]) | (codes_s[1:] != codes_s[:-1])])
-        counts = np.diff(np.r_[starts, seg_s.size]).astype(np.float64)
-        run_seg = seg_s[starts]
+        key = (seg << 21) | codes.astype(np.int64)
+        key.sort(kind="stable" if key.size < 64 else "quicksort")
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        counts = np.diff(np.r_[starts, key.size]).astype(np.float64)
+        run_seg = key[starts] >> 21
         clog = counts * np.log2(counts)
         sums = np.bincount(run_seg, weights=clog, minlength=len(present))
         n = lengths.astype(np.float64)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            vals = np.where(n > 0, np.log2(np.where(n > 0, n, 1.0)) - sums / np.where(n > 0, n, 1.0), 0.0)
+        safe_n = np.where(n > 0, n, 1.0)
+        vals = np.where(n > 0, np.log2(safe_n) - sums / safe_n, 0.0)
         distinct = np.bincount(run_seg, minlength=len(present))
         vals[distinct <= 1] = 0.0
         ent = np.abs(vals)
