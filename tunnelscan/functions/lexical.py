@@ -18,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_UPPER = r"[^\p{IsUppercase}]"
-_DIGIT = r"[^\p{Nd}]"
+_UPPER = r"[^\p{IsUppercase}]+"
+_DIGIT = r"[^\p{Nd}]+"
 
 
 def _col(c) -> Column:
