@@ -65,26 +65,20 @@ def entropy_udf(s: pd.Series) -> pd.Series:
 def mean_item_entropy_udf(arrs: pd.Series) -> pd.Series:
     """Mean entropy of the items of each array: NULL array or NULL item -> NULL,
     empty array -> 0.0."""
-    flat, owner, bad, size = [], [], np.zeros(len(arrs), dtype=bool), np.zeros(len(arrs))
-    null_row = np.zeros(len(arrs), dtype=bool)
-    for r, a in enumerate(arrs):
-        if a is None:
-            null_row[r] = True
-            continue
-        size[r] = len(a)
-        for item in a:
-            if item is None:
-                bad[r] = True
-            else:
-                flat.append(item)
-                owner.append(r)
-    ents = _entropies(flat)
-    total = np.bincount(np.asarray(owner, dtype=np.int64), weights=ents, minlength=len(arrs)) if flat \
-        else np.zeros(len(arrs))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        mean = np.where(size > 0, total / np.where(size > 0, size, 1.0), 0.0)
-    res = pd.Series(mean)
-    return res.where(~(null_row | bad), None)
+    k = len(arrs)
+    null_row = arrs.isna().to_numpy()
+    sizes = np.zeros(k, dtype=np.int64)
+    present = np.flatnonzero(~null_row)
+    sizes[present] = [len(arrs.iat[i]) for i in present]
+    flat = (np.concatenate([np.asarray(arrs.iat[i], dtype=object) for i in present if sizes[i]])
+            if sizes.sum() else np.empty(0, dtype=object))
+    owner = np.repeat(np.arange(k, dtype=np.int64), sizes)
+    ents = _entropies(list(flat))
+    null_item = np.isnan(ents)
+    bad = np.bincount(owner[null_item], minlength=k) > 0 if flat.size else np.zeros(k, dtype=bool)
+    total = np.bincount(owner, weights=np.where(null_item, 0.0, ents), minlength=k)
+    mean = np.where(sizes > 0, total / np.where(sizes > 0, sizes, 1), 0.0)
+    return pd.Series(mean).where(~(null_row | bad), None)
 
 
 def entropy_arrow(col) -> Column:
