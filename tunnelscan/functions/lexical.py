@@ -66,7 +66,7 @@ def _entropy_fn(impl: str):
     raise ValueError(f"unknown entropy implementation {impl!r}")
 
 
-def name_features(sub, entropy_impl: str = "native") -> dict[str, Column]:
+def name_features(sub, entropy_impl: str = "arrow") -> dict[str, Column]:
     """O-41..O-48 from an already computed subdomain column ``sub``.
 
     ``entropy_impl``: ``native`` (higher-order functions, JVM) or ``arrow``
@@ -116,7 +116,7 @@ def answer_array(rdata, mode: str = "array", delimiter: str | None = None,
     return F.split(r, re.escape(delimiter), -1)
 
 
-def answer_features(arr, entropy_impl: str = "native") -> dict[str, Column]:
+def answer_features(arr, entropy_impl: str = "arrow") -> dict[str, Column]:
     """O-49..O-53 over an ``array<string>`` of answer items."""
     a = _col(arr)
     size = F.size(a)

@@ -10,6 +10,22 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Settings for a large cluster (pass to spark-submit --conf).  AQE sizes the
+# shuffle partitions at run time and splits skewed join partitions; the
+# cleaner removes the thin checkpointed tables once they are unreferenced.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "tunnelscan") -> SparkSession:
