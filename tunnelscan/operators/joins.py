@@ -25,14 +25,16 @@ class Sized:
         return F.broadcast(self.df) if self.rows <= max_rows else self.df
 
 
-def materialise(df: DataFrame, reliable: bool = True) -> Sized:
+def materialise(df: DataFrame) -> Sized:
     """Write ``df`` to the shared checkpoint folder and count it.
 
     The checkpoint cuts lineage (an executor loss later re-reads the written
     files rather than recomputing the whole upstream plan) and makes the count
-    a cheap re-read instead of a second evaluation of the plan.
+    a cheap re-read instead of a second evaluation of the plan.  (Observing the
+    count during the checkpoint job fails to serialise when the plan holds an
+    MLlib model, so the count stays a separate small job.)
     """
-    done = df.checkpoint(eager=True) if reliable else df
+    done = df.checkpoint(eager=True)
     return Sized(done, done.count())
 
 
