@@ -72,3 +72,12 @@ def test_training_and_scoring_jobs(spark, tmp_path):
     assert spark.read.parquet(out).columns == ["key", "payload"]
     assert spark.read.parquet(out).count() == res.output.count()
     assert res.unlabelled().count() == 0
+
+
+def test_intervals_in_group_table(spark):
+    msgs = fixtures.read_staged_dns_log(spark, SF_SMALL)
+    res = scoring.score(msgs, Q._stand_in, Q.FIXTURE_CONFIG, with_intervals=True)
+    from tunnelscan.operators.verdict import interval_stats
+    want = {tuple(r[:3]): (r[3], r[4]) for r in interval_stats(res.scored).collect()}
+    got = res.stats.collect()
+    assert got and all((r["max_interval_time"], r["average_interval_time"]) == want[tuple(r[:3])] for r in got)

@@ -41,6 +41,7 @@ from tunnelscan.operators.prepare import (
 from tunnelscan.operators.verdict import (
     alerting_groups,
     group_stats,
+    interval_stats,
     join_alerts,
     output_messages,
     with_alert_id,
@@ -106,6 +107,7 @@ class ScoringResult:
 def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = None,
           rules: DataFrame | None = None, gate: str = "auto", alert_id: str = "constant",
           apply_exclusions: bool = False, approx_distinct: bool = False, distinct_messages: bool = False,
+          with_intervals: bool = False,
           keys: Sequence[str] = KEYS, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> ScoringResult:
     """Score DNS messages.
 
@@ -116,6 +118,10 @@ def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = Non
     the broadcast bound, ``having`` otherwise - so wide rows are never
     shuffled for the gate.  All three give the same groups and rows.
 
+    ``with_intervals`` adds ``max_interval_time`` and ``average_interval_time``
+    (O-39, dormant in the reference's group aggregate) to the group table;
+    both sides are aggregated by the keys, so the join needs no extra exchange.
+
     ``distinct_messages`` (D12): a message with n questions in alerting groups
     is written n times, as the reference does; True writes it once
     (``dropDuplicates(["key"])``, a shuffle of the flagged rows only).
@@ -139,6 +145,8 @@ def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = Non
         raise ValueError(f"unknown gate {gate!r}")
     scored = with_indicators(with_label_str(labeler(featurise(gated, cfg, apply_exclusions))))
     stats = group_stats(scored, keys, approx_distinct)
+    if with_intervals:
+        stats = stats.join(interval_stats(scored, keys), list(keys), "left")
     if gate == "having":
         stats = stats.where(F.col("2ld_count") >= F.lit(cfg.min_group_count))
     suspicious = materialise(stats.where(F.col("tunnel_count") > 0)).df
