@@ -81,3 +81,11 @@ def test_intervals_in_group_table(spark):
     want = {tuple(r[:3]): (r[3], r[4]) for r in interval_stats(res.scored).collect()}
     got = res.stats.collect()
     assert got and all((r["max_interval_time"], r["average_interval_time"]) == want[tuple(r[:3])] for r in got)
+
+
+def test_counts_report_empty_stages(spark):
+    msgs = fixtures.read_staged_dns_log(spark, SF_SMALL)
+    strict = Q.FIXTURE_CONFIG.with_(min_unique_qname_share=1.01)
+    counts = {r["stage"]: r["rows"] for r in scoring.score(msgs, Q._stand_in, strict).counts().collect()}
+    assert counts["alert_groups"] == 0 and counts["flagged_rows"] == 0 and counts["question_rows"] > 0
+    assert len(counts) == 6

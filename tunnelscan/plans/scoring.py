@@ -6,10 +6,12 @@ sizes the table before it is broadcast):
 
 1. ``prepare``: responses only (pushed into the Parquet scan), one row per
    question, flat keys, registrable domain (broadcast rule lookups, map-side).
-2. volume gate: busy groups (partial count -> thin shuffle), materialised,
-   joined back by broadcast when small (``gate='join'``); or folded into the
-   verdict aggregate as a HAVING (``gate='having'``, no join at all).
-3. features + model on the gated rows (map-side; the model is broadcast).
+2. volume gate: busy groups (partial count -> thin shuffle), materialised and
+   counted; joined back by broadcast when under the bound, otherwise folded
+   into the verdict aggregate as a HAVING (``gate='auto'``, the default; the
+   two strategies can be forced with ``'join'`` / ``'having'``).
+3. features + model on the gated rows (map-side; the fitted model travels
+   with the tasks).  ``fillna(0)`` is applied to the thirteen features.
 4. verdict: one aggregate per group (exact distinct count), suspicious groups
    (any non-normal row) and share thresholds as HAVING filters; materialised.
 5. flagged rows: the *prepared* rows joined to the alert groups (broadcast) -
@@ -93,8 +95,8 @@ class ScoringResult:
                  ("alert_groups", self.alerts), ("flagged_rows", self.flagged)]
         out = None
         for name, df in parts:
-            one = df.select(F.lit(name).alias("stage")).groupBy("stage").agg(
-                F.count(F.lit(1)).alias("rows"))
+            # A global aggregate: one row even when the stage is empty.
+            one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
             out = one if out is None else out.unionByName(one)
         return out
 
