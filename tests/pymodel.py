@@ -47,3 +47,31 @@ def answer_features(items: list | None) -> list:
     ents = [None if i is None else entropy(i) for i in items]
     ent = None if None in ents else sum(ents) / len(items)
     return [avg_len, max_len, share(str.isupper), share(str.isdecimal), ent]
+
+
+def registrable(name, rules, fallback=False):
+    """Public-suffix semantics of SURVEY 2.11 over (suffix, kind) rules."""
+    if name is None:
+        return None
+    stripped = name[:-1] if name.endswith(".") else name
+    if stripped == "":
+        return None
+    labels = stripped.lower().split(".")
+    n = len(labels)
+    kinds = {}
+    for suffix, kind in rules:
+        kinds.setdefault(suffix.lower(), set()).add(kind)
+    exc, best = [], []
+    for k in range(1, n + 1):
+        cand = ".".join(labels[n - k:])
+        ks = kinds.get(cand, set())
+        if "exception" in ks:
+            exc.append(k - 1)
+        if "exact" in ks:
+            best.append(k)
+        if "wildcard" in ks and n >= k + 1:
+            best.append(k + 1)
+    length = max(exc) if exc else (max(best) if best else (1 if fallback else None))
+    if length is None or n < length + 1:
+        return None
+    return ".".join(labels[n - length - 1:])

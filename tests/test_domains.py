@@ -67,3 +67,23 @@ def test_domain_plan_has_no_shuffle(spark):
     plan = explain(registrable_domain(df, "QNAME"))
     assert "BroadcastHashJoin" in plan
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_random_names_match_python_model(spark):
+    import random
+    from pymodel import registrable
+    rules = [("com", "exact"), ("uk", "exact"), ("co.uk", "exact"), ("ck", "wildcard"),
+             ("www.ck", "exception"), ("jp", "exact"), ("kobe.jp", "wildcard"), ("city.kobe.jp", "exception"),
+             ("a.b.c", "exact"), ("b.c", "wildcard"), ("net", "exact"), ("net", "wildcard")]
+    rng = random.Random(5)
+    pool = ["com", "uk", "co", "ck", "www", "jp", "kobe", "city", "a", "b", "c", "net", "x", "Y", ""]
+    names = []
+    for _ in range(600):
+        labels = [rng.choice(pool) for _ in range(rng.randint(1, 6))]
+        names.append(".".join(labels) + rng.choice(["", "."]))
+    names += [None, ".", "", "..", "a..com"]
+    for fallback in (False, True):
+        got = _domains(spark, names, rules=rules_from_pairs(spark, rules), fallback_last_label=fallback)
+        want = [registrable(n, rules, fallback) for n in names]
+        bad = [(n, g, w) for n, g, w in zip(names, got, want) if g != w]
+        assert not bad, bad[:5]
