@@ -16,6 +16,10 @@ def test_hourly_stream_equals_hourly_batches(spark, tmp_path):
                              checkpoint=str(tmp_path / "ckpt"))
     q.awaitTermination(300)
     assert q.exception() is None
-    got = sorted(r["key"] for r in spark.read.parquet(out).collect())
+    import os
+    back = spark.read.parquet(out)
+    assert "batch_id" in back.columns
+    assert len([d for d in os.listdir(out) if d.startswith("batch_id=")]) > 1
+    got = sorted(r["key"] for r in back.collect())
     want = sorted(r["key"] for r in scoring.score(msgs, Q._stand_in, cfg, keys=HOURLY_KEYS).output.collect())
     assert len(want) > 0 and got == want

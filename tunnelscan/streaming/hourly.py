@@ -6,7 +6,9 @@ batch scoring job (``foreachBatch``).  ``datestr`` and ``hour`` are added to the
 group keys, so a group never mixes hours however the files are batched; an hour
 is judged on the files present when its batch runs (run with
 ``trigger(availableNow=True)`` after the hour closes, as the hourly job did).
-Progress is kept in a checkpoint under the shared ``spark.checkpoint.dir``.
+Progress is kept in a checkpoint under the shared ``spark.checkpoint.dir``;
+each micro-batch writes ``<output>/batch_id=<epoch>`` with overwrite, so a
+replayed batch replaces its own output (exactly-once files).
 """
 
 from __future__ import annotations
@@ -32,8 +34,10 @@ def start_hourly_scoring(spark: SparkSession, table_root: str, output_path: str,
     stream = reader.parquet(table_root)
 
     def score_batch(batch: DataFrame, epoch_id: int) -> None:
+        # Idempotent per micro-batch: a replayed epoch (after a failure)
+        # overwrites its own batch_id directory instead of appending twice.
         result = score(batch, labeler, cfg, rules=rules, keys=HOURLY_KEYS)
-        result.output.write.mode("append").parquet(output_path)
+        result.output.write.mode("overwrite").parquet(f"{output_path}/batch_id={epoch_id}")
 
     writer = (stream.writeStream.queryName(query_name).foreachBatch(score_batch)
               .option("checkpointLocation", checkpoint or shared_path(spark, "streams", query_name)))
