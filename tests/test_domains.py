@@ -1,6 +1,4 @@
 from conftest import explain
-import pytest
-from pyspark.sql import functions as F
 
 from tunnelscan.operators.domains import (
     default_suffix_rules,

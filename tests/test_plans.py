@@ -2,7 +2,6 @@ import os
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, explain
 from tunnelscan.plans import fixtures, queries as Q, scoring

@@ -2,7 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
 
 from conftest import explain
 from tunnelscan.operators.gate import busy_groups, volume_gate

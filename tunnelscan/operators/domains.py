@@ -23,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunnelscan.schemas import SUFFIX_RULE_SCHEMA  # noqa: F401
+from tunnelscan.schemas import SUFFIX_RULE_SCHEMA
+
 
 # The short default rule list shipped with the repo (a full public
 # suffix list is a user-given file, see read_suffix_rules).
@@ -104,6 +105,9 @@ def suffix_flags(spark: SparkSession, rules: DataFrame | None = None) -> tuple[D
     if rules is None:
         n_rules, depth = _static_stats(DEFAULT_SUFFIX_RULES)
         return _static_flag_table(spark, DEFAULT_SUFFIX_RULES), n_rules, depth
+    missing = [f.name for f in SUFFIX_RULE_SCHEMA.fields if f.name not in rules.columns]
+    if missing:
+        raise ValueError(f"suffix rules lack columns {missing}")
     flags = _flag_table(rules).checkpoint(eager=True)
     stats = flags.agg(F.count(F.lit(1)).alias("n"),
                       F.max(F.size(F.split("suffix", r"\."))).alias("depth")).first()

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunnelscan.operators.joins import DEFAULT_BROADCAST_ROWS
-from tunnelscan.schemas import ANSWER, DNS_LOG_SCHEMA, PARTITION_COLUMNS, TRAINING_SAMPLE_SCHEMA
+from tunnelscan.schemas import ANSWER
 from tunnelscan.session import fingerprint, path_exists, publish, shared_path
 
 VIEW_VERSION = "dnsview-v3"
@@ -140,5 +140,4 @@ def stage_training_csv(spark: SparkSession, sf_dir: str) -> str:
 
 
 __all__ = ["dns_view", "stage_dns_log", "read_staged_dns_log", "training_sample_rows",
-           "stage_training_csv", "stand_in_label", "stand_in_prediction", "DNS_LOG_SCHEMA",
-           "TRAINING_SAMPLE_SCHEMA", "RDATA_DELIMITER"]
+           "stage_training_csv", "stand_in_label", "stand_in_prediction", "RDATA_DELIMITER"]
