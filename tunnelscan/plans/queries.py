@@ -272,6 +272,15 @@ def rf_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return with_label_str(model.transform(feats)).select("key", "QNAME", "2ld", "prediction", "label_str")
 
 
+def rf_scoring_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The scoring job end to end with the trained forest as labeler (O-64
+    inside the job): alerting groups with their aggregates (rows only)."""
+    res = scoring.score(_messages(spark, sf), scoring.model_labeler(staged_model(spark, sf)), FIXTURE_CONFIG)
+    cols = [*KEYS, "unique_QNAME_count", "2ld_count", "normal_count", "tunnel_count",
+            "unique_QNAME_perc", "tunnel_perc", "alert_id"]
+    return res.alerts.select(*_rounded(res.alerts, cols))
+
+
 def rf_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """O-65, O-66, O-67 on the hold-out split (rows only)."""
     model = staged_model(spark, sf)
@@ -355,6 +364,7 @@ QUERIES: dict[str, Query] = {
     "kafka_records": kafka_records_q,
     "confusion_metrics": confusion_metrics,
     "rf_predictions": rf_predictions,
+    "rf_scoring_job": rf_scoring_job,
     "rf_metrics": rf_metrics,
     "rf_importances": rf_importances,
     "lr_dt_compare": lr_dt_compare,

@@ -31,7 +31,7 @@ from tunnelscan.config import ScoringConfig
 from tunnelscan.operators.domains import drop_reverse_lookups, registrable_domain
 from tunnelscan.operators.features import generate_features
 from tunnelscan.operators.gate import busy_groups, volume_gate
-from tunnelscan.operators.joins import DEFAULT_BROADCAST_ROWS, materialise
+from tunnelscan.operators.joins import DEFAULT_BROADCAST_ROWS, Sized, materialise
 from tunnelscan.operators.prepare import (
     exclude_answers,
     explode_questions,
@@ -152,8 +152,10 @@ def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = Non
     if gate == "having":
         stats = stats.where(F.col("2ld_count") >= F.lit(cfg.min_group_count))
     suspicious = materialise(stats.where(F.col("tunnel_count") > 0)).df
+    # Alerts filter the checkpointed table: the lineage is already cut, so a
+    # count (not another checkpoint) sizes them for the broadcast.
     alerts = with_alert_id(alerting_groups(suspicious, cfg), alert_id, keys)
-    sized = materialise(alerts)
+    sized = Sized(alerts, alerts.count())
     flagged = join_alerts(candidates, sized, keys, max_broadcast_rows)
     output = output_messages(flagged)
     if distinct_messages:
