@@ -91,6 +91,8 @@ def test_alert_ids(spark):
     assert with_alert_id(df).first()["alert_id"] == -1
     h1 = with_alert_id(df, "hash").first()["alert_id"]
     assert h1 == with_alert_id(df, "hash").first()["alert_id"] and h1 != -1
+    assert h1 == int(__import__("hashlib").md5(b"a|b|c").hexdigest()[:15], 16)
+    assert with_alert_id(df, "xxhash").first()["alert_id"] != h1
 
 
 def test_interval_stats_against_brute_force(spark):

@@ -71,12 +71,18 @@ def alerting_groups(stats: DataFrame, cfg: ScoringConfig) -> DataFrame:
 
 
 def with_alert_id(df: DataFrame, mode: str = "constant", keys: Sequence[str] = KEYS) -> DataFrame:
-    """O-25 (``constant``: -1, as the reference emits) or O-26 (``hash``: a
-    deterministic 64-bit id of the group keys)."""
+    """O-25 (``constant``: -1, as the reference emits) or O-26, a deterministic
+    id of the group keys: ``hash`` is the first 60 bits of md5 of the
+    '|'-joined keys (portable: any engine with md5 gives the same id),
+    ``xxhash`` is Spark's 64-bit ``xxhash64``."""
+    cols = [F.col(f"`{k}`") for k in keys]
     if mode == "constant":
         return df.select("*", F.lit(-1).alias("alert_id"))
     if mode == "hash":
-        return df.select("*", F.xxhash64(*[F.col(k) for k in keys]).alias("alert_id"))
+        hex15 = F.substring(F.md5(F.concat_ws("|", *cols)), 1, 15)
+        return df.select("*", F.conv(hex15, 16, 10).cast("long").alias("alert_id"))
+    if mode == "xxhash":
+        return df.select("*", F.xxhash64(*cols).alias("alert_id"))
     raise ValueError(f"unknown alert id mode {mode!r}")
 
 

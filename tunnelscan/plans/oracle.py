@@ -162,6 +162,18 @@ alerts AS (SELECT *, unique_qname_count / sld_count AS unique_perc, tunnel_count
 """
 
 
+# Flagged rows with their group's tunnel share and the payload as JSON text
+# (the field order and formatting of Spark's to_json).
+_TELE = """
+, fl AS (SELECT c.*, a.tunnel_perc FROM cands c JOIN alerts a USING ("srcIP", "destIP", sld)),
+p AS (SELECT fl.*, CAST(to_json({'header': {'QR': qr, 'responseCode': response_code},
+                            'questions': [{'name': qname}],
+                            'answers': list_transform(range(1, len(rdata) + 1), lambda i: {'rdata': rdata[i], 'type': rtype[i]}),
+                            'ip': {'srcIP': "srcIP", 'destIP': "destIP", 'srcPort': src_port, 'destPort': dest_port, 'isIPv6': is_ipv6},
+                            'pcap': {'ts_sec': ts_sec, 'ts_usec': ts_usec, 'wirelen': wirelen}}) AS VARCHAR) AS tele
+      FROM fl)
+"""
+
 # The cleaned '~' training sample (O-01, O-08..O-10, O-20) derived from the view.
 _CLEAN = """
 , lbl AS (SELECT CAST(doc_id AS VARCHAR) AS key, quality, toxic FROM labels),
@@ -232,6 +244,11 @@ FROM alerts
     "flagged_messages": _with("""
 SELECT c.key, c.qname AS name, c."srcIP", c."destIP", c.ts_sec, CAST(len(c.rdata) AS INTEGER) AS n_answers
 FROM cands c JOIN alerts a USING ("srcIP", "destIP", sld)
+"""),
+    "alert_ids": _with("""
+SELECT "srcIP", "destIP", sld AS "2ld",
+       CAST(('0x' || substr(md5("srcIP" || '|' || "destIP" || '|' || sld), 1, 15)) AS BIGINT) AS alert_id
+FROM alerts
 """),
     "interval_stats": _with("""
 , g AS (SELECT "srcIP", "destIP", sld, ts_sec - lag(ts_sec) OVER (PARTITION BY "srcIP", "destIP", sld ORDER BY ts_sec) AS gap
@@ -248,27 +265,47 @@ UNION ALL SELECT 'suspicious_groups', count(*) FROM stats
 UNION ALL SELECT 'alert_groups', count(*) FROM alerts
 UNION ALL SELECT 'flagged_rows', count(*) FROM cands c JOIN alerts a USING ("srcIP", "destIP", sld)
 """),
-    "alert_table": _with("""
+    "alert_table": _with(_TELE + """
 SELECT CAST(-1 AS INTEGER) AS alert_id,
-  c.ts_sec AS alert_timestamp_sec,
-  c.ts_sec * 1000 + CAST(floor(c.ts_usec / 1000) AS BIGINT) AS record_first_seen_timestamp_ms,
+  ts_sec AS alert_timestamp_sec,
+  ts_sec * 1000 + CAST(floor(ts_usec / 1000) AS BIGINT) AS record_first_seen_timestamp_ms,
   'DNS' AS l7_application_name,
-  c."srcIP" AS src_ip, CASE WHEN c.is_ipv6 THEN 'IPv6' ELSE 'IPv4' END AS src_ip_type, c.src_port,
+  CAST(NULL AS VARCHAR) AS org_ip_enrich, "srcIP" AS org_ip, false AS org_is_malicious,
+  CAST(NULL AS VARCHAR) AS src_ip_enrich,
+  "srcIP" AS src_ip, CASE WHEN is_ipv6 THEN 'IPv6' ELSE 'IPv4' END AS src_ip_type, src_port,
   false AS src_is_malicious,
-  c."destIP" AS dest_ip, CASE WHEN c.is_ipv6 THEN 'IPv6' ELSE 'IPv4' END AS dest_ip_type, c.dest_port,
+  CAST(NULL AS VARCHAR) AS dest_ip_enrich,
+  "destIP" AS dest_ip, CASE WHEN is_ipv6 THEN 'IPv6' ELSE 'IPv4' END AS dest_ip_type, dest_port,
   false AS dest_is_malicious,
   'ML' AS engine_type, 'DNS_TUNNELLING' AS engine_name, 'TUNNELLING' AS alert_type, 'TUNNELLING' AS alert_name,
-  '-' AS threat_name, c.sld AS threat_hostname,
-  CAST(floor(a.tunnel_perc * 100) AS INTEGER) AS confidence,
+  '-' AS threat_name, sld AS threat_hostname,
+  CAST(floor(tunnel_perc * 100) AS INTEGER) AS confidence,
   CAST(-1 AS INTEGER) AS severity,
-  '{"2ld":"' || c.sld || '"}' AS details,
-  c.sld AS ioc, CAST(1 AS BIGINT) AS flow_count,
+  '{"2ld":"' || sld || '"}' AS details,
+  sld AS ioc, CAST(1 AS BIGINT) AS flow_count,
   CAST(1 AS DECIMAL(38,0)) AS sent_packets, CAST(NULL AS DECIMAL(38,0)) AS recv_packets,
-  CAST(c.wirelen AS DECIMAL(38,0)) AS sent_bytes, CAST(NULL AS DECIMAL(38,0)) AS recv_bytes,
-  'DNS' AS telemetry_source,
-  strftime(make_timestamp(c.ts_sec * 1000000), '%Y%m%d') AS datestr,
-  strftime(make_timestamp(c.ts_sec * 1000000), '%H') AS hour
-FROM cands c JOIN alerts a USING ("srcIP", "destIP", sld)
+  CAST(wirelen AS DECIMAL(38,0)) AS sent_bytes, CAST(NULL AS DECIMAL(38,0)) AS recv_bytes,
+  'DNS' AS telemetry_source, tele AS telemetry_details,
+  strftime(make_timestamp(ts_sec * 1000000), '%Y%m%d') AS datestr,
+  strftime(make_timestamp(ts_sec * 1000000), '%H') AS hour
+FROM p
+"""),
+    "kafka_records": _with(_TELE + """
+SELECT '-1' AS key,
+  to_json({'alert_id': CAST(-1 AS INTEGER), 'alert_timestamp_sec': ts_sec,
+           'record_first_seen_timestamp_ms': ts_sec * 1000 + CAST(floor(ts_usec / 1000) AS BIGINT),
+           'l7_application_name': 'DNS', 'org_ip': "srcIP", 'org_is_malicious': false,
+           'src_ip': "srcIP", 'src_ip_type': CASE WHEN is_ipv6 THEN 'IPv6' ELSE 'IPv4' END, 'src_port': src_port,
+           'src_is_malicious': false, 'dest_ip': "destIP", 'dest_ip_type': CASE WHEN is_ipv6 THEN 'IPv6' ELSE 'IPv4' END,
+           'dest_port': dest_port, 'dest_is_malicious': false, 'engine_type': 'ML', 'engine_name': 'DNS_TUNNELLING',
+           'alert_type': 'TUNNELLING', 'alert_name': 'TUNNELLING', 'threat_name': '-', 'threat_hostname': sld,
+           'confidence': CAST(floor(tunnel_perc * 100) AS INTEGER), 'severity': CAST(-1 AS INTEGER),
+           'details': '{"2ld":"' || sld || '"}', 'ioc': sld, 'flow_count': CAST(1 AS BIGINT),
+           'sent_packets': CAST(1 AS DECIMAL(38,0)), 'sent_bytes': CAST(wirelen AS DECIMAL(38,0)),
+           'telemetry_source': 'DNS', 'telemetry_details': tele,
+           'datestr': strftime(make_timestamp(ts_sec * 1000000), '%Y%m%d'),
+           'hour': strftime(make_timestamp(ts_sec * 1000000), '%H')}) AS value
+FROM p
 """),
     "alert_enriched": _with("""
 , ipinfo AS (SELECT '10.0.0.' || CAST(c_custkey % 16 AS VARCHAR) AS ip, min(c_name) AS enrich,
