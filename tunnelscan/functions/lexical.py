@@ -1,4 +1,9 @@
-"""The thirteen lexical features as native column expressions (O-41..O-53).
+"""The thirteen lexical features as column expressions (O-41..O-53).
+
+Eleven are native expressions.  The two entropy features default to an
+Arrow-batched numpy UDF (``entropy_impl="arrow"``, see ``entropy_arrow``,
+measured faster); ``entropy_impl="native"`` keeps them in higher-order
+functions (``entropy`` below).  Both give the same values.
 
 Semantics kept from the reference (SURVEY 1.4):
 
@@ -10,7 +15,9 @@ Semantics kept from the reference (SURVEY 1.4):
   gives NULL means (``max`` skips it); an empty answer item gives NULL shares.
 * D6: no division can raise under ANSI mode.
 * D7: entropy is never ``-0.0``.
-* D8: "uppercase" is ``\\p{IsUppercase}``, "digit" is ``\\p{Nd}``.
+* D8: "uppercase" is ``\\p{IsUppercase}``, "digit" is ``\\p{Nd}``; they are
+  counted by deleting runs of other characters (``[^...]+``: one regex match
+  per run, not per character).
 """
 
 from __future__ import annotations
