@@ -42,6 +42,15 @@ def test_forest_fit_save_load_metrics(spark, tmp_path):
     assert abs(sum(r["importance"] for r in imp) - 1.0) < 1e-6
 
 
+def test_forest_is_deterministic_for_fixed_partitioning(spark):
+    df = separable(spark).repartition(3).checkpoint(eager=True)
+    a = M.fit_pipeline(df, M.random_forest(num_trees=5, max_depth=4)).transform(df)
+    b = M.fit_pipeline(df, M.random_forest(num_trees=5, max_depth=4)).transform(df)
+    pa = sorted((r["QNAME"], tuple(r["probability"])) for r in a.collect())
+    pb = sorted((r["QNAME"], tuple(r["probability"])) for r in b.collect())
+    assert pa == pb
+
+
 def test_weighted_metrics_with_unpredicted_class(spark):
     df = spark.createDataFrame([(0.0, 0.0), (0.0, 0.0), (1.0, 0.0), (2.0, 2.0)], "label double, prediction double")
     ours = M.multiclass_metrics(df).first().asDict()
