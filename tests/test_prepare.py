@@ -58,6 +58,8 @@ def test_response_filter_pushed_to_parquet(spark, tmp_path):
     assert "EqualTo(payload.header.QR,true)" in plan and "PartitionFilters" in plan
     assert successful_responses(df).count() == 7
     assert read_dns_log(spark, path, datestr="20240102").count() == 0
+    globbed = read_dns_log(spark, f"{path}/datestr=20240101/hour=00/part-*", base_path=path)
+    assert globbed.count() == 9 and {r["hour"] for r in globbed.select("hour").collect()} == {"00"}
 
 
 def test_answer_exclusion(spark):

@@ -167,7 +167,7 @@ def run_scoring_job(spark, input_path: str, model_path: str, config_path: str |
                     output_path: str | None = None, kafka_topic: str | None = None,
                     kafka_brokers: str | None = None, alert_format: bool = False,
                     datestr: str | None = None, hour: str | None = None, rules: DataFrame | None = None,
-                    mode: str = "error", **score_options) -> ScoringResult:
+                    mode: str = "error", base_path: str | None = None, **score_options) -> ScoringResult:
     """The scoring job with the reference's options as parameters.
 
     Kafka needs both topic and brokers (or neither); at least one sink must be
@@ -186,7 +186,7 @@ def run_scoring_job(spark, input_path: str, model_path: str, config_path: str |
         raise ValueError("no output path or topic given")
     cfg = load_config(config_path)
     model = load_model(model_path)
-    logs = read_dns_log(spark, input_path, datestr=datestr, hour=hour)
+    logs = read_dns_log(spark, input_path, datestr=datestr, hour=hour, base_path=base_path)
     result = score(logs, model_labeler(model), cfg, rules=rules, **score_options)
     if kafka_topic:
         write_to_kafka(alert_table(result.flagged), kafka_topic, kafka_brokers)

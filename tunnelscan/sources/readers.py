@@ -29,16 +29,23 @@ def read_training_sample(spark: SparkSession, path: str, sep: str = "~",
 
 
 def read_dns_log(spark: SparkSession, path: str, datestr: str | None = None,
-                 hour: str | None = None, partitioned: bool = True) -> DataFrame:
+                 hour: str | None = None, partitioned: bool = True,
+                 base_path: str | None = None) -> DataFrame:
     """O-02: nested DNS messages from Parquet.
 
     ``path`` is the table root; ``datestr`` / ``hour`` become partition
     filters (pruned at planning time) instead of a hand-written path glob.
-    The schema is declared, so partition values stay strings ("00") and the
-    nested fields can be pruned to what each plan reads.
+    A glob inside the partition directories (``root/datestr=…/hour=…/part-*``)
+    also works when ``base_path`` names the root, so the partition values are
+    still read from the path.  The schema is declared, so partition values
+    stay strings ("00") and the nested fields can be pruned to what each plan
+    reads; fields absent from older files read as NULL.
     """
     schema = DNS_LOG_SCHEMA if partitioned else DNS_MESSAGE_SCHEMA
-    df = spark.read.schema(schema).parquet(path)
+    reader = spark.read.schema(schema)
+    if base_path is not None:
+        reader = reader.option("basePath", base_path)
+    df = reader.parquet(path)
     if datestr is not None:
         df = df.where(F.col("datestr") == F.lit(datestr))
     if hour is not None:
