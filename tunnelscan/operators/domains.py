@@ -13,9 +13,10 @@ Public-suffix semantics over a rule table ``(suffix, kind)`` where kind is
    dot); NULL if the name is itself a suffix or no rule matches (optionally
    the last label acts as the suffix then).
 
-Plan: the rule table is small and its size is checked, so each candidate depth
-is one broadcast hash join against it.  Rows never leave their partition: no
-shuffle, no distinct, no join back of the wide message rows.
+Plan: a rule table is small and its size is checked, so each candidate depth
+is one broadcast hash join against it; a literal rule list (the shipped
+default) is looked up with ``isin`` sets instead.  Either way rows never leave
+their partition: no shuffle, no distinct, no join back of the wide rows.
 """
 
 from __future__ import annotations
@@ -114,17 +115,8 @@ def suffix_flags(spark: SparkSession, rules: DataFrame | None = None) -> tuple[D
     return flags, int(stats["n"]), int(stats["depth"] or 0)
 
 
-def registrable_domain(df: DataFrame, name_col: str, rules: DataFrame | None = None,
-                       out_col: str = "2ld", fallback_last_label: bool = False,
-                       preserve_case: bool = False) -> DataFrame:
-    """Add ``out_col``: the registrable domain of ``name_col``."""
-    flags, n_rules, depth = suffix_flags(df.sparkSession, rules)
-    # The same plan on the build side at every depth: one broadcast, reused.
-    tmp = "__sfx"
-    flags = flags.select(*[F.col(c).alias(f"{tmp}_{c}") for c in ("suffix", "e", "w", "x")])
-    side = F.broadcast(flags) if n_rules <= MAX_BROADCAST_RULES else flags
-
-    name = F.col(name_col)
+def _labels_of(df: DataFrame, name_col: str, tmp: str, preserve_case: bool) -> DataFrame:
+    name = F.col(f"`{name_col}`")
     # Drop one trailing dot (no regex: endswith + substring).
     stripped = F.when(name.endswith("."), F.expr(f"substring(`{name_col}`, 1, length(`{name_col}`) - 1)")) \
         .otherwise(name)
@@ -132,9 +124,51 @@ def registrable_domain(df: DataFrame, name_col: str, rules: DataFrame | None = N
     out = out.withColumn(f"{tmp}_labels", F.split(F.lower(F.col(f"{tmp}_name")), r"\.", -1))
     if preserve_case:
         out = out.withColumn(f"{tmp}_orig", F.split(F.col(f"{tmp}_name"), r"\.", -1))
+    return out
+
+
+def _finish(df: DataFrame, out: DataFrame, out_col: str, tmp: str, exception_len, exact_len, wild_len,
+            fallback_last_label: bool, preserve_case: bool) -> DataFrame:
     labels = F.col(f"{tmp}_labels")
     n = F.size(labels)
 
+    def greatest(cols: list[Column]) -> Column:
+        return F.greatest(*cols) if len(cols) > 1 else (cols[0] if cols else F.lit(None).cast("int"))
+
+    suffix_len = F.coalesce(greatest(exception_len), greatest(exact_len + wild_len))
+    if fallback_last_label:
+        suffix_len = F.coalesce(suffix_len, F.lit(1))
+    out = out.withColumn(f"{tmp}_len", suffix_len)
+    src = F.col(f"{tmp}_orig") if preserve_case else labels
+    take = F.col(f"{tmp}_len") + 1
+    # A name whose labels are all empty ("", ".") has no registrable domain.
+    result = F.when((F.col(f"{tmp}_len").isNotNull()) & (n >= take) & (F.col(f"{tmp}_name") != ""),
+                    F.array_join(F.slice(src, -take, take), "."))
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], result.alias(out_col))
+
+
+def registrable_domain(df: DataFrame, name_col: str, rules=None,
+                       out_col: str = "2ld", fallback_last_label: bool = False,
+                       preserve_case: bool = False) -> DataFrame:
+    """Add ``out_col``: the registrable domain of ``name_col``.
+
+    ``rules`` is a rule DataFrame ``(suffix, kind)`` - looked up with one
+    size-checked broadcast hash join per candidate depth - or a literal list
+    of ``(suffix, kind)`` pairs (default: the shipped short list), looked up
+    with ``isin`` sets in generated code, without any join.
+    """
+    tmp = "__sfx"
+    if rules is None or isinstance(rules, (list, tuple)):
+        return _registrable_static(df, name_col, list(rules or DEFAULT_SUFFIX_RULES), out_col,
+                                   fallback_last_label, preserve_case, tmp)
+    flags, n_rules, depth = suffix_flags(df.sparkSession, rules)
+    flags = flags.select(*[F.col(c).alias(f"{tmp}_{c}") for c in ("suffix", "e", "w", "x")])
+    # The same plan on the build side at every depth.
+    side = F.broadcast(flags) if n_rules <= MAX_BROADCAST_RULES else flags
+
+    out = _labels_of(df, name_col, tmp, preserve_case)
+    labels = F.col(f"{tmp}_labels")
+    n = F.size(labels)
     exception_len, exact_len, wild_len = [], [], []
     for k in range(1, depth + 1):
         r = f"{tmp}_r{k}"
@@ -147,20 +181,30 @@ def registrable_domain(df: DataFrame, name_col: str, rules: DataFrame | None = N
         exception_len.append(F.when(F.col(f"{tmp}_x{k}") == 1, F.lit(k - 1)))
         exact_len.append(F.when(F.col(f"{tmp}_e{k}") == 1, F.lit(k)))
         wild_len.append(F.when((F.col(f"{tmp}_w{k}") == 1) & (n >= k + 1), F.lit(k + 1)))
+    return _finish(df, out, out_col, tmp, exception_len, exact_len, wild_len, fallback_last_label, preserve_case)
 
-    def greatest(cols: list[Column]) -> Column:
-        return F.greatest(*cols) if len(cols) > 1 else (cols[0] if cols else F.lit(None).cast("int"))
 
-    suffix_len = F.coalesce(greatest(exception_len), greatest(exact_len + wild_len))
-    if fallback_last_label:
-        suffix_len = F.coalesce(suffix_len, F.lit(1))
-    out = out.withColumn(f"{tmp}_len", suffix_len)
-    src = F.col(f"{tmp}_orig") if preserve_case else labels
-    take = F.col(f"{tmp}_len") + 1
-    # A name whose labels are all empty ("", ".") has no registrable domain.
-    result = F.when((F.col(f"{tmp}_len").isNotNull()) & (n >= take) & (F.col(f"{tmp}_name") != ""),
-                    F.array_join(F.slice(src, -take, take), "."))
-    return out.select(*[F.col(f"`{c}`") for c in df.columns], result.alias(out_col))
+def _registrable_static(df: DataFrame, name_col: str, pairs, out_col: str, fallback_last_label: bool,
+                        preserve_case: bool, tmp: str) -> DataFrame:
+    by_kind: dict[str, list[str]] = {"exact": [], "wildcard": [], "exception": []}
+    for suffix, kind in pairs:
+        by_kind[kind].append(suffix.lower())
+    depth = max(len(s.split(".")) for s, _ in pairs)
+    out = _labels_of(df, name_col, tmp, preserve_case)
+    labels = F.col(f"{tmp}_labels")
+    n = F.size(labels)
+    cands = {k: F.col(f"{tmp}_c{k}") for k in range(1, depth + 1)}
+    out = out.select("*", *[F.when(n >= k, F.array_join(F.slice(labels, -k, k), ".")).alias(f"{tmp}_c{k}")
+                            for k in cands])
+
+    def member(c: Column, kind: str) -> Column:
+        values = by_kind[kind]
+        return c.isin(*values) if values else F.lit(False)
+
+    exception_len = [F.when(member(c, "exception"), F.lit(k - 1)) for k, c in cands.items()]
+    exact_len = [F.when(member(c, "exact"), F.lit(k)) for k, c in cands.items()]
+    wild_len = [F.when(member(c, "wildcard") & (n >= k + 1), F.lit(k + 1)) for k, c in cands.items()]
+    return _finish(df, out, out_col, tmp, exception_len, exact_len, wild_len, fallback_last_label, preserve_case)
 
 
 def drop_reverse_lookups(df: DataFrame, domain_col: str = "2ld") -> DataFrame:
