@@ -15,7 +15,10 @@ Public-suffix semantics over a rule table ``(suffix, kind)`` where kind is
 
 Plan: the rule table is small and its size is checked, so each candidate depth
 is one broadcast hash join against it.  Rows never leave their partition: no
-shuffle, no distinct, no join back of the wide message rows.
+shuffle, no distinct, no join back of the wide message rows.  (A join-free variant
+with ``isin`` sets was measured 3x slower inside real queries: Catalyst pushed
+the later ``2ld`` filter below the projections by inlining the whole domain
+expression, computing it twice per row; the joins act as a barrier.)
 """
 
 from __future__ import annotations
