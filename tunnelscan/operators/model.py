@@ -31,16 +31,28 @@ MODEL_NAME = "RandomForestClassifier_v1.0"
 TRAIN_FRACTION = 0.8
 
 
+def split_bucket(hash_cols: Sequence[str] = ("QNAME", "RDATA"), seed: int = SEED) -> "F.Column":
+    """0..999 from md5 of the '|'-joined columns and the seed (first 8 hex
+    digits): the same bucket in any engine that has md5."""
+    joined = F.concat_ws("|", *[F.col(c) for c in hash_cols], F.lit(str(seed)))
+    return F.pmod(F.conv(F.substring(F.md5(joined), 1, 8), 16, 10).cast("long"), F.lit(1000))
+
+
 def split_train_test(df: DataFrame, train_fraction: float = TRAIN_FRACTION, seed: int = SEED,
                      method: str = "hash", hash_cols: Sequence[str] = ("QNAME", "RDATA")):
-    """O-60.  ``hash`` (default): a row goes to train when
-    ``pmod(xxhash64(cols, seed), 1000) < 1000 * fraction`` - stable under any
-    partitioning (D19).  ``random``: ``randomSplit`` as the reference does."""
+    """O-60.  ``hash`` (default): a row goes to train when its md5 bucket
+    (``split_bucket``) is below 1000 * fraction - stable under any
+    partitioning and reproducible outside Spark (D19).  ``xxhash``: the same
+    with ``pmod(xxhash64(cols, seed), 1000)``.  ``random``: ``randomSplit``
+    as the reference does."""
     if method == "random":
         return df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
-    if method != "hash":
+    if method == "hash":
+        bucket = split_bucket(hash_cols, seed)
+    elif method == "xxhash":
+        bucket = F.pmod(F.xxhash64(*[F.col(c) for c in hash_cols], F.lit(seed)), F.lit(1000))
+    else:
         raise ValueError(f"unknown split method {method!r}")
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in hash_cols], F.lit(seed)), F.lit(1000))
     cut = int(round(1000 * train_fraction))
     return df.where(bucket < cut), df.where(bucket >= cut)
 

@@ -337,6 +337,14 @@ FROM per
 """),
     "csv_clean_labels": _with(_CLEAN + """
 SELECT "QNAME", "RDATA", "DnsTunnel", src, label FROM clean
+"""),
+    "training_counts": _with(_CLEAN + """
+, b AS (SELECT CAST(('0x' || substr(md5("QNAME" || '|' || "RDATA" || '|' || '42'), 1, 8)) AS BIGINT) % 1000 AS bucket
+        FROM clean)
+SELECT 'sample_rows' AS stage, count(*) AS rows FROM msg
+UNION ALL SELECT 'feature_rows', count(*) FROM clean
+UNION ALL SELECT 'train_rows', count(*) FROM b WHERE bucket < 800
+UNION ALL SELECT 'test_rows', count(*) FROM b WHERE bucket >= 800
 """),
     "training_features": _with(_CLEAN + f"""
 , t2 AS (SELECT clean.*, dom.sld AS lld FROM clean LEFT JOIN dom ON clean."QNAME" = dom.qname),

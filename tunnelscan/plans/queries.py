@@ -249,7 +249,7 @@ def _split(spark: SparkSession, sf: str):
 def staged_model(spark: SparkSession, sf: str):
     """Train once per input (O-60..O-63), save (O-05) and load (O-06)."""
     fp = fingerprint(f"{sf}/events.parquet", f"{sf}/pages.parquet", f"{sf}/labels.parquet",
-                     salt=fixtures.VIEW_VERSION + "-rf")
+                     salt=fixtures.VIEW_VERSION + "-rf-md5split")
     final = shared_path(spark, "staged", f"rf_{fp}")
     if not path_exists(spark, f"{final}/metadata"):
         train_df, _ = _split(spark, sf)
@@ -268,6 +268,18 @@ def rf_predictions(spark: SparkSession, sf: str) -> DataFrame:
     return with_label_str(model.transform(feats)).select("key", "QNAME", "2ld", "prediction", "label_str")
 
 
+def training_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """O-40 / O-60 on the training path: sample rows read, rows left after
+    cleaning and features, and the hash split into train / test rows."""
+    sample = _sample(spark, sf)
+    feats = training.training_features(sample, rdata_mode="array", delimiter=fixtures.RDATA_DELIMITER)
+    train_df, test_df = model_ops.split_train_test(feats)
+    out = sample.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("sample_rows").alias("stage"), "rows")
+    for name, df in (("feature_rows", feats), ("train_rows", train_df), ("test_rows", test_df)):
+        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows"))
+    return out
+
+
 def rf_scoring_job(spark: SparkSession, sf: str) -> DataFrame:
     """The scoring job end to end with the trained forest as labeler (O-64
     inside the job): alerting groups with their aggregates (rows only)."""
@@ -360,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "kafka_records": kafka_records_q,
     "confusion_metrics": confusion_metrics,
     "rf_predictions": rf_predictions,
+    "training_counts": training_counts,
     "rf_scoring_job": rf_scoring_job,
     "rf_metrics": rf_metrics,
     "rf_importances": rf_importances,

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tunnelscan.operators.domains import registrable_domain
 from tunnelscan.operators.features import generate_features
@@ -50,6 +51,15 @@ class TrainingResult:
         out.update(row.asDict())
         return out
 
+    def counts(self) -> DataFrame:
+        """O-40 for training: rows with features, train rows, test rows."""
+        parts = [("feature_rows", self.features), ("train_rows", self.train), ("test_rows", self.test)]
+        out = None
+        for name, df in parts:
+            one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
+            out = one if out is None else out.unionByName(one)
+        return out
+
     def importances(self, spark: SparkSession) -> DataFrame:
         return feature_importances(spark, self.model)
 
