@@ -91,3 +91,23 @@ def test_fillna_numeric_only(spark):
     df = spark.createDataFrame([Row(a=None, b=None, s=None)], "a double, b int, s string")
     r = fill_numeric_nulls(df).first()
     assert (r["a"], r["b"], r["s"]) == (0.0, 0, None)
+
+
+def test_pipeline_drops_reverse_lookups_no_domain_and_null_ips(spark):
+    from tunnelscan.operators.domains import drop_reverse_lookups
+    from tunnelscan.operators.gate import volume_gate
+    from tunnelscan.plans.scoring import prepare
+    df = spark.createDataFrame([
+        _msg("ok1", names=("a.example.com.",)),
+        _msg("ok2", names=("b.example.com.",)),
+        _msg("rev", names=("4.3.2.1.in-addr.arpa.",)),
+        _msg("nodomain", names=("localhost.",)),
+        _msg("nullip", src=None),
+        _msg("nullname", names=(None,)),
+    ], DNS_MESSAGE_SCHEMA)
+    prepared = prepare(df)
+    domains = {r["key"]: r["2ld"] for r in prepared.collect()}
+    assert domains["rev"] == "1.in-addr.arpa" and domains["nodomain"] is None and domains["nullname"] is None
+    gated = volume_gate(drop_reverse_lookups(prepared), 1)
+    assert sorted(r["key"] for r in gated.collect()) == ["ok1", "ok2"]
+    assert {r["count"] for r in gated.collect()} == {2}
