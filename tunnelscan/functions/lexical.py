@@ -81,9 +81,10 @@ def name_features(sub, entropy_impl: str = "arrow") -> dict[str, Column]:
     """
     x = _col(sub)
     n = F.length(x)
+    dots = n - F.length(F.replace(x, F.lit("."), F.lit("")))
     lens = F.transform(F.split(x, r"\.", -1), lambda p: F.length(p))
-    nlabels = F.size(lens)
-    total = F.aggregate(lens, F.lit(0).cast("long"), lambda acc, v: acc + v)
+    # Labels are x split on every dot: their lengths sum to n - dots and
+    # there are dots + 1 of them, so the mean needs no pass over the labels.
 
     def empty_zero(expr: Column) -> Column:
         return F.when(n.isNull(), F.lit(None).cast("double")).when(n == 0, F.lit(0.0)).otherwise(expr)
@@ -91,10 +92,10 @@ def name_features(sub, entropy_impl: str = "arrow") -> dict[str, Column]:
     return {
         "subdomain_length": n.cast("int"),
         "subdomain_entropy": _entropy_fn(entropy_impl)(x),
-        "average_subdomain_length": empty_zero(total / nlabels),
+        "average_subdomain_length": empty_zero((n - dots) / (dots + 1)),
         "min_subdomain_length": empty_zero(F.array_min(lens).cast("double")),
         "max_subdomain_length": empty_zero(F.array_max(lens).cast("double")),
-        "label_count": (n - F.length(F.replace(x, F.lit("."), F.lit("")))).cast("int"),
+        "label_count": dots.cast("int"),
         "subdomain_uppercase_char": empty_zero(upper_count(x) / n),
         "subdomain_numeric_char": empty_zero(digit_count(x) / n),
     }
@@ -140,9 +141,10 @@ def answer_features(arr, entropy_impl: str = "arrow") -> dict[str, Column]:
         return F.transform(a, lambda i: F.when(F.length(i) > 0, count_fn(i) / F.length(i)))
 
     return {
+        # Sum of item lengths = length of their concatenation (NULL if any
+        # item is NULL: array_join would skip it).
         "average_answer_length": per_array(
-            F.aggregate(F.transform(a, lambda i: F.length(i)), F.lit(0).cast("long"),
-                        lambda acc, v: acc + v) / size),
+            F.when(F.size(F.array_compact(a)) == size, F.length(F.array_join(a, "")) / size)),
         "max_answer_length": per_array(F.array_max(F.transform(a, lambda i: F.length(i))).cast("double")),
         "average_answer_uppercase_char": per_array(mean_of(share(upper_count))),
         "average_answer_numeric_char": per_array(mean_of(share(digit_count))),
