@@ -220,6 +220,17 @@ FROM resp
          lambda i: rdata[i]) AS k
   FROM msg)
 SELECT key, array_to_string(k, '|') AS kept_rdata, CAST(len(k) AS INTEGER) AS kept_count FROM kept
+"""),
+    "answer_features_excluded": _with(f"""
+, kept AS (
+  SELECT key, list_transform(list_filter(range(1, len(rdata) + 1), lambda i:
+           NOT list_contains(['RRSIG', 'DNSKEY', 'DS', 'eNSEC', 'NSEC3', 'CDNSKEY', 'CDS', 'TSIG', 'TKEY'], rtype[i])
+           AND NOT (contains(rdata[i], 'v=spf1') OR contains(rdata[i], 'docusign=') OR contains(rdata[i], 'verification='))),
+         lambda i: rdata[i]) AS k
+  FROM resp)
+SELECT key,
+  {_answer_features('k')}
+FROM kept
 """),
     "volume_gate": _with(f"""
 , b2 AS (SELECT "srcIP", "destIP", sld, count(*) AS cnt FROM cands GROUP BY ALL HAVING count(*) >= {GATE_QUERY_MIN_COUNT})

@@ -141,6 +141,19 @@ def document_answer_features(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", *_rounded(out, ANSWER_FEATURES))
 
 
+def answer_features_excluded(spark: SparkSession, sf: str) -> DataFrame:
+    """O-19 then O-49..O-53, O-18: the scoring path with ``apply_exclusions``
+    (answers of excluded record types or holding an excluded substring are
+    dropped before the answer features)."""
+    rows = flatten_message(explode_questions(successful_responses(_messages(spark, sf))))
+    cfg = ScoringConfig()
+    rows = exclude_answers(rows, cfg.excluded_rtypes, cfg.excluded_rdata)
+    feats = answer_features(F.col("RDATA"))
+    out = fill_numeric_nulls(rows.select("key", *[feats[c].alias(c) for c in ANSWER_FEATURES]), 0,
+                             ANSWER_FEATURES)
+    return out.select("key", *_rounded(out, ANSWER_FEATURES))
+
+
 def csv_clean_labels(spark: SparkSession, sf: str) -> DataFrame:
     """O-01, O-08, O-09, O-10, O-20."""
     return clean_training_sample(_sample(spark, sf)).select("QNAME", "RDATA", "DnsTunnel", "src", "label")
@@ -357,6 +370,7 @@ QUERIES: dict[str, Query] = {
     "answer_features": answer_features_q,
     "answer_features_chars": answer_features_chars,
     "answer_exclusion": answer_exclusion,
+    "answer_features_excluded": answer_features_excluded,
     "csv_clean_labels": csv_clean_labels,
     "training_features": training_features_q,
     "document_answer_features": document_answer_features,
