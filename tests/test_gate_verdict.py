@@ -95,9 +95,14 @@ def test_alert_ids(spark):
     assert with_alert_id(df, "xxhash").first()["alert_id"] != h1
 
 
-def test_interval_stats_against_brute_force(spark):
+import pytest
+
+
+@pytest.mark.parametrize("bucket", [86400, 7, 1])
+def test_interval_stats_against_brute_force(spark, bucket):
     df = rows_fixture(spark)
-    got = {tuple(r[:3]): (r["max_interval_time"], r["average_interval_time"]) for r in interval_stats(df).collect()}
+    got = {tuple(r[:3]): (r["max_interval_time"], r["average_interval_time"])
+           for r in interval_stats(df, bucket_seconds=bucket).collect()}
     groups = {}
     for r in df.collect():
         groups.setdefault((r["srcIP"], r["destIP"], r["2ld"]), []).append(r["ts_sec"])

@@ -103,23 +103,36 @@ def output_messages(df: DataFrame) -> DataFrame:
     return df.select("key", "payload")
 
 
-def interval_stats(df: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_sec") -> DataFrame:
+def interval_stats(df: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_sec",
+                   bucket_seconds: int = 86400) -> DataFrame:
     """O-39: max and mean gap between successive ``ts`` within a group.
 
-    Rows are first collapsed to distinct (keys, ts) with their multiplicity
-    (partial aggregation map-side), so a hot group is bounded by the distinct
-    seconds in the data, not by its row count.  One exchange on ``keys`` then
-    serves both the ``lag`` window and the final aggregate.  The mean of the
-    gaps telescopes to (last - first) / (n - 1); a repeated timestamp is a zero
+    Skew-safe in two levels, so no window partition grows with a hot group:
+
+    1. rows collapse to distinct (keys, ts) with their multiplicity (partial
+       aggregation map-side);
+    2. gaps inside each (keys, day-bucket) come from a ``lag`` window over at
+       most ``bucket_seconds`` distinct seconds;
+    3. gaps across bucket boundaries come from a ``lag`` over the per-bucket
+       (min, max), one row per bucket.
+
+    The max gap is the larger of the two kinds.  The mean of the gaps
+    telescopes to (last - first) / (n - 1).  A repeated timestamp is a zero
     gap, which only decides the max when every timestamp is equal.
     """
-    seconds = (df.where(F.col(ts).isNotNull()).groupBy(*keys, ts)
+    bucket = F.floor(F.col(ts) / F.lit(bucket_seconds))
+    seconds = (df.where(F.col(ts).isNotNull()).groupBy(*keys, bucket.alias("__b"), ts)
                .agg(F.count(F.lit(1)).alias("__c")))
-    w = Window.partitionBy(*keys).orderBy(ts)
-    gaps = seconds.withColumn("__gap", F.col(ts) - F.lag(ts).over(w))
-    per_group = gaps.groupBy(*keys).agg(
+    inner = seconds.withColumn(
+        "__gap", F.col(ts) - F.lag(ts).over(Window.partitionBy(*keys, "__b").orderBy(ts)))
+    per_bucket = inner.groupBy(*keys, "__b").agg(
         F.sum("__c").alias("__n"), F.min(ts).alias("__lo"), F.max(ts).alias("__hi"),
-        F.max("__gap").alias("__maxgap"))
+        F.max("__gap").alias("__g"))
+    across = per_bucket.withColumn(
+        "__x", F.col("__lo") - F.lag("__hi").over(Window.partitionBy(*keys).orderBy("__b")))
+    per_group = across.groupBy(*keys).agg(
+        F.sum("__n").alias("__n"), F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"),
+        F.greatest(F.max("__g"), F.max("__x")).alias("__maxgap"))
     return per_group.select(
         *keys,
         F.when(F.col("__n") >= 2, F.coalesce(F.col("__maxgap"), F.lit(0)).cast("long"))
