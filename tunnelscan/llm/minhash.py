@@ -70,10 +70,10 @@ def shingles(col: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
         if b - a >= size:
             out.append(np.unique(all_of[a:b - size + 1]))
         elif b > a:
-            whole = np.uint64(b - a)
+            whole = np.array([b - a], dtype=np.uint64)
             for x in h[a:b]:
-                whole = mix(np.array([whole + x], dtype=np.uint64))[0]
-            out.append(np.array([whole], dtype=np.uint64))
+                whole = mix(whole + x)
+            out.append(whole)
         else:
             out.append(np.empty(0, dtype=np.uint64))
     return out
