@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tunnelscan.llm import decontaminate as _decontaminate
 from tunnelscan.llm import minhash as _minhash
 from tunnelscan.llm import pieces as _pieces
+from tunnelscan.llm import pii as _pii
 from tunnelscan.llm import toxicity as _toxicity
 from tunnelscan.llm.common import bounded, stage, table
 
@@ -56,6 +57,13 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _without(docs, found.where("contaminated").select("doc_id"))
 
 
+def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts replaced by pseudonyms."""
+    out = _pii.pseudonymise(docs, _pii.DEMO_KEY)
+    length = F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long"))
+    return out.withColumn("n_chars", length)
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document and the text decoded from them."""
     return _pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -65,6 +73,7 @@ STAGES = [
     ("toxicity", toxicity),
     ("near_duplicates", near_duplicates),
     ("decontaminate", decontaminate),
+    ("pseudonymise", pseudonymise),
     ("tokenize", tokenize),
 ]
 # The stages fit a model and mix keyed digests: no SQL gives their rows.

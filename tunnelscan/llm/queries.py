@@ -10,8 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tunnelscan.llm.common import table
 from tunnelscan.llm.decontaminate import op3_decontaminate
+from tunnelscan.llm.licenses import op8_licenses
 from tunnelscan.llm.minhash import op4_minhash
+from tunnelscan.llm.mixing import op10_mixing
+from tunnelscan.llm.mtree import op5_mtree
 from tunnelscan.llm.pieces import op1_sentencepiece
+from tunnelscan.llm.pii import op7_pii
+from tunnelscan.llm.substrings import op2_substrings
 from tunnelscan.llm.token_counts import default_cache, op6_token_counts
 from tunnelscan.llm.toxicity import op9_toxicity
 
@@ -23,6 +28,10 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1_sentencepiece(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_substrings(table(spark, sf_dir, "documents"))
+
+
 def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,21 +40,42 @@ def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_minhash(table(spark, sf_dir, "documents"))
 
 
+def mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_mtree(table(spark, sf_dir, "embeddings"))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE),
                             default_cache(spark, sf_dir))
 
 
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op7_pii(table(spark, sf_dir, "documents"))
+
+
+def licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_licenses(table(spark, sf_dir, "documents"))
+
+
 def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_mixing(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": sentencepiece,
+    "op2_substrings": substrings,
     "op3_decontaminate": decontaminate,
     "op4_minhash": minhash,
+    "op5_mtree": mtree,
     "op6_token_counts": token_counts,
+    "op7_pii": pii,
+    "op8_licenses": licenses,
     "op9_toxicity": toxicity,
+    "op10_mixing": mixing,
 }
 
 # Words by the contracts: only A-Z are lower-cased.
@@ -90,4 +120,14 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, d
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_decontaminate": _OP3, "op4_minhash": _OP4}
+_OP5 = """
+WITH v AS (SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_decontaminate": _OP3, "op4_minhash": _OP4, "op5_mtree": _OP5}

@@ -239,7 +239,7 @@ def _score(model):
                        ("grade", pa.int32())])
 
     def run(batches):
-        m = model.value
+        m = OrdinalModel(*model.value)
         for batch in batches:
             col = as_strings(batch.column(1))
             for a, b in slices(col):
@@ -253,7 +253,7 @@ def _score(model):
 def severity(documents: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``exceeds`` (P(grade > k) by k), expected ``severity`` and
     the most likely ``grade`` by the median of every document."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+    shared = documents.sparkSession.sparkContext.broadcast((model.weights, model.thresholds, model.bits))
     return id_text(documents, id_col, text_col).mapInArrow(
         _score(shared), "doc_id long, exceeds array<double>, severity double, grade int")
 
