@@ -5,13 +5,15 @@
 2. Each permutation of the hashes keeps its minimum and its maximum: both are
    unbiased signature values, so ``PERMUTATIONS`` evaluations give twice as many
    values.  Bands of ``ROWS`` values become bucket keys of a node.
-3. Candidate pairs come from buckets in rounds.  In the first round a bucket's
-   smallest node is its leader and is compared with the others; later rounds
-   take 4, 16, 64 ... leaders of each bucket that still holds nodes of more
-   than one component, and compare them with the bucket's nodes outside their
-   component.  A leader leaves its bucket once compared, so the rounds end when
-   every two nodes that share a bucket are in one component or were compared:
-   no link is lost to a cap, and a group of n copies costs about n comparisons.
+3. Nodes that share a bucket are candidates.  First every bucket's most popular
+   node (by the sizes of its buckets: the centre of a group of copies) is
+   compared with the others; that joins most groups with about as many
+   comparisons as they have copies.  Then each bucket that still holds nodes of
+   more than one component is split into blocks of at most ``BLOCK_NODES`` nodes,
+   and each two blocks are compared within one task, which emits only links that
+   join components.  So every two nodes that share a bucket are in one component
+   or were compared: no link is lost to a cap, no group is collected, and no
+   list of all pairs is ever made.
 4. A pair links when 100 * |A & B| >= threshold * |A | B| on the full sets.
 
 A pair at similarity 0.85 misses all 20 bands with probability 8e-6.
@@ -44,6 +46,9 @@ ROWS = 5
 MAX_BROADCAST = 500_000
 # Hashes of one set evaluated at a time.
 BLOCK = 16_384
+# Nodes of a block of a bucket; a task holds two blocks with their sets.
+BLOCK_NODES = 256
+BLOCK_HASHES = 500_000
 
 _SPACE = [9, 10, 11, 12, 13, 32]
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -172,6 +177,37 @@ def _confirm(threshold: int):
     return run
 
 
+def _block_links(threshold: int):
+    """Links between two blocks of a bucket that join different components."""
+    kinds = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def run(key, table):
+        i, j = key[1].as_py(), key[2].as_py()
+        nodes, block = table["node"].to_pylist(), table["block"].to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in table["values"].to_pylist()]
+        size = np.array([len(x) for x in sets], dtype=np.int64)
+        ends = np.cumsum(size)
+        group = np.unique(np.array(table["component"].to_pylist(), dtype=object), return_inverse=True)[1]
+        number, of = np.unique(np.concatenate(sets), return_inverse=True)
+        mark = np.zeros(len(number), dtype=bool)
+        left = np.flatnonzero(block == i)
+        where = np.concatenate([of[ends[k] - size[k]:ends[k]] for k in left]) if len(left) else of[:0]
+        at = np.cumsum(size[left]) - size[left]
+        found = []
+        for k in np.flatnonzero(block == j):
+            mine = of[ends[k] - size[k]:ends[k]]
+            mark[mine] = True
+            both = np.add.reduceat(mark[where], at, dtype=np.int64) if len(left) else np.empty(0, np.int64)
+            mark[mine] = False
+            alike = 100 * both >= threshold * (size[left] + size[k] - both)
+            for m in left[alike & (group[left] != group[k])]:
+                if group[m] != group[k]:
+                    found.append((nodes[m], nodes[k]))
+                    group[group == group[m]] = group[k]
+        return pa.table([pa.array([f[n] for f in found], pa.binary()) for n in (0, 1)], schema=kinds)
+    return run
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """The pairs (a, b) that link.  Sets of very unequal size cannot."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("hashes").alias("x"))
@@ -203,42 +239,35 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     signed = stage(docs.mapInArrow(_sign(shingle, n_permutations, rows),
                                    "doc_id long, node binary, n_shingles long, bands array<long>"), "minhash")
     nodes = signed.where("doc_id is not null and node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("lowest"), F.first("bands").alias("bands"))
+        F.min("doc_id").alias("lowest"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     nodes = stage(nodes, "nodes")
-    slots = nodes.select("node", F.explode("bands").alias("key"))
-    keys = stage(slots.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader"))
-                 .where("size > 1"), "buckets")
-    shared = slots.join(keys, "key")
-    pairs = stage(shared.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-                  .distinct(), "pairs")
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = _node_sets(docs.where("doc_id is not null"), signed.where("doc_id is not null"), stage(involved, "involved"),
-                      shingle)
+    slots = nodes.select("node", "n", F.explode("bands").alias("key"))
+    sizes = slots.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("hashes")).where("size > 1")
+    shared = stage(slots.drop("n").join(sizes, "key"), "shared")
+    popular = shared.groupBy("node").agg(F.sum("size").alias("popularity"))
+    leaders = shared.join(popular, "node").groupBy("key").agg(
+        F.max(F.struct("popularity", "node")).alias("top")).select("key", F.col("top.node").alias("leader"))
+    pairs = stage(shared.join(leaders, "key").where("node <> leader")
+                  .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    sets = _node_sets(docs.where("doc_id is not null"), signed.where("doc_id is not null"),
+                      stage(popular.select("node"), "involved"), shingle)
     links = stage(_linked(pairs, sets, threshold), "links")
     groups = components(links)
-    # The buckets without their first leaders, which have met all others there.
-    members = shared.where("node <> leader").select("key", "node")
-    leaders = 4
-    while True:
-        named = members.join(groups, "node", "left").select(
-            "key", "node", F.coalesce("component", "node").alias("component"))
-        open_keys = named.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"),
-                                             F.max("component").alias("high")).where("low <> high").select("key", "size")
-        members = stage(named.join(open_keys, "key"), "open")
-        if members.isEmpty():
-            break
-        # About ``leaders`` nodes of each bucket, all of a small one.
-        draw = F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(1 << 20)) * F.col("size") < F.lit(leaders << 20)
-        members = members.withColumn("leads", draw)
-        chosen = members.where("leads").select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
-        new = (members.join(chosen, "key").where((F.col("component") != F.col("ca")) & (F.col("node") != F.col("a")))
-               .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct())
-        new = stage(new.join(pairs, ["a", "b"], "left_anti"), "pairs")
-        links = links.unionByName(stage(_linked(new, sets, threshold), "links"))
-        groups = components(links)
-        pairs = pairs.unionByName(new)
-        members = members.where(~F.col("leads")).select("key", "node")
-        leaders *= 4
+    named = shared.join(groups, "node", "left").select(
+        "key", "node", "size", "hashes", F.coalesce("component", "node").alias("component"))
+    mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
+        "low <> high").select("key")
+    rest = stage(named.join(mixed, "key"), "open")
+    if not rest.isEmpty():
+        # Each node goes once to every pair of blocks that its own is part of.
+        blocks = F.greatest(F.ceil(F.col("size") / BLOCK_NODES), F.ceil(F.col("hashes") / BLOCK_HASHES))
+        own = rest.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+        other = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+        tasks = other.select("key", "node", "component", "block", F.least("block", "other").alias("i"),
+                             F.greatest("block", "other").alias("j")).join(
+            sets.select("node", F.col("hashes").alias("values")), "node")
+        more = tasks.groupBy("key", "i", "j").applyInArrow(_block_links(threshold), "a binary, b binary")
+        groups = components(links.unionByName(stage(more, "links")))
     return _labelled(signed, nodes, groups)
 
 
