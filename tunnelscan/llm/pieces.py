@@ -26,6 +26,7 @@ other columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,9 @@ from tunnelscan.llm.common import as_strings, batch_of, id_text, list_array, sli
 MARK = "▁"
 # Words up to this many characters share prefixes; longer ones go alone.
 SHARED = 64
-SLICE = 8 << 20
+# Words remembered in a task; the memory starts anew beyond that.
+REMEMBERED = 250_000
+SLICE = 6 << 20
 _WORD = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
 
 
@@ -89,7 +92,6 @@ class Vocabulary:
         self.score = {p: scores[i] for p, i in self.id_of.items()}
         self.unknown = self.kinds.index(2) if 2 in self.kinds else 0
         self.byte_id = {int(p[1:-1], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == 6}
-        self.longest = max(map(len, self.id_of), default=1)
         # A character outside every piece scores ten below the worst piece.
         self.unknown_score = min(self.score.values(), default=0.0) - 10.0
         self.identity = not norm.get(2) and not norm.get(4, 1) and norm.get(5, 1)
@@ -105,6 +107,14 @@ class Encoder:
         self.v = vocabulary
         self.pairs: dict[tuple[str, str], bool] = {}
         self.parts: dict[str, tuple[str, str] | None] = {}
+        # Ids of words met before in this task.
+        self.seen: dict[str, list[int]] = {}
+        # Lengths of the pieces that end in two characters, the longest first.
+        ends: dict[str, set[int]] = {}
+        for piece in vocabulary.id_of:
+            if len(piece) > 1:
+                ends.setdefault(piece[-2:], set()).add(len(piece))
+        self.lengths = {k: sorted(n, reverse=True) for k, n in ends.items()}
 
     def split(self, piece: str) -> tuple[str, str] | None:
         """The two pieces whose merge makes ``piece``; None for one character
@@ -123,9 +133,6 @@ class Encoder:
             now[best:best + 2] = [now[best] + now[best + 1]]
         return last
 
-    def reached(self, piece: str) -> bool:
-        return len(piece) == 1 or self.split(piece) is not None
-
     def compatible(self, p: str, q: str) -> bool:
         """Whether merging ``p + q`` ends in exactly the pieces p and q."""
         key = (p, q)
@@ -160,8 +167,9 @@ class Encoder:
 
     def encode(self, words: list[str]) -> list[list[int]]:
         """Ids of each word; ``words`` are distinct and sorted."""
-        v, longest, known = self.v, self.v.longest, self.v.id_of
+        v, known = self.v, self.v.id_of
         step = self._step_bpe if v.bpe else self._step_unigram
+        lengths = self.lengths
         # Forward states along the current path: entry k belongs to its first k characters.
         back, best = [0], [0.0]
         previous, out = "", []
@@ -172,7 +180,7 @@ class Encoder:
                 shared += 1
             del back[shared + 1:], best[shared + 1:]
             for end in range(shared + 1, len(w) + 1):
-                step(w, end, back, best, longest, known)
+                step(w, end, back, best, lengths.get(w[end - 2:end], ()) if end > 1 else (), known)
             ids, end = [], len(w)
             while end:
                 start = end - back[end]
@@ -189,32 +197,47 @@ class Encoder:
             previous = w
         return out
 
-    def _step_bpe(self, w, end, back, best, longest, known):
-        for start in range(max(0, end - longest), end - 1):
+    def _step_bpe(self, w, end, back, best, lengths, known):
+        for n in lengths:
+            start = end - n
+            if start < 0:
+                continue
             piece = w[start:end]
-            if piece in known and self.reached(piece):
+            if piece in known and (self.parts.get(piece) or self.split(piece)):
                 if not start:
                     back.append(end)
                     break
-                p = w[start - back[start]:start]
-                ok = self.pairs.get((p, piece))
-                if ok if ok is not None else self.compatible(p, piece):
-                    back.append(end - start)
+                key = (w[start - back[start]:start], piece)
+                ok = self.pairs.get(key)
+                if ok or ok is None and self.compatible(*key):
+                    back.append(n)
                     break
         else:
             back.append(1)
         best.append(0.0)
 
-    def _step_unigram(self, w, end, back, best, longest, known):
+    def _step_unigram(self, w, end, back, best, lengths, known):
         score = self.v.score
         top, size = best[end - 1] + score.get(w[end - 1:end], self.v.unknown_score), 1
-        for start in range(max(0, end - longest), end - 1):
-            s = score.get(w[start:end])
-            if s is not None and best[start] + s > top:
-                top, size = best[start] + s, end - start
+        for n in lengths:
+            if n <= end:
+                s = score.get(w[end - n:end])
+                if s is not None and best[end - n] + s > top:
+                    top, size = best[end - n] + s, n
         back.append(size)
         best.append(top)
 
+    def encode_all(self, words: list[str]) -> list[list[int]]:
+        """Ids of distinct words in any order; short words are remembered."""
+        seen = self.seen
+        if len(seen) > REMEMBERED:
+            seen.clear()
+        if len(self.pairs) > REMEMBERED:
+            self.pairs.clear()
+        new = sorted(w for w in words if len(w) <= SHARED and w not in seen)
+        seen.update(zip(new, self.encode(new)))
+        return [seen[w] if len(w) <= SHARED else self.encode([w])[0] for w in words]
+
 
 def marked(text: str, v: Vocabulary, normalise=None) -> str:
     """The normalised text with marks in place of spaces."""
@@ -255,17 +278,9 @@ def _words(part: pa.Array, v: Vocabulary, normalise):
 def encode_slice(part: pa.Array, v: Vocabulary, encoder: Encoder, normalise=None):
     """Ids of all texts one after the other, and the offsets of the texts."""
     row, coded = _words(part, v, normalise)
-    distinct = coded.dictionary.to_pylist()
-    order = sorted(range(len(distinct)), key=distinct.__getitem__)
-    short = [k for k in order if len(distinct[k]) <= SHARED]
-    ids: list = [None] * len(distinct)
-    for k, x in zip(short, encoder.encode([distinct[k] for k in short])):
-        ids[k] = x
-    for k in order:
-        if ids[k] is None:
-            ids[k] = encoder.encode([distinct[k]])[0]
+    ids = encoder.encode_all(coded.dictionary.to_pylist())
     sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    every = np.fromiter((i for x in ids for i in x), np.int32, int(sizes.sum()))
+    every = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
     begin = np.cumsum(sizes) - sizes
     at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     n = sizes[at] if len(at) else np.empty(0, np.int64)
@@ -304,9 +319,9 @@ class Decoder:
         return out
 
 
-def _encode(model):
-    kinds = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string()),
-                       ("round_trip", pa.bool_())])
+def _encode(model, with_text: bool):
+    kinds = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_()),
+                       *([("decoded", pa.string())] if with_text else [])])
 
     def run(batches):
         v, normalise = _load(model.value)
@@ -322,8 +337,8 @@ def _encode(model):
                 else:
                     clean = [normalise(t).replace(MARK, " ") for t in part.to_pylist()]
                     same = pa.array([t == (c[1:] if v.prefix and c[:1] == " " else c) for t, c in zip(texts, clean)])
-                yield batch_of(kinds, batch.column(0).slice(a, b - a), list_array(ids, offs, pa.int32()),
-                               pa.array(texts, pa.string()), same)
+                yield batch_of(kinds, batch.column(0).slice(a, b - a), list_array(ids, offs, pa.int32()), same,
+                               *([pa.array(texts, pa.string())] if with_text else []))
     return run
 
 
@@ -348,11 +363,13 @@ def _model(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encode(documents: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``ids``, the text ``decoded`` from them and whether that is
-    the normalised text again (``round_trip``)."""
+def encode(documents: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
+           with_text: bool = True) -> DataFrame:
+    """``doc_id``, ``ids``, whether the text decoded from them is the normalised
+    text again (``round_trip``), and that text (``decoded``) unless not wanted."""
     return id_text(documents, id_col, text_col).mapInArrow(
-        _encode(_model(documents, model_path)), "doc_id long, ids array<int>, decoded string, round_trip boolean")
+        _encode(_model(documents, model_path), with_text),
+        "doc_id long, ids array<int>, round_trip boolean" + ", decoded string" * with_text)
 
 
 def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -363,5 +380,5 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
 
 
 def op1_sentencepiece(documents: DataFrame, model_path: str) -> DataFrame:
-    out = encode(documents, model_path)
+    out = encode(documents, model_path, with_text=False)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
