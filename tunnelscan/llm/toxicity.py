@@ -14,7 +14,7 @@ Words: A-Z lower-cased, maximal runs of 0-9, a-z and bytes from 0x80.
 Edge cases: a NULL or empty text has no words and the severity of the bare
 thresholds; labels without a document, documents without a label and labels
 with a NULL grade take no part in the fit; repeated labels count once (the
-highest grade); without two grades in the sample every severity is that of the
+highest grade), as do repeated documents; without two grades in the sample every severity is that of the
 only grade (0 when there is none); repeated rows give a row each; other columns
 are ignored.
 """
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tunnelscan.llm.common import as_strings, batch_of, flat, id_text, list_array, mix, slices, span_hashes, span_tables, word_spans
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 10_000
 BITS = 18
 L1 = 0.02
 L2 = 0.001
@@ -221,12 +221,13 @@ def fit(documents: DataFrame, labels: DataFrame, grade: Column, id_col: str = "d
     about 1 kB each, are what reaches the driver)."""
     graded = labels.select(F.col(f"`{label_id_col}`").cast("long").alias("i"), grade.cast("int").alias("grade"))
     graded = graded.where("i is not null and grade is not null").groupBy("i").agg(F.max("grade").alias("grade"))
-    # Twice the bound, as labels may lack their document.
-    chosen = graded.orderBy(F.xxhash64("i"), "i").limit(2 * sample_rows)
     docs = id_text(documents, id_col, text_col)
+    held = graded.join(docs.select(F.col("doc_id").alias("i")), "i", "left_semi")
+    chosen = held.orderBy(F.xxhash64("i"), "i").limit(sample_rows)
     sample = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("i")).select("doc_id", "text", "grade")
+    # Rows of the same id are one document here.
     rows = (sample.mapInArrow(_features(bits), "doc_id long, grade int, slots array<int>")
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).toArrow())
+            .dropDuplicates(["doc_id"]).toArrow())
     lists = rows["slots"].combine_chunks() if rows.num_rows else pa.array([], pa.list_(pa.int32()))
     at = np.repeat(np.arange(rows.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False)) \
         if rows.num_rows else np.empty(0, np.int64)
