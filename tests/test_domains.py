@@ -49,6 +49,15 @@ def test_fallback_and_preserve_case(spark):
     assert _domains(spark, ["q.EXAMPLE.com."], preserve_case=True) == ["EXAMPLE.com"]
 
 
+def test_unlisted_suffixes_are_kept_with_the_built_in_rules(spark):
+    names = ["a.evil.io.", "b.evil.de.", "c.evil.com.", "d.evil.co.uk.", "com."]
+    assert _domains(spark, names) == ["evil.io", "evil.de", "evil.com", "evil.co.uk", None]
+    # A user's table is complete unless said otherwise.
+    rules = rules_from_pairs(spark, [("com", "exact")])
+    assert _domains(spark, names, rules=rules) == [None, None, "evil.com", None, None]
+    assert _domains(spark, names, rules=rules, fallback_last_label=True)[0] == "evil.io"
+
+
 def test_longest_match_wins(spark):
     rules = rules_from_pairs(spark, [("uk", "exact"), ("co.uk", "exact"), ("a.b.c.co.uk", "exact")])
     assert _domains(spark, ["x.a.b.c.co.uk", "x.y.co.uk", "x.uk"], rules=rules) == \

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from pymodel import entropy
+from tunnelscan.functions import entropy_arrow as kernel
 from tunnelscan.functions.entropy_arrow import _entropies
 
 
@@ -30,3 +31,22 @@ def test_astral_combining_and_long_strings():
     got = _entropies(strings)
     for s, g in zip(strings, got):
         assert _same(g, None if s is None else entropy(s))
+
+
+def test_parts_and_overlong_strings_give_the_same(monkeypatch):
+    rng = random.Random(4)
+    strings = ["".join(rng.choice("abcé😀") for _ in range(rng.randint(0, 200))) for _ in range(60)] + [None, ""]
+    whole = _entropies(strings)
+    monkeypatch.setattr(kernel, "PART_CHARS", 50)
+    for s, a, b in zip(strings, whole, _entropies(strings)):
+        assert _same(b, None if s is None else a), s
+
+
+def test_memory_does_not_follow_the_batch():
+    import tracemalloc
+    strings = ["lorem ipsum dolor " * 5000] * 60   # 5.4 million characters
+    tracemalloc.start()
+    _entropies(strings)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6

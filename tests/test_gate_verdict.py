@@ -1,9 +1,11 @@
 import random
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tunnelscan.config import ScoringConfig
 from tunnelscan.operators.gate import volume_gate
+from tunnelscan.operators.joins import materialise
 from tunnelscan.operators.verdict import (
     alerting_groups,
     group_stats,
@@ -46,11 +48,20 @@ def test_gate_inclusive_and_null_keys(spark):
     assert all(s is not None for s, _ in groups)
 
 
-def test_gate_join_equals_window(spark):
+def test_gate_equals_a_count_over_each_group(spark):
     df = rows_fixture(spark)
-    a = volume_gate(df, 20, strategy="join")
-    b = volume_gate(df, 20, strategy="window").select(*a.columns)
-    assert a.count() > 0 and _sorted(a) == _sorted(b)
+    keys = ["srcIP", "destIP", "2ld"]
+    counted = df.withColumn("count", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    want = counted.where("count >= 20 and srcIP is not null")
+    for bound in (500_000, 0):   # broadcast and shuffle join
+        got = volume_gate(df, 20, max_broadcast_rows=bound)
+        assert got.count() > 0 and _sorted(got) == _sorted(want.select(*got.columns))
+
+
+def test_bytes_bound_the_broadcast_too(spark):
+    few = materialise(spark.createDataFrame([("x" * 1000, 1)] * 3, "a string, b long"))
+    assert (few.rows, few.size) == (3, 3 * 1008)
+    assert few.small() and not few.small(max_bytes=1000) and not few.small(max_rows=2)
 
 
 def test_semi_join_equals_inner_distinct(spark):

@@ -1,5 +1,10 @@
+import bisect
 import datetime
+import hashlib
 import json
+import random
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -108,5 +113,29 @@ def test_enrichment_and_kafka_projection(spark):
     row = A.alert_table(flagged(spark), ip_info=info).first()
     assert (row["org_ip_enrich"], row["org_is_malicious"], row["src_ip_enrich"], row["dest_ip_enrich"]) == \
         ("laptop-7", True, "laptop-7", "resolver")
-    rec = kafka_records(A.alert_table(flagged(spark))).first()
-    assert rec["key"] == "-1" and json.loads(rec["value"])["engine_name"] == "DNS_TUNNELLING"
+    table = A.alert_table(flagged(spark), engine_name="some engine")
+    rec = kafka_records(table).first()
+    assert rec["key"] == hashlib.md5(b"10.0.0.1|8.8.8.8|ex.com").hexdigest()
+    assert json.loads(rec["value"])["engine_name"] == "some engine"
+    assert kafka_records(table, "alert_id").first()["key"] == "-1"
+    assert kafka_records(table, None).first()["key"] is None
+
+
+@pytest.mark.parametrize("bound", [500_000, 1])
+def test_duplicated_addresses_do_not_multiply_rows(spark, bound):
+    info = spark.createDataFrame([("10.0.0.1", "b", False), ("10.0.0.1", "a", True), ("10.0.0.1", None, None),
+                                  ("8.8.8.8", "r", False), (None, "x", True), ("9.9.9.9", "unused", False)],
+                                 "ip string, enrich string, is_malicious boolean")
+    rows = A.enrich(A.alert_fields(flagged(spark)), info, bound).collect()
+    assert [(r["src_ip_enrich"], r["org_is_malicious"], r["dest_ip_enrich"]) for r in rows] == [("a", True, "r")]
+
+
+def test_exact_area_under_curves(spark):
+    rng = random.Random(4)
+    rows = [(float(rng.random() < s), s) for s in (rng.random() for _ in range(3000))]
+    df = spark.createDataFrame(rows, "label double, rawPrediction double")
+    got = M.binary_metrics(df)["areaUnderROC"]
+    pos, neg = [s for y, s in rows if y], sorted(s for y, s in rows if not y)
+    want = sum(bisect.bisect_left(neg, s) for s in pos) / (len(pos) * len(neg))
+    assert abs(got - want) < 1e-9
+    assert abs(M.binary_metrics(df, num_bins=10)["areaUnderROC"] - want) > 1e-9

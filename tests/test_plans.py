@@ -21,22 +21,35 @@ def test_entry_smoke(spark):
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-def test_gate_having_equals_join(spark):
+SMALL_CONFIG = Q.FIXTURE_CONFIG.with_(min_group_count=4)
+
+
+def test_results_do_not_depend_on_the_broadcast_bound(spark):
     msgs = fixtures.read_staged_dns_log(spark, SF_SMALL)
-    a = scoring.score(msgs, Q._stand_in, Q.FIXTURE_CONFIG, gate="join")
-    b = scoring.score(msgs, Q._stand_in, Q.FIXTURE_CONFIG, gate="having")
-    assert _sorted(a.alerts) == _sorted(b.alerts.select(*a.alerts.columns))
+    a = scoring.score(msgs, Q._stand_in, SMALL_CONFIG)
+    b = scoring.score(msgs, Q._stand_in, SMALL_CONFIG, max_broadcast_rows=0)
+    assert a.scored.columns == b.scored.columns and "count" in a.scored.columns
+    scored = ["key", "QNAME", "count", "prediction", "subdomain_entropy"]
+    assert 0 < a.scored.count() < a.candidates.count()
+    assert _sorted(a.scored.select(*scored)) == _sorted(b.scored.select(*scored))
+    assert _sorted(a.counts()) == _sorted(b.counts())
+    assert a.alerts.count() > 0 and _sorted(a.alerts) == _sorted(b.alerts.select(*a.alerts.columns))
     assert _sorted(a.output.select("key")) == _sorted(b.output.select("key"))
 
 
-def test_auto_gate_falls_back_without_join(spark):
+def test_only_thin_rows_are_shuffled_for_the_gate(spark):
     msgs = fixtures.read_staged_dns_log(spark, SF_SMALL)
-    a = scoring.score(msgs, Q._stand_in, Q.FIXTURE_CONFIG, gate="join")
-    # No busy-group table may be broadcast: the gate becomes a HAVING.
-    b = scoring.score(msgs, Q._stand_in, Q.FIXTURE_CONFIG, gate="auto", max_broadcast_rows=0)
-    assert "BroadcastHashJoin Inner" not in explain(b.scored, "simple")
-    assert _sorted(a.alerts) == _sorted(b.alerts.select(*a.alerts.columns))
-    assert _sorted(a.output.select("key")) == _sorted(b.output.select("key"))
+    plan = explain(scoring.score(msgs, Q._stand_in, SMALL_CONFIG, max_broadcast_rows=0).scored, "extended")
+    read = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert read and not any("wirelen" in line or "authority" in line for line in read)
+
+
+def test_flagged_rows_with_their_predictions(spark):
+    msgs = fixtures.read_staged_dns_log(spark, SF_SMALL)
+    res = scoring.score(msgs, Q._stand_in, SMALL_CONFIG)
+    rows = res.flagged_scored.select("key", "QNAME", "label_str", "prediction", "tunnel_perc", "alert_id", "count")
+    assert rows.count() == res.flagged.count() > 0
+    assert {r["label_str"] for r in rows.collect()} == {"normal", "tunnel"}
 
 
 def test_scoring_plan_shape(spark):
@@ -60,10 +73,8 @@ def test_interval_plan_single_key_exchange(spark):
 
 
 def _oracle_names():
-    import sys
-    sys.path.insert(0, ROOT)
-    import __spark_entry__ as E
-    return sorted(E.oracle_sql())
+    from tunnelscan.plans.oracle import oracle_sql
+    return sorted(oracle_sql())
 
 
 def _norm(v):

@@ -13,6 +13,7 @@ DEFAULT_MIN_GROUP_COUNT = 100
 DEFAULT_MIN_UNIQUE_QNAME_SHARE = 0.33
 DEFAULT_MIN_TUNNEL_SHARE = 0.33
 
+# Keys of the config file.
 _JSON_KEYS = {
     "EXCLUDED_RTYPE_LIST": "excluded_rtypes",
     "EXCLUDED_RDATA_LIST": "excluded_rdata",

@@ -6,6 +6,9 @@ These UDFs receive a whole Arrow batch, lay every string out as one array of
 code points, sort packed (string, code point) keys once, and turn run lengths
 into per-string sums of c*log2(c) with ``np.bincount`` - no Python loop over
 characters.  Results equal the native form to ~1e-15.
+
+A batch is laid out in parts of at most ``PART_CHARS`` characters (some 28 bytes
+of memory each); a single longer string is counted piece by piece.
 """
 
 from __future__ import annotations
@@ -24,37 +27,66 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+# Characters laid out at once.
+PART_CHARS = 1 << 20
+
+
 def _entropies(strings: list) -> np.ndarray:
     """Entropy of each non-None string (None -> NaN, '' -> 0.0)."""
-    k = len(strings)
-    out = np.full(k, np.nan)
-    idx = [i for i, s in enumerate(strings) if s is not None]
-    if not idx:
-        return out
-    present = [strings[i] for i in idx]
-    lengths = np.fromiter((len(s) for s in present), dtype=np.int64, count=len(present))
-    codes = np.frombuffer("".join(present).encode("utf-32-le"), dtype=np.uint32)
-    ent = np.zeros(len(present))
-    if codes.size:
-        # One sort of packed (string index, code point) keys; code points < 2**21.
-        seg = np.repeat(np.arange(len(present), dtype=np.int64), lengths)
-        key = (seg << 21) | codes.astype(np.int64)
-        key.sort(kind="stable" if key.size < 64 else "quicksort")
-        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        counts = np.diff(np.r_[starts, key.size]).astype(np.float64)
-        run_seg = key[starts] >> 21
-        clog = counts * np.log2(counts)
-        sums = np.bincount(run_seg, weights=clog, minlength=len(present))
-        n = lengths.astype(np.float64)
-        safe_n = np.where(n > 0, n, 1.0)
-        vals = np.where(n > 0, np.log2(safe_n) - sums / safe_n, 0.0)
-        distinct = np.bincount(run_seg, minlength=len(present))
-        vals[distinct <= 1] = 0.0
-        ent = np.abs(vals)
-    out[idx] = ent
+    out = np.full(len(strings), np.nan)
+    part, size = [], 0
+    for i, s in enumerate(strings):
+        if s is None:
+            continue
+        if len(s) > PART_CHARS:
+            out[i] = _long_entropy(s)
+            continue
+        if size + len(s) > PART_CHARS:
+            out[part] = _part_entropies([strings[k] for k in part])
+            part, size = [], 0
+        part.append(i)
+        size += len(s)
+    if part:
+        out[part] = _part_entropies([strings[k] for k in part])
     return out
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+
+
+def _long_entropy(s: str) -> float:
+    """One overlong string: character counts added up over its pieces."""
+    total = np.zeros(0x110000, dtype=np.int64)
+    for k in range(0, len(s), PART_CHARS):
+        code, n = np.unique(_codes(s[k:k + PART_CHARS]), return_counts=True)
+        total[code] += n
+    counts = total[total > 0].astype(np.float64)
+    return abs(np.log2(len(s)) - (counts * np.log2(counts)).sum() / len(s)) if len(counts) > 1 else 0.0
+
+
+def _part_entropies(present: list) -> np.ndarray:
+    lengths = np.fromiter((len(s) for s in present), dtype=np.int64, count=len(present))
+    codes = _codes("".join(present))
+    if not codes.size:
+        return np.zeros(len(present))
+    # One sort of packed (string index, code point) keys; code points < 2**21.
+    seg = np.repeat(np.arange(len(present), dtype=np.int64), lengths)
+    key = (seg << 21) | codes.astype(np.int64)
+    key.sort(kind="stable" if key.size < 64 else "quicksort")
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    counts = np.diff(np.r_[starts, key.size]).astype(np.float64)
+    run_seg = key[starts] >> 21
+    clog = counts * np.log2(counts)
+    sums = np.bincount(run_seg, weights=clog, minlength=len(present))
+    n = lengths.astype(np.float64)
+    safe_n = np.where(n > 0, n, 1.0)
+    vals = np.where(n > 0, np.log2(safe_n) - sums / safe_n, 0.0)
+    distinct = np.bincount(run_seg, minlength=len(present))
+    vals[distinct <= 1] = 0.0
+    return np.abs(vals)
+
+
 @F.pandas_udf(T.DoubleType())
 def entropy_udf(s: pd.Series) -> pd.Series:
     vals = _entropies([None if v is None or (isinstance(v, float) and np.isnan(v)) else v for v in s])
@@ -83,7 +115,8 @@ def mean_item_entropy_udf(arrs: pd.Series) -> pd.Series:
 
 def entropy_arrow(col) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return entropy_udf(c)
+    # Arrow takes valid UTF-8 only.
+    return entropy_udf(F.make_valid_utf8(c))
 
 
 def mean_item_entropy_arrow(col) -> Column:

@@ -33,6 +33,12 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def valid_text(s) -> Column:
+    """The string with invalid UTF-8 bytes replaced: DNS names and answers hold
+    raw bytes, which Arrow rejects and which make no characters."""
+    return F.make_valid_utf8(_col(s))
+
+
 def upper_count(s) -> Column:
     return F.length(F.regexp_replace(_col(s), _UPPER, ""))
 
@@ -47,7 +53,7 @@ def entropy(s) -> Column:
     Counts first: H = log2(n) - sum(c * log2(c)) / n over the per-character
     counts c, each taken as n - length(replace(s, ch, '')).
     """
-    s = _col(s)
+    s = valid_text(s)
     n = F.length(s)
     distinct = F.array_distinct(F.split(s, ""))
     counts = F.transform(distinct, lambda ch: n - F.length(F.replace(s, ch, F.lit(""))))
@@ -158,7 +164,7 @@ def _mean_item_entropy(a: Column, impl: str) -> Column:
     if impl != "arrow":
         raise ValueError(f"unknown entropy implementation {impl!r}")
     from tunnelscan.functions.entropy_arrow import mean_item_entropy_arrow
-    return mean_item_entropy_arrow(a)
+    return mean_item_entropy_arrow(F.transform(a, lambda i: F.make_valid_utf8(i)))
 
 
 def char_answer_features(s) -> dict[str, Column]:

@@ -8,7 +8,7 @@ from tunnelscan.operators.domains import (  # noqa: F401
 )
 from tunnelscan.operators.features import generate_features  # noqa: F401
 from tunnelscan.operators.gate import busy_groups, group_counts, volume_gate  # noqa: F401
-from tunnelscan.operators.joins import bounded_broadcast, materialise  # noqa: F401
+from tunnelscan.operators.joins import materialise, sized  # noqa: F401
 from tunnelscan.operators.verdict import (  # noqa: F401
     alerting_groups,
     group_stats,

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from tunnelscan.operators.joins import DEFAULT_BROADCAST_ROWS, materialise
 
+# Name of the detecting engine in the alerts, where the caller gives none.
+ENGINE_NAME = "TUNNELSCAN"
+
 # Alert field constants of the reference.
 L7_APPLICATION_NAME = "DNS"
 ENGINE_TYPE = "ML"
-ENGINE_NAME = "DNS_TUNNELLING"
 ALERT_TYPE = "TUNNELLING"
 ALERT_NAME = "TUNNELLING"
 THREAT_NAME = "-"
@@ -40,7 +42,8 @@ def _utc_date_parts(epoch_sec: Column) -> tuple[Column, Column]:
     return datestr, hour
 
 
-def alert_fields(flagged: DataFrame, alert_timestamp_sec: int | None = None) -> DataFrame:
+def alert_fields(flagged: DataFrame, alert_timestamp_sec: int | None = None,
+                 engine_name: str = ENGINE_NAME) -> DataFrame:
     """O-54, O-55, O-57: per-row alert fields of flagged traffic.
 
     ``flagged`` holds ``payload``, ``2ld``, ``tunnel_perc`` and ``alert_id``.
@@ -61,7 +64,7 @@ def alert_fields(flagged: DataFrame, alert_timestamp_sec: int | None = None) ->
         F.lit(False).alias("src_is_malicious"),
         ip["destIP"].alias("dest_ip"), ip_type.alias("dest_ip_type"), ip["destPort"].alias("dest_port"),
         F.lit(False).alias("dest_is_malicious"),
-        F.lit(ENGINE_TYPE).alias("engine_type"), F.lit(ENGINE_NAME).alias("engine_name"),
+        F.lit(ENGINE_TYPE).alias("engine_type"), F.lit(engine_name).alias("engine_name"),
         F.lit(ALERT_TYPE).alias("alert_type"), F.lit(ALERT_NAME).alias("alert_name"),
         F.lit(THREAT_NAME).alias("threat_name"), F.col("`2ld`").alias("threat_hostname"),
         F.floor(F.col("tunnel_perc") * 100).cast("int").alias("confidence"),
@@ -81,8 +84,11 @@ def enrich(df: DataFrame, ip_info: DataFrame | None,
            max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """O-56 (re-aimed): attributes of the addresses from a user-given table
     ``(ip, enrich, is_malicious)``, one broadcast left join per side (the
-    table is materialised and counted first; above the bound it is a shuffle
-    join).  ``org_ip`` is the private-range side of the flow (source first).
+    table is materialised and measured first; above the bounds only the rows of
+    addresses that occur in ``df`` are kept of it, and the join is a shuffle
+    join if these are too many as well).  An address with several rows counts
+    once: its smallest ``enrich``, malicious if any row says so.  ``org_ip`` is
+    the private-range side of the flow (source first).
     """
     org_ip = F.when(F.col("src_ip").rlike(PRIVATE_IP), F.col("src_ip")).otherwise(F.col("dest_ip"))
     out = df.withColumn("org_ip", org_ip)
@@ -91,7 +97,12 @@ def enrich(df: DataFrame, ip_info: DataFrame | None,
                 .withColumn("org_is_malicious", F.lit(False))
                 .withColumn("src_ip_enrich", F.lit(None).cast("string"))
                 .withColumn("dest_ip_enrich", F.lit(None).cast("string")))
-    info = materialise(ip_info.select("ip", "enrich", "is_malicious")).for_join(max_broadcast_rows)
+    unique = materialise(ip_info.where(F.col("ip").isNotNull()).groupBy("ip").agg(
+        F.min("enrich").alias("enrich"), F.bool_or("is_malicious").alias("is_malicious")))
+    if not unique.small(max_broadcast_rows):
+        used = out.select(F.explode(F.array("org_ip", "src_ip", "dest_ip")).alias("ip")).distinct()
+        unique = materialise(unique.df.join(used, "ip", "left_semi"))
+    info = unique.for_join(max_broadcast_rows)
     for side, col in (("org", "org_ip"), ("src", "src_ip"), ("dest", "dest_ip")):
         renamed = info.select(F.col("ip").alias(f"__{side}_ip"), F.col("enrich").alias(f"{side}_ip_enrich"),
                               F.col("is_malicious").alias(f"__{side}_mal"))
@@ -101,9 +112,9 @@ def enrich(df: DataFrame, ip_info: DataFrame | None,
 
 
 def alert_table(flagged: DataFrame, ip_info: DataFrame | None = None,
-                alert_timestamp_sec: int | None = None) -> DataFrame:
+                alert_timestamp_sec: int | None = None, engine_name: str = ENGINE_NAME) -> DataFrame:
     """O-58: the 36-column alert table."""
-    fields = enrich(alert_fields(flagged, alert_timestamp_sec), ip_info)
+    fields = enrich(alert_fields(flagged, alert_timestamp_sec, engine_name), ip_info)
     return fields.select(
         F.col("__alert_id").alias("alert_id"),
         *[F.col(c) for c in ALERT_COLUMNS[1:29]],

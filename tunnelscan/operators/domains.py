@@ -10,8 +10,11 @@ Public-suffix semantics over a rule table ``(suffix, kind)`` where kind is
    leftmost label; otherwise the longest match wins, a wildcard matching one
    label more than its stem;
 4. the registrable domain is the public suffix plus one label (no trailing
-   dot); NULL if the name is itself a suffix or no rule matches (optionally
-   the last label acts as the suffix then).
+   dot); NULL if the name is itself a suffix or no rule matches.  With
+   ``fallback_last_label`` the last label acts as the suffix where no rule
+   matches.  That is the default for the short built-in list, so that names
+   under an unlisted suffix are judged and not lost; a user's table is taken
+   as complete.
 
 Plan: the rule table is small and its size is checked, so each candidate depth
 is one broadcast hash join against it.  Rows never leave their partition: no
@@ -118,9 +121,13 @@ def suffix_flags(spark: SparkSession, rules: DataFrame | None = None) -> tuple[D
 
 
 def registrable_domain(df: DataFrame, name_col: str, rules: DataFrame | None = None,
-                       out_col: str = "2ld", fallback_last_label: bool = False,
+                       out_col: str = "2ld", fallback_last_label: bool | None = None,
                        preserve_case: bool = False) -> DataFrame:
-    """Add ``out_col``: the registrable domain of ``name_col``."""
+    """Add ``out_col``: the registrable domain of ``name_col``.
+
+    ``fallback_last_label=None`` means: only with the built-in rules."""
+    if fallback_last_label is None:
+        fallback_last_label = rules is None
     flags, n_rules, depth = suffix_flags(df.sparkSession, rules)
     # The same plan on the build side at every depth: one broadcast, reused.
     tmp = "__sfx"

@@ -12,6 +12,7 @@ from tunnelscan.functions.lexical import (
     char_answer_features,
     name_features,
     subdomain,
+    valid_text,
 )
 from tunnelscan.schemas import FEATURE_COLUMNS
 
@@ -34,11 +35,13 @@ def generate_features(df: DataFrame, qname: str = "QNAME", domain: str = "lld",
     if rdata_mode == "chars" and is_array:
         raise ValueError("rdata_mode='chars' needs a string RDATA column")
     sub, arr = "__feat_sub", "__feat_arr"
-    staged = df.withColumn(sub, subdomain(qname, domain))
+    # Invalid bytes are replaced first, so that all features see the same characters.
+    staged = df.withColumn(sub, valid_text(subdomain(qname, domain)))
     if rdata_mode == "chars":
-        answer = char_answer_features(F.col(rdata))
+        answer = char_answer_features(valid_text(rdata))
     else:
-        staged = staged.withColumn(arr, answer_array(rdata, "array", delimiter, is_array))
+        items = answer_array(rdata, "array", delimiter, is_array)
+        staged = staged.withColumn(arr, F.transform(items, lambda i: F.make_valid_utf8(i)))
         answer = answer_features(F.col(arr), entropy_impl)
     feats = {**name_features(F.col(sub), entropy_impl), **answer}
     out = staged.select("*", *[feats[c].alias(c) for c in FEATURE_COLUMNS])

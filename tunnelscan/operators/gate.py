@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunnelscan.operators.joins import DEFAULT_BROADCAST_ROWS, materialise
@@ -17,33 +17,24 @@ def group_counts(df: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
 
 def busy_groups(df: DataFrame, min_count: int, keys: Sequence[str] = KEYS) -> DataFrame:
-    """O-31 + O-32: groups with at least ``min_count`` rows (inclusive)."""
+    """O-31 + O-32: groups with at least ``min_count`` rows (inclusive).
+
+    A row with a NULL key is in no group: the joins on the keys reject it (D10)."""
+    for k in keys:
+        df = df.where(F.col(f"`{k}`").isNotNull())
     return group_counts(df, keys).where(F.col("count") >= F.lit(min_count))
 
 
 def volume_gate(df: DataFrame, min_count: int, keys: Sequence[str] = KEYS,
-                strategy: str = "join", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """O-28: keep rows of busy groups and add their ``count``.
 
-    ``join`` (default): the busy-group table is thin and has at most
-    rows/min_count entries; it is written to the shared checkpoint folder,
-    counted, and broadcast when under the bound, so the wide rows are not
-    shuffled.  Above the bound it is a shuffle join (AQE splits skewed keys).
-
-    ``window``: ``count(*) over (partition by keys)``; same rows, but every
-    row is shuffled and a hot group lands in one task.  Kept for the
-    equivalence test, not for production.
+    The busy-group table is thin and has at most rows/min_count entries; it is
+    written to the shared checkpoint folder, measured, and broadcast when under
+    the bounds, so the rows are not shuffled.  Above the bounds it is a shuffle
+    join (AQE splits skewed keys): give it rows without the payload.
 
     Key joins are null-rejecting: rows with a NULL key drop out (D10).
     """
-    if strategy == "window":
-        w = Window.partitionBy(*keys)
-        out = df.withColumn("count", F.count(F.lit(1)).over(w))
-        out = out.where(F.col("count") >= F.lit(min_count))
-        for k in keys:
-            out = out.where(F.col(k).isNotNull())
-        return out
-    if strategy != "join":
-        raise ValueError(f"unknown strategy {strategy!r}")
     busy = materialise(busy_groups(df, min_count, keys))
     return df.join(busy.for_join(max_broadcast_rows), list(keys), "inner")

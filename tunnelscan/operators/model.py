@@ -86,13 +86,9 @@ def fit_pipeline(train: DataFrame, classifier=None,
     return Pipeline(stages=[assembler(feature_cols), clf]).fit(train)
 
 
-def apply_model(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """O-64."""
-    return model.transform(df)
-
-
-def binary_metrics(pred: DataFrame, label_col: str = "label", num_bins: int = 1000) -> dict:
-    """O-65, O-66 (areaUnderROC, areaUnderPR); ``numBins`` exposed (D18)."""
+def binary_metrics(pred: DataFrame, label_col: str = "label", num_bins: int = 0) -> dict:
+    """O-65, O-66 (areaUnderROC, areaUnderPR).  ``num_bins=0`` takes every
+    distinct score as a threshold; MLlib's own default is 1000 bins (D18)."""
     ev = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=label_col,
                                        numBins=num_bins)
     return {"areaUnderROC": ev.setMetricName("areaUnderROC").evaluate(pred),
@@ -166,14 +162,19 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def default_grid(rf: RandomForestClassifier) -> list:
+    return (ParamGridBuilder().addGrid(rf.numTrees, [10, NUM_TREES])
+            .addGrid(rf.maxDepth, [5, MAX_DEPTH]).build())
+
+
 def cross_validate(train: DataFrame, num_folds: int = 3, seed: int = SEED,
-                   feature_cols: Sequence[str] = FEATURE_COLUMNS, parallelism: int = 2):
-    """O-70: grid over forest size and depth, area under ROC."""
+                   feature_cols: Sequence[str] = FEATURE_COLUMNS, parallelism: int = 2, grid=default_grid):
+    """O-70: a grid over the forest's parameters (``grid``: a function from the
+    classifier to the list of parameter maps; default size and depth), by area
+    under ROC."""
     rf = random_forest()
     pipe = Pipeline(stages=[assembler(feature_cols), rf])
-    grid = (ParamGridBuilder().addGrid(rf.numTrees, [10, NUM_TREES])
-            .addGrid(rf.maxDepth, [5, MAX_DEPTH]).build())
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid,
-                        evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC"),
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid(rf),
+                        evaluator=BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0),
                         numFolds=num_folds, seed=seed, parallelism=parallelism)
     return cv.fit(train)

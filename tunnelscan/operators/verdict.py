@@ -103,6 +103,13 @@ def output_messages(df: DataFrame) -> DataFrame:
     return df.select("key", "payload")
 
 
+def distinct_messages(df: DataFrame) -> DataFrame:
+    """D12: equal messages once.  The whole message is its identity, so
+    messages without a key or sharing one are all kept."""
+    whole = F.sha2(F.to_json(F.struct("key", "payload")), 256)
+    return df.withColumn("__id", whole).dropDuplicates(["__id"]).drop("__id")
+
+
 def interval_stats(df: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_sec",
                    bucket_seconds: int = 86400) -> DataFrame:
     """O-39: max and mean gap between successive ``ts`` within a group.

@@ -9,17 +9,17 @@ candidate suffixes and grouping, not by per-depth lookups.
 
 from __future__ import annotations
 
-from tunnelscan.operators.domains import DEFAULT_SUFFIX_RULES
-
 # Parameters shared with tunnelscan.plans.queries (chosen once for the
 # stand-in data; see FIXTURES.md section 6).
-MIN_GROUP_COUNT = 20
+MIN_GROUP_COUNT = 12
 MIN_UNIQUE_SHARE = 0.33
 MIN_TUNNEL_SHARE = 0.24
-GATE_QUERY_MIN_COUNT = 150
+GATE_QUERY_MIN_COUNT = 80
 CONFUSION_DIGIT_SHARE = 0.45
 
-_RULES = ", ".join(f"('{s}', '{k}')" for s, k in DEFAULT_SUFFIX_RULES)
+# The suffix rules, written out apart from the code under test.
+_RULES = """('com', 'exact'), ('net', 'exact'), ('org', 'exact'), ('uk', 'exact'), ('co.uk', 'exact'),
+  ('arpa', 'exact'), ('in-addr.arpa', 'exact'), ('ck', 'wildcard'), ('www.ck', 'exception')"""
 
 _UPPER = r"'[^\p{Lu}]'"
 _DIGIT = r"'[^\p{Nd}]'"
@@ -62,6 +62,15 @@ def _name_features(x: str) -> str:
     return ",\n  ".join(f"{e} AS {c}" for c, e in cols.items())
 
 
+def _filled(features: str) -> str:
+    """The same columns with 0 for NULL (O-18)."""
+    out = []
+    for line in features.split(",\n  "):
+        expr, _, name = line.rpartition(" AS ")
+        out.append(f"coalesce({expr}, 0.0) AS {name}")
+    return ",\n  ".join(out)
+
+
 def _answer_features(a: str) -> str:
     """NULL array -> NULL; empty array -> 0; a NULL item makes the means NULL
     (max skips it); an empty item makes the shares NULL."""
@@ -106,33 +115,42 @@ def _char_features(s: str) -> str:
 # The DNS stand-in view (FIXTURES.md section 6), one row per message.
 VIEW = f"""
 rules(suffix, kind) AS (VALUES {_RULES}),
-pg AS (SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host FROM pages),
-ev AS (SELECT e.*, pg.host FROM events e JOIN pg ON e.event_id % (SELECT count(*) FROM pages) = pg.page_id),
+pg AS (SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS page_host FROM pages),
+ev AS (SELECT e.*, CASE event_id % 29 WHEN 1 THEN 'relay.evil.io' WHEN 2 THEN 'shop.example.co.uk' WHEN 3 THEN 'a.b.ck'
+         WHEN 4 THEN 'www.ck' WHEN 5 THEN '4.3.2.10.in-addr.arpa' WHEN 6 THEN 'com' WHEN 7 THEN 'Mixed.Case.COM'
+         WHEN 8 THEN 'x.deep.co.jp' ELSE page_host END AS host
+       FROM events e JOIN pg ON e.event_id % (SELECT count(*) FROM pages) = pg.page_id),
 msg0 AS (
-  SELECT CAST(event_id AS VARCHAR) AS key, event_id, event_type, props, user_id, ts,
+  SELECT CAST(event_id AS VARCHAR) AS key, event_id, event_type, props, user_id, ts, host,
     (event_id % 10) <> 9 AS qr,
     CASE WHEN event_type = 'error' THEN 'NXDOMAIN' ELSE 'NOERROR' END AS response_code,
-    CASE WHEN event_type = 'purchase' THEN upper(md5(CAST(event_id AS VARCHAR))) || '.' || host || '.'
-         ELSE host || '.' END AS qname,
-    CASE WHEN event_id % 7 = 0 THEN CAST([] AS VARCHAR[])
-         ELSE [md5(props), CASE WHEN event_type = 'click' THEN 'v=spf1 ' || props ELSE 'V=' || props END, event_type]
+    CASE WHEN event_type = 'purchase' THEN upper(md5(CAST(event_id AS VARCHAR))) || '.' || host ELSE host END
+      || CASE WHEN event_id % 61 = 0 THEN '' ELSE '.' END AS asked,
+    CASE WHEN event_id % 37 = 3 THEN NULL WHEN event_id % 7 = 0 THEN CAST([] AS VARCHAR[])
+         ELSE [md5(props),
+               CASE WHEN event_id % 41 = 5 THEN NULL WHEN event_type = 'click' THEN 'v=spf1 ' || props ELSE 'V=' || props END,
+               CASE WHEN event_id % 43 = 6 THEN '' ELSE event_type END]
     END AS rdata,
-    CASE WHEN event_id % 7 = 0 THEN CAST([] AS VARCHAR[])
+    CASE WHEN event_id % 37 = 3 THEN NULL WHEN event_id % 7 = 0 THEN CAST([] AS VARCHAR[])
          ELSE ['TXT', 'TXT', CASE WHEN event_type = 'view' THEN 'RRSIG' ELSE 'CNAME' END]
     END AS rtype,
-    '10.0.0.' || CAST(user_id % 16 AS VARCHAR) AS "srcIP",
-    '192.0.2.53' AS "destIP",
+    event_id % 53 = 7 AS is_ipv6,
+    CASE WHEN event_id % 59 = 8 THEN NULL WHEN event_id % 53 = 7 THEN '2001:db8::' || CAST(user_id % 16 AS VARCHAR)
+         ELSE '10.0.0.' || CAST(user_id % 16 AS VARCHAR) END AS "srcIP",
+    CASE WHEN event_id % 53 = 7 THEN '2001:db8::53' WHEN event_id % 11 = 0 THEN '198.51.100.7' ELSE '192.0.2.53' END AS "destIP",
     CAST(1024 + event_id % 60000 AS INTEGER) AS src_port,
     CAST(53 AS INTEGER) AS dest_port,
-    false AS is_ipv6,
-    CAST(floor(epoch_us(ts) / 1000000) AS BIGINT) AS ts_sec,
+    CAST(floor(epoch_us(ts) / 10000000) * 10 AS BIGINT) AS ts_sec,
     CAST(epoch_us(ts) % 1000000 AS BIGINT) AS ts_usec,
     strftime(ts, '%Y%m%d') AS datestr,
     strftime(ts, '%H') AS hour
   FROM ev),
-msg AS (SELECT *, CAST(60 + length(qname) AS BIGINT) AS wirelen FROM msg0),
-resp AS (SELECT * FROM msg WHERE qr AND response_code = 'NOERROR' AND "srcIP" IS NOT NULL AND "destIP" IS NOT NULL),
-names AS (SELECT DISTINCT qname FROM msg),
+msg AS (SELECT *, CAST(60 + length(asked) AS BIGINT) AS wirelen,
+          CASE event_id % 31 WHEN 0 THEN [asked, 'mail.' || asked] WHEN 1 THEN CAST([] AS VARCHAR[]) WHEN 2 THEN NULL
+               ELSE [asked] END AS qnames
+        FROM msg0),
+resp AS (SELECT *, unnest(qnames) AS qname FROM msg WHERE qr AND response_code = 'NOERROR'),
+names AS (SELECT DISTINCT unnest(qnames) AS qname FROM msg),
 lab AS (SELECT qname, regexp_replace(qname, '\\.$', '') AS stripped,
                string_split(lower(regexp_replace(qname, '\\.$', '')), '.') AS labels FROM names),
 cand AS (SELECT qname, labels, unnest(range(1, len(labels) + 1)) AS k FROM lab),
@@ -142,8 +160,9 @@ m AS (SELECT cand2.qname,
              max(CASE WHEN r.kind = 'exact' THEN k WHEN r.kind = 'wildcard' AND len(labels) >= k + 1 THEN k + 1 END) AS best_len
       FROM cand2 JOIN rules r ON cand2.c = r.suffix GROUP BY cand2.qname),
 dom AS (SELECT lab.qname,
-          CASE WHEN coalesce(exc_len, best_len) IS NOT NULL AND len(labels) >= coalesce(exc_len, best_len) + 1 AND stripped <> ''
-               THEN array_to_string(list_slice(labels, len(labels) - coalesce(exc_len, best_len), len(labels)), '.') END AS sld
+          -- Without a matching rule the last label acts as the suffix.
+          CASE WHEN len(labels) >= coalesce(exc_len, best_len, 1) + 1 AND stripped <> ''
+               THEN array_to_string(list_slice(labels, len(labels) - coalesce(exc_len, best_len, 1), len(labels)), '.') END AS sld
         FROM lab LEFT JOIN m ON lab.qname = m.qname),
 rows_all AS (SELECT resp.*, dom.sld FROM resp LEFT JOIN dom ON resp.qname = dom.qname),
 cands AS (SELECT * FROM rows_all WHERE NOT ends_with(sld, 'in-addr.arpa')),
@@ -166,19 +185,24 @@ alerts AS (SELECT *, unique_qname_count / sld_count AS unique_perc, tunnel_count
 # (the field order and formatting of Spark's to_json).
 _TELE = """
 , fl AS (SELECT c.*, a.tunnel_perc FROM cands c JOIN alerts a USING ("srcIP", "destIP", sld)),
-p AS (SELECT fl.*, CAST(to_json({'header': {'QR': qr, 'responseCode': response_code},
-                            'questions': [{'name': qname}],
-                            'answers': list_transform(range(1, len(rdata) + 1), lambda i: {'rdata': rdata[i], 'type': rtype[i]}),
-                            'ip': {'srcIP': "srcIP", 'destIP': "destIP", 'srcPort': src_port, 'destPort': dest_port, 'isIPv6': is_ipv6},
-                            'pcap': {'ts_sec': ts_sec, 'ts_usec': ts_usec, 'wirelen': wirelen}}) AS VARCHAR) AS tele
+p AS (SELECT fl.*,
+        '{"header":' || to_json({'QR': qr, 'responseCode': response_code, 'id': event_id})
+        || ',"questions":' || to_json(list_transform(qnames, lambda q: {'name': q}))
+        || CASE WHEN rdata IS NULL THEN '' ELSE ',"answers":['
+             || array_to_string(list_transform(range(1, len(rdata) + 1), lambda i:
+                  CASE WHEN rdata[i] IS NULL THEN '{"type":' || to_json(rtype[i]) || '}'
+                       ELSE '{"rdata":' || to_json(rdata[i]) || ',"type":' || to_json(rtype[i]) || '}' END), ',') || ']' END
+        || ',"ip":' || to_json({'srcIP': "srcIP", 'destIP': "destIP", 'srcPort': src_port, 'destPort': dest_port, 'isIPv6': is_ipv6})
+        || ',"pcap":' || to_json({'ts_sec': ts_sec, 'ts_usec': ts_usec, 'wirelen': wirelen})
+        || ',"authority":' || to_json('ns.' || host) || '}' AS tele
       FROM fl)
 """
 
 # The cleaned '~' training sample (O-01, O-08..O-10, O-20) derived from the view.
 _CLEAN = """
 , lbl AS (SELECT CAST(doc_id AS VARCHAR) AS key, quality, toxic FROM labels),
-t AS (SELECT m.qname AS "QNAME", nullif(array_to_string(m.rdata, '|'), '') AS "RDATA",
-             CASE WHEN length(m.qname) > 45 THEN 'tunnel' ELSE 'normal' END AS base, l.quality, l.toxic, m."srcIP" AS src
+t AS (SELECT m.qnames[1] AS "QNAME", nullif(array_to_string(m.rdata, '|'), '') AS "RDATA",
+             CASE WHEN (length(m.qnames[1]) > 45) <> (m.event_id % 23 = 9) THEN 'tunnel' ELSE 'normal' END AS base, l.quality, l.toxic, m."srcIP" AS src
       FROM msg m LEFT JOIN lbl l ON m.key = l.key),
 n AS (SELECT "QNAME", "RDATA", src,
              CASE WHEN quality = 0 THEN upper(substr(base, 1, 1)) || substr(base, 2)
@@ -208,28 +232,28 @@ SELECT key, qname AS "QNAME", sld AS lld,
 FROM sub
 """),
     "answer_features": _with(f"""
-SELECT key,
-  {_answer_features('rdata')}
+SELECT key, qname AS "QNAME",
+  {_filled(_answer_features('rdata'))}
 FROM resp
 """),
     "answer_exclusion": _with("""
 , kept AS (
   SELECT key, list_transform(list_filter(range(1, len(rdata) + 1), lambda i:
            NOT list_contains(['RRSIG', 'DNSKEY', 'DS', 'eNSEC', 'NSEC3', 'CDNSKEY', 'CDS', 'TSIG', 'TKEY'], rtype[i])
-           AND NOT (contains(rdata[i], 'v=spf1') OR contains(rdata[i], 'docusign=') OR contains(rdata[i], 'verification='))),
+           AND NOT coalesce(contains(rdata[i], 'v=spf1') OR contains(rdata[i], 'docusign=') OR contains(rdata[i], 'verification='), false)),
          lambda i: rdata[i]) AS k
   FROM msg)
-SELECT key, array_to_string(k, '|') AS kept_rdata, CAST(len(k) AS INTEGER) AS kept_count FROM kept
+SELECT key, array_to_string(k, '|') AS kept_rdata, CAST(coalesce(len(k), -1) AS INTEGER) AS kept_count FROM kept
 """),
     "answer_features_excluded": _with(f"""
 , kept AS (
-  SELECT key, list_transform(list_filter(range(1, len(rdata) + 1), lambda i:
+  SELECT key, qname, list_transform(list_filter(range(1, len(rdata) + 1), lambda i:
            NOT list_contains(['RRSIG', 'DNSKEY', 'DS', 'eNSEC', 'NSEC3', 'CDNSKEY', 'CDS', 'TSIG', 'TKEY'], rtype[i])
-           AND NOT (contains(rdata[i], 'v=spf1') OR contains(rdata[i], 'docusign=') OR contains(rdata[i], 'verification='))),
+           AND NOT coalesce(contains(rdata[i], 'v=spf1') OR contains(rdata[i], 'docusign=') OR contains(rdata[i], 'verification='), false)),
          lambda i: rdata[i]) AS k
   FROM resp)
-SELECT key,
-  {_answer_features('k')}
+SELECT key, qname AS "QNAME",
+  {_filled(_answer_features('k'))}
 FROM kept
 """),
     "volume_gate": _with(f"""
@@ -253,7 +277,8 @@ SELECT "srcIP", "destIP", sld AS "2ld", unique_qname_count AS "unique_QNAME_coun
 FROM alerts
 """),
     "flagged_messages": _with("""
-SELECT c.key, c.qname AS name, c."srcIP", c."destIP", c.ts_sec, CAST(len(c.rdata) AS INTEGER) AS n_answers
+SELECT c.key, c.qnames[1] AS name, c."srcIP", c."destIP", c.ts_sec, CAST(coalesce(len(c.rdata), -1) AS INTEGER) AS n_answers,
+       c.event_id AS message_id, 'ns.' || c.host AS authority
 FROM cands c JOIN alerts a USING ("srcIP", "destIP", sld)
 """),
     "alert_ids": _with("""
@@ -270,6 +295,7 @@ FROM g GROUP BY ALL
 """),
     "row_counts": _with("""
 SELECT 'question_rows' AS stage, count(*) AS rows FROM rows_all
+UNION ALL SELECT 'undomained_rows', count(*) FROM rows_all WHERE sld IS NULL
 UNION ALL SELECT 'candidate_rows', count(*) FROM cands
 UNION ALL SELECT 'scored_rows', count(*) FROM scored
 UNION ALL SELECT 'suspicious_groups', count(*) FROM stats
@@ -281,14 +307,14 @@ SELECT CAST(-1 AS INTEGER) AS alert_id,
   ts_sec AS alert_timestamp_sec,
   ts_sec * 1000 + CAST(floor(ts_usec / 1000) AS BIGINT) AS record_first_seen_timestamp_ms,
   'DNS' AS l7_application_name,
-  CAST(NULL AS VARCHAR) AS org_ip_enrich, "srcIP" AS org_ip, false AS org_is_malicious,
+  CAST(NULL AS VARCHAR) AS org_ip_enrich, CASE WHEN "srcIP" LIKE '10.%' THEN "srcIP" ELSE "destIP" END AS org_ip, false AS org_is_malicious,
   CAST(NULL AS VARCHAR) AS src_ip_enrich,
   "srcIP" AS src_ip, CASE WHEN is_ipv6 THEN 'IPv6' ELSE 'IPv4' END AS src_ip_type, src_port,
   false AS src_is_malicious,
   CAST(NULL AS VARCHAR) AS dest_ip_enrich,
   "destIP" AS dest_ip, CASE WHEN is_ipv6 THEN 'IPv6' ELSE 'IPv4' END AS dest_ip_type, dest_port,
   false AS dest_is_malicious,
-  'ML' AS engine_type, 'DNS_TUNNELLING' AS engine_name, 'TUNNELLING' AS alert_type, 'TUNNELLING' AS alert_name,
+  'ML' AS engine_type, 'TUNNELSCAN' AS engine_name, 'TUNNELLING' AS alert_type, 'TUNNELLING' AS alert_name,
   '-' AS threat_name, sld AS threat_hostname,
   CAST(floor(tunnel_perc * 100) AS INTEGER) AS confidence,
   CAST(-1 AS INTEGER) AS severity,
@@ -302,13 +328,13 @@ SELECT CAST(-1 AS INTEGER) AS alert_id,
 FROM p
 """),
     "kafka_records": _with(_TELE + """
-SELECT '-1' AS key,
+SELECT md5("srcIP" || '|' || "destIP" || '|' || sld) AS key,
   to_json({'alert_id': CAST(-1 AS INTEGER), 'alert_timestamp_sec': ts_sec,
            'record_first_seen_timestamp_ms': ts_sec * 1000 + CAST(floor(ts_usec / 1000) AS BIGINT),
-           'l7_application_name': 'DNS', 'org_ip': "srcIP", 'org_is_malicious': false,
+           'l7_application_name': 'DNS', 'org_ip': CASE WHEN "srcIP" LIKE '10.%' THEN "srcIP" ELSE "destIP" END, 'org_is_malicious': false,
            'src_ip': "srcIP", 'src_ip_type': CASE WHEN is_ipv6 THEN 'IPv6' ELSE 'IPv4' END, 'src_port': src_port,
            'src_is_malicious': false, 'dest_ip': "destIP", 'dest_ip_type': CASE WHEN is_ipv6 THEN 'IPv6' ELSE 'IPv4' END,
-           'dest_port': dest_port, 'dest_is_malicious': false, 'engine_type': 'ML', 'engine_name': 'DNS_TUNNELLING',
+           'dest_port': dest_port, 'dest_is_malicious': false, 'engine_type': 'ML', 'engine_name': 'TUNNELSCAN',
            'alert_type': 'TUNNELLING', 'alert_name': 'TUNNELLING', 'threat_name': '-', 'threat_hostname': sld,
            'confidence': CAST(floor(tunnel_perc * 100) AS INTEGER), 'severity': CAST(-1 AS INTEGER),
            'details': '{"2ld":"' || sld || '"}', 'ioc': sld, 'flow_count': CAST(1 AS BIGINT),
@@ -345,6 +371,24 @@ SELECT round(sum(tp) / sum(n_label), 6) AS accuracy,
        round(sum(n_label * prec) / sum(n_label), 6) AS "weightedPrecision",
        round(sum(n_label * CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END) / sum(n_label), 6) AS f1
 FROM per
+"""),
+    "auc_metrics": _with(f"""
+, s AS (SELECT CASE WHEN length(qname) > 45 THEN 1 ELSE 0 END AS label,
+               {_digit_share("replace(qname, sld || '.', '')")} AS score FROM cands),
+g AS (SELECT score, CAST(sum(label) AS DOUBLE) AS p, CAST(sum(1 - label) AS DOUBLE) AS n FROM s GROUP BY score),
+c AS (SELECT score, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM g WINDOW w AS (ORDER BY score DESC)),
+t AS (SELECT max(tp) AS p, max(fp) AS n FROM c),
+r AS (SELECT c.score, c.tp / t.p AS recall, c.fp / t.n AS fallout, c.tp / (c.tp + c.fp) AS precision FROM c, t),
+d AS (SELECT recall, fallout, precision, lag(recall, 1, 0.0) OVER w AS r0, lag(fallout, 1, 0.0) OVER w AS f0,
+             lag(precision, 1, precision) OVER w AS p0 FROM r WINDOW w AS (ORDER BY score DESC))
+SELECT round(sum((fallout - f0) * (recall + r0) / 2), 6) AS "areaUnderROC",
+       round(sum((recall - r0) * (precision + p0) / 2), 6) AS "areaUnderPR" FROM d
+"""),
+    "alerts_written": _with("""
+SELECT c.key, CAST(c.ts_sec AS BIGINT) AS alert_timestamp_sec, c."srcIP" AS src_ip, c.sld AS ioc,
+       strftime(make_timestamp(c.ts_sec * 1000000), '%Y%m%d') AS datestr,
+       strftime(make_timestamp(c.ts_sec * 1000000), '%H') AS hour
+FROM cands c JOIN alerts a USING ("srcIP", "destIP", sld)
 """),
     "csv_clean_labels": _with(_CLEAN + """
 SELECT "QNAME", "RDATA", "DnsTunnel", src, label FROM clean
@@ -354,6 +398,7 @@ SELECT "QNAME", "RDATA", "DnsTunnel", src, label FROM clean
         FROM clean)
 SELECT 'sample_rows' AS stage, count(*) AS rows FROM msg
 UNION ALL SELECT 'feature_rows', count(*) FROM clean
+UNION ALL SELECT 'undomained_rows', count(*) FROM clean LEFT JOIN dom ON clean."QNAME" = dom.qname WHERE dom.sld IS NULL
 UNION ALL SELECT 'train_rows', count(*) FROM b WHERE bucket < 800
 UNION ALL SELECT 'test_rows', count(*) FROM b WHERE bucket >= 800
 """),
@@ -361,7 +406,7 @@ UNION ALL SELECT 'test_rows', count(*) FROM b WHERE bucket >= 800
 , t2 AS (SELECT clean.*, dom.sld AS lld FROM clean LEFT JOIN dom ON clean."QNAME" = dom.qname),
 t3 AS (SELECT *, replace("QNAME", lld || '.', '') AS x, string_split("RDATA", '|') AS arr FROM t2)
 SELECT "QNAME", "RDATA", lld,
-  {_name_features('x')},
+  {_name_features('x').replace(' AS INTEGER)', ' AS DOUBLE)')},
   {_answer_features('arr')}
 FROM t3
 """),

@@ -8,6 +8,8 @@ of every query that SQL can express; model queries have none.
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 import uuid
 from typing import Callable
 
@@ -16,9 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunnelscan.config import ScoringConfig
+from tunnelscan.functions import entropy_arrow, lexical
 from tunnelscan.functions.lexical import answer_features, char_answer_features, subdomain, digit_count
 from tunnelscan.functions.labels import label_index
 from tunnelscan.operators import alerts as alert_ops
+from tunnelscan.operators import domains, features, prepare
 from tunnelscan.operators import model as model_ops
 from tunnelscan.operators.domains import drop_reverse_lookups
 from tunnelscan.operators.gate import volume_gate
@@ -41,7 +45,7 @@ from tunnelscan.plans import fixtures, oracle, scoring, training
 from tunnelscan.schemas import ANSWER_FEATURES, FEATURE_COLUMNS, KEYS, NAME_FEATURES
 from tunnelscan.session import fingerprint, path_exists, publish, shared_path
 from tunnelscan.sources.readers import read_training_sample
-from tunnelscan.sources.sinks import kafka_records, write_messages
+from tunnelscan.sources.sinks import kafka_records, write_alerts, write_messages
 
 FIXTURE_CONFIG = ScoringConfig(min_group_count=oracle.MIN_GROUP_COUNT,
                                min_unique_qname_share=oracle.MIN_UNIQUE_SHARE,
@@ -104,9 +108,9 @@ def answer_features_q(spark: SparkSession, sf: str) -> DataFrame:
     """O-17, O-49..O-53, O-18."""
     rows = with_answer_data(flatten_message(explode_questions(successful_responses(_messages(spark, sf)))))
     feats = answer_features(F.col("RDATA"))
-    out = fill_numeric_nulls(rows.select("key", *[feats[c].alias(c) for c in ANSWER_FEATURES]), 0,
+    out = fill_numeric_nulls(rows.select("key", "QNAME", *[feats[c].alias(c) for c in ANSWER_FEATURES]), 0,
                              ANSWER_FEATURES)
-    return out.select("key", *_rounded(out, ANSWER_FEATURES))
+    return out.select("key", "QNAME", *_rounded(out, ANSWER_FEATURES))
 
 
 def answer_features_chars(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,13 +126,15 @@ def answer_exclusion(spark: SparkSession, sf: str) -> DataFrame:
     cfg = ScoringConfig()
     out = exclude_answers(_messages(spark, sf), cfg.excluded_rtypes, cfg.excluded_rdata, out_col="kept")
     return out.select("key", F.array_join("kept", "|").alias("kept_rdata"),
-                      F.size("kept").cast("int").alias("kept_count"))
+                      F.coalesce(F.size("kept"), F.lit(-1)).cast("int").alias("kept_count"))
 
 
 def training_features_q(spark: SparkSession, sf: str) -> DataFrame:
     """Training path: O-08..O-10, O-14 as ``lld`` on every sample name,
     O-41..O-53 with RDATA split on the sample's delimiter."""
     feats = _training_features(spark, sf)
+    for c in ("subdomain_length", "label_count"):   # NULL for a name without a domain
+        feats = feats.withColumn(c, F.col(c).cast("double"))
     return feats.select("QNAME", "RDATA", "lld", *_rounded(feats, FEATURE_COLUMNS))
 
 
@@ -149,9 +155,9 @@ def answer_features_excluded(spark: SparkSession, sf: str) -> DataFrame:
     cfg = ScoringConfig()
     rows = exclude_answers(rows, cfg.excluded_rtypes, cfg.excluded_rdata)
     feats = answer_features(F.col("RDATA"))
-    out = fill_numeric_nulls(rows.select("key", *[feats[c].alias(c) for c in ANSWER_FEATURES]), 0,
+    out = fill_numeric_nulls(rows.select("key", "QNAME", *[feats[c].alias(c) for c in ANSWER_FEATURES]), 0,
                              ANSWER_FEATURES)
-    return out.select("key", *_rounded(out, ANSWER_FEATURES))
+    return out.select("key", "QNAME", *_rounded(out, ANSWER_FEATURES))
 
 
 def csv_clean_labels(spark: SparkSession, sf: str) -> DataFrame:
@@ -188,13 +194,30 @@ def group_verdict(spark: SparkSession, sf: str) -> DataFrame:
 
 def flagged_messages(spark: SparkSession, sf: str) -> DataFrame:
     """O-25, O-27, O-30 and the O-03 Parquet round trip."""
-    out_path = shared_path(spark, "out", f"flagged_{uuid.uuid4().hex}")
-    write_messages(_score(spark, sf).output, out_path)
+    out_path = shared_path(spark, "out", f"flagged_{_run_id(spark, sf)}")
+    write_messages(_score(spark, sf).output, out_path, mode="overwrite")
     back = spark.read.parquet(out_path)
-    return back.select("key", F.col("payload.questions")[0]["name"].alias("name"),
+    # The payload fields that no schema here declares are still there.
+    return back.select("key", fixtures.first_question().alias("name"),
+                       F.col("payload.header.id").alias("message_id"), "payload.authority",
                        F.col("payload.ip.srcIP").alias("srcIP"), F.col("payload.ip.destIP").alias("destIP"),
                        F.col("payload.pcap.ts_sec").alias("ts_sec"),
-                       F.size("payload.answers").cast("int").alias("n_answers"))
+                       F.coalesce(F.size("payload.answers"), F.lit(-1)).cast("int").alias("n_answers"))
+
+
+def _run_id(spark: SparkSession, sf: str) -> str:
+    """One output folder for each application and input: a second call replaces it."""
+    return fingerprint(spark, f"{sf}/events.parquet", salt=f"{sf}|{spark.sparkContext.applicationId}")
+
+
+def alerts_written(spark: SparkSession, sf: str) -> DataFrame:
+    """O-04: the alert table written by day and hour, and read back."""
+    flagged = _score(spark, sf).flagged
+    table = alert_ops.alert_table(flagged).withColumn("key", F.get_json_object("telemetry_details", "$.header.id"))
+    out_path = shared_path(spark, "out", f"alerts_{_run_id(spark, sf)}")
+    write_alerts(table, out_path, mode="overwrite")
+    back = spark.read.schema(table.schema).parquet(out_path)
+    return back.select("key", "alert_timestamp_sec", "src_ip", "ioc", "datestr", "hour")
 
 
 def alert_ids(spark: SparkSession, sf: str) -> DataFrame:
@@ -224,11 +247,10 @@ def alert_table_q(spark: SparkSession, sf: str) -> DataFrame:
 
 def ip_info_from_customers(spark: SparkSession, sf: str) -> DataFrame:
     """An address-attribute table derived from ``customer`` (stand-in for a
-    user's asset inventory): one row per address."""
+    user's asset inventory): many rows for each address."""
     cust = spark.read.parquet(f"{sf}/customer.parquet")
     ip = F.concat(F.lit("10.0.0."), F.pmod(F.col("c_custkey"), F.lit(16)).cast("string"))
-    return cust.groupBy(ip.alias("ip")).agg(F.min("c_name").alias("enrich"),
-                                            F.bool_or(F.col("c_acctbal") < 0).alias("is_malicious"))
+    return cust.select(ip.alias("ip"), F.col("c_name").alias("enrich"), (F.col("c_acctbal") < 0).alias("is_malicious"))
 
 
 def alert_enriched(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,7 +268,10 @@ def kafka_records_q(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- model ------------------------------------------------------------------
 
-TRAIN_PARTITIONS = 8
+# Partitions of the training sample in the fixture queries: Spark's shuffle
+# partitions, so they grow with the cluster.
+def _partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _training_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -260,13 +285,14 @@ def _split(spark: SparkSession, sf: str):
 
 
 def staged_model(spark: SparkSession, sf: str):
-    """Train once per input (O-60..O-63), save (O-05) and load (O-06)."""
-    fp = fingerprint(f"{sf}/events.parquet", f"{sf}/pages.parquet", f"{sf}/labels.parquet",
-                     salt=fixtures.VIEW_VERSION + "-rf-md5split")
+    """Train once per input and code (O-60..O-63), save (O-05) and load (O-06)."""
+    code = "".join(inspect.getsource(m) for m in (model_ops, training, lexical, entropy_arrow, features, domains, prepare))
+    fp = fingerprint(spark, f"{sf}/events.parquet", f"{sf}/pages.parquet", f"{sf}/labels.parquet",
+                     salt=fixtures.VIEW_VERSION + hashlib.sha256(code.encode()).hexdigest())
     final = shared_path(spark, "staged", f"rf_{fp}")
     if not path_exists(spark, f"{final}/metadata"):
         train_df, _ = _split(spark, sf)
-        train_df = train_df.repartition(TRAIN_PARTITIONS).checkpoint(eager=True)
+        train_df = train_df.repartition(_partitions(spark), "QNAME").checkpoint(eager=True)
         fitted = model_ops.fit_pipeline(train_df)
         tmp = f"{final}.{uuid.uuid4().hex}.tmp"
         fitted.write().save(tmp)
@@ -286,11 +312,13 @@ def training_counts(spark: SparkSession, sf: str) -> DataFrame:
     cleaning and features, and the hash split into train / test rows."""
     sample = _sample(spark, sf)
     feats = training.training_features(sample, rdata_mode="array", delimiter=fixtures.RDATA_DELIMITER)
-    train_df, test_df = model_ops.split_train_test(feats)
+    # One pass over the cleaned rows for all counts but the first.
+    bucket = model_ops.split_bucket()
+    rest = feats.agg(F.count(F.lit(1)).alias("feature_rows"), F.count_if(F.col("lld").isNull()).alias("undomained_rows"),
+                     F.count_if(bucket < 800).alias("train_rows"), F.count_if(bucket >= 800).alias("test_rows"))
     out = sample.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("sample_rows").alias("stage"), "rows")
-    for name, df in (("feature_rows", feats), ("train_rows", train_df), ("test_rows", test_df)):
-        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows"))
-    return out
+    return out.unionByName(rest.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("stage"), F.col(c).alias("rows")) for c in rest.columns]))))
 
 
 def rf_scoring_job(spark: SparkSession, sf: str) -> DataFrame:
@@ -314,18 +342,20 @@ def rf_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rf_importances(spark: SparkSession, sf: str) -> DataFrame:
-    """O-68 (rows only)."""
-    return model_ops.feature_importances(spark, staged_model(spark, sf))
+    """O-68 (rows only), of a forest fitted on the sample in this call."""
+    train_df, _ = _split(spark, sf)
+    train_df = train_df.repartition(_partitions(spark), "QNAME").checkpoint(eager=True)
+    return model_ops.feature_importances(spark, model_ops.fit_pipeline(train_df, model_ops.random_forest(num_trees=10)))
 
 
 def lr_dt_compare(spark: SparkSession, sf: str) -> DataFrame:
     """O-69: the two dormant alternatives on the same split (rows only)."""
     train_df, test_df = _split(spark, sf)
-    train_df = train_df.repartition(TRAIN_PARTITIONS).checkpoint(eager=True)
+    train_df = train_df.repartition(_partitions(spark), "QNAME").checkpoint(eager=True)
     rows = []
     for name, clf in (("logistic_regression", model_ops.logistic_regression()),
                       ("decision_tree", model_ops.decision_tree())):
-        pred = model_ops.fit_pipeline(train_df, clf).transform(test_df)
+        pred = model_ops.fit_pipeline(train_df, clf).transform(test_df).checkpoint(eager=True)
         auc = model_ops.binary_metrics(pred)["areaUnderROC"]
         acc = model_ops.multiclass_metrics(pred).first()["accuracy"]
         rows.append((name, float(auc), float(acc)))
@@ -335,7 +365,7 @@ def lr_dt_compare(spark: SparkSession, sf: str) -> DataFrame:
 def cv_tuning(spark: SparkSession, sf: str) -> DataFrame:
     """O-70: 2-fold cross-validation over forest size and depth (rows only)."""
     train_df, _ = _split(spark, sf)
-    train_df = train_df.repartition(TRAIN_PARTITIONS).checkpoint(eager=True)
+    train_df = train_df.repartition(_partitions(spark), "QNAME").checkpoint(eager=True)
     cv = model_ops.cross_validate(train_df, num_folds=2)
     rf = cv.bestModel.stages[-1]
     rows = []
@@ -358,6 +388,18 @@ def confusion_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(*_rounded(out, out.columns))
 
 
+def auc_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """O-65, O-66 on a rule-based score with many ties (SQL-checkable)."""
+    rows = _candidates(spark, sf)
+    sub = subdomain("QNAME", "2ld")
+    share = F.when(F.length(sub) == 0, 0.0).otherwise(digit_count(sub) / F.length(sub))
+    scored = rows.select(label_index(fixtures.stand_in_label(F.col("QNAME"))).cast("double").alias("label"),
+                         share.alias("rawPrediction")).checkpoint(eager=True)
+    values = model_ops.binary_metrics(scored)
+    return spark.createDataFrame([tuple(round(v, 6) for v in values.values())],
+                                 ", ".join(f"{k} double" for k in values))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """The scoring job end to end: flagged messages (key, payload)."""
     return _score(spark, sf).output
@@ -384,7 +426,9 @@ QUERIES: dict[str, Query] = {
     "alert_table": alert_table_q,
     "alert_enriched": alert_enriched,
     "kafka_records": kafka_records_q,
+    "alerts_written": alerts_written,
     "confusion_metrics": confusion_metrics,
+    "auc_metrics": auc_metrics,
     "rf_predictions": rf_predictions,
     "training_counts": training_counts,
     "rf_scoring_job": rf_scoring_job,

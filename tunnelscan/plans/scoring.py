@@ -1,15 +1,16 @@
 """The scoring job: nested DNS messages -> flagged messages / alert groups.
 
 Plan shape (each step is lazy unless noted; "materialised" steps write a thin
-table to the shared checkpoint folder and count it, which both cuts lineage and
-sizes the table before it is broadcast):
+table to the shared checkpoint folder and measure it, which both cuts lineage
+and sizes the table before it is broadcast):
 
 1. ``prepare``: responses only (pushed into the Parquet scan), one row per
    question, flat keys, registrable domain (broadcast rule lookups, map-side).
-2. volume gate: busy groups (partial count -> thin shuffle), materialised and
-   counted; joined back by broadcast when under the bound, otherwise folded
-   into the verdict aggregate as a HAVING (``gate='auto'``, the default; the
-   two strategies can be forced with ``'join'`` / ``'having'``).
+2. volume gate: busy groups (partial count -> thin shuffle), materialised;
+   joined to the rows without their payload (keys, name, answers).  Under the
+   bounds it is broadcast and nothing is shuffled; above them the thin rows are
+   shuffled (Spark's runtime bloom filter drops most before that).  Either way
+   the same rows are scored.
 3. features + model on the gated rows (map-side; the fitted model travels
    with the tasks).  ``fillna(0)`` is applied to the thirteen features.
 4. verdict: one aggregate per group (exact distinct count), suspicious groups
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from tunnelscan.config import ScoringConfig
 from tunnelscan.operators.domains import drop_reverse_lookups, registrable_domain
 from tunnelscan.operators.features import generate_features
-from tunnelscan.operators.gate import busy_groups, volume_gate
-from tunnelscan.operators.joins import DEFAULT_BROADCAST_ROWS, Sized, materialise
+from tunnelscan.operators.gate import busy_groups
+from tunnelscan.operators.joins import DEFAULT_BROADCAST_ROWS, Sized, materialise, sized
 from tunnelscan.operators.prepare import (
     exclude_answers,
     explode_questions,
@@ -42,6 +43,7 @@ from tunnelscan.operators.prepare import (
 )
 from tunnelscan.operators.verdict import (
     alerting_groups,
+    distinct_messages as distinct_outputs,
     group_stats,
     interval_stats,
     join_alerts,
@@ -60,11 +62,13 @@ def model_labeler(model) -> Labeler:
     return lambda df: model.transform(df)
 
 
-def prepare(messages: DataFrame, rules: DataFrame | None = None) -> DataFrame:
+def prepare(messages: DataFrame, rules: DataFrame | None = None, fallback_last_label: bool | None = None,
+            preserve_case: bool = False) -> DataFrame:
     """Responses -> question rows with ``QNAME``, ``ts_sec``, ``srcIP``,
-    ``destIP``, ``2ld`` (O-11, O-12, O-13, O-14)."""
+    ``destIP``, ``2ld`` (O-11, O-12, O-13, O-14); the domain options are those
+    of ``registrable_domain``."""
     rows = flatten_message(explode_questions(successful_responses(messages)))
-    return registrable_domain(rows, "QNAME", rules, "2ld")
+    return registrable_domain(rows, "QNAME", rules, "2ld", fallback_last_label, preserve_case)
 
 
 def featurise(rows: DataFrame, cfg: ScoringConfig, apply_exclusions: bool = False) -> DataFrame:
@@ -80,23 +84,39 @@ def featurise(rows: DataFrame, cfg: ScoringConfig, apply_exclusions: bool = Fals
 
 @dataclass
 class ScoringResult:
-    prepared: DataFrame      # all question rows with keys and 2ld
-    candidates: DataFrame    # non-reverse rows (input of the gate)
-    scored: DataFrame        # gated rows with features, prediction, label_str, indicators
-    stats: DataFrame         # suspicious groups with O-34..O-38 (materialised)
-    alerts: DataFrame        # alerting groups + alert_id (subset of stats)
-    flagged: DataFrame       # prepared rows of alerting groups + group columns
-    output: DataFrame        # key, payload
+    prepared: DataFrame        # all question rows with keys and 2ld
+    candidates: DataFrame      # non-reverse rows (input of the gate)
+    busy: DataFrame            # busy groups with their count (materialised)
+    scored: DataFrame          # gated rows with features, prediction, label_str, indicators
+    stats: DataFrame           # suspicious groups with O-34..O-38 (materialised)
+    alerts: DataFrame          # alerting groups + alert_id (subset of stats)
+    flagged: DataFrame         # prepared rows of alerting groups + group columns
+    flagged_scored: DataFrame  # scored rows of alerting groups: features, prediction, label_str, count
+    output: DataFrame          # key, payload
+    keys: tuple = KEYS
 
     def counts(self) -> DataFrame:
-        """O-40: rows or groups at each stage, as (stage, rows)."""
-        parts = [("question_rows", self.prepared), ("candidate_rows", self.candidates),
-                 ("scored_rows", self.scored), ("suspicious_groups", self.stats),
-                 ("alert_groups", self.alerts), ("flagged_rows", self.flagged)]
+        """O-40: rows or groups at each stage, as (stage, rows).
+
+        One pass over the input (without its payload); the later stages are
+        sums over the materialised group tables."""
+        domain = F.col("2ld")
+        rows = self.prepared.agg(
+            F.count(F.lit(1)).alias("question_rows"),
+            F.count_if(domain.isNull()).alias("undomained_rows"),
+            F.count_if(~domain.endswith("in-addr.arpa")).alias("candidate_rows"))
+
+        def total(df: DataFrame, name: str) -> DataFrame:
+            return df.agg(F.coalesce(F.sum("count"), F.lit(0)).alias(name))
+
+        flagged = self.busy.join(self.alerts.select(*self.keys), list(self.keys), "left_semi")
+        parts = [rows, total(self.busy, "scored_rows"),
+                 self.stats.agg(F.count(F.lit(1)).alias("suspicious_groups")),
+                 self.alerts.agg(F.count(F.lit(1)).alias("alert_groups")), total(flagged, "flagged_rows")]
         out = None
-        for name, df in parts:
-            # A global aggregate: one row even when the stage is empty.
-            one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
+        for df in parts:
+            one = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("stage"), F.col(c).cast("long").alias("rows"))
+                                               for c in df.columns])))
             out = one if out is None else out.unionByName(one)
         return out
 
@@ -107,75 +127,75 @@ class ScoringResult:
 
 
 def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = None,
-          rules: DataFrame | None = None, gate: str = "auto", alert_id: str = "constant",
+          rules: DataFrame | None = None, alert_id: str = "constant",
           apply_exclusions: bool = False, approx_distinct: bool = False, distinct_messages: bool = False,
-          with_intervals: bool = False,
-          keys: Sequence[str] = KEYS, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> ScoringResult:
+          with_intervals: bool = False, keys: Sequence[str] = KEYS,
+          max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, fallback_last_label: bool | None = None,
+          preserve_case: bool = False) -> ScoringResult:
     """Score DNS messages.
 
-    ``gate``: ``join`` broadcasts the busy-group table (checked size) and
-    scores only gated rows; ``having`` scores every candidate row and applies
-    the volume threshold to the group aggregate (no join at all); ``auto``
-    (default) materialises the busy groups and takes ``join`` when they fit
-    the broadcast bound, ``having`` otherwise - so wide rows are never
-    shuffled for the gate.  All three give the same groups and rows.
+    The busy-group table is broadcast where it fits the bounds
+    (``max_broadcast_rows`` and the bytes of ``operators.joins``) and joined
+    with a shuffle of the thin rows otherwise; the scored rows, groups and
+    flagged messages are the same.
+
+    ``rules``, ``fallback_last_label``, ``preserve_case``: see
+    ``registrable_domain``.  Rows without a domain leave at the reverse-lookup
+    filter (D9); ``counts()`` reports them as ``undomained_rows``.
 
     ``with_intervals`` adds ``max_interval_time`` and ``average_interval_time``
-    (O-39, dormant in the reference's group aggregate) to the group table;
-    both sides are aggregated by the keys, so the join needs no extra exchange.
+    (O-39, dormant in the reference's group aggregate) to the group table; they
+    come from the gated rows, before features and model.
 
     ``distinct_messages`` (D12): a message with n questions in alerting groups
-    is written n times, as the reference does; True writes it once
-    (``dropDuplicates(["key"])``, a shuffle of the flagged rows only).
+    is written n times, as the reference does; True writes equal messages once.
     """
     cfg = cfg or ScoringConfig()
-    prepared = prepare(messages, rules)
+    prepared = prepare(messages, rules, fallback_last_label, preserve_case)
     candidates = drop_reverse_lookups(prepared, "2ld")
-    if gate == "auto":
-        busy = materialise(busy_groups(candidates, cfg.min_group_count, keys))
-        gate = "join" if busy.rows <= max_broadcast_rows else "having"
-        if gate == "join":
-            gated = candidates.join(busy.for_join(max_broadcast_rows), list(keys), "inner")
-    elif gate == "join":
-        gated = volume_gate(candidates, cfg.min_group_count, keys, "join", max_broadcast_rows)
-    if gate == "having":
-        # Key joins reject NULL keys (D10); without a join, filter them here.
-        gated = candidates
-        for k in keys:
-            gated = gated.where(F.col(f"`{k}`").isNotNull())
-    elif gate != "join":
-        raise ValueError(f"unknown gate {gate!r}")
+    busy = materialise(busy_groups(candidates, cfg.min_group_count, keys))
+    # Of the payload only the answers go on: they may be shuffled.
+    thin = candidates.select(*dict.fromkeys(["key", "QNAME", "ts_sec", "srcIP", "destIP", "2ld", *keys]),
+                             F.struct(F.col("payload.answers").alias("answers")).alias("payload"))
+    gated = thin.join(busy.for_join(max_broadcast_rows), list(keys), "inner")
     scored = with_indicators(with_label_str(labeler(featurise(gated, cfg, apply_exclusions))))
     stats = group_stats(scored, keys, approx_distinct)
     if with_intervals:
-        stats = stats.join(interval_stats(scored, keys), list(keys), "left")
-    if gate == "having":
-        stats = stats.where(F.col("2ld_count") >= F.lit(cfg.min_group_count))
+        stats = stats.join(interval_stats(gated, keys), list(keys), "left")
     suspicious = materialise(stats.where(F.col("tunnel_count") > 0)).df
-    # Alerts filter the checkpointed table: the lineage is already cut, so a
-    # count (not another checkpoint) sizes them for the broadcast.
-    alerts = with_alert_id(alerting_groups(suspicious, cfg), alert_id, keys)
-    sized = Sized(alerts, alerts.count())
-    flagged = join_alerts(candidates, sized, keys, max_broadcast_rows)
+    # Alerts filter the checkpointed table: the lineage is already cut, so
+    # measuring them (not another checkpoint) sizes them for the broadcast.
+    alerts = sized(with_alert_id(alerting_groups(suspicious, cfg), alert_id, keys))
+    flagged = join_alerts(candidates, alerts, keys, max_broadcast_rows)
+    group_only = [c for c in alerts.df.columns if c not in scored.columns or c in keys]
+    flagged_scored = join_alerts(scored, Sized(alerts.df.select(*group_only), alerts.rows, alerts.size), keys,
+                                 max_broadcast_rows)
     output = output_messages(flagged)
     if distinct_messages:
-        output = output.dropDuplicates(["key"])
-    return ScoringResult(prepared, candidates, scored, suspicious, sized.df, flagged, output)
+        output = distinct_outputs(output)
+    return ScoringResult(prepared, candidates, busy.df, scored, suspicious, alerts.df, flagged, flagged_scored, output,
+                         tuple(keys))
 
 
 def run_scoring_job(spark, input_path: str, model_path: str, config_path: str | None = None,
                     output_path: str | None = None, kafka_topic: str | None = None,
                     kafka_brokers: str | None = None, alert_format: bool = False,
                     datestr: str | None = None, hour: str | None = None, rules: DataFrame | None = None,
-                    mode: str = "error", base_path: str | None = None, **score_options) -> ScoringResult:
+                    mode: str = "error", base_path: str | None = None, ip_info: DataFrame | None = None,
+                    alert_timestamp_sec: int | None = None, engine_name: str | None = None,
+                    **score_options) -> ScoringResult:
     """The scoring job with the reference's options as parameters.
 
+    ``rules`` is the public-suffix table (``read_suffix_rules``); without it the
+    short built-in list is used with its last-label fallback.  ``ip_info``,
+    ``alert_timestamp_sec`` and ``engine_name`` go into the alert records.
+
     Kafka needs both topic and brokers (or neither); at least one sink must be
     given.  The sink is chosen by which option is given (D15): Kafka gets the
     alert records, a path gets the flagged messages (or the alert table when
     ``alert_format``).
     """
-    from tunnelscan.operators.alerts import alert_table
+    from tunnelscan.operators.alerts import ENGINE_NAME, alert_table
     from tunnelscan.operators.model import load_model
     from tunnelscan.sources.readers import load_config, read_dns_log
     from tunnelscan.sources.sinks import write_alerts, write_messages, write_to_kafka
@@ -188,10 +208,13 @@ def run_scoring_job(spark, input_path: str, model_path: str, config_path: str |
     model = load_model(model_path)
     logs = read_dns_log(spark, input_path, datestr=datestr, hour=hour, base_path=base_path)
     result = score(logs, model_labeler(model), cfg, rules=rules, **score_options)
+    def alerts() -> DataFrame:
+        return alert_table(result.flagged, ip_info, alert_timestamp_sec, engine_name or ENGINE_NAME)
+
     if kafka_topic:
-        write_to_kafka(alert_table(result.flagged), kafka_topic, kafka_brokers)
+        write_to_kafka(alerts(), kafka_topic, kafka_brokers)
     elif alert_format:
-        write_alerts(alert_table(result.flagged), output_path, mode=mode)
+        write_alerts(alerts(), output_path, mode=mode)
     else:
         write_messages(result.output, output_path, mode=mode)
     return result

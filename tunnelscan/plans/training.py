@@ -23,7 +23,8 @@ from tunnelscan.operators.prepare import clean_training_sample
 
 
 def training_features(sample: DataFrame, rules: DataFrame | None = None, rdata_mode: str = "chars",
-                      delimiter: str | None = None) -> DataFrame:
+                      delimiter: str | None = None, fallback_last_label: bool | None = None,
+                      preserve_case: bool = False) -> DataFrame:
     """O-08..O-10, O-14 (as ``lld``), O-41..O-53, O-20.
 
     ``rdata_mode='chars'`` reproduces the reference's training features (the
@@ -31,7 +32,7 @@ def training_features(sample: DataFrame, rules: DataFrame | None = None, rdata_m
     splits RDATA on ``delimiter`` so that training matches scoring.
     """
     clean = clean_training_sample(sample)
-    with_domain = registrable_domain(clean, "QNAME", rules, "lld")
+    with_domain = registrable_domain(clean, "QNAME", rules, "lld", fallback_last_label, preserve_case)
     return generate_features(with_domain, "QNAME", "lld", "RDATA", rdata_mode, delimiter)
 
 
@@ -44,16 +45,18 @@ class TrainingResult:
     predictions: DataFrame
     model_path: str | None
 
-    def metrics(self) -> dict:
+    def metrics(self, num_bins: int = 0) -> dict:
         """O-65..O-67 as plain numbers (six values)."""
-        out = binary_metrics(self.predictions)
+        out = binary_metrics(self.predictions, num_bins=num_bins)
         row = multiclass_metrics(self.predictions).first()
         out.update(row.asDict())
         return out
 
     def counts(self) -> DataFrame:
-        """O-40 for training: rows with features, train rows, test rows."""
-        parts = [("feature_rows", self.features), ("train_rows", self.train), ("test_rows", self.test)]
+        """O-40 for training: rows with features, those without a domain (NULL
+        name features, which the assembler skips), train rows, test rows."""
+        parts = [("feature_rows", self.features),
+                 ("undomained_rows", self.features.where(F.col("lld").isNull())), ("train_rows", self.train), ("test_rows", self.test)]
         out = None
         for name, df in parts:
             one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
@@ -66,9 +69,13 @@ class TrainingResult:
 
 def train(sample: DataFrame, rules: DataFrame | None = None, rdata_mode: str = "chars",
           delimiter: str | None = None, classifier=None, split: str = "hash",
-          save_root: str | None = None, partitions: int | None = None) -> TrainingResult:
-    feats = training_features(sample, rules, rdata_mode, delimiter)
-    # Forest output depends on partitioning; a fixed count keeps it reproducible.
+          save_root: str | None = None, partitions: int | None = None,
+          fallback_last_label: bool | None = None, preserve_case: bool = False) -> TrainingResult:
+    """Train, predict the hold-out rows and optionally save.
+
+    ``partitions``: a fixed number for a reproducible forest (its bagging
+    depends on the partitioning); None leaves it to Spark."""
+    feats = training_features(sample, rules, rdata_mode, delimiter, fallback_last_label, preserve_case)
     if partitions:
         feats = feats.repartition(partitions)
     feats = feats.checkpoint(eager=True)
@@ -82,10 +89,12 @@ def train(sample: DataFrame, rules: DataFrame | None = None, rdata_mode: str = "
 
 def run_training_job(spark: SparkSession, input_path: str, model_save_root: str,
                      rules: DataFrame | None = None, rdata_mode: str = "chars",
-                     delimiter: str | None = None, split: str = "hash") -> tuple[str, dict]:
+                     delimiter: str | None = None, split: str = "hash", classifier=None,
+                     partitions: int | None = None, num_bins: int = 0, fallback_last_label: bool | None = None,
+                     preserve_case: bool = False) -> tuple[str, dict]:
     """The training job with the reference's options as parameters: reads the
     '~' sample, trains, evaluates, saves; returns (model path, six metrics)."""
     from tunnelscan.sources.readers import read_training_sample
-    result = train(read_training_sample(spark, input_path), rules, rdata_mode, delimiter,
-                   split=split, save_root=model_save_root)
-    return result.model_path, result.metrics()
+    result = train(read_training_sample(spark, input_path), rules, rdata_mode, delimiter, classifier, split,
+                   model_save_root, partitions, fallback_last_label, preserve_case)
+    return result.model_path, result.metrics(num_bins)

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import hashlib
-import os
 import tempfile
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -13,6 +13,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 # Settings for a large cluster (pass to spark-submit --conf).  AQE sizes the
 # shuffle partitions at run time and splits skewed join partitions; the
 # cleaner removes the thin checkpointed tables once they are unreferenced.
+# Besides these a cluster must name a shared folder in spark.checkpoint.dir.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -51,8 +52,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is used as is.  Only when the
-    session has none (a bare local test session) is a private one created.
+    The folder named by ``spark.checkpoint.dir`` is used as is.  Where it is
+    unset, a local session (as in tests) gets a private folder; on a cluster
+    executors could not see one, so that is an error.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get(CHECKPOINT_CONF, None) or spark.conf.get(CHECKPOINT_CONF, None)
@@ -64,12 +66,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current is not None:
         # setCheckpointDir adds a random child; its parent is the shared root.
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not is_local(sc.master):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tunnelscan-ckpt-")
     sc.setCheckpointDir(local)
     spark.conf.set(CHECKPOINT_CONF, local)
     return local
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[8]``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
@@ -89,18 +98,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def publish(spark: SparkSession, tmp: str, final: str) -> bool:
-    """Atomically move a finished output into place (False if another run won)."""
-    fs, src = _hadoop_path(spark, tmp)
-    _, dst = _hadoop_path(spark, final)
-    if fs.exists(dst):
+    """Atomically move a finished output into place (False if another run won).
+
+    ``FileContext.rename`` fails where the target exists; ``FileSystem.rename``
+    would move the source inside it."""
+    jvm = spark.sparkContext._jvm
+    _, src = _hadoop_path(spark, tmp)
+    fs, dst = _hadoop_path(spark, final)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(fs.makeQualified(src), fs.makeQualified(dst), options)
+    except Py4JJavaError:
+        if not fs.exists(dst):
+            raise
         return False
-    return bool(fs.rename(src, dst))
+    return True
 
 
-def fingerprint(*files: str, salt: str = "") -> str:
-    """Stable id of input files (path, size, mtime) for staged derived tables."""
+def fingerprint(spark: SparkSession, *files: str, salt: str = "") -> str:
+    """Stable id of input files (path, size, time of change) for staged derived
+    tables, read through the file system that Spark reads them with."""
     h = hashlib.sha1(salt.encode())
     for f in files:
-        st = os.stat(f) if os.path.exists(f) else None
-        h.update(f"{os.path.abspath(f)}|{st.st_size if st else -1}|{st.st_mtime_ns if st else -1}".encode())
+        fs, path = _hadoop_path(spark, f)
+        found = []
+        if fs.exists(path):
+            status = fs.getFileStatus(path)
+            listed = fs.listStatus(path) if status.isDirectory() else [status]
+            found = sorted((x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in listed)
+        h.update(f"{fs.makeQualified(path)}|{found}".encode())
     return h.hexdigest()[:16]
