@@ -8,9 +8,9 @@ longer notice may differ in at most a tenth of its words, which are reported.
 
 Blocks: the line (or ``REACH`` characters to both sides in a longer line) around
 every licence word; blocks at most ``GAP`` characters apart are one, so a whole
-licence of many lines is one block.  One with ``NOTICE_CUES`` licence words may be
-a notice, whose ends have none, and takes ``REACH`` characters more on both sides
-of it, up to an empty line.  All of every text is searched.
+licence of many lines is one block.  Notices are looked for in the block with
+``REACH`` characters more on both sides, up to an empty line, as their ends need
+not hold a licence word.  All of every text is searched.
 
 Edge cases: NULL and empty texts have no rows, nor do documents without a
 confirmed licence; a block with several licences gives a row for each, equal
@@ -36,8 +36,8 @@ from tunnelscan.llm.license_texts import NAMES, NOTICES
 
 REACH = 300
 GAP = 200
-NOTICE_CUES = 3
-# Least share of the block's size that a template saves to be looked at.
+# Least share of the block's size that a notice saves to be looked at; a name may
+# be too short to save anything.
 SAVING = 0.05
 # Words of a notice that may be missing.
 MISSING = 0.1
@@ -76,23 +76,24 @@ def blocks(text: str) -> list[tuple[int, int]]:
     low = text.lower()
     if not any(h in low for h in _HINTS):
         return []
-    found: list[list[int]] = []
+    out: list[list[int]] = []
     for m in _CUE.finditer(text):
         a = max(text.rfind("\n", max(0, m.start() - REACH), m.start()) + 1, m.start() - REACH, 0)
         b = text.find("\n", m.end(), m.end() + REACH)
         b = min(m.end() + REACH, len(text)) if b < 0 else b
-        if found and a - found[-1][1] <= GAP:
-            found[-1][1:] = [max(found[-1][1], b), found[-1][2] + 1]
+        if out and a - out[-1][1] <= GAP:
+            out[-1][1] = max(out[-1][1], b)
         else:
-            found.append([a, b, 1])
-    out: list[tuple[int, int]] = []
-    for a, b, cues in found:
-        if cues >= NOTICE_CUES:
-            a = max(text.rfind("\n\n", max(0, a - REACH), a) + 2, a - REACH, 0) if a else 0
-            end = text.find("\n\n", b, b + REACH)
-            b = min(b + REACH, len(text)) if end < 0 else end
-        out.append((max(a, out[-1][1]) if out else a, b))
-    return [x for x in out if x[0] < x[1]]
+            out.append([a, b])
+    return [(a, b) for a, b in out]
+
+
+def widened(text: str, a: int, b: int) -> tuple[int, int]:
+    """The block with ``REACH`` characters more on both sides, up to an empty line."""
+    start = max(0, a - REACH)
+    gap = text.rfind("\n\n", start, a)
+    end = text.find("\n\n", b, b + REACH)
+    return start if gap < 0 else gap + 2, min(b + REACH, len(text)) if end < 0 else end
 
 
 def _differences(template: Template, block: list[str]) -> tuple[int, list[str], int] | None:
@@ -111,28 +112,36 @@ def _differences(template: Template, block: list[str]) -> tuple[int, list[str],
     return found, [w for k, w in enumerate(t) if k not in held], extra
 
 
+def _ranked(text: str, some: list[Template], alone: zstandard.ZstdCompressor) -> list[tuple[float, Template]]:
+    """The templates by the share of the text's size that they save."""
+    raw = " ".join(text.split()).lower().encode("utf-8", "surrogatepass")
+    size = len(alone.compress(raw))
+    saved = [(size - len(t.compressor.compress(raw))) / size for t in some]
+    return sorted(zip(saved, some), key=lambda x: -x[0])
+
+
 def scan(text: str, all_of: list[Template], alone: zstandard.ZstdCompressor) -> list[tuple]:
     """(start, end, licence, saving, missing words, words put in) of each finding."""
     out = []
-    for a, b in blocks(text):
-        raw = " ".join(text[a:b].split()).lower().encode("utf-8", "surrogatepass")
-        size = len(alone.compress(raw))
-        ranked = sorted(((size - len(t.compressor.compress(raw))) / size, -k) for k, t in enumerate(all_of))[::-1]
-        block, found = words(text[a:b]), {}
-        for saving, k in ranked:
-            t = all_of[-k]
-            if saving < SAVING:
-                break
-            difference = _differences(t, block)
-            # A longer wording that is all of it there speaks for its licence alone.
-            if difference and not any(_within(t.words, x.words) for x, _, _ in found.values()):
+    for block in blocks(text):
+        wide = widened(text, *block)
+        found: dict[str, tuple] = {}
+        for (a, b), exact, least in ((wide, False, SAVING), (block, True, 0.0)):
+            in_block = words(text[a:b])
+            for saving, t in _ranked(text[a:b], [t for t in all_of if t.exact == exact], alone):
+                if saving < least:
+                    break
+                difference = _differences(t, in_block)
+                # A longer wording that is there as a whole speaks for its licence alone.
+                if difference is None or any(_within(t.words, f[0].words) for f in found.values()):
+                    continue
                 old = found.get(t.license_id)
-                if old is None or difference[0] > old[2][0]:
-                    found = {k: v for k, v in found.items() if not _within(v[0].words, t.words)}
-                    found[t.license_id] = (t, saving, difference)
-        for license_id, (t, saving, (_, missing, extra)) in sorted(found.items()):
+                if old is None or difference[0] > old[4][0]:
+                    found = {k: f for k, f in found.items() if not _within(f[0].words, t.words)}
+                    found[t.license_id] = (t, a, b, saving, difference)
+        for license_id, (t, a, b, saving, (_, missing, extra)) in sorted(found.items()):
             # Of nearly equal notices (two versions), the one with the fewest missing words.
-            if not any(len(m) < len(missing) and _alike(t.words, x.words) for x, _, (_, m, _) in found.values()):
+            if not any(len(f[4][1]) < len(missing) and _alike(t.words, f[0].words) for f in found.values()):
                 out.append((a, b, license_id, saving, missing, extra))
     return out
 

@@ -63,7 +63,7 @@ def quantised(vec: Column) -> Column:
 def _matrix(column, dim: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
 
 
 def lifted(v: np.ndarray, most: float) -> np.ndarray:
@@ -126,7 +126,7 @@ class Tree:
         self.children = [np.flatnonzero(parent == k) for k in range(len(parent))]
         column = lambda name: [x.values.to_numpy(zero_copy_only=False) for x in pages[name]]
         self.ids, self.ups = column("ids"), column("ups")
-        self.vectors = [x.reshape(-1, dim) for x in column("vectors")]
+        self.vectors = [x.reshape(len(i), dim) for x, i in zip(column("vectors"), self.ids)]
 
     def search(self, own: int, q: np.ndarray, most: float, top: int, best: list, bound: float) -> list:
         """``best`` (score, -id) entries, a heap of at most ``top``, completed;
