@@ -34,7 +34,7 @@ def test_suffix_rules_need_their_columns(spark):
 def test_kafka_sink_needs_the_connector(spark):
     df = spark.createDataFrame([(-1, "x")], "alert_id int, v string")
     with pytest.raises(Exception) as err:
-        write_to_kafka(df, "alerts", "localhost:9")
+        write_to_kafka(df, "alerts", "localhost:9", "alert_id")
     assert "kafka" in str(err.value).lower()
 
 
