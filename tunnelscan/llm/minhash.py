@@ -156,27 +156,42 @@ def _sets(size: int):
     return run
 
 
-def _confirm(threshold: int):
+def _leader_links(threshold: int):
+    """Links of a leader to a chunk of the nodes it is compared with."""
     kinds = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
-    def run(batches):
-        for batch in batches:
-            x, y = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            left, right = batch.column(2), batch.column(3)
-            keep = []
-            for k in range(len(x)):
-                p = np.frombuffer(left[k].as_buffer(), np.uint64)
-                q = np.frombuffer(right[k].as_buffer(), np.uint64)
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.minimum(np.searchsorted(q, p), len(q) - 1)
-                both = int(np.count_nonzero(q[at] == p))
-                if 100 * both >= threshold * (len(p) + len(q) - both):
-                    keep.append(k)
-            yield batch_of(kinds, [x[k] for k in keep], [y[k] for k in keep])
+    def run(key, table):
+        leader, nodes = key[0].as_py(), table["node"].to_pylist()
+        sets = [np.frombuffer(x, np.uint64) for x in table["values"].to_pylist()]
+        lead = sets[nodes.index(leader)]
+        found = []
+        for node, x in zip(nodes, sets):
+            at = np.minimum(np.searchsorted(lead, x), len(lead) - 1)
+            both = int(np.count_nonzero(lead[at] == x))
+            if node != leader and 100 * both >= threshold * (len(x) + len(lead) - both):
+                found.append((leader, node))
+        return pa.table([pa.array([f[n] for f in found], pa.binary()) for n in (0, 1)], schema=kinds)
     return run
 
 
+def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (leader ``a``, node ``b``) that link.
+
+    The nodes of a leader are compared in chunks, each with one copy of the
+    leader's set.  Sets of very unequal size cannot link and are left out."""
+    sizes = sets.select("node", "n")
+    fit = (pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
+           .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * threshold).select("a", "b", "n_b"))
+    fit = stage(fit, "fit")
+    chunks = fit.groupBy("a").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_NODES),
+                                             F.ceil(F.sum("n_b") / BLOCK_HASHES)).alias("chunks"))
+    members = fit.join(chunks, "a").select("a", F.pmod(F.xxhash64("b"), "chunks").alias("chunk"), F.col("b").alias("node"))
+    leaders = chunks.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
+                            F.col("a").alias("node"))
+    rows = members.unionByName(leaders).join(sets.select("node", F.col("hashes").alias("values")), "node")
+    return rows.groupBy("a", "chunk").applyInArrow(_leader_links(threshold), "a binary, b binary")
+
+
 def _block_links(threshold: int):
     """Links between two blocks of a bucket that join different components."""
     kinds = pa.schema([("a", pa.binary()), ("b", pa.binary())])
@@ -208,17 +223,6 @@ def _block_links(threshold: int):
     return run
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) that link.  Sets of very unequal size cannot."""
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("hashes").alias("y"))
-    sizes = sets.select("node", "n")
-    fit = (pairs.join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b")
-           .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * threshold).select("a", "b"))
-    both = fit.join(left.drop("n_a"), "a").join(right.drop("n_b"), "b").select("a", "b", "x", "y")
-    return both.mapInArrow(_confirm(threshold), "a binary, b binary")
-
-
 def _node_sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """The full sets of some nodes, each from one document that has it."""
     holder = signed.join(bounded(nodes, MAX_BROADCAST), "node", "left_semi").groupBy("node").agg(
