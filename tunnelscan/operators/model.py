@@ -167,6 +167,42 @@ def default_grid(rf: RandomForestClassifier) -> list:
             .addGrid(rf.maxDepth, [5, MAX_DEPTH]).build())
 
 
+def tree_nodes(spark: SparkSession, path: str, stage: int = 1) -> DataFrame:
+    """The nodes of a saved forest: ``tree``, ``node``, ``left``, ``right`` (-1
+    in a leaf), ``feature``, ``threshold`` and the class counts ``stats``.
+
+    ``path``: a saved pipeline model; ``stage``: where the forest is in it."""
+    data = spark.read.parquet(f"{path}/stages/{stage}_*/data")
+    n = F.col("nodeData")
+    return data.select(F.col("treeID").alias("tree"), n["id"].alias("node"), n["leftChild"].alias("left"),
+                       n["rightChild"].alias("right"), n["split"]["featureIndex"].alias("feature"),
+                       F.get(n["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"), n["impurityStats"].alias("stats"))
+
+
+def vote(rows: DataFrame, nodes: DataFrame, id_cols: Sequence[str], vector: str, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """The forest's decision spelled out as joins: every row walks down every
+    tree, the leaves' class shares are added up, the first largest wins.
+
+    An independent check of MLlib's predictions (``id_cols`` name a row); the
+    node table is broadcast, at most 2 ** (depth + 1) nodes for each tree."""
+    trees = sorted(r["tree"] for r in nodes.select("tree").distinct().collect())
+    at = rows.select(*id_cols, F.col(vector).alias("__x"), F.explode(F.array(*map(F.lit, trees))).alias("tree"),
+                     F.lit(0).alias("__at"))
+    table = F.broadcast(nodes.select(F.col("tree").alias("__t"), F.col("node").alias("__n"), "left", "right", "feature",
+                                     "threshold"))
+    for _ in range(max_depth):
+        here = at.join(table, (F.col("tree") == F.col("__t")) & (F.col("__at") == F.col("__n")))
+        down = F.when(F.get("__x", F.col("feature")) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
+        at = here.select(*id_cols, "__x", "tree", F.when(F.col("left") < 0, F.col("__at")).otherwise(down).alias("__at"))
+    leaves = F.broadcast(nodes.select(F.col("tree").alias("__t"), F.col("node").alias("__n"), "stats"))
+    at = at.join(leaves, (F.col("tree") == F.col("__t")) & (F.col("__at") == F.col("__n")))
+    total = F.aggregate("stats", F.lit(0.0), lambda a, x: a + x)
+    classes = at.select(*id_cols, F.posexplode(F.transform("stats", lambda x: x / total)).alias("__k", "__p"))
+    sums = classes.groupBy(*id_cols, "__k").agg(F.sum("__p").alias("__p"))
+    best = F.max_by("__k", F.struct(F.round("__p", 9), -F.col("__k")))
+    return sums.groupBy(*id_cols).agg(best.cast("double").alias("vote"))
+
+
 def cross_validate(train: DataFrame, num_folds: int = 3, seed: int = SEED,
                    feature_cols: Sequence[str] = FEATURE_COLUMNS, parallelism: int = 2, grid=default_grid):
     """O-70: a grid over the forest's parameters (``grid``: a function from the

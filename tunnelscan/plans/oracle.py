@@ -16,6 +16,8 @@ MIN_UNIQUE_SHARE = 0.33
 MIN_TUNNEL_SHARE = 0.24
 GATE_QUERY_MIN_COUNT = 80
 CONFUSION_DIGIT_SHARE = 0.45
+# Thresholds of the config file query.
+FILE_CONFIG = {"min_group_count": 40, "min_unique_qname_share": 0.3, "min_tunnel_share": 0.2}
 
 # The suffix rules, written out apart from the code under test.
 _RULES = """('com', 'exact'), ('net', 'exact'), ('org', 'exact'), ('uk', 'exact'), ('co.uk', 'exact'),
@@ -285,6 +287,14 @@ FROM cands c JOIN alerts a USING ("srcIP", "destIP", sld)
 SELECT "srcIP", "destIP", sld AS "2ld",
        CAST(('0x' || substr(md5("srcIP" || '|' || "destIP" || '|' || sld), 1, 15)) AS BIGINT) AS alert_id
 FROM alerts
+"""),
+    "verdict_from_config": _with(f"""
+, g AS (SELECT "srcIP", "destIP", sld, count(*) AS n, count(DISTINCT qname) AS u,
+               sum(CASE WHEN length(qname) > 45 THEN 1 ELSE 0 END) AS t
+        FROM cands WHERE "srcIP" IS NOT NULL GROUP BY ALL)
+SELECT "srcIP", "destIP", sld AS "2ld", CAST(n AS BIGINT) AS "2ld_count", CAST(t AS BIGINT) AS tunnel_count
+FROM g WHERE n >= {FILE_CONFIG["min_group_count"]} AND t > 0 AND u / n >= {FILE_CONFIG["min_unique_qname_share"]}
+         AND t / n >= {FILE_CONFIG["min_tunnel_share"]}
 """),
     "interval_stats": _with("""
 , g AS (SELECT "srcIP", "destIP", sld, ts_sec - lag(ts_sec) OVER (PARTITION BY "srcIP", "destIP", sld ORDER BY ts_sec) AS gap
@@ -419,6 +429,22 @@ FROM d
 }
 
 
+_FEATURES = ("subdomain_length", "subdomain_entropy", "average_subdomain_length", "min_subdomain_length",
+             "max_subdomain_length", "label_count", "subdomain_uppercase_char", "subdomain_numeric_char",
+             "average_answer_length", "max_answer_length", "average_answer_uppercase_char",
+             "average_answer_numeric_char", "average_answer_entropy")
+ORACLE["assembled_features"] = f"""
+SELECT "QNAME", "RDATA", {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _FEATURES)}
+FROM ({ORACLE["training_features"]}) AS f
+WHERE {" AND ".join(f"{c} IS NOT NULL" for c in _FEATURES)}
+"""
+
+# Every hold-out row with a feature vector, by forest and by node table alike.
+ORACLE["forest_votes"] = f"""
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS agreeing FROM ({ORACLE["assembled_features"]}) AS a
+WHERE CAST(('0x' || substr(md5("QNAME" || '|' || "RDATA" || '|' || '42'), 1, 8)) AS BIGINT) % 1000 >= 800
+"""
+
 ORACLE["answer_features_chars"] = _with(_CLEAN + f"""
 SELECT "QNAME", "RDATA",
   {_char_features('"RDATA"')}

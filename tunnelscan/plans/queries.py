@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import hashlib
 import inspect
+import json
 import uuid
 from typing import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,7 +46,7 @@ from tunnelscan.operators.verdict import (
 from tunnelscan.plans import fixtures, oracle, scoring, training
 from tunnelscan.schemas import ANSWER_FEATURES, FEATURE_COLUMNS, KEYS, NAME_FEATURES
 from tunnelscan.session import fingerprint, path_exists, publish, shared_path
-from tunnelscan.sources.readers import read_training_sample
+from tunnelscan.sources.readers import load_config, read_training_sample
 from tunnelscan.sources.sinks import kafka_records, write_alerts, write_messages
 
 FIXTURE_CONFIG = ScoringConfig(min_group_count=oracle.MIN_GROUP_COUNT,
@@ -225,6 +227,24 @@ def alert_ids(spark: SparkSession, sf: str) -> DataFrame:
     return _score(spark, sf, alert_id="hash").alerts.select(*KEYS, "alert_id")
 
 
+def verdict_from_config(spark: SparkSession, sf: str) -> DataFrame:
+    """O-07: the verdict under thresholds written to a config file and read back."""
+    path = shared_path(spark, "out", f"config_{_run_id(spark, sf)}")
+    text = json.dumps(FIXTURE_CONFIG.with_(**oracle.FILE_CONFIG).to_dict())
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    cfg = load_config(path, spark)
+    alerts = scoring.score(_messages(spark, sf), _stand_in, cfg).alerts
+    return alerts.select(*KEYS, "2ld_count", "tunnel_count")
+
+
+def assembled_features(spark: SparkSession, sf: str) -> DataFrame:
+    """O-61: the elements of the feature vector by name; a row with a NULL
+    feature (an undomained name, an empty answer item) has no vector."""
+    rows = model_ops.assembler().transform(_training_features(spark, sf))
+    vector = vector_to_array("features")
+    return rows.select("QNAME", "RDATA", *[F.round(vector[k], 6).alias(c) for k, c in enumerate(FEATURE_COLUMNS)])
+
+
 def interval_stats_q(spark: SparkSession, sf: str) -> DataFrame:
     """O-39 over the gated rows."""
     gated = volume_gate(_candidates(spark, sf), FIXTURE_CONFIG.min_group_count)
@@ -341,6 +361,25 @@ def rf_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([tuple(float(v) for v in values.values())], schema)
 
 
+def forest_votes(spark: SparkSession, sf: str) -> DataFrame:
+    """O-62..O-64: the hold-out rows scored by the saved and reloaded forest,
+    and again by walking its node table with joins; rows, and rows where both
+    give the same class."""
+    train_df, test_df = _split(spark, sf)
+    train_df = train_df.repartition(_partitions(spark), "QNAME").checkpoint(eager=True)
+    path = shared_path(spark, "out", f"forest_{_run_id(spark, sf)}")
+    model_ops.fit_pipeline(train_df, model_ops.random_forest(num_trees=10, max_depth=5)).write().overwrite().save(path)
+    scored = model_ops.load_model(path).transform(test_df).select(
+        "QNAME", "RDATA", "prediction", vector_to_array("features").alias("x"))
+    # Rows of the same name and answers have the same features.
+    scored = scored.groupBy("QNAME", "RDATA").agg(F.count(F.lit(1)).alias("n"), F.first("prediction").alias("prediction"),
+                                                  F.first("x").alias("x")).checkpoint(eager=True)
+    voted = model_ops.vote(scored, model_ops.tree_nodes(spark, path), ["QNAME", "RDATA"], "x", 5)
+    both = scored.join(voted, ["QNAME", "RDATA"])
+    return both.agg(F.sum("n").alias("rows"), F.sum(F.when(F.col("vote") == F.col("prediction"), F.col("n")))
+                    .alias("agreeing"))
+
+
 def rf_importances(spark: SparkSession, sf: str) -> DataFrame:
     """O-68 (rows only), of a forest fitted on the sample in this call."""
     train_df, _ = _split(spark, sf)
@@ -421,6 +460,7 @@ QUERIES: dict[str, Query] = {
     "group_verdict": group_verdict,
     "flagged_messages": flagged_messages,
     "alert_ids": alert_ids,
+    "verdict_from_config": verdict_from_config,
     "interval_stats": interval_stats_q,
     "row_counts": row_counts,
     "alert_table": alert_table_q,
@@ -431,8 +471,10 @@ QUERIES: dict[str, Query] = {
     "auc_metrics": auc_metrics,
     "rf_predictions": rf_predictions,
     "training_counts": training_counts,
+    "assembled_features": assembled_features,
     "rf_scoring_job": rf_scoring_job,
     "rf_metrics": rf_metrics,
+    "forest_votes": forest_votes,
     "rf_importances": rf_importances,
     "lr_dt_compare": lr_dt_compare,
     "cv_tuning": cv_tuning,

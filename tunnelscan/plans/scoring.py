@@ -204,7 +204,7 @@ def run_scoring_job(spark, input_path: str, model_path: str, config_path: str |
         raise ValueError("give both kafka_topic and kafka_brokers, or neither")
     if not (kafka_topic or output_path):
         raise ValueError("no output path or topic given")
-    cfg = load_config(config_path)
+    cfg = load_config(config_path, spark)
     model = load_model(model_path)
     logs = read_dns_log(spark, input_path, datestr=datestr, hour=hour, base_path=base_path)
     result = score(logs, model_labeler(model), cfg, rules=rules, **score_options)

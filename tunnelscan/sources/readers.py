@@ -4,6 +4,8 @@ and the threshold config (O-07).  Model loading (O-06) is in operators.model.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,7 +88,14 @@ def read_dns_log(spark: SparkSession, path: str, datestr: str | None = None,
     return df
 
 
-def load_config(path: str | None = None, **overrides) -> ScoringConfig:
-    """O-07: the JSON config (five keys) or the defaults."""
-    cfg = ScoringConfig.from_json(path) if path else ScoringConfig()
+def load_config(path: str | None = None, spark: SparkSession | None = None, **overrides) -> ScoringConfig:
+    """O-07: the JSON config (five keys) or the defaults.
+
+    With ``spark`` the file is read through its file systems (a path on HDFS,
+    say), otherwise from the driver's own disk."""
+    if path and spark is not None:
+        text = "\n".join(r[0] for r in spark.read.option("wholetext", True).text(path).collect())
+        cfg = ScoringConfig.from_dict(json.loads(text))
+    else:
+        cfg = ScoringConfig.from_json(path) if path else ScoringConfig()
     return cfg.with_(**overrides) if overrides else cfg
