@@ -9,8 +9,8 @@ later cut that makes it ``MIN_WORDS`` long; chunks overlap, so a repeated passag
 need not begin where a chunk of the last one ended.  Chunks with the same digest
 in more than one document are repeats; overlapping or adjoining repeats of a
 document are merged, and merged runs of ``MIN_RUN`` words or more are returned.
-A passage of 50 words holds such a run whatever stands around it (the chance of
-none is under one in a thousand).
+A passage of 51 words holds such a run whatever stands around it but for one in a
+thousand (simulated), a longer one with still fewer exceptions.
 
 Words: A-Z lower-cased, maximal runs outside ``[\x20\x09-\x0D]``, so changes of
 white space do not matter.
