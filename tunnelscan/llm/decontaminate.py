@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunnelscan.llm.common import as_strings, batch_of, id_text, stage
+from tunnelscan.llm.common import as_strings, batch_of, id_text, slices, stage
 
 WINDOW = 13
 # An automaton takes some 900 bytes for each benchmark word.
@@ -76,51 +76,59 @@ def automaton(block: list, window: int):
     return numbers, auto
 
 
-def _scan(blocks, window: int):
-    """Adds the word ranges hit and the items found to those of earlier rounds."""
-    kinds = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()),
-                       ("first", pa.list_(pa.int32())), ("last", pa.list_(pa.int32())),
-                       ("items", pa.list_(pa.string()))])
+_SEEN = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("first", pa.list_(pa.int32())),
+                   ("last", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
+_FOUND = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()),
+                    ("items", pa.list_(pa.string())), ("items_sha256", pa.string()),
+                    ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
 
+
+def _scan(blocks, window: int, last_round: bool):
+    """Adds the word ranges hit and the items found to those of earlier rounds;
+    the last round turns them into the result."""
     def run(batches):
         held = [automaton(blocks.value[0], window)] if len(blocks.value) == 1 else None
         for batch in batches:
-            texts = as_strings(batch.column(1)).to_pylist()
-            split = [words(t) for t in texts]
-            first, last = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            items = batch.column(5).to_pylist()
+            texts = as_strings(batch.column(1))
+            first, last, items = (batch.column(k).to_pylist() for k in (2, 3, 4))
+            sizes = [0] * len(texts)
             for numbers, auto in held or (automaton(b, window) for b in blocks.value):
                 get = numbers.get
-                for k, w in enumerate(split):
-                    for end, (size, found) in auto.iter(tuple([get(x, 0) for x in w])) if w else ():
-                        first[k].append(end - size + 1)
-                        last[k].append(end)
-                        items[k].extend(found)
-            yield batch_of(kinds, batch.column(0), batch.column(1).cast(pa.string()), [len(w) for w in split],
-                           first, last, [sorted(set(x)) for x in items])
+                for a, b in slices(texts):
+                    for k, text in enumerate(texts.slice(a, b - a).to_pylist(), a):
+                        w = words(text)
+                        sizes[k] = len(w)
+                        for end, (size, found) in auto.iter(tuple([get(x, 0) for x in w])) if w and numbers else ():
+                            first[k].append(end - size + 1)
+                            last[k].append(end)
+                            items[k].extend(found)
+            items = [sorted(set(x)) for x in items]
+            if last_round:
+                yield _result(batch.column(0), texts, sizes, first, last, items)
+            else:
+                yield batch_of(_SEEN, batch.column(0), batch.column(1).cast(pa.string()), first, last, items)
     return run
 
 
-def _finish(batches):
-    kinds = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()),
-                       ("items", pa.list_(pa.string())), ("items_sha256", pa.string()),
-                       ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
-    for batch in batches:
-        rows = []
-        for doc, text, n, first, last, items in zip(*(c.to_pylist() for c in batch.columns)):
-            starts, ends, hit = [], [], 0
-            if first:
-                marks = np.zeros(n + 2, dtype=np.int32)
-                np.add.at(marks, np.asarray(first) + 1, 1)
-                np.add.at(marks, np.asarray(last) + 2, -1)
-                inside = np.r_[np.cumsum(marks)[1:] > 0, False]
-                hit = int(inside.sum())
-                edge = np.flatnonzero(np.diff(np.r_[False, inside].astype(np.int8)))
-                spans = [m.span() for m in _ORIGINAL_WORD.finditer(text)]
-                starts = [spans[k][0] for k in edge[::2]]
-                ends = [spans[k - 1][1] for k in edge[1::2]]
-            rows.append((doc, n, hit, items, hashlib.sha256(",".join(items).encode()).hexdigest(), starts, ends))
-        yield batch_of(kinds, *(list(c) for c in zip(*rows))) if rows else batch_of(kinds, *([] for _ in kinds))
+def _result(ids, texts, sizes, first, last, items) -> pa.RecordBatch:
+    hits, starts, ends = [], [], []
+    for k, n in enumerate(sizes):
+        begin, stop, hit = [], [], 0
+        if first[k]:
+            marks = np.zeros(n + 1, dtype=np.int32)
+            np.add.at(marks, first[k], 1)
+            np.add.at(marks, np.asarray(last[k]) + 1, -1)
+            inside = np.cumsum(marks) > 0
+            hit = int(inside.sum())
+            edge = np.flatnonzero(np.diff(np.r_[False, inside].astype(np.int8)))
+            spans = [m.span() for m in _ORIGINAL_WORD.finditer(texts[k].as_py())]
+            begin = [spans[e][0] for e in edge[::2]]
+            stop = [spans[e - 1][1] for e in edge[1::2]]
+        hits.append(hit)
+        starts.append(begin)
+        ends.append(stop)
+    digests = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
+    return batch_of(_FOUND, ids, sizes, hits, items, digests, starts, ends)
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
@@ -136,22 +144,19 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     """
     spark = documents.sparkSession
     none = F.array().cast("array<int>")
-    df = id_text(documents, id_col, text_col, F.lit(0).cast("long").alias("n_words"), none.alias("first"),
-                 none.alias("last"), F.array().cast("array<string>").alias("items"))
-    held, size, rounds = [], 0, 0
-
-    def scanned(frame):
-        return frame.mapInArrow(_scan(spark.sparkContext.broadcast(held), window), frame.schema)
-
+    df = id_text(documents, id_col, text_col, none.alias("first"), none.alias("last"),
+                 F.array().cast("array<string>").alias("items"))
+    held, size = [], 0
     for block in _blocks(benchmark, item_col, item_text_col, block_words):
+        if size >= round_words:
+            shared = spark.sparkContext.broadcast(held)
+            df, held, size = stage(df.mapInArrow(_scan(shared, window, False), df.schema), "decontaminate"), [], 0
         held.append(block)
         size += sum(len(w) for _, w in block)
-        if size >= round_words:
-            df, held, size, rounds = stage(scanned(df), "decontaminate"), [], 0, rounds + 1
-    if held or not rounds:
-        df = scanned(df)
-    return df.mapInArrow(_finish, "doc_id long, n_words long, n_hit long, items array<string>, "
-                                  "items_sha256 string, starts array<int>, ends array<int>")
+    # Without any window the words are still counted.
+    shared = spark.sparkContext.broadcast(held or [[]])
+    return df.mapInArrow(_scan(shared, window, True), "doc_id long, n_words long, n_hit long, items array<string>, "
+                                                      "items_sha256 string, starts array<int>, ends array<int>")
 
 
 def op3_decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
