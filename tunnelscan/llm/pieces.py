@@ -26,7 +26,7 @@ other columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +39,10 @@ from tunnelscan.llm.common import as_strings, batch_of, id_text, list_array, sli
 MARK = "▁"
 # Words up to this many characters share prefixes; longer ones go alone.
 SHARED = 64
-# Words remembered in a task; the memory starts anew beyond that.
-REMEMBERED = 250_000
-SLICE = 6 << 20
+# Words (and pairs of pieces) remembered in a task, some 200 bytes each; the
+# memory starts anew beyond that.
+REMEMBERED = 150_000
+SLICE = 2 << 20
 _WORD = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
 
 
@@ -103,12 +104,13 @@ class Vocabulary:
 class Encoder:
     """Ids of distinct marked words."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, remembered: int = REMEMBERED):
         self.v = vocabulary
+        self.remembered = remembered
         self.pairs: dict[tuple[str, str], bool] = {}
         self.parts: dict[str, tuple[str, str] | None] = {}
-        # Ids of words met before in this task.
-        self.seen: dict[str, list[int]] = {}
+        # Ids (32-bit, as bytes) of words met before in this task.
+        self.seen: dict[str, bytes] = {}
         # Lengths of the pieces that end in two characters, the longest first.
         ends: dict[str, set[int]] = {}
         for piece in vocabulary.id_of:
@@ -227,16 +229,18 @@ class Encoder:
         back.append(size)
         best.append(top)
 
-    def encode_all(self, words: list[str]) -> list[list[int]]:
-        """Ids of distinct words in any order; short words are remembered."""
+    def encode_all(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words in any order, as the bytes of 32-bit numbers;
+        short words are remembered."""
         seen = self.seen
-        if len(seen) > REMEMBERED:
+        if len(seen) > self.remembered:
             seen.clear()
-        if len(self.pairs) > REMEMBERED:
+        if len(self.pairs) > self.remembered:
             self.pairs.clear()
         new = sorted(w for w in words if len(w) <= SHARED and w not in seen)
-        seen.update(zip(new, self.encode(new)))
-        return [seen[w] if len(w) <= SHARED else self.encode([w])[0] for w in words]
+        for w, ids in zip(new, self.encode(new)):
+            seen[w] = array("i", ids).tobytes()
+        return [seen[w] if len(w) <= SHARED else array("i", self.encode([w])[0]).tobytes() for w in words]
 
 
 def marked(text: str, v: Vocabulary, normalise=None) -> str:
@@ -279,8 +283,8 @@ def encode_slice(part: pa.Array, v: Vocabulary, encoder: Encoder, normalise=None
     """Ids of all texts one after the other, and the offsets of the texts."""
     row, coded = _words(part, v, normalise)
     ids = encoder.encode_all(coded.dictionary.to_pylist())
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    every = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    every = np.frombuffer(b"".join(ids), np.int32)
     begin = np.cumsum(sizes) - sizes
     at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     n = sizes[at] if len(at) else np.empty(0, np.int64)
@@ -319,13 +323,13 @@ class Decoder:
         return out
 
 
-def _encode(model, with_text: bool):
+def _encode(model, with_text: bool, remembered: int):
     kinds = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_()),
                        *([("decoded", pa.string())] if with_text else [])])
 
     def run(batches):
         v, normalise = _load(model.value)
-        encoder, decoder = Encoder(v), Decoder(v)
+        encoder, decoder = Encoder(v, remembered), Decoder(v)
         for batch in batches:
             col = as_strings(batch.column(1))
             for a, b in slices(col, SLICE):
@@ -364,11 +368,11 @@ def _model(df: DataFrame, path: str):
 
 
 def encode(documents: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-           with_text: bool = True) -> DataFrame:
+           with_text: bool = True, remembered: int = REMEMBERED) -> DataFrame:
     """``doc_id``, ``ids``, whether the text decoded from them is the normalised
     text again (``round_trip``), and that text (``decoded``) unless not wanted."""
     return id_text(documents, id_col, text_col).mapInArrow(
-        _encode(_model(documents, model_path), with_text),
+        _encode(_model(documents, model_path), with_text, remembered),
         "doc_id long, ids array<int>, round_trip boolean" + ", decoded string" * with_text)
 
 
@@ -380,5 +384,5 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
 
 
 def op1_sentencepiece(documents: DataFrame, model_path: str) -> DataFrame:
-    out = encode(documents, model_path, with_text=False)
+    out = encode(documents, model_path, with_text=False, remembered=400_000)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
