@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from typing import Iterator
 
@@ -26,9 +27,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     The written files cut the lineage: a lost executor only costs a re-read.
+    They stay there for the folder's own retention, as results may be read late.
     """
     path = shared_path(df.sparkSession, "llm", f"{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -65,6 +67,16 @@ def slices(col: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]
         stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
         yield start, stop
         start = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on between
+    tasks, and what it keeps counts against its executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc only
+    if trim:
+        trim(0)
 
 
 def flat(col: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:

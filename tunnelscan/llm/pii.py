@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tunnelscan.llm.common import give_back
+
 ROUNDS = 8
 # The key of the registered query; a deployment passes its own secret.
 DEMO_KEY = b"replace this key in production"
@@ -285,7 +287,10 @@ def pseudonymised(text: Column, key: bytes, inverse: bool = False) -> Column:
             new, found = (None, []) if s is None else pseudonyms(s, p, inverse)
             rows.append({"text": new, "kinds": [f[0] for f in found], "starts": [f[1] for f in found],
                          "ends": [f[2] for f in found]})
-        return pa.array(rows, _ARROW)
+        out = pa.array(rows, _ARROW)
+        rows.clear()
+        give_back()
+        return out
 
     replaced.__annotations__ = {"col": pa.Array, "return": pa.Array}
     return F.arrow_udf(replaced, _KIND)(text)
