@@ -41,8 +41,8 @@ MARK = "▁"
 SHARED = 64
 # Words (and pairs of pieces) remembered in a task, some 200 bytes each; the
 # memory starts anew beyond that.
-REMEMBERED = 150_000
-SLICE = 2 << 20
+REMEMBERED = 50_000
+SLICE = 1 << 20
 _WORD = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
 
 
@@ -251,10 +251,10 @@ def marked(text: str, v: Vocabulary, normalise=None) -> str:
 
 
 def _load(proto: bytes):
-    import sentencepiece
     v = Vocabulary(proto)
     if v.identity:
         return v, None
+    import sentencepiece
     library = sentencepiece.SentencePieceProcessor(model_proto=proto)
     return v, library.normalize
 
@@ -323,7 +323,7 @@ class Decoder:
         return out
 
 
-def _encode(model, with_text: bool, remembered: int):
+def _encode(model, with_text: bool, remembered: int, slice_bytes: int):
     kinds = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_()),
                        *([("decoded", pa.string())] if with_text else [])])
 
@@ -332,7 +332,7 @@ def _encode(model, with_text: bool, remembered: int):
         encoder, decoder = Encoder(v, remembered), Decoder(v)
         for batch in batches:
             col = as_strings(batch.column(1))
-            for a, b in slices(col, SLICE):
+            for a, b in slices(col, slice_bytes):
                 part = col.slice(a, b - a)
                 ids, offs = encode_slice(part, v, encoder, normalise)
                 texts = decoder.decode(ids, offs)
@@ -368,11 +368,11 @@ def _model(df: DataFrame, path: str):
 
 
 def encode(documents: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
-           with_text: bool = True, remembered: int = REMEMBERED) -> DataFrame:
+           with_text: bool = True, remembered: int = REMEMBERED, slice_bytes: int = SLICE) -> DataFrame:
     """``doc_id``, ``ids``, whether the text decoded from them is the normalised
     text again (``round_trip``), and that text (``decoded``) unless not wanted."""
     return id_text(documents, id_col, text_col).mapInArrow(
-        _encode(_model(documents, model_path), with_text, remembered),
+        _encode(_model(documents, model_path), with_text, remembered, slice_bytes),
         "doc_id long, ids array<int>, round_trip boolean" + ", decoded string" * with_text)
 
 
@@ -384,5 +384,6 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
 
 
 def op1_sentencepiece(documents: DataFrame, model_path: str) -> DataFrame:
-    out = encode(documents, model_path, with_text=False, remembered=400_000)
+    # More memory for fewer words encoded anew; the ids do not depend on it.
+    out = encode(documents, model_path, with_text=False, remembered=400_000, slice_bytes=8 << 20)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
