@@ -184,6 +184,23 @@ def test_names_are_recognised_word_for_word(license_id, text):
     assert not licenses.scan(f"Some words.\nThis is {text.split()[0]} and nothing.\nMore words", all_of, alone)
 
 
+@pytest.mark.parametrize("lines", [0, 20, 40, 400, 2000])
+def test_licences_in_blocks_of_any_length(lines):
+    """A third-party-notice file: notices, one within another, and a name between lines of licence words."""
+    rng = random.Random(lines)
+    filler = [" ".join(["license", *sentences(rng, 8)]) for _ in range(lines)]
+    held = dict(NOTICES)
+    altered = held["MPL-2.0"].replace("distributed", "delivered")
+    parts = [held["ISC"], "released under the mit license", held["BSD-3-Clause"], held["BSD-2-Clause"], altered]
+    text = "\n".join(line for k, part in enumerate(parts) for line in [*filler[k::5], part]) + "\n" + "\n".join(filler)
+    all_of, alone = licenses.templates(), licenses.zstandard.ZstdCompressor(licenses.LEVEL)
+    assert len(licenses.blocks(text)) == 1 and (lines < 2000 or len(text) > 100_000)
+    found = {f[2]: f for f in licenses.scan(text, all_of, alone)}
+    assert set(found) == {"ISC", "MIT", "BSD-3-Clause", "BSD-2-Clause", "MPL-2.0"}
+    assert [found[k][4] for k in ("ISC", "BSD-3-Clause", "BSD-2-Clause", "MPL-2.0")] == [[], [], [], ["distributed"]]
+    assert all(text[a:b].lower().count("mit license") for a, b, k, *_ in found.values() if k == "MIT")
+
+
 def test_licences_on_odd_rows(spark):
     rows = ODD + [(1, "x\nReleased under the MIT License.\ny"), (1, "x\nReleased under the MIT License.\ny"),
                   (2, "your license to speak without warranty of anything")]

@@ -2,9 +2,15 @@
 
 A block of text around licence words is compressed alone and with each template
 as a raw zstandard dictionary; what a template saves of the block's size says
-how much of the block it explains.  Templates are tried by that saving, and a
-winner is confirmed by its exact wording: a name must stand word for word, a
-longer notice may differ in at most a tenth of its words, which are reported.
+how much of the block it explains.  A notice that saves enough is confirmed by
+its wording, which may differ in at most a tenth of its words; the differences
+are reported.  A name must stand word for word, whatever it saves.
+
+A block of any length is searched: notices in overlapping windows of ``SPAN``
+times their own number of words, so that what else the block holds cannot hide
+one, and then in the block as a whole.  Start, end and saving of a finding are
+those of the window, where the block is longer than it.  A wording inside a
+longer one at the same place (BSD-2 in BSD-3) is no finding of its own.
 
 Blocks: the line (or ``REACH`` characters to both sides in a longer line) around
 every licence word; blocks at most ``GAP`` characters apart are one, so a whole
@@ -36,9 +42,14 @@ from tunnelscan.llm.license_texts import NAMES, NOTICES
 
 REACH = 300
 GAP = 200
-# Least share of the block's size that a notice saves to be looked at; a name may
-# be too short to save anything.
+# Least share of the size of a block or window that a notice saves to be looked at.
 SAVING = 0.05
+# Words of a window, as a multiple of the notice's; twice the notice fits wherever
+# it starts, so as many words may be put in as it has.
+SPAN = 3
+# A name's saving is that of its block up to this many characters, beyond that of
+# the words around it.
+NAME_BLOCK = 2_000
 # Words of a notice that may be missing.
 MISSING = 0.1
 LEVEL = 3
@@ -59,6 +70,7 @@ class Template:
     license_id: str
     exact: bool
     words: list
+    counts: Counter
     compressor: zstandard.ZstdCompressor
 
 
@@ -67,7 +79,7 @@ def templates() -> list[Template]:
         flat = " ".join(text.split()).lower().encode()
         # The library wants eight bytes of dictionary at least.
         raw = zstandard.ZstdCompressionDict(flat.rjust(16), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        return Template(license_id, exact, words(text), zstandard.ZstdCompressor(LEVEL, dict_data=raw))
+        return Template(license_id, exact, words(text), Counter(words(text)), zstandard.ZstdCompressor(LEVEL, dict_data=raw))
     return [of(k, t, False) for k, t in NOTICES] + [of(k, t, True) for k, t in NAMES]
 
 
@@ -96,53 +108,126 @@ def widened(text: str, a: int, b: int) -> tuple[int, int]:
     return start if gap < 0 else gap + 2, min(b + REACH, len(text)) if end < 0 else end
 
 
-def _differences(template: Template, block: list[str]) -> tuple[int, list[str], int] | None:
-    """(number of words in place, missing words, words put in between), or None
-    where the wording is not the template's."""
-    t = template.words
-    if template.exact:
-        n = len(t)
-        return (n, [], 0) if any(block[k:k + n] == t for k in range(len(block) - n + 1)) else None
-    same = [m for m in SequenceMatcher(None, t, block, autojunk=False).get_matching_blocks() if m.size]
-    found = sum(m.size for m in same)
-    if found < (1 - MISSING) * len(t):
+@dataclass
+class Finding:
+    template: Template
+    start: int
+    end: int
+    saving: float
+    # Words in place, missing words, number of words put in between.
+    found: int
+    missing: list
+    extra: int
+    # Its first and last word in the block.
+    first: int
+    last: int
+
+
+class _Block:
+    """The words of a block with their places, and what templates save of its parts."""
+
+    def __init__(self, low: str, a: int, b: int, alone: zstandard.ZstdCompressor):
+        self.low, self.a, self.b, self.alone = low, a, b, alone
+        marks = list(_WORD.finditer(low, a, b))
+        self.words, self.spans = [m.group() for m in marks], [m.span() for m in marks]
+
+    def part(self, i: int, j: int) -> tuple[int, int]:
+        """(start, end) of the words ``i`` to ``j``."""
+        return (self.a if i == 0 else self.spans[i][0]), (self.b if j == len(self.words) else self.spans[j - 1][1])
+
+    def saving(self, template: Template, a: int, b: int) -> float:
+        raw = " ".join(self.low[a:b].split()).encode("utf-8", "surrogatepass")
+        size = len(self.alone.compress(raw))
+        return (size - len(template.compressor.compress(raw))) / size
+
+    def look(self, template: Template, i: int, j: int) -> Finding | None:
+        """The notice among the words ``i`` to ``j``, if its wording is there."""
+        t, some = template.words, self.words[i:j]
+        least = (1 - MISSING) * len(t)
+        # Words that are not there at all cannot be in place.
+        if (Counter(some) & template.counts).total() < least:
+            return None
+        a, b = self.part(i, j)
+        saving = self.saving(template, a, b)
+        if saving < SAVING:
+            return None
+        same = [m for m in SequenceMatcher(None, t, some, autojunk=False).get_matching_blocks() if m.size]
+        found = sum(m.size for m in same)
+        if found < least:
+            return None
+        held = {k for m in same for k in range(m.a, m.a + m.size)}
+        extra = sum(y.b - x.b - x.size for x, y in pairwise(same))
+        return Finding(template, a, b, saving, found, [w for k, w in enumerate(t) if k not in held], extra,
+                       i + same[0].b, i + same[-1].b + same[-1].size - 1)
+
+    def sweep(self, template: Template, i: int, j: int):
+        """All places of a notice among the words ``i`` to ``j``."""
+        n = len(template.words)
+        while i < j:
+            end = min(i + SPAN * n, j)
+            hit = self.look(template, i, end)
+            if hit is None:
+                if end == j:
+                    return
+                i += n
+                continue
+            if end < j:
+                # The window may have cut its end off.
+                k = max(i, hit.first - n // 2)
+                again = self.look(template, k, min(k + SPAN * n, j))
+                hit = again if again and again.found > hit.found else hit
+            if hit.first - i >= (1 - MISSING) * n:
+                yield from self.sweep(template, i, hit.first)
+            yield hit
+            i = hit.last + 1
+
+    def notices(self, template: Template) -> list[Finding]:
+        out = list(self.sweep(template, 0, len(self.words)))
+        if not out and len(self.words) > SPAN * len(template.words):
+            whole = self.look(template, 0, len(self.words))
+            out = [whole] if whole else []
+        return out
+
+    def names(self, template: Template, joined: str, a: int, b: int, covered: set) -> Finding | None:
+        """The first place of a name within (``a``, ``b``) outside the ``covered`` words."""
+        name, n = f" {' '.join(template.words)} ", len(template.words)
+        at, k, before = joined.find(name), 0, 0
+        while at >= 0:
+            k += joined.count(" ", before, at)
+            before = at
+            if a <= self.spans[k][0] and self.spans[k + n - 1][1] <= b and k not in covered:
+                x, y = self.spans[max(0, k - n)][0], self.spans[min(k + 2 * n, len(self.words)) - 1][1]
+                x, y = (a, b) if b - a <= NAME_BLOCK else (max(a, x), min(b, y))
+                return Finding(template, x, y, self.saving(template, x, y), n, [], 0, k, k + n - 1)
+            at = joined.find(name, at + 1)
         return None
-    held = {k for m in same for k in range(m.a, m.a + m.size)}
-    extra = sum(y.b - x.b - x.size for x, y in pairwise(same))
-    return found, [w for k, w in enumerate(t) if k not in held], extra
-
-
-def _ranked(text: str, some: list[Template], alone: zstandard.ZstdCompressor) -> list[tuple[float, Template]]:
-    """The templates by the share of the text's size that they save."""
-    raw = " ".join(text.split()).lower().encode("utf-8", "surrogatepass")
-    size = len(alone.compress(raw))
-    saved = [(size - len(t.compressor.compress(raw))) / size for t in some]
-    return sorted(zip(saved, some), key=lambda x: -x[0])
 
 
 def scan(text: str, all_of: list[Template], alone: zstandard.ZstdCompressor) -> list[tuple]:
     """(start, end, licence, saving, missing words, words put in) of each finding."""
     out = []
-    for block in blocks(text):
-        wide = widened(text, *block)
-        found: dict[str, tuple] = {}
-        for (a, b), exact, least in ((wide, False, SAVING), (block, True, 0.0)):
-            in_block = words(text[a:b])
-            for saving, t in _ranked(text[a:b], [t for t in all_of if t.exact == exact], alone):
-                if saving < least:
-                    break
-                difference = _differences(t, in_block)
-                # A longer wording that is there as a whole speaks for its licence alone.
-                if difference is None or any(_within(t.words, f[0].words) for f in found.values()):
-                    continue
-                old = found.get(t.license_id)
-                if old is None or difference[0] > old[4][0]:
-                    found = {k: f for k, f in found.items() if not _within(f[0].words, t.words)}
-                    found[t.license_id] = (t, a, b, saving, difference)
-        for license_id, (t, a, b, saving, (_, missing, extra)) in sorted(found.items()):
-            # Of nearly equal notices (two versions), the one with the fewest missing words.
-            if not any(len(f[4][1]) < len(missing) and _alike(t.words, f[0].words) for f in found.values()):
-                out.append((a, b, license_id, saving, missing, extra))
+    # The one letter that gets longer in lower case would move the places.
+    low = text.replace("\u0130", "i").lower()
+    for a, b in blocks(text):
+        block = _Block(low, *widened(text, a, b), alone)
+        found = [f for t in all_of if not t.exact for f in block.notices(t)]
+        # A longer wording that is there as a whole speaks for its licence alone, and of
+        # nearly equal notices (two versions) the one with the fewest missing words.
+        found = [f for f in found if not any(
+            f.first <= g.last and g.first <= f.last and (
+                _within(f.template.words, g.template.words)
+                or len(g.missing) < len(f.missing) and _alike(f.template.words, g.template.words))
+            for g in found)]
+        joined = f" {' '.join(block.words)} "
+        for t in sorted((t for t in all_of if t.exact), key=lambda t: -len(t.words)):
+            if f" {' '.join(t.words)} " in joined:
+                covered = {k for f in found if _within(t.words, f.template.words) for k in range(f.first, f.last + 1)}
+                f = block.names(t, joined, a, b, covered)
+                found += [f] if f else []
+        best: dict[str, Finding] = {}
+        for f in sorted(found, key=lambda f: (-f.found, -f.saving)):
+            best.setdefault(f.template.license_id, f)
+        out += [(f.start, f.end, k, f.saving, f.missing, f.extra) for k, f in sorted(best.items())]
     return out
 
 
