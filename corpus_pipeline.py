@@ -22,6 +22,10 @@ from tunnelscan.llm.common import bounded, stage, table
 
 # Ids removed by a stage, 8 bytes each, broadcast up to this many.
 MAX_BROADCAST = 2_000_000
+# Similarity in percent from which the stage drops a document, and permutations
+# for 30 bands: a pair at 0.80 misses all with probability 7e-6.
+SIMILAR = 80
+PERMUTATIONS = 75
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -40,7 +44,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id."""
-    groups = _minhash.near_duplicates(docs)
+    groups = _minhash.near_duplicates(docs, threshold=SIMILAR, n_permutations=PERMUTATIONS)
     repeated = stage(groups.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1"), "repeated")
     out = _without(docs, groups.where("not kept").select("doc_id"))
     if repeated.isEmpty():

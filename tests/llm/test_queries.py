@@ -2,12 +2,13 @@
 against plain models of its stages."""
 
 import os
+import random
 
 import duckdb
 import public_tokenizers
 import pytest
 import sentencepiece
-from helpers import ODD, docs
+from helpers import ODD, docs, shingles
 from test_dedup import groups
 from test_scans import contamination
 
@@ -75,6 +76,23 @@ def test_pipeline_stages_equal_plain_models(spark):
     assert {i: r["ids"] for i, r in _rows(corpus_pipeline.run(spark, SF)).items()} == {i: r["ids"] for i, r in out.items()}
 
 
+def test_near_duplicate_stage_takes_pairs_from_080(spark):
+    rng, rows = random.Random(3), []
+    for k in range(30):
+        w = [f"{k}x{rng.randrange(10 ** 6)}" for _ in range(204)]
+        # 200 shingles; a changed word within takes five from each side.
+        for at in range(10, 10 + 20 * (3 + k % 3), 20):
+            rows.append((2 * k, " ".join(w))) if at == 10 else None
+            w[at] = f"changed{k}at{at}"
+        rows.append((2 * k + 1, " ".join(w)))
+    sets = {i: shingles(t) for i, t in rows}
+    alike = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 60, 2)]
+    assert sum(0.8 <= x < 0.85 for x in alike) == 10 and sum(x < 0.8 for x in alike) == 10
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs(spark, rows), SF).collect()}
+    assert kept == {i for i, root in groups(rows, 80).items() if i == root}
+    assert {i for i in range(1, 60, 2) if i not in kept} == {2 * k + 1 for k, x in enumerate(alike) if x >= 0.8}
+
+
 def test_stages_on_odd_rows(spark, tmp_path):
     rows = ODD + [(1, "same words in two rows of one id"), (1, "same words in two rows of one id"), (2, "other words")]
     frame, sf = docs(spark, rows), str(tmp_path)
