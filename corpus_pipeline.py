@@ -3,8 +3,10 @@ contamination, personal data, tokens.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows its
 predecessor kept; ``run`` writes each stage's rows under the shared checkpoint
-folder and reads them back as the next one's documents.  A row with a NULL id
-takes part in the stages that look at its text alone.
+folder and reads them back as the next one's documents.  A stage judges
+rows, not ids: rows that share an id are kept or dropped each by its own text.
+A row with a NULL id takes part in the stages that look at its text alone; as a
+near-duplicate it is never dropped.
 """
 
 from __future__ import annotations
@@ -20,45 +22,50 @@ from tunnelscan.llm import pii as _pii
 from tunnelscan.llm import toxicity as _toxicity
 from tunnelscan.llm.common import bounded, stage, table
 
-# Ids removed by a stage, 8 bytes each, broadcast up to this many.
-MAX_BROADCAST = 2_000_000
+# Near-duplicates, 24 bytes each, broadcast up to this many.
+MAX_BROADCAST = 500_000
 # Similarity in percent from which the stage drops a document, and permutations
 # for 30 bands: a pair at 0.80 misses all with probability 7e-6.
 SIMILAR = 80
 PERMUTATIONS = 75
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is not among the distinct ``ids``."""
-    gone = bounded(stage(ids.where("doc_id is not null").distinct(), "gone"), MAX_BROADCAST)
-    return docs.join(gone, "doc_id", "left_anti")
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic."""
     labels = table(spark, sf_dir, "labels")
     model = _toxicity.fit(docs, labels, _toxicity.severity_grade(F.col("quality"), F.col("toxic")))
-    graded = _toxicity.severity(docs, model)
-    return _without(docs, graded.where(_toxicity.is_toxic()).select("doc_id"))
+    return _toxicity.severity(docs, model, whole_rows=True).where(~_toxicity.is_toxic()).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that with the smallest id."""
-    groups = _minhash.near_duplicates(docs, threshold=SIMILAR, n_permutations=PERMUTATIONS)
-    repeated = stage(groups.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1"), "repeated")
-    out = _without(docs, groups.where("not kept").select("doc_id"))
-    if repeated.isEmpty():
-        return out
-    # Rows that share their id: one of them stays.
-    again = bounded(repeated.select("doc_id"), MAX_BROADCAST)
-    once = out.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return out.join(again, "doc_id", "left_anti").unionByName(once)
+    # Rows of the same id and text are of the same group: the two name a document.
+    content = F.coalesce(F.unhex(F.md5(F.col("text").cast("binary"))), F.lit(b""))
+    found = _minhash.near_duplicates(docs, threshold=SIMILAR, n_permutations=PERMUTATIONS, content=content)
+    groups = stage(found.where("doc_id is not null").select(
+        "doc_id", "content", "kept", F.coalesce("component", "content").alias("group")), "groups")
+    # Several rows of the smallest id: one of them stays.
+    first = groups.where("kept").groupBy("doc_id", "group").agg(
+        F.count(F.lit(1)).alias("n"), F.min("content").alias("content")).where("n > 1").drop("n")
+    first = stage(first, "repeated")
+    others = groups.where("kept").join(first.withColumnRenamed("content", "first"), ["doc_id", "group"]).where(
+        "content <> first")
+    gone = stage(groups.where("not kept").unionByName(others.drop("first")).select("doc_id", "content").distinct(), "gone")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("doc_id").cast("long").alias("doc_id"), content.alias("content"))
+    key = ["doc_id", "content"]
+    out = rows.join(bounded(gone, MAX_BROADCAST), key, "left_anti")
+    if not first.isEmpty():
+        again = bounded(first.select(key), MAX_BROADCAST)
+        once = out.join(again, key, "left_semi").dropDuplicates(key)
+        out = out.join(again, key, "left_anti").unionByName(once)
+    return out.select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated."""
-    found = _decontaminate.op3_decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated").select("doc_id"))
+    found = _decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), whole_rows=True)
+    return found.where(~_decontaminate.is_contaminated()).select("row.*")
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ import duckdb
 import public_tokenizers
 import pytest
 import sentencepiece
-from helpers import ODD, docs, shingles
+from helpers import ODD, docs, sentences, shingles
+from pyspark.sql import functions as F
 from test_dedup import groups
 from test_scans import contamination
 
@@ -109,6 +110,34 @@ def test_stages_on_odd_rows(spark, tmp_path):
         assert step(spark, docs(spark, []), sf).count() == 0
 
 
+def test_stages_judge_rows_and_not_ids(spark, tmp_path):
+    rng, sf = random.Random(8), str(tmp_path)
+    one, two, item = (" ".join(sentences(rng, 60)) for _ in range(3))
+    bad = [" ".join(["vile", *sentences(rng, 20)]) for _ in range(60)]
+    good = [" ".join(["kind", *sentences(rng, 20)]) for _ in range(60)]
+    labelled = [(100 + k, t) for k, t in enumerate(bad)] + [(200 + k, t) for k, t in enumerate(good)]
+    spark.createDataFrame([(i, 5 * (i >= 200), int(i < 200)) for i, _ in labelled],
+                          "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+
+    def left(step, rows):
+        frame = docs(spark, rows).withColumn("n", F.lit(1))
+        out = step(spark, frame, sf)
+        assert out.columns == frame.columns
+        return sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+
+    mixed = [(None, bad[0]), (None, good[0]), (7, bad[1]), (7, good[1])]
+    assert {r for r in left(corpus_pipeline.toxicity, labelled + mixed) if r[0] in (None, 7)} == {mixed[1], mixed[3]}
+    mixed = [(None, item), (None, one), (7, item), (7, one)]
+    assert left(corpus_pipeline.decontaminate, mixed) == sorted([mixed[1], mixed[3]], key=str)
+    # Two texts of id 5, one also in upper case and the other twice, which id 3 has too.
+    mixed = [(5, one), (5, two), (5, two), (5, one.upper()), (6, one), (9, two), (8, None), (8, ""), (8, None)]
+    kept = left(corpus_pipeline.near_duplicates, mixed)
+    assert kept in [sorted([(5, x), (5, two), (8, None), (8, "")], key=str) for x in (one, one.upper())]
+    kept = left(corpus_pipeline.near_duplicates, [*mixed, (3, two)])
+    assert kept in [sorted([(5, x), (3, two), (8, None), (8, "")], key=str) for x in (one, one.upper())]
+
+
 def test_package_works_without_the_subpackage(tmp_path):
     """As the driver checks it: the folders and the pipeline deleted."""
     import shutil

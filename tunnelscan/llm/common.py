@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tunnelscan.session import shared_path
 
@@ -49,6 +50,23 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more
                      F.col(f"`{text_col}`").cast("string").alias("text"), *more)
 
 
+def row_text(df: DataFrame, text_col: str = "text", *more) -> DataFrame:
+    """The whole row as a struct in place of its id, the text as ``string`` and
+    named extra expressions."""
+    quoted = [F.col(f"`{c}`") for c in df.columns]
+    return df.select(F.struct(*quoted).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"), *more)
+
+
+def keyed(df: DataFrame, ddl: str) -> StructType:
+    """The first column of ``df`` and the columns of ``ddl``."""
+    return StructType([df.schema[0], *StructType.fromDDL(ddl).fields])
+
+
+def keyed_batch(schema: pa.Schema, key: pa.Array, *columns) -> pa.RecordBatch:
+    """``batch_of`` with the first column as it came, an id or a row."""
+    return batch_of(schema.set(0, schema.field(0).with_type(key.type)), key, *columns)
+
+
 def as_strings(col) -> pa.Array:
     """One string array with 64-bit offsets and '' in place of NULL."""
     if isinstance(col, pa.ChunkedArray):

@@ -24,10 +24,10 @@ from typing import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunnelscan.llm.common import as_strings, batch_of, id_text, slices, stage
+from tunnelscan.llm.common import as_strings, id_text, keyed, keyed_batch, row_text, slices, stage
 
 WINDOW = 13
 # An automaton takes some 900 bytes for each benchmark word.
@@ -106,7 +106,7 @@ def _scan(blocks, window: int, last_round: bool):
             if last_round:
                 yield _result(batch.column(0), texts, sizes, first, last, items)
             else:
-                yield batch_of(_SEEN, batch.column(0), batch.column(1).cast(pa.string()), first, last, items)
+                yield keyed_batch(_SEEN, batch.column(0), batch.column(1).cast(pa.string()), first, last, items)
     return run
 
 
@@ -128,15 +128,16 @@ def _result(ids, texts, sizes, first, last, items) -> pa.RecordBatch:
         starts.append(begin)
         ends.append(stop)
     digests = [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]
-    return batch_of(_FOUND, ids, sizes, hits, items, digests, starts, ends)
+    return keyed_batch(_FOUND, ids, sizes, hits, items, digests, starts, ends)
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                   text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-                  block_words: int = BLOCK_WORDS, round_words: int = ROUND_WORDS) -> DataFrame:
+                  block_words: int = BLOCK_WORDS, round_words: int = ROUND_WORDS, whole_rows: bool = False) -> DataFrame:
     """A row for each document: ``n_words``, ``n_hit``, the items found (ids as
     sorted strings), their digest, and ``starts`` / ``ends``: the character
-    offsets of the maximal hit ranges in the original text.
+    offsets of the maximal hit ranges in the original text; with ``whole_rows``
+    the struct ``row`` of all columns in place of the id.
 
     The benchmark is read in blocks; the blocks of a round (``round_words`` at
     most) are broadcast and each becomes one automaton at a time in a task.
@@ -144,8 +145,8 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     """
     spark = documents.sparkSession
     none = F.array().cast("array<int>")
-    df = id_text(documents, id_col, text_col, none.alias("first"), none.alias("last"),
-                 F.array().cast("array<string>").alias("items"))
+    lists = none.alias("first"), none.alias("last"), F.array().cast("array<string>").alias("items")
+    df = row_text(documents, text_col, *lists) if whole_rows else id_text(documents, id_col, text_col, *lists)
     held, size = [], 0
     for block in _blocks(benchmark, item_col, item_text_col, block_words):
         if size >= round_words:
@@ -155,12 +156,17 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
         size += sum(len(w) for _, w in block)
     # Without any window the words are still counted.
     shared = spark.sparkContext.broadcast(held or [[]])
-    return df.mapInArrow(_scan(shared, window, True), "doc_id long, n_words long, n_hit long, items array<string>, "
-                                                      "items_sha256 string, starts array<int>, ends array<int>")
+    return df.mapInArrow(_scan(shared, window, True), keyed(df, "n_words long, n_hit long, items array<string>, "
+                                                                "items_sha256 string, starts array<int>, ends array<int>"))
+
+
+def is_contaminated() -> Column:
+    """At least a twentieth of the words are hit."""
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
 def op3_decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = decontaminate(documents, benchmark)
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items_sha256",
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+        is_contaminated().alias("contaminated"))

@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunnelscan.llm.common import (as_strings, batch_of, bounded, flat, id_text, list_array, mix, slices, span_hashes,
@@ -122,7 +122,7 @@ def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
 
 def _sign(size: int, n_permutations: int, rows: int):
     kinds = pa.schema([("doc_id", pa.int64()), ("node", pa.binary()), ("n_shingles", pa.int64()),
-                       ("bands", pa.list_(pa.int64()))])
+                       ("bands", pa.list_(pa.int64())), ("content", pa.binary())])
 
     def run(batches):
         a, b = permutations(n_permutations)
@@ -140,7 +140,8 @@ def _sign(size: int, n_permutations: int, rows: int):
                         keys.append(np.empty(0, np.int64))
             offs = np.cumsum([0] + [len(k) for k in keys])
             yield batch_of(kinds, batch.column(0), nodes, counts,
-                           list_array(np.concatenate(keys) if keys else np.empty(0, np.int64), offs, pa.int64()))
+                           list_array(np.concatenate(keys) if keys else np.empty(0, np.int64), offs, pa.int64()),
+                           batch.column(2))
     return run
 
 
@@ -236,12 +237,16 @@ def _node_sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, size: int)
 
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    threshold: int = THRESHOLD, n_permutations: int = PERMUTATIONS, rows: int = ROWS) -> DataFrame:
+                    threshold: int = THRESHOLD, n_permutations: int = PERMUTATIONS, rows: int = ROWS,
+                    content: Column | None = None) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` (smallest id of the group) and
-    ``kept`` (the row has that id) of every document."""
+    ``kept`` (the row has that id) of every document.  With ``content``, a binary
+    expression of a row, also that and the ``component`` (NULL without shingles),
+    which tells apart groups of the same smallest id."""
     docs = id_text(documents, id_col, text_col)
-    signed = stage(docs.mapInArrow(_sign(shingle, n_permutations, rows),
-                                   "doc_id long, node binary, n_shingles long, bands array<long>"), "minhash")
+    named = id_text(documents, id_col, text_col, (F.lit(None).cast("binary") if content is None else content).alias("content"))
+    signed = stage(named.mapInArrow(_sign(shingle, n_permutations, rows),
+                                    "doc_id long, node binary, n_shingles long, bands array<long>, content binary"), "minhash")
     nodes = signed.where("doc_id is not null and node is not null").groupBy("node").agg(
         F.min("doc_id").alias("lowest"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     nodes = stage(nodes, "nodes")
@@ -272,20 +277,20 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
             sets.select("node", F.col("hashes").alias("values")), "node")
         more = tasks.groupBy("key", "i", "j").applyInArrow(_block_links(threshold), "a binary, b binary")
         groups = components(links.unionByName(stage(more, "links")))
-    return _labelled(signed, nodes, groups)
+    return _labelled(signed, nodes, groups, () if content is None else ("content", "component"))
 
 
-def _labelled(signed: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
+def _labelled(signed: DataFrame, nodes: DataFrame, groups: DataFrame, more: tuple) -> DataFrame:
     of_node = nodes.select("node", "lowest").join(groups, "node", "left").select(
         "node", "lowest", F.coalesce("component", "node").alias("component"))
     lowest = of_node.groupBy("component").agg(F.min("lowest").alias("component_id"))
-    named = of_node.join(lowest, "component").select("node", "component_id")
+    named = of_node.join(lowest, "component").select("node", "component_id", *more[1:])
     out = signed.drop("bands").join(named, "node", "left")
     alone = F.col("doc_id").isNull()
     return out.select(
         "doc_id", "n_shingles",
         F.when(~alone, F.coalesce("component_id", "doc_id")).alias("component_id"),
-        (alone | (F.col("doc_id") == F.coalesce("component_id", "doc_id"))).alias("kept"))
+        (alone | (F.col("doc_id") == F.coalesce("component_id", "doc_id"))).alias("kept"), *more)
 
 
 def op4_minhash(documents: DataFrame) -> DataFrame:

@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunnelscan.llm.common import as_strings, batch_of, flat, id_text, list_array, mix, slices, span_hashes, span_tables, word_spans
+from tunnelscan.llm.common import (as_strings, batch_of, flat, id_text, keyed, keyed_batch, list_array, mix, row_text,
+                                   slices, span_hashes, span_tables, word_spans)
 
 SAMPLE_ROWS = 10_000
 BITS = 18
@@ -245,18 +246,20 @@ def _score(model):
             col = as_strings(batch.column(1))
             for a, b in slices(col):
                 p = m.exceeds(m.scores(col.slice(a, b - a)))
-                yield batch_of(kinds, batch.column(0).slice(a, b - a),
-                               list_array(p.ravel(), np.arange(b - a + 1) * p.shape[1], pa.float64()),
-                               p.sum(axis=1), (p > 0.5).sum(axis=1).astype(np.int32))
+                yield keyed_batch(kinds, batch.column(0).slice(a, b - a),
+                                  list_array(p.ravel(), np.arange(b - a + 1) * p.shape[1], pa.float64()),
+                                  p.sum(axis=1), (p > 0.5).sum(axis=1).astype(np.int32))
     return run
 
 
-def severity(documents: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def severity(documents: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text",
+             whole_rows: bool = False) -> DataFrame:
     """``doc_id``, ``exceeds`` (P(grade > k) by k), expected ``severity`` and
-    the most likely ``grade`` by the median of every document."""
+    the most likely ``grade`` by the median of every document; with ``whole_rows``
+    the struct ``row`` of all columns in place of the id."""
     shared = documents.sparkSession.sparkContext.broadcast((model.weights, model.thresholds, model.bits))
-    return id_text(documents, id_col, text_col).mapInArrow(
-        _score(shared), "doc_id long, exceeds array<double>, severity double, grade int")
+    df = row_text(documents, text_col) if whole_rows else id_text(documents, id_col, text_col)
+    return df.mapInArrow(_score(shared), keyed(df, "exceeds array<double>, severity double, grade int"))
 
 
 def is_toxic() -> Column:
