@@ -130,6 +130,25 @@ def test_pseudonyms_keep_the_format_and_come_back(kind, value):
     assert pii.pseudonyms(text, P)[0] == new != pii.pseudonyms(text, pii.Permutation(b"other key"))[0]
 
 
+@pytest.mark.parametrize("text, kind, value", [
+    ("paid in 2024 4111 1111 1111 1111 today", "card", "4111 1111 1111 1111"),
+    ("items 1234 5678 9012 2024 5500-0000-0000-0004.", "card", "5500-0000-0000-0004"),
+    ("+4111 1111 1111 1111", "card", "4111 1111 1111 1111"),
+    ("to GB82 WEST 1234 5698 7654 32.", "iban", "GB82 WEST 1234 5698 7654 32"),
+    ("to BE68 5390 0754 7034 THIS YEAR", "iban", "BE68 5390 0754 7034"),
+    ("to NO93 8601 1117 947 or", "iban", "NO93 8601 1117 947"),
+    ("ref AB12 DE89 3704 0044 0532 0130 00", "iban", "DE89 3704 0044 0532 0130 00"),
+])
+def test_values_within_failed_ones_and_in_groups(text, kind, value):
+    new, found = pii.pseudonyms(text, P)
+    assert [(k, text[a:b]) for k, a, b in found] == [(kind, value)]
+    assert value not in new and len(new) == len(text) and pii.pseudonyms(new, P, inverse=True)[0] == text
+    # The value alone has the same pseudonym, with and without its groups.
+    assert pii.pseudonyms(value, P)[0] in new
+    assert kind != "iban" or pii.pseudonyms(value.replace(" ", ""), P)[0] == pii.pseudonyms(value, P)[0].replace(" ", "")
+    assert kind != "iban" or pii.pseudonyms(value[:-1] + ("1" if value[-1] != "1" else "2"), P)[1] == []
+
+
 def test_only_valid_values_are_changed():
     for text in ("4111111111111112", "999.1.1.1", "2021-02-30", "000-12-3456", "version 2.0.1", "GB83WEST12345698765432",
                  "1234567", "a@b", "token = short", "01.02.03.04"):

@@ -10,7 +10,8 @@ values different ones, and the holder of the key can invert them.
 kind        what is found                                            what stays
 ==========  =======================================================  ================
 email       local part @ domain                                      case, signs, domain
-iban        country, check digits and account, mod 97                country
+iban        country, check digits and account, plain or in groups    country, groups
+            of four, mod 97
 card        13 to 19 digits, plain or in groups, Luhn                first digit, groups
 ssn         three groups of a valid area                             groups
 ip          four octets up to 255                                    dots
@@ -21,8 +22,10 @@ secret      16 or more characters after token, key, secret ...       character c
 
 Edge cases: a NULL text stays NULL, an empty one empty, with no findings; where
 two patterns meet, the one that starts first wins, then the order of the table;
-numbers that fail their check stay as they are; repeated rows and texts of any
-length are treated alike; other columns pass through.
+numbers that fail their check stay as they are, and a value that starts within
+one is still found (the number around it may pass its check once the value is
+replaced: such a value is inverted alone, by its place); repeated rows and texts
+of any length are treated alike; other columns pass through.
 """
 
 from __future__ import annotations
@@ -53,9 +56,19 @@ _NUMBERS = re.compile(r"""
 """, re.X)
 # Runs of the signs that the numbers above are made of.
 _RUN = re.compile(r"[\d+(][\d ().+/-]{6,}")
+_GROUP = re.compile(r"[+(]|\d+")
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
 _DOMAIN = re.compile(r"(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])")
+# In groups of four, the last one shorter.
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})(?=\d{2} [A-Z0-9]{4} )")
+_IBAN_GROUPS = re.compile(r"[A-Z]{2}\d{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3}(?![A-Za-z0-9]))?")
+# Characters of an IBAN by country; others end where their groups do.
+_IBAN_SIZES = {country: size for size, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC"}.items() for country in countries.split()}
 _SECRET = re.compile(r"""(?:token|key|secret|password|passwd)["']?[ \t]*[:=][ \t]*["']?([0-9A-Za-z+/_-]{16,})""", re.I)
 _SECRET_WORDS = ("token", "key", "secret", "passw", "TOKEN", "KEY", "SECRET", "PASSW", "Token", "Key", "Secret", "Passw")
 _ORDER = ("email", "iban", "card", "ssn", "ip", "date", "phone", "secret")
@@ -151,10 +164,12 @@ def _iban_check(country: str, account: str) -> str:
 
 
 def _iban(p, s, inverse):
-    if _iban_check(s[:2], s[4:]) != s[2:4]:
+    flat = s.replace(" ", "")
+    if _iban_check(flat[:2], flat[4:]) != flat[2:4]:
         return None
-    account = _by_class(p, "iban|" + s[:2], s[4:], inverse)
-    return s[:2] + _iban_check(s[:2], account) + account
+    account = _by_class(p, "iban|" + flat[:2], flat[4:], inverse)
+    new = flat[:2] + _iban_check(flat[:2], account) + account
+    return " ".join(new[k:k + 4] for k in range(0, len(new), 4)) if " " in s else new
 
 
 def _card(p, s, inverse):
@@ -245,7 +260,10 @@ def _candidates(text: str):
                 yield local.start(), 0, domain.end(), "email"
             at = text.find("@", at + 1)
     for run in _RUN.finditer(text):
-        for m in _NUMBERS.finditer(text, run.start(), run.end()):
+        at = run.start()
+        while m := _NUMBERS.search(text, at, run.end()):
+            # On from the next group of digits: where this fails its check, a value within may pass.
+            at = _GROUP.match(text, m.start()).end()
             kind = next(k for k in ("card", "ssn", "ip", "date", "phone") if m.group(k))
             end = m.end()
             if end < len(text) and text[end].isalnum() or m.start() and text[m.start() - 1].isalnum():
@@ -254,8 +272,15 @@ def _candidates(text: str):
     if any(w in text for w in _SECRET_WORDS):
         for m in _SECRET.finditer(text):
             yield m.start(1), _ORDER.index("secret"), m.end(1), "secret"
-    for m in _IBAN.finditer(text) if any(c.isdigit() for c in text) else ():
-        yield m.start(), 1, m.end(), "iban"
+    if any(c.isdigit() for c in text):
+        for m in _IBAN.finditer(text):
+            yield m.start(), 1, m.end(), "iban"
+        for m in _IBAN_START.finditer(text):
+            n = _IBAN_SIZES.get(m.group(1))
+            # The country tells where it ends, as words in capitals may follow.
+            whole = _IBAN_GROUPS.match(text, m.start(), m.start() + n + (n - 1) // 4) if n else _IBAN_GROUPS.match(text, m.start())
+            if whole and (not n or len(whole.group().replace(" ", "")) == n) and not text[whole.end():whole.end() + 1].isalnum():
+                yield whole.start(), 1, whole.end(), "iban"
 
 
 def pseudonyms(text: str, p: Permutation, inverse: bool = False) -> tuple[str, list]:
