@@ -56,6 +56,17 @@ def test_decontamination_equals_brute_force(spark, block_words, round_words):
     assert any(v[4] for v in want.values())
 
 
+@pytest.mark.parametrize("block_words, round_words", [(50_000, 10_000_000), (1, 1)])
+def test_items_without_an_id_hit_too(spark, block_words, round_words):
+    bench = spark.createDataFrame([(None, "one two three"), (None, "four five"), (7, "four five")],
+                                  "item_id long, text string")
+    rows = [(1, "x one two three"), (2, "four five y"), (3, "one two x three")]
+    found = decontaminate.decontaminate(docs(spark, rows), bench, block_words=block_words, round_words=round_words)
+    assert {r["doc_id"]: (r["n_hit"], r["items"]) for r in found.collect()} == {1: (3, []), 2: (2, ["7"]), 3: (0, [])}
+    out = {r["doc_id"]: r for r in decontaminate.op3_decontaminate(docs(spark, rows), bench).collect()}
+    assert [out[k]["contaminated"] for k in (1, 2, 3)] == [True, True, False] and out[1]["n_items"] == 0
+
+
 def test_decontamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     out = decontaminate.op3_decontaminate(docs(spark, ODD), none).collect()

@@ -11,7 +11,8 @@ words; a shorter, non-empty item is one window.
 
 Edge cases: a NULL or empty text has no words, no hits and is not contaminated;
 NULL or wordless items have no window; repeated items count by item id, once
-per id; repeated documents give a row each; a NULL item id is left out; an
+per id; repeated documents give a row each; an item with a NULL id
+hits like any other and is left out of the list of items; an
 empty benchmark leaves every document clean; other columns are ignored.
 """
 
@@ -48,7 +49,7 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int)
     """The items in blocks of about ``block_words`` words, one block in memory."""
     block, size = [], 0
     items = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("i"),
-                             F.col(f"`{text_col}`").cast("string").alias("t")).where("i is not null and t is not null")
+                             F.col(f"`{text_col}`").cast("string").alias("t")).where("t is not null")
     for row in items.toLocalIterator():
         w = words(row["t"])
         if w:
@@ -71,7 +72,7 @@ def automaton(block: list, window: int):
             found.setdefault(tuple(seq[k:k + window]), set()).add(item)
     auto = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for seq, items in found.items():
-        auto.add_word(seq, (len(seq), tuple(items)))
+        auto.add_word(seq, (len(seq), tuple(x for x in items if x is not None)))
     auto.make_automaton()
     return numbers, auto
 
