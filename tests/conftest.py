@@ -11,12 +11,3 @@ def spark():
     from tunnelscan.session import local_session
     s = local_session(4, shuffle_partitions=4, app_name="tunnelscan-tests")
     yield s
-
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MED = "/root/testdata/sf0.01"
-
-
-def explain(df, mode: str = "formatted") -> str:
-    """The text ``df.explain(mode)`` prints."""
-    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)

@@ -1,4 +1,4 @@
-from conftest import explain
+from support import explain
 
 from tunnelscan.operators.domains import (
     default_suffix_rules,

@@ -1,4 +1,4 @@
-from conftest import explain
+from support import explain
 import random
 
 import pytest

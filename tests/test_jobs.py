@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from tunnelscan.config import ScoringConfig
 from tunnelscan.operators import alerts as A
 from tunnelscan.plans import fixtures, queries as Q, scoring, training

@@ -3,7 +3,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SF_SMALL, explain
+from support import SF_SMALL, explain
 from tunnelscan.plans import fixtures, queries as Q, scoring
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -1,4 +1,4 @@
-from conftest import explain
+from support import explain
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@
 import random
 
 
-from conftest import explain
+from support import explain
 from tunnelscan.operators.gate import busy_groups, volume_gate
 from tunnelscan.operators.verdict import group_stats, interval_stats, with_indicators, with_label_str
 

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import explain
+from support import explain
 from tunnelscan.config import ScoringConfig
 from tunnelscan.operators.alerts import alert_table
 from tunnelscan.operators.domains import read_suffix_rules, registrable_domain

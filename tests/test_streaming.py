@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from support import SF_SMALL
 from tunnelscan.plans import fixtures, queries as Q, scoring
 from tunnelscan.streaming import start_hourly_scoring
 
