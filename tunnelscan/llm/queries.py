@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tunnelscan.llm.common import table
 from tunnelscan.llm.decontaminate import op3_decontaminate
 from tunnelscan.llm.licenses import op8_licenses
+from tunnelscan.llm.line_dedup import op11_line_dedup
 from tunnelscan.llm.minhash import op4_minhash
 from tunnelscan.llm.mixing import op10_mixing
 from tunnelscan.llm.mtree import op5_mtree
@@ -65,6 +66,10 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_mixing(table(spark, sf_dir, "documents"))
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_line_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": sentencepiece,
     "op2_substrings": substrings,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": licenses,
     "op9_toxicity": toxicity,
     "op10_mixing": mixing,
+    "op11_line_dedup": line_dedup,
 }
 
 # Words by the contracts: only A-Z are lower-cased.
@@ -130,4 +136,17 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_decontaminate": _OP3, "op4_minhash": _OP4, "op5_mtree": _OP5}
+_OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT rid, doc_id, l[k] AS line, k,
+        {_LOWER.format("trim(l[k], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key
+      FROM d, LATERAL (SELECT unnest(range(1, len(l) + 1)) AS k)),
+f AS (SELECT key, min(doc_id) AS first FROM x WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+m AS (SELECT rid, x.doc_id, k, line, coalesce(x.doc_id > first, false) AS gone FROM x LEFT JOIN f ON x.key = f.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY rid
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_decontaminate": _OP3, "op4_minhash": _OP4, "op5_mtree": _OP5,
+                              "op11_line_dedup": _OP11}
