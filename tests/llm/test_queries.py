@@ -35,7 +35,7 @@ def test_query_equals_its_sql(spark, name):
 def test_every_operator_is_registered():
     import __spark_entry__ as entry
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
 
 

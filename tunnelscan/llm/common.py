@@ -9,7 +9,7 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -57,6 +57,17 @@ def row_text(df: DataFrame, text_col: str = "text", *more) -> DataFrame:
     return df.select(F.struct(*quoted).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"), *more)
 
 
+# Largest |c| of ``integers``: 256 * c is below 2**53 and so exact as a double.
+LARGEST = float(1 << 45)
+
+
+def integers(vec: Column) -> Column:
+    """floor(256 * c) of every component; NULL where the vector is NULL or empty or
+    holds a NULL, non-finite or larger component."""
+    usable = F.forall(vec, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < LARGEST))
+    return F.when(vec.isNotNull() & usable & (F.size(vec) > 0), F.transform(vec, lambda c: F.floor(c.cast("double") * 256)))
+
+
 def keyed(df: DataFrame, ddl: str) -> StructType:
     """The first column of ``df`` and the columns of ``ddl``."""
     return StructType([df.schema[0], *StructType.fromDDL(ddl).fields])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tunnelscan.llm.common import table
 from tunnelscan.llm.decontaminate import op3_decontaminate
+from tunnelscan.llm.hard_negatives import op12_hard_negatives
 from tunnelscan.llm.licenses import op8_licenses
 from tunnelscan.llm.line_dedup import op11_line_dedup
 from tunnelscan.llm.minhash import op4_minhash
@@ -20,6 +21,7 @@ from tunnelscan.llm.pii import op7_pii
 from tunnelscan.llm.substrings import op2_substrings
 from tunnelscan.llm.token_counts import default_cache, op6_token_counts
 from tunnelscan.llm.toxicity import op9_toxicity
+from tunnelscan.llm.whitening import op13_whitening
 
 PIECES = "piece_bpe_32k.model"
 WORD_BPE = "word_bpe_49k.json"
@@ -70,6 +72,14 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_line_dedup(table(spark, sf_dir, "documents"))
 
 
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_whitening(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": sentencepiece,
     "op2_substrings": substrings,
@@ -82,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": toxicity,
     "op10_mixing": mixing,
     "op11_line_dedup": line_dedup,
+    "op12_hard_negatives": hard_negatives,
+    "op13_whitening": whitening,
 }
 
 # Words by the contracts: only A-Z are lower-cased.
@@ -148,5 +160,21 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone)
 FROM m GROUP BY rid
 """
 
+_OP12 = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+        CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
+p AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r FROM s WHERE same),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON p.r <= 5 AND s.anchor_id = p.anchor_id AND NOT s.same
+        AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
 ORACLE_SQL: dict[str, str] = {"op3_decontaminate": _OP3, "op4_minhash": _OP4, "op5_mtree": _OP5,
-                              "op11_line_dedup": _OP11}
+                              "op11_line_dedup": _OP11, "op12_hard_negatives": _OP12}
