@@ -14,7 +14,11 @@ Public-suffix semantics over a rule table ``(suffix, kind)`` where kind is
    ``fallback_last_label`` the last label acts as the suffix where no rule
    matches.  That is the default for the short built-in list, so that names
    under an unlisted suffix are judged and not lost; a user's table is taken
-   as complete.
+   as complete;
+5. rules in Unicode are coded (``xn--…``) when they are read, and so are, for
+   matching, the labels of names in Unicode where any rule is coded.  The result
+   has the labels as the name has them (``functions.idn.ascii_name`` codes names
+   beforehand, which makes one domain of both spellings).
 
 Plan: the rule table is small and its size is checked, so each candidate depth
 is one broadcast hash join against it.  Rows never leave their partition: no
@@ -29,6 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tunnelscan.functions.idn import ascii_labels, plain_dots
 from tunnelscan.schemas import SUFFIX_RULE_SCHEMA
 
 
@@ -66,25 +71,48 @@ def _static_stats(pairs) -> tuple[int, int]:
 
 
 def parse_suffix_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Public-suffix-list text (one rule per line, ``//`` comments) -> rules."""
+    """Public-suffix-list text (one rule per line, ``//`` comments) -> rules; any
+    other columns (the section, say) stay."""
     rule = F.lower(F.trim(F.split(F.col(column), r"\s")[0]))
-    kept = lines.select(rule.alias("rule")).where((F.col("rule") != "") & ~F.col("rule").startswith("//"))
+    others = [c for c in lines.columns if c != column]
+    kept = lines.select(rule.alias("rule"), *others).where((F.col("rule") != "") & ~F.col("rule").startswith("//"))
     kind = (F.when(F.col("rule").startswith("!"), "exception")
             .when(F.col("rule").startswith("*."), "wildcard")
             .otherwise("exact"))
     suffix = (F.when(F.col("rule").startswith("!"), F.expr("substring(rule, 2)"))
               .when(F.col("rule").startswith("*."), F.expr("substring(rule, 3)"))
               .otherwise(F.col("rule")))
-    return kept.select(suffix.alias("suffix"), kind.alias("kind"))
+    return kept.select(suffix.alias("suffix"), kind.alias("kind"), *others)
 
 
-def read_suffix_rules(spark: SparkSession, path: str) -> DataFrame:
-    return parse_suffix_lines(spark.read.text(path))
+# How the public list marks its sections.
+_SECTION_MARK = r"(?m)^//\s*===\s*(?=(?:BEGIN|END) )"
+_SECTION_OPENS = r"^BEGIN (\w+) DOMAINS"
+_SECTION_LINE = r"^(BEGIN|END) \w+ DOMAINS"
+PRIVATE_SECTION = "private"
+
+
+def sectioned_lines(texts: DataFrame, column: str = "value") -> DataFrame:
+    """Lines (``value``) of whole list texts with their ``section``: ``icann``,
+    ``private``, another marked one, or NULL outside any."""
+    parts = texts.select(F.explode(F.split(F.regexp_replace(column, "\r\n?", "\n"), _SECTION_MARK)).alias("part"))
+    section = F.nullif(F.lower(F.regexp_extract("part", _SECTION_OPENS, 1)), F.lit(""))
+    lines = parts.select(section.alias("section"), F.explode(F.split("part", "\n")).alias("value"))
+    return lines.where(~F.col("value").rlike(_SECTION_LINE)).select("value", "section")
+
+
+def read_suffix_rules(spark: SparkSession, path: str, private: bool = True) -> DataFrame:
+    """The rules of a public-suffix-list file with the ``section`` they stand in;
+    ``private=False`` leaves the rules of the private section out (names under
+    ``blogspot.com`` then share the domain ``blogspot.com``)."""
+    rules = parse_suffix_lines(sectioned_lines(spark.read.text(path, wholetext=True)))
+    return rules if private else rules.where(F.coalesce(F.col("section"), F.lit("")) != PRIVATE_SECTION)
 
 
 def _flag_table(rules: DataFrame) -> DataFrame:
-    """One row per suffix with its three kind flags (unique join key)."""
-    return (rules.select(F.lower(F.col("suffix")).alias("suffix"), "kind")
+    """One row per suffix, coded, with its three kind flags (unique join key)."""
+    labels = F.split(plain_dots(F.lower(F.col("suffix"))), r"\.", -1)
+    return (rules.select(F.array_join(ascii_labels(labels), ".").alias("suffix"), "kind")
             .groupBy("suffix")
             .agg(F.max((F.col("kind") == "exact").cast("int")).alias("e"),
                  F.max((F.col("kind") == "wildcard").cast("int")).alias("w"),
@@ -102,22 +130,24 @@ def _static_flag_table(spark: SparkSession, pairs) -> DataFrame:
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
 
 
-def suffix_flags(spark: SparkSession, rules: DataFrame | None = None) -> tuple[DataFrame, int, int]:
-    """(flag table, number of suffixes, depth in labels of the longest suffix).
+def suffix_flags(spark: SparkSession, rules: DataFrame | None = None) -> tuple[DataFrame, int, int, bool]:
+    """(flag table, number of suffixes, depth in labels of the longest suffix,
+    whether any label of a suffix is coded).
 
     A user-given table is aggregated once and written to the shared checkpoint
     folder; every candidate depth then joins that same small table.
     """
     if rules is None:
         n_rules, depth = _static_stats(DEFAULT_SUFFIX_RULES)
-        return _static_flag_table(spark, DEFAULT_SUFFIX_RULES), n_rules, depth
+        return _static_flag_table(spark, DEFAULT_SUFFIX_RULES), n_rules, depth, False
     missing = [f.name for f in SUFFIX_RULE_SCHEMA.fields if f.name not in rules.columns]
     if missing:
         raise ValueError(f"suffix rules lack columns {missing}")
     flags = _flag_table(rules).checkpoint(eager=True)
     stats = flags.agg(F.count(F.lit(1)).alias("n"),
-                      F.max(F.size(F.split("suffix", r"\."))).alias("depth")).first()
-    return flags, int(stats["n"]), int(stats["depth"] or 0)
+                      F.max(F.size(F.split("suffix", r"\."))).alias("depth"),
+                      F.coalesce(F.bool_or(F.col("suffix").contains("xn--")), F.lit(False)).alias("coded")).first()
+    return flags, int(stats["n"]), int(stats["depth"] or 0), stats["coded"]
 
 
 def registrable_domain(df: DataFrame, name_col: str, rules: DataFrame | None = None,
@@ -128,18 +158,21 @@ def registrable_domain(df: DataFrame, name_col: str, rules: DataFrame | None = N
     ``fallback_last_label=None`` means: only with the built-in rules."""
     if fallback_last_label is None:
         fallback_last_label = rules is None
-    flags, n_rules, depth = suffix_flags(df.sparkSession, rules)
+    flags, n_rules, depth, coded = suffix_flags(df.sparkSession, rules)
     # The same plan on the build side at every depth: one broadcast, reused.
     tmp = "__sfx"
     flags = flags.select(*[F.col(c).alias(f"{tmp}_{c}") for c in ("suffix", "e", "w", "x")])
     side = F.broadcast(flags) if n_rules <= MAX_BROADCAST_RULES else flags
 
-    name = F.col(name_col)
+    name = plain_dots(F.col(name_col)) if coded else F.col(name_col)
     # Drop one trailing dot (no regex: endswith + substring).
-    stripped = F.when(name.endswith("."), F.expr(f"substring(`{name_col}`, 1, length(`{name_col}`) - 1)")) \
-        .otherwise(name)
+    stripped = F.when(name.endswith("."), name.substr(F.lit(1), F.length(name) - 1)).otherwise(name)
     out = df.withColumn(f"{tmp}_name", stripped)
     out = out.withColumn(f"{tmp}_labels", F.split(F.lower(F.col(f"{tmp}_name")), r"\.", -1))
+    if coded:
+        # Matched in coded form; the result is cut from the labels as they were.
+        out = out.withColumn(f"{tmp}_plain", F.col(f"{tmp}_labels")).withColumn(
+            f"{tmp}_labels", ascii_labels(F.col(f"{tmp}_plain")))
     if preserve_case:
         out = out.withColumn(f"{tmp}_orig", F.split(F.col(f"{tmp}_name"), r"\.", -1))
     labels = F.col(f"{tmp}_labels")
@@ -165,7 +198,7 @@ def registrable_domain(df: DataFrame, name_col: str, rules: DataFrame | None = N
     if fallback_last_label:
         suffix_len = F.coalesce(suffix_len, F.lit(1))
     out = out.withColumn(f"{tmp}_len", suffix_len)
-    src = F.col(f"{tmp}_orig") if preserve_case else labels
+    src = F.col(f"{tmp}_orig" if preserve_case else f"{tmp}_plain" if coded else f"{tmp}_labels")
     take = F.col(f"{tmp}_len") + 1
     # A name whose labels are all empty ("", ".") has no registrable domain.
     result = F.when((F.col(f"{tmp}_len").isNotNull()) & (n >= take) & (F.col(f"{tmp}_name") != ""),

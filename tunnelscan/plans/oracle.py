@@ -452,5 +452,35 @@ FROM clean
 """)
 
 
+# Names with their endings as asked and in coded form; the rules coded by hand.
+ORACLE["registrable_domain_idn"] = """
+WITH ends(k, ending, plain) AS (VALUES
+  (0, 'shop.公司.cn', 'shop.xn--55qx5d.cn'), (1, 'shop.xn--55qx5d.cn.', 'shop.xn--55qx5d.cn'),
+  (2, 'SHOP.XN--55QX5D.CN', 'shop.xn--55qx5d.cn'), (3, '公司.cn', 'xn--55qx5d.cn'), (4, 'почта.рф', 'xn--80a1acny.xn--p1ai'),
+  (5, 'a.xn--p1ai.', 'a.xn--p1ai'), (6, 'a.b.川崎.jp', 'a.b.xn--8ltrs.jp'), (7, 'a.city.xn--8ltrs.jp.', 'a.city.xn--8ltrs.jp'),
+  (8, 'me.blogspot.com', 'me.blogspot.com'), (9, '例え.com', 'xn--r8jz45g.com'), (10, 'blogspot.com.', 'blogspot.com'),
+  (11, 'www。例え。com', 'www.xn--r8jz45g.com'), (12, 'plain.example.cn', 'plain.example.cn'), (13, 'no.such.ending', 'no.such.ending')),
+rules(suffix, kind, private) AS (VALUES ('com', 'exact', false), ('cn', 'exact', false), ('xn--55qx5d.cn', 'exact', false),
+  ('xn--p1ai', 'exact', false), ('jp', 'exact', false), ('xn--8ltrs.jp', 'wildcard', false),
+  ('city.xn--8ltrs.jp', 'exception', false), ('blogspot.com', 'exact', true)),
+e AS (SELECT CAST(event_id AS VARCHAR) AS key, 'u' || substr(md5(CAST(event_id AS VARCHAR)), 1, 6) || '.' AS first, ending, plain
+      FROM events JOIN ends ON event_id % 14 = k),
+n AS (SELECT key, first || ending AS qname, first || plain AS plain FROM e),
+-- The labels as the name has them, and coded.
+s AS (SELECT DISTINCT qname, string_split(lower(regexp_replace(replace(qname, '。', '.'), '[.]$', '')), '.') AS shown,
+             string_split(plain, '.') AS labels FROM n),
+c AS (SELECT qname, labels, k, array_to_string(list_slice(labels, len(labels) - k + 1, len(labels)), '.') AS c
+      FROM s, LATERAL (SELECT unnest(range(1, len(labels) + 1)) AS k)),
+m AS (SELECT qname, p, coalesce(max(CASE WHEN kind = 'exception' THEN k - 1 END),
+               max(CASE WHEN kind = 'exact' THEN k WHEN kind = 'wildcard' AND len(labels) > k THEN k + 1 END)) AS n
+      FROM c JOIN rules ON c = suffix CROSS JOIN (VALUES (true), (false)) AS w(p) WHERE p OR NOT private GROUP BY ALL),
+d AS (SELECT s.qname, p, array_to_string(list_slice(shown, len(shown) - m.n, len(shown)), '.') AS shown,
+             array_to_string(list_slice(labels, len(labels) - m.n, len(labels)), '.') AS coded
+      FROM s JOIN m ON s.qname = m.qname AND len(labels) > m.n)
+SELECT n.key, n.qname AS "QNAME", a.shown AS domain, i.shown AS icann_domain, a.coded AS ascii_domain
+FROM n LEFT JOIN d a ON n.qname = a.qname AND a.p LEFT JOIN d i ON n.qname = i.qname AND NOT i.p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

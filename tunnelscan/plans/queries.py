@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from tunnelscan.config import ScoringConfig
 from tunnelscan.functions import entropy_arrow, lexical
+from tunnelscan.functions.idn import ascii_name
 from tunnelscan.functions.lexical import answer_features, char_answer_features, subdomain, digit_count
 from tunnelscan.functions.labels import label_index
 from tunnelscan.operators import alerts as alert_ops
@@ -98,6 +99,43 @@ def registrable_domain(spark: SparkSession, sf: str) -> DataFrame:
     return _candidates(spark, sf).select("key", "QNAME", "2ld")
 
 
+# Endings of the names of ``registrable_domain_idn``, by event_id modulo their number, and
+# the suffix list it is judged by.
+IDN_ENDINGS = ("shop.公司.cn", "shop.xn--55qx5d.cn.", "SHOP.XN--55QX5D.CN", "公司.cn", "почта.рф", "a.xn--p1ai.",
+               "a.b.川崎.jp", "a.city.xn--8ltrs.jp.", "me.blogspot.com", "例え.com", "blogspot.com.", "www。例え。com",
+               "plain.example.cn", "no.such.ending")
+IDN_RULES = """// a list with marks
+// ===BEGIN ICANN DOMAINS===
+com
+cn
+公司.cn
+рф
+jp
+*.川崎.jp
+!city.川崎.jp
+// ===END ICANN DOMAINS===
+// ===BEGIN PRIVATE DOMAINS===
+blogspot.com   // sites of users
+// ===END PRIVATE DOMAINS===
+"""
+
+
+def registrable_domain_idn(spark: SparkSession, sf: str) -> DataFrame:
+    """O-14 with internationalised rules and names: the domain by all rules, by
+    those outside the private section, and of the coded name."""
+    path = shared_path(spark, "out", f"suffixes_{_run_id(spark, sf)}")
+    spark.createDataFrame([(IDN_RULES,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    ending = F.element_at(F.array(*map(F.lit, IDN_ENDINGS)), (F.pmod("event_id", F.lit(len(IDN_ENDINGS))) + 1).cast("int"))
+    names = spark.read.parquet(f"{sf}/events.parquet").select(
+        F.col("event_id").cast("string").alias("key"),
+        F.concat(F.lit("u"), F.substring(F.md5(F.col("event_id").cast("string")), 1, 6), F.lit("."), ending).alias("QNAME"))
+    rules, icann = (domains.read_suffix_rules(spark, path, private) for private in (True, False))
+    out = domains.registrable_domain(names, "QNAME", rules, "domain")
+    out = domains.registrable_domain(out, "QNAME", icann, "icann_domain")
+    out = domains.registrable_domain(out.withColumn("coded", ascii_name(F.col("QNAME"))), "coded", rules, "ascii_domain")
+    return out.select("key", "QNAME", "domain", "icann_domain", "ascii_domain")
+
+
 def subdomain_features(spark: SparkSession, sf: str) -> DataFrame:
     """O-16, O-41..O-48."""
     from tunnelscan.operators.features import generate_features
@@ -447,6 +485,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "responses_exploded": responses_exploded,
     "registrable_domain": registrable_domain,
+    "registrable_domain_idn": registrable_domain_idn,
     "subdomain_features": subdomain_features,
     "answer_features": answer_features_q,
     "answer_features_chars": answer_features_chars,

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunnelscan.config import ScoringConfig
+from tunnelscan.functions.idn import ascii_name
 from tunnelscan.operators.domains import drop_reverse_lookups, registrable_domain
 from tunnelscan.operators.features import generate_features
 from tunnelscan.operators.gate import busy_groups
@@ -63,11 +64,14 @@ def model_labeler(model) -> Labeler:
 
 
 def prepare(messages: DataFrame, rules: DataFrame | None = None, fallback_last_label: bool | None = None,
-            preserve_case: bool = False) -> DataFrame:
+            preserve_case: bool = False, ascii_names: bool = False) -> DataFrame:
     """Responses -> question rows with ``QNAME``, ``ts_sec``, ``srcIP``,
     ``destIP``, ``2ld`` (O-11, O-12, O-13, O-14); the domain options are those
-    of ``registrable_domain``."""
+    of ``registrable_domain``.  ``ascii_names`` codes names in Unicode, so that
+    both spellings of a name are one name, of one domain."""
     rows = flatten_message(explode_questions(successful_responses(messages)))
+    if ascii_names:
+        rows = rows.withColumn("QNAME", ascii_name(F.col("QNAME")))
     return registrable_domain(rows, "QNAME", rules, "2ld", fallback_last_label, preserve_case)
 
 
@@ -131,7 +135,7 @@ def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = Non
           apply_exclusions: bool = False, approx_distinct: bool = False, distinct_messages: bool = False,
           with_intervals: bool = False, keys: Sequence[str] = KEYS,
           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, fallback_last_label: bool | None = None,
-          preserve_case: bool = False) -> ScoringResult:
+          preserve_case: bool = False, ascii_names: bool = False) -> ScoringResult:
     """Score DNS messages.
 
     The busy-group table is broadcast where it fits the bounds
@@ -139,8 +143,8 @@ def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = Non
     with a shuffle of the thin rows otherwise; the scored rows, groups and
     flagged messages are the same.
 
-    ``rules``, ``fallback_last_label``, ``preserve_case``: see
-    ``registrable_domain``.  Rows without a domain leave at the reverse-lookup
+    ``rules``, ``fallback_last_label``, ``preserve_case``, ``ascii_names``: see
+    ``prepare``.  Rows without a domain leave at the reverse-lookup
     filter (D9); ``counts()`` reports them as ``undomained_rows``.
 
     ``with_intervals`` adds ``max_interval_time`` and ``average_interval_time``
@@ -151,7 +155,7 @@ def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = Non
     is written n times, as the reference does; True writes equal messages once.
     """
     cfg = cfg or ScoringConfig()
-    prepared = prepare(messages, rules, fallback_last_label, preserve_case)
+    prepared = prepare(messages, rules, fallback_last_label, preserve_case, ascii_names)
     candidates = drop_reverse_lookups(prepared, "2ld")
     busy = materialise(busy_groups(candidates, cfg.min_group_count, keys))
     # Of the payload only the answers go on: they may be shuffled.
