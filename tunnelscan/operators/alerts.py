@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunnelscan.operators.joins import DEFAULT_BROADCAST_ROWS, materialise
+from tunnelscan.operators.networks import in_networks, longest_match, parse_networks
 
 # Name of the detecting engine in the alerts, where the caller gives none.
 ENGINE_NAME = "TUNNELSCAN"
@@ -30,8 +31,6 @@ ALERT_COLUMNS = (
 )
 ENRICH_COLUMNS = ("org_ip_enrich", "org_ip", "org_is_malicious", "src_ip_enrich", "dest_ip_enrich")
 
-PRIVATE_IP = r"^(10\.|192\.168\.|172\.(1[6-9]|2[0-9]|3[01])\.)"
-
 
 def _utc_date_parts(epoch_sec: Column) -> tuple[Column, Column]:
     """``yyyyMMdd`` and ``HH`` of epoch seconds in UTC, independent of the
@@ -80,41 +79,50 @@ def alert_fields(flagged: DataFrame, alert_timestamp_sec: int | None = None,
     )
 
 
-def enrich(df: DataFrame, ip_info: DataFrame | None,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def enrich(df: DataFrame, ip_info: DataFrame | None, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+           addresses: DataFrame | None = None) -> DataFrame:
     """O-56 (re-aimed): attributes of the addresses from a user-given table
-    ``(ip, enrich, is_malicious)``, one broadcast left join per side (the
-    table is materialised and measured first; above the bounds only the rows of
-    addresses that occur in ``df`` are kept of it, and the join is a shuffle
-    join if these are too many as well).  An address with several rows counts
-    once: its smallest ``enrich``, malicious if any row says so.  ``org_ip`` is
-    the private-range side of the flow (source first).
+    ``(ip, enrich, is_malicious)``.  ``ip`` is an address or a network
+    (``10.0.0.0/8``, ``2001:db8::/32``); of the networks that an address lies in the
+    most specific one counts.  A network with several rows counts once: its
+    smallest ``enrich``, malicious if any row says so.  ``org_ip`` is the
+    private-range side of the flow (source first).
+
+    The distinct addresses are matched, and the thin result is joined once per
+    side: broadcast if it is under the bounds, a shuffle join otherwise.
+    ``addresses`` (one column ``ip``) names a table of all that occur in ``df``, as
+    alert groups have them, which saves reading ``df`` for them.
     """
-    org_ip = F.when(F.col("src_ip").rlike(PRIVATE_IP), F.col("src_ip")).otherwise(F.col("dest_ip"))
-    out = df.withColumn("org_ip", org_ip)
+    private = F.col("__private")
+    out = df.withColumn("__private", in_networks(F.col("src_ip")))
+    out = out.withColumn("org_ip", F.when(private, F.col("src_ip")).otherwise(F.col("dest_ip")))
     if ip_info is None:
         return (out.withColumn("org_ip_enrich", F.lit(None).cast("string"))
                 .withColumn("org_is_malicious", F.lit(False))
                 .withColumn("src_ip_enrich", F.lit(None).cast("string"))
-                .withColumn("dest_ip_enrich", F.lit(None).cast("string")))
-    unique = materialise(ip_info.where(F.col("ip").isNotNull()).groupBy("ip").agg(
-        F.min("enrich").alias("enrich"), F.bool_or("is_malicious").alias("is_malicious")))
-    if not unique.small(max_broadcast_rows):
-        used = out.select(F.explode(F.array("org_ip", "src_ip", "dest_ip")).alias("ip")).distinct()
-        unique = materialise(unique.df.join(used, "ip", "left_semi"))
-    info = unique.for_join(max_broadcast_rows)
-    for side, col in (("org", "org_ip"), ("src", "src_ip"), ("dest", "dest_ip")):
+                .withColumn("dest_ip_enrich", F.lit(None).cast("string")).drop("__private"))
+    networks = parse_networks(ip_info, "ip").groupBy("family", "bits", "prefix").agg(
+        F.min("enrich").alias("enrich"), F.bool_or("is_malicious").alias("is_malicious"))
+    if addresses is None:
+        addresses = df.select(F.explode(F.array("src_ip", "dest_ip")).alias("ip"))
+    used = addresses.where("ip is not null").distinct()
+    matched = longest_match(used, networks, "ip", "__net", max_broadcast_rows).where("__net is not null")
+    info = materialise(matched.select("ip", "__net.enrich", "__net.is_malicious")).for_join(max_broadcast_rows)
+    for side in ("src", "dest"):
         renamed = info.select(F.col("ip").alias(f"__{side}_ip"), F.col("enrich").alias(f"{side}_ip_enrich"),
                               F.col("is_malicious").alias(f"__{side}_mal"))
-        out = out.join(renamed, F.col(col) == F.col(f"__{side}_ip"), "left").drop(f"__{side}_ip")
-    out = out.withColumn("org_is_malicious", F.coalesce(F.col("__org_mal"), F.lit(False)))
-    return out.drop("__org_mal", "__src_mal", "__dest_mal")
+        out = out.join(renamed, F.col(f"{side}_ip") == F.col(f"__{side}_ip"), "left").drop(f"__{side}_ip")
+    # The address of the own side is one of the two.
+    out = out.withColumn("org_ip_enrich", F.when(private, F.col("src_ip_enrich")).otherwise(F.col("dest_ip_enrich")))
+    out = out.withColumn("org_is_malicious", F.coalesce(F.when(private, F.col("__src_mal")).otherwise(F.col("__dest_mal")), F.lit(False)))
+    return out.drop("__src_mal", "__dest_mal", "__private")
 
 
 def alert_table(flagged: DataFrame, ip_info: DataFrame | None = None,
-                alert_timestamp_sec: int | None = None, engine_name: str = ENGINE_NAME) -> DataFrame:
-    """O-58: the 36-column alert table."""
-    fields = enrich(alert_fields(flagged, alert_timestamp_sec, engine_name), ip_info)
+                alert_timestamp_sec: int | None = None, engine_name: str = ENGINE_NAME,
+                addresses: DataFrame | None = None) -> DataFrame:
+    """O-58: the 36-column alert table; ``addresses`` as in ``enrich``."""
+    fields = enrich(alert_fields(flagged, alert_timestamp_sec, engine_name), ip_info, addresses=addresses)
     return fields.select(
         F.col("__alert_id").alias("alert_id"),
         *[F.col(c) for c in ALERT_COLUMNS[1:29]],
