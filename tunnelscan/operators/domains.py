@@ -30,6 +30,8 @@ expression, computing it twice per row; the joins act as a barrier.)
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,16 +132,26 @@ def _static_flag_table(spark: SparkSession, pairs) -> DataFrame:
     return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
 
 
-def suffix_flags(spark: SparkSession, rules: DataFrame | None = None) -> tuple[DataFrame, int, int, bool]:
-    """(flag table, number of suffixes, depth in labels of the longest suffix,
-    whether any label of a suffix is coded).
+@dataclass(frozen=True)
+class Suffixes:
+    """A rule table made ready for matching: one row of flags for each suffix."""
+
+    flags: DataFrame
+    rows: int
+    depth: int          # labels of the longest suffix
+    coded: bool         # whether any label of a suffix is coded
+    complete: bool      # a user's table, not the short built-in one
+
 
-    A user-given table is aggregated once and written to the shared checkpoint
+def suffix_table(spark: SparkSession, rules: DataFrame | Suffixes | None = None) -> Suffixes:
+    """A user-given table is aggregated once and written to the shared checkpoint
     folder; every candidate depth then joins that same small table.
     """
+    if isinstance(rules, Suffixes):
+        return rules
     if rules is None:
         n_rules, depth = _static_stats(DEFAULT_SUFFIX_RULES)
-        return _static_flag_table(spark, DEFAULT_SUFFIX_RULES), n_rules, depth, False
+        return Suffixes(_static_flag_table(spark, DEFAULT_SUFFIX_RULES), n_rules, depth, False, False)
     missing = [f.name for f in SUFFIX_RULE_SCHEMA.fields if f.name not in rules.columns]
     if missing:
         raise ValueError(f"suffix rules lack columns {missing}")
@@ -147,22 +159,23 @@ def suffix_flags(spark: SparkSession, rules: DataFrame | None = None) -> tuple[D
     stats = flags.agg(F.count(F.lit(1)).alias("n"),
                       F.max(F.size(F.split("suffix", r"\."))).alias("depth"),
                       F.coalesce(F.bool_or(F.col("suffix").contains("xn--")), F.lit(False)).alias("coded")).first()
-    return flags, int(stats["n"]), int(stats["depth"] or 0), stats["coded"]
+    return Suffixes(flags, int(stats["n"]), int(stats["depth"] or 0), stats["coded"], True)
 
 
-def registrable_domain(df: DataFrame, name_col: str, rules: DataFrame | None = None,
+def registrable_domain(df: DataFrame, name_col: str, rules: DataFrame | Suffixes | None = None,
                        out_col: str = "2ld", fallback_last_label: bool | None = None,
                        preserve_case: bool = False) -> DataFrame:
     """Add ``out_col``: the registrable domain of ``name_col``.
 
     ``fallback_last_label=None`` means: only with the built-in rules."""
+    suffixes = suffix_table(df.sparkSession, rules)
+    flags, depth, coded = suffixes.flags, suffixes.depth, suffixes.coded
     if fallback_last_label is None:
-        fallback_last_label = rules is None
-    flags, n_rules, depth, coded = suffix_flags(df.sparkSession, rules)
+        fallback_last_label = not suffixes.complete
     # The same plan on the build side at every depth: one broadcast, reused.
     tmp = "__sfx"
     flags = flags.select(*[F.col(c).alias(f"{tmp}_{c}") for c in ("suffix", "e", "w", "x")])
-    side = F.broadcast(flags) if n_rules <= MAX_BROADCAST_RULES else flags
+    side = F.broadcast(flags) if suffixes.rows <= MAX_BROADCAST_RULES else flags
 
     name = plain_dots(F.col(name_col)) if coded else F.col(name_col)
     # Drop one trailing dot (no regex: endswith + substring).
@@ -206,6 +219,11 @@ def registrable_domain(df: DataFrame, name_col: str, rules: DataFrame | None = N
     return out.select(*[F.col(f"`{c}`") for c in df.columns], result.alias(out_col))
 
 
+def is_forward(domain_col: str = "2ld") -> Column:
+    """Whether a domain is none of reverse lookups; NULL for no domain (D9)."""
+    return ~F.col(domain_col).endswith("in-addr.arpa")
+
+
 def drop_reverse_lookups(df: DataFrame, domain_col: str = "2ld") -> DataFrame:
     """O-15: ``NOT endswith(domain, 'in-addr.arpa')``; NULL domains drop too (D9)."""
-    return df.where(~F.col(domain_col).endswith("in-addr.arpa"))
+    return df.where(is_forward(domain_col))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tunnelscan.config import ScoringConfig
@@ -43,13 +43,13 @@ def suspicious_rows(pred: DataFrame, keys: Sequence[str] = KEYS,
 
 
 def group_stats(df: DataFrame, keys: Sequence[str] = KEYS, approx_distinct: bool = False,
-                rsd: float = 0.01) -> DataFrame:
+                rsd: float = 0.01, extra: Sequence[Column] = ()) -> DataFrame:
     """O-34..O-38: one aggregate per group.
 
     ``unique_QNAME_count`` is exact by default (Catalyst plans it as a
     partial dedupe on (keys, QNAME) followed by a count; a hot group is
     spread over many reducers by QNAME).  The ratios' denominators are at
-    least 1.
+    least 1.  ``extra``: more aggregates of the same pass.
     """
     distinct = (F.approx_count_distinct("QNAME", rsd) if approx_distinct
                 else F.count_distinct("QNAME"))
@@ -58,7 +58,13 @@ def group_stats(df: DataFrame, keys: Sequence[str] = KEYS, approx_distinct: bool
         F.count(F.col(keys[-1])).alias("2ld_count"),
         F.sum("normal").cast("long").alias("normal_count"),
         F.sum("tunnel").cast("long").alias("tunnel_count"),
+        *extra,
     )
+    return with_shares(stats)
+
+
+def with_shares(stats: DataFrame) -> DataFrame:
+    """O-38."""
     return (stats
             .withColumn("unique_QNAME_perc", F.col("unique_QNAME_count") / F.col("2ld_count"))
             .withColumn("tunnel_perc", F.col("tunnel_count") / F.col("2ld_count")))
@@ -127,9 +133,18 @@ def interval_stats(df: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_sec"
     telescopes to (last - first) / (n - 1).  A repeated timestamp is a zero
     gap, which only decides the max when every timestamp is equal.
     """
-    bucket = F.floor(F.col(ts) / F.lit(bucket_seconds))
-    seconds = (df.where(F.col(ts).isNotNull()).groupBy(*keys, bucket.alias("__b"), ts)
-               .agg(F.count(F.lit(1)).alias("__c")))
+    return gaps_of_seconds(seconds_of(df, keys, ts), keys, ts, bucket_seconds)
+
+
+def seconds_of(df: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_sec") -> DataFrame:
+    """Distinct (keys, second) with their number of rows ``__c``."""
+    return df.where(F.col(ts).isNotNull()).groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("__c"))
+
+
+def gaps_of_seconds(seconds: DataFrame, keys: Sequence[str] = KEYS, ts: str = "ts_sec",
+                    bucket_seconds: int = 86400) -> DataFrame:
+    """O-39 from distinct (keys, second) with their number of rows ``__c``."""
+    seconds = seconds.withColumn("__b", F.floor(F.col(ts) / F.lit(bucket_seconds)))
     inner = seconds.withColumn(
         "__gap", F.col(ts) - F.lag(ts).over(Window.partitionBy(*keys, "__b").orderBy(ts)))
     per_bucket = inner.groupBy(*keys, "__b").agg(

@@ -277,6 +277,15 @@ FROM l WHERE ("srcIP", "destIP", sld) IN (SELECT ("srcIP", "destIP", sld) FROM k
 SELECT "srcIP", "destIP", sld AS "2ld", unique_qname_count AS "unique_QNAME_count", sld_count AS "2ld_count",
        normal_count, tunnel_count, round(unique_perc, 6) AS "unique_QNAME_perc", round(tunnel_perc, 6) AS tunnel_perc
 FROM alerts
+"""),
+    "merged_verdict": _with("""
+, g AS (SELECT "srcIP", "destIP", sld, ts_sec - lag(ts_sec) OVER (PARTITION BY "srcIP", "destIP", sld ORDER BY ts_sec) AS gap
+        FROM gated),
+i AS (SELECT "srcIP", "destIP", sld, CAST(max(gap) AS BIGINT) AS max_gap, round(avg(gap), 6) AS mean_gap FROM g GROUP BY ALL)
+SELECT a."srcIP", a."destIP", a.sld AS "2ld", unique_qname_count AS "unique_QNAME_count", sld_count AS "2ld_count",
+       normal_count, tunnel_count, round(unique_perc, 6) AS "unique_QNAME_perc", round(tunnel_perc, 6) AS tunnel_perc,
+       max_gap AS max_interval_time, mean_gap AS average_interval_time
+FROM alerts a JOIN i USING ("srcIP", "destIP", sld)
 """),
     "flagged_messages": _with("""
 SELECT c.key, c.qnames[1] AS name, c."srcIP", c."destIP", c.ts_sec, CAST(coalesce(len(c.rdata), -1) AS INTEGER) AS n_answers,
@@ -366,6 +375,30 @@ SELECT o.key, o."srcIP" AS src_ip, o."destIP" AS dest_ip, o.org_ip,
 FROM o LEFT JOIN ipinfo oi ON o.org_ip = oi.ip
        LEFT JOIN ipinfo si ON o."srcIP" = si.ip
        LEFT JOIN ipinfo di ON o."destIP" = di.ip
+"""),
+    "flow_networks": _with("""
+, rules_of AS (SELECT c_custkey % 10 AS form, c_custkey % 16 AS low, c_custkey, c_name, c_acctbal < 0 AS bad FROM customer),
+raw AS (SELECT CASE form WHEN 0 THEN '10.0.0.' || low WHEN 1 THEN '10.0.0.' || low WHEN 2 THEN '10.0.0.0' WHEN 3 THEN '2001:db8::' || low
+                 WHEN 4 THEN '2001:db8::0' WHEN 5 THEN '192.0.2.63' WHEN 6 THEN '198.51.100.7' WHEN 7 THEN '0.0.0.0' END AS ip,
+               CASE form WHEN 0 THEN 32 WHEN 1 THEN 30 WHEN 2 THEN 8 WHEN 3 THEN 128 WHEN 4 THEN 32 + 16 * (c_custkey % 3)
+                 WHEN 5 THEN 24 + c_custkey % 7 WHEN 6 THEN 32 WHEN 7 THEN 0 END AS len, c_name, bad
+        FROM rules_of WHERE form < 8),
+f AS (SELECT "srcIP" AS src_ip, "destIP" AS dest_ip, count(*) AS messages FROM msg GROUP BY ALL),
+ips AS (SELECT ip FROM raw UNION SELECT src_ip FROM f UNION SELECT dest_ip FROM f),
+parts AS (SELECT ip, contains(ip, ':') AS six, [x FOR x IN string_split(split_part(ip, '::', 1), ':') IF x <> ''] AS l,
+                 [x FOR x IN string_split(split_part(ip, '::', 2), ':') IF x <> ''] AS r FROM ips WHERE ip IS NOT NULL),
+b AS (SELECT ip, six, CASE WHEN six THEN array_to_string([lpad(bin(TRY_CAST('0x' || g AS INTEGER)), 16, '0')
+                 FOR g IN list_concat(l, list_concat(['0' FOR z IN range(8 - len(l) - len(r))], r))], '')
+               ELSE array_to_string([lpad(bin(TRY_CAST(o AS INTEGER)), 8, '0') FOR o IN string_split(ip, '.')], '') END AS bits
+      FROM parts),
+net AS (SELECT six, len, left(bits, len) AS p, min(c_name) AS enrich, bool_or(bad) AS bad FROM raw JOIN b ON raw.ip = b.ip GROUP BY ALL),
+hit AS (SELECT b.ip, arg_max(enrich, len) AS enrich, arg_max(bad, len) AS bad FROM b JOIN net ON b.six = net.six AND left(b.bits, len) = p
+        GROUP BY b.ip)
+SELECT f.src_ip, f.dest_ip, f.messages, CASE WHEN f.src_ip LIKE '10.%' THEN f.src_ip ELSE f.dest_ip END AS org_ip,
+       s.enrich AS src_ip_enrich, d.enrich AS dest_ip_enrich,
+       CASE WHEN f.src_ip LIKE '10.%' THEN s.enrich ELSE d.enrich END AS org_ip_enrich,
+       coalesce(CASE WHEN f.src_ip LIKE '10.%' THEN s.bad ELSE d.bad END, false) AS org_is_malicious
+FROM f LEFT JOIN hit s ON f.src_ip = s.ip LEFT JOIN hit d ON f.dest_ip = d.ip
 """),
     "confusion_metrics": _with(f"""
 , s AS (SELECT CASE WHEN length(qname) > 45 THEN 1.0 ELSE 0.0 END AS label,

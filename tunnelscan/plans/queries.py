@@ -44,7 +44,7 @@ from tunnelscan.operators.verdict import (
     with_indicators,
     with_label_str,
 )
-from tunnelscan.plans import fixtures, oracle, scoring, training
+from tunnelscan.plans import fixtures, merging, oracle, scoring, training
 from tunnelscan.schemas import ANSWER_FEATURES, FEATURE_COLUMNS, KEYS, NAME_FEATURES
 from tunnelscan.session import fingerprint, path_exists, publish, shared_path
 from tunnelscan.sources.readers import load_config, read_training_sample
@@ -232,6 +232,16 @@ def group_verdict(spark: SparkSession, sf: str) -> DataFrame:
     return alerts.select(*_rounded(alerts, cols))
 
 
+def merged_verdict(spark: SparkSession, sf: str) -> DataFrame:
+    """O-24, O-31..O-39 merged from 24 partial tables, one for each hour of the day,
+    written in two runs."""
+    msgs, root = _messages(spark, sf), shared_path(spark, "out", f"states_{_run_id(spark, sf)}")
+    for part in (F.col("hour") < "12", F.col("hour") >= "12"):
+        merging.write_states(msgs.where(part), _stand_in, FIXTURE_CONFIG, root, periods=("hour",))
+    out = merging.merged_verdict(spark, root, FIXTURE_CONFIG)
+    return out.select(*_rounded(out, out.columns))
+
+
 def flagged_messages(spark: SparkSession, sf: str) -> DataFrame:
     """O-25, O-27, O-30 and the O-03 Parquet round trip."""
     out_path = shared_path(spark, "out", f"flagged_{_run_id(spark, sf)}")
@@ -319,6 +329,26 @@ def alert_enriched(spark: SparkSession, sf: str) -> DataFrame:
                          "src_ip_enrich", "dest_ip_enrich")
 
 
+def networks_from_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """Overlapping networks of both families, and some that cannot be read."""
+    k = F.col("c_custkey")
+    low = F.pmod(k, F.lit(16)).cast("string")
+    forms = [F.concat(F.lit("10.0.0."), low, F.lit("/32")), F.concat(F.lit("10.0.0."), low, F.lit("/30")), F.lit("10.0.0.0/8"),
+             F.concat(F.lit("2001:db8::"), low), F.concat(F.lit("2001:0DB8:0::/"), (32 + 16 * F.pmod(k, F.lit(3))).cast("string")),
+             F.concat(F.lit("192.0.2.63/"), (24 + F.pmod(k, F.lit(7))).cast("string")), F.lit("198.51.100.7"), F.lit("0.0.0.0/0"),
+             F.lit("10.0.0.1/33"), F.lit("2001:db8::1::/64")]
+    network = F.element_at(F.array(*forms), (F.pmod(k, F.lit(len(forms))) + 1).cast("int"))
+    cust = spark.read.parquet(f"{sf}/customer.parquet")
+    return cust.select(network.alias("ip"), F.col("c_name").alias("enrich"), (F.col("c_acctbal") < 0).alias("is_malicious"))
+
+
+def flow_networks(spark: SparkSession, sf: str) -> DataFrame:
+    """O-56 by network: every flow with the most specific network of each side."""
+    ip = F.col("payload.ip")
+    flows = _messages(spark, sf).groupBy(ip["srcIP"].alias("src_ip"), ip["destIP"].alias("dest_ip")).count()
+    return alert_ops.enrich(flows.withColumnRenamed("count", "messages"), networks_from_customers(spark, sf))
+
+
 def kafka_records_q(spark: SparkSession, sf: str) -> DataFrame:
     """O-59 projection (the Kafka connector itself is not installed)."""
     return kafka_records(alert_ops.alert_table(_score(spark, sf).flagged))
@@ -497,6 +527,7 @@ QUERIES: dict[str, Query] = {
     "volume_gate": volume_gate_q,
     "suspicious_groups": suspicious_groups,
     "group_verdict": group_verdict,
+    "merged_verdict": merged_verdict,
     "flagged_messages": flagged_messages,
     "alert_ids": alert_ids,
     "verdict_from_config": verdict_from_config,
@@ -504,6 +535,7 @@ QUERIES: dict[str, Query] = {
     "row_counts": row_counts,
     "alert_table": alert_table_q,
     "alert_enriched": alert_enriched,
+    "flow_networks": flow_networks,
     "kafka_records": kafka_records_q,
     "alerts_written": alerts_written,
     "confusion_metrics": confusion_metrics,

@@ -17,7 +17,8 @@ and sizes the table before it is broadcast):
    (any non-normal row) and share thresholds as HAVING filters; materialised.
 5. flagged rows: the *prepared* rows joined to the alert groups (broadcast) -
    the wide payload is read again with its full schema but never shuffled and
-   never passed through the model.
+   never passed through the model.  Only the partitions (day, hour) in which an
+   alerting group has scored rows are read for it.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ from pyspark.sql import functions as F
 
 from tunnelscan.config import ScoringConfig
 from tunnelscan.functions.idn import ascii_name
-from tunnelscan.operators.domains import drop_reverse_lookups, registrable_domain
+from tunnelscan.operators.domains import Suffixes, drop_reverse_lookups, is_forward, registrable_domain, suffix_table
 from tunnelscan.operators.features import generate_features
-from tunnelscan.operators.gate import busy_groups
+from tunnelscan.operators.gate import counted_gate
 from tunnelscan.operators.joins import DEFAULT_BROADCAST_ROWS, Sized, materialise, sized
 from tunnelscan.operators.prepare import (
     exclude_answers,
@@ -53,7 +54,7 @@ from tunnelscan.operators.verdict import (
     with_indicators,
     with_label_str,
 )
-from tunnelscan.schemas import FEATURE_COLUMNS, KEYS
+from tunnelscan.schemas import FEATURE_COLUMNS, KEYS, PARTITION_COLUMNS
 
 Labeler = Callable[[DataFrame], DataFrame]
 
@@ -63,7 +64,7 @@ def model_labeler(model) -> Labeler:
     return lambda df: model.transform(df)
 
 
-def prepare(messages: DataFrame, rules: DataFrame | None = None, fallback_last_label: bool | None = None,
+def prepare(messages: DataFrame, rules: DataFrame | Suffixes | None = None, fallback_last_label: bool | None = None,
             preserve_case: bool = False, ascii_names: bool = False) -> DataFrame:
     """Responses -> question rows with ``QNAME``, ``ts_sec``, ``srcIP``,
     ``destIP``, ``2ld`` (O-11, O-12, O-13, O-14); the domain options are those
@@ -98,17 +99,15 @@ class ScoringResult:
     flagged_scored: DataFrame  # scored rows of alerting groups: features, prediction, label_str, count
     output: DataFrame          # key, payload
     keys: tuple = KEYS
+    seen: dict | None = None   # row counts from the gate's job
+    hours: list | None = None  # partitions that hold alerting groups, where known
 
     def counts(self) -> DataFrame:
         """O-40: rows or groups at each stage, as (stage, rows).
 
-        One pass over the input (without its payload); the later stages are
-        sums over the materialised group tables."""
-        domain = F.col("2ld")
-        rows = self.prepared.agg(
-            F.count(F.lit(1)).alias("question_rows"),
-            F.count_if(domain.isNull()).alias("undomained_rows"),
-            F.count_if(~domain.endswith("in-addr.arpa")).alias("candidate_rows"))
+        No pass over the input: the first ones come from the gate's job,
+        the later stages are sums over the materialised group tables."""
+        rows = self.alerts.sparkSession.range(1).select(*[F.lit(n).alias(c) for c, n in self.seen.items()])
 
         def total(df: DataFrame, name: str) -> DataFrame:
             return df.agg(F.coalesce(F.sum("count"), F.lit(0)).alias(name))
@@ -130,12 +129,34 @@ class ScoringResult:
         return self.scored.where(F.col("label_str").isNull())
 
 
+# Partitions named one by one to the scan of the flagged rows, at most.
+MAX_HOURS = 10_000
+
+
+def _hour_columns(messages: DataFrame) -> list[str]:
+    return [c for c in PARTITION_COLUMNS if c in messages.columns]
+
+
+def _hour_values(columns: Sequence[str]) -> list:
+    """The partition of a row as texts; a NULL value is an empty one."""
+    return [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+
+
+def in_hours(messages: DataFrame, hours: Sequence[tuple]) -> DataFrame:
+    """Messages of the named partitions, (``datestr``, ``hour``).
+
+    Each condition is over partition columns alone, so the scan prunes by it."""
+    values = _hour_values(_hour_columns(messages))
+    names = sorted({"/".join(h) for h in hours})
+    return messages.where(values[0].isin(sorted({h[0] for h in hours})) & F.concat_ws("/", *values).isin(names))
+
+
 def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = None,
           rules: DataFrame | None = None, alert_id: str = "constant",
           apply_exclusions: bool = False, approx_distinct: bool = False, distinct_messages: bool = False,
           with_intervals: bool = False, keys: Sequence[str] = KEYS,
           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, fallback_last_label: bool | None = None,
-          preserve_case: bool = False, ascii_names: bool = False) -> ScoringResult:
+          preserve_case: bool = False, ascii_names: bool = False, prune_hours: bool = True) -> ScoringResult:
     """Score DNS messages.
 
     The busy-group table is broadcast where it fits the bounds
@@ -153,24 +174,40 @@ def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = Non
 
     ``distinct_messages`` (D12): a message with n questions in alerting groups
     is written n times, as the reference does; True writes equal messages once.
+
+    ``prune_hours``: messages with the partition columns ``datestr`` and ``hour`` are
+    read again for the flagged rows only in the partitions of alerting groups.
     """
     cfg = cfg or ScoringConfig()
-    prepared = prepare(messages, rules, fallback_last_label, preserve_case, ascii_names)
+    suffixes = suffix_table(messages.sparkSession, rules)
+    prepared = prepare(messages, suffixes, fallback_last_label, preserve_case, ascii_names)
     candidates = drop_reverse_lookups(prepared, "2ld")
-    busy = materialise(busy_groups(candidates, cfg.min_group_count, keys))
+    busy, seen = counted_gate(prepared, cfg.min_group_count, is_forward("2ld"), F.col("2ld").isNull(), keys)
+    hour_columns = _hour_columns(messages) if prune_hours else []
     # Of the payload only the answers go on: they may be shuffled.
-    thin = candidates.select(*dict.fromkeys(["key", "QNAME", "ts_sec", "srcIP", "destIP", "2ld", *keys]),
+    thin = candidates.select(*dict.fromkeys(["key", "QNAME", "ts_sec", "srcIP", "destIP", "2ld", *keys, *hour_columns]),
                              F.struct(F.col("payload.answers").alias("answers")).alias("payload"))
     gated = thin.join(busy.for_join(max_broadcast_rows), list(keys), "inner")
     scored = with_indicators(with_label_str(labeler(featurise(gated, cfg, apply_exclusions))))
-    stats = group_stats(scored, keys, approx_distinct)
+    hours_of = [F.collect_set(F.array(*_hour_values(hour_columns))).alias("__hours")] if hour_columns else []
+    stats = group_stats(scored, keys, approx_distinct, extra=hours_of)
     if with_intervals:
         stats = stats.join(interval_stats(gated, keys), list(keys), "left")
     suspicious = materialise(stats.where(F.col("tunnel_count") > 0)).df
     # Alerts filter the checkpointed table: the lineage is already cut, so
     # measuring them (not another checkpoint) sizes them for the broadcast.
     alerts = sized(with_alert_id(alerting_groups(suspicious, cfg), alert_id, keys))
-    flagged = join_alerts(candidates, alerts, keys, max_broadcast_rows)
+    hours = None
+    if hour_columns:
+        found = alerts.df.select(F.explode("__hours").alias("h")).distinct().limit(MAX_HOURS + 1).collect()
+        hours = sorted(tuple(r["h"]) for r in found) if len(found) <= MAX_HOURS else None
+        suspicious = suspicious.drop("__hours")
+        alerts = Sized(alerts.df.drop("__hours"), alerts.rows, alerts.size)
+    read_again = candidates
+    if hours is not None:
+        again = prepare(in_hours(messages, hours), suffixes, fallback_last_label, preserve_case, ascii_names)
+        read_again = drop_reverse_lookups(again, "2ld")
+    flagged = join_alerts(read_again, alerts, keys, max_broadcast_rows)
     group_only = [c for c in alerts.df.columns if c not in scored.columns or c in keys]
     flagged_scored = join_alerts(scored, Sized(alerts.df.select(*group_only), alerts.rows, alerts.size), keys,
                                  max_broadcast_rows)
@@ -178,7 +215,7 @@ def score(messages: DataFrame, labeler: Labeler, cfg: ScoringConfig | None = Non
     if distinct_messages:
         output = distinct_outputs(output)
     return ScoringResult(prepared, candidates, busy.df, scored, suspicious, alerts.df, flagged, flagged_scored, output,
-                         tuple(keys))
+                         tuple(keys), seen, hours)
 
 
 def run_scoring_job(spark, input_path: str, model_path: str, config_path: str | None = None,
@@ -213,7 +250,10 @@ def run_scoring_job(spark, input_path: str, model_path: str, config_path: str |
     logs = read_dns_log(spark, input_path, datestr=datestr, hour=hour, base_path=base_path)
     result = score(logs, model_labeler(model), cfg, rules=rules, **score_options)
     def alerts() -> DataFrame:
-        return alert_table(result.flagged, ip_info, alert_timestamp_sec, engine_name or ENGINE_NAME)
+        # The addresses of flagged rows are keys of their groups.
+        sides = {"srcIP", "destIP"} <= set(result.keys)
+        addresses = result.alerts.select(F.explode(F.array("srcIP", "destIP")).alias("ip")) if sides else None
+        return alert_table(result.flagged, ip_info, alert_timestamp_sec, engine_name or ENGINE_NAME, addresses)
 
     if kafka_topic:
         write_to_kafka(alerts(), kafka_topic, kafka_brokers)

@@ -116,6 +116,40 @@ def publish(spark: SparkSession, tmp: str, final: str) -> bool:
     return True
 
 
+def hidden_sibling(path: str, suffix: str) -> str:
+    """A path beside ``path`` that readers of their common folder skip."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.{suffix}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, jpath = _hadoop_path(spark, path)
+    fs.delete(jpath, True)
+
+
+def replace_folder(spark: SparkSession, tmp: str, final: str) -> None:
+    """Put a finished output in the place of an older one, if any.
+
+    The old folder is set aside, the new one renamed into place, then the old one
+    removed.  A job that dies before that leaves the old output as it was; one that
+    dies between the two renames leaves it aside, from where ``restore_folder``
+    takes it back."""
+    aside = hidden_sibling(final, "old")
+    if path_exists(spark, final):
+        remove(spark, aside)
+        if not publish(spark, final, aside):
+            raise FileExistsError(f"{aside} appeared while {final} was replaced: another run writes it")
+    if not publish(spark, tmp, final):
+        raise FileExistsError(f"{final} appeared while it was replaced: another run writes it")
+    remove(spark, aside)
+
+
+def restore_folder(spark: SparkSession, final: str) -> bool:
+    """Take an output back that a run set aside and did not replace."""
+    aside = hidden_sibling(final, "old")
+    return not path_exists(spark, final) and path_exists(spark, aside) and publish(spark, aside, final)
+
+
 def fingerprint(spark: SparkSession, *files: str, salt: str = "") -> str:
     """Stable id of input files (path, size, time of change) for staged derived
     tables, read through the file system that Spark reads them with."""

@@ -3,7 +3,8 @@
 The reference scores one ``datestr=…/hour=…`` partition per batch run.  Here a
 file-source stream watches the table root.  A micro-batch only says which hours
 have new files; each of these hours is then read as a whole, scored by the same
-batch job, and its output folder ``<output>/datestr=…/hour=…`` replaced.  So a
+batch job, and its output folder ``<output>/datestr=…/hour=…`` replaced when the new
+one is finished, so that readers never see a part of an hour.  So a
 group is always judged on all files of its hour, however many batches brought
 them and whenever they came, and a replayed batch gives the same files.
 Progress is kept in a checkpoint under the shared ``spark.checkpoint.dir``.
@@ -20,6 +21,7 @@ from tunnelscan.plans.scoring import Labeler, score
 from tunnelscan.schemas import PARTITION_COLUMNS
 from tunnelscan.session import shared_path
 from tunnelscan.sources.readers import read_dns_log
+from tunnelscan.sources.sinks import write_messages
 
 
 def start_hourly_scoring(spark: SparkSession, table_root: str, output_path: str, labeler: Labeler,
@@ -40,7 +42,7 @@ def start_hourly_scoring(spark: SparkSession, table_root: str, output_path: str,
         for datestr, hour in batch.distinct().collect():
             messages = read_dns_log(spark, table_root, datestr=datestr, hour=hour)
             result = score(messages, labeler, cfg, **score_options)
-            result.output.write.mode("overwrite").parquet(f"{output_path}/datestr={datestr}/hour={hour}")
+            write_messages(result.output, f"{output_path}/datestr={datestr}/hour={hour}", mode="overwrite")
 
     writer = (stream.writeStream.queryName(query_name).foreachBatch(score_hours)
               .option("checkpointLocation", checkpoint or shared_path(spark, "streams", query_name)))
