@@ -147,7 +147,7 @@ msg0 AS (
     strftime(ts, '%Y%m%d') AS datestr,
     strftime(ts, '%H') AS hour
   FROM ev),
-msg AS (SELECT *, CAST(60 + length(asked) AS BIGINT) AS wirelen,
+msg AS MATERIALIZED (SELECT *, CAST(60 + length(asked) AS BIGINT) AS wirelen,
           CASE event_id % 31 WHEN 0 THEN [asked, 'mail.' || asked] WHEN 1 THEN CAST([] AS VARCHAR[]) WHEN 2 THEN NULL
                ELSE [asked] END AS qnames
         FROM msg0),
@@ -161,7 +161,7 @@ m AS (SELECT cand2.qname,
              max(CASE WHEN r.kind = 'exception' THEN k - 1 END) AS exc_len,
              max(CASE WHEN r.kind = 'exact' THEN k WHEN r.kind = 'wildcard' AND len(labels) >= k + 1 THEN k + 1 END) AS best_len
       FROM cand2 JOIN rules r ON cand2.c = r.suffix GROUP BY cand2.qname),
-dom AS (SELECT lab.qname,
+dom AS MATERIALIZED (SELECT lab.qname,
           -- Without a matching rule the last label acts as the suffix.
           CASE WHEN len(labels) >= coalesce(exc_len, best_len, 1) + 1 AND stripped <> ''
                THEN array_to_string(list_slice(labels, len(labels) - coalesce(exc_len, best_len, 1), len(labels)), '.') END AS sld
@@ -478,6 +478,20 @@ SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS agreeing FR
 WHERE CAST(('0x' || substr(md5("QNAME" || '|' || "RDATA" || '|' || '42'), 1, 8)) AS BIGINT) % 1000 >= 800
 """
 
+# Checks of fitted models: what holds for every right fit.
+ORACLE["lr_optimality"] = "SELECT unnest([" + ", ".join(f"'{c}'" for c in ("intercept", *_FEATURES)) + "]) AS feature, true AS at_optimum"
+ORACLE["rf_importances_check"] = "SELECT unnest([" + ", ".join(f"'{c}'" for c in _FEATURES) + "]) AS feature, true AS agrees"
+ORACLE["rf_metrics_check"] = 'SELECT true AS "areaUnderROC_agrees", true AS "areaUnderPR_agrees"'
+ORACLE["forest_separates"] = "SELECT true AS separates, true AS both_classes"
+ORACLE["auc_ranges"] = ORACLE["auc_metrics"]
+
+ORACLE["cv_folds"] = _with(_CLEAN + """
+, h AS (SELECT label, "QNAME" || '|' || "RDATA" || '|42' AS t FROM clean)
+SELECT CAST(CAST('0x' || substr(md5(t || '|fold'), 1, 8) AS BIGINT) % 1000 % 3 AS INTEGER) AS fold,
+       count(*) AS rows, CAST(sum(label) AS BIGINT) AS tunnels
+FROM h WHERE CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) % 1000 < 800 GROUP BY ALL
+""")
+
 ORACLE["answer_features_chars"] = _with(_CLEAN + f"""
 SELECT "QNAME", "RDATA",
   {_char_features('"RDATA"')}

@@ -469,6 +469,64 @@ def lr_dt_compare(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(rows, "model string, areaUnderROC double, accuracy double")
 
 
+def lr_optimality(spark: SparkSession, sf: str) -> DataFrame:
+    """O-69: the regression is at the optimum of its loss, by feature."""
+    train_df, _ = _split(spark, sf)
+    train_df = train_df.checkpoint(eager=True)
+    fitted = model_ops.fit_pipeline(train_df, model_ops.logistic_regression(max_iter=500, tol=1e-10))
+    slopes = model_ops.regression_gradient(fitted, train_df)
+    return slopes.select("feature", (F.abs("slope") < 1e-5).alias("at_optimum"))
+
+
+def rf_importances_check(spark: SparkSession, sf: str) -> DataFrame:
+    """O-68: the reported importances agree with the saved forest's node table."""
+    train_df, _ = _split(spark, sf)
+    train_df = train_df.repartition(_partitions(spark), "QNAME").checkpoint(eager=True)
+    path = shared_path(spark, "out", f"importances_{_run_id(spark, sf)}")
+    fitted = model_ops.fit_pipeline(train_df, model_ops.random_forest(num_trees=10))
+    fitted.write().overwrite().save(path)
+    ours = model_ops.importances_from_nodes(model_ops.tree_nodes(spark, path))
+    names = F.array(*map(F.lit, FEATURE_COLUMNS))
+    ours = ours.select(F.get(names, F.col("feature")).alias("feature"), F.col("importance").alias("ours"))
+    both = model_ops.feature_importances(spark, fitted).join(ours, "feature", "left")
+    return both.select("feature", (F.abs(F.col("importance") - F.coalesce("ours", F.lit(0.0))) < 1e-9).alias("agrees"))
+
+
+def forest_separates(spark: SparkSession, sf: str) -> DataFrame:
+    """O-62, O-63: with labels that the name decides and no noise, the forest is
+    right on nearly all hold-out rows (rows that are constant in SQL, and false
+    here for a forest that learns nothing)."""
+    sample = _sample(spark, sf).withColumn("DnsTunnel", fixtures.stand_in_label(F.col("QNAME")))
+    feats = training.training_features(sample, rdata_mode="array", delimiter=fixtures.RDATA_DELIMITER)
+    train_df, test_df = model_ops.split_train_test(feats.checkpoint(eager=True))
+    pred = model_ops.fit_pipeline(train_df).transform(test_df)
+    metrics = model_ops.multiclass_metrics(pred)
+    return metrics.select((F.col("accuracy") >= 0.99).alias("separates"), (F.col("f1") >= 0.99).alias("both_classes"))
+
+
+def rf_metrics_check(spark: SparkSession, sf: str) -> DataFrame:
+    """O-65, O-66 on the forest's own scores: MLlib's areas and those of summed
+    score ranges agree."""
+    _, test_df = _split(spark, sf)
+    pred = staged_model(spark, sf).transform(test_df).checkpoint(eager=True)
+    theirs = model_ops.binary_metrics(pred)
+    ours = model_ops.area_under_curves(pred, vector_to_array("rawPrediction")[1])
+    return ours.select(*[(F.abs(F.col(c) - F.lit(float(v))) < 1e-9).alias(f"{c}_agrees") for c, v in theirs.items()])
+
+
+def auc_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """O-65, O-66 by summed score ranges, on the score of ``auc_metrics``."""
+    out = model_ops.area_under_curves(_rule_scores(spark, sf), "rawPrediction")
+    return out.select(*_rounded(out, out.columns))
+
+
+def cv_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """O-70: rows and tunnels of each fold of the training rows."""
+    train_df, _ = _split(spark, sf)
+    return train_df.groupBy(model_ops.fold_of(3).alias("fold")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("label").cast("long").alias("tunnels"))
+
+
 def cv_tuning(spark: SparkSession, sf: str) -> DataFrame:
     """O-70: 2-fold cross-validation over forest size and depth (rows only)."""
     train_df, _ = _split(spark, sf)
@@ -495,13 +553,17 @@ def confusion_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return out.select(*_rounded(out, out.columns))
 
 
-def auc_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """O-65, O-66 on a rule-based score with many ties (SQL-checkable)."""
-    rows = _candidates(spark, sf)
+def _rule_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """A rule-based score with many ties."""
     sub = subdomain("QNAME", "2ld")
     share = F.when(F.length(sub) == 0, 0.0).otherwise(digit_count(sub) / F.length(sub))
-    scored = rows.select(label_index(fixtures.stand_in_label(F.col("QNAME"))).cast("double").alias("label"),
-                         share.alias("rawPrediction")).checkpoint(eager=True)
+    return _candidates(spark, sf).select(label_index(fixtures.stand_in_label(F.col("QNAME"))).cast("double").alias("label"),
+                                         share.alias("rawPrediction"))
+
+
+def auc_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """O-65, O-66 on a rule-based score with many ties (SQL-checkable)."""
+    scored = _rule_scores(spark, sf).checkpoint(eager=True)
     values = model_ops.binary_metrics(scored)
     return spark.createDataFrame([tuple(round(v, 6) for v in values.values())],
                                  ", ".join(f"{k} double" for k in values))
@@ -549,6 +611,12 @@ QUERIES: dict[str, Query] = {
     "rf_importances": rf_importances,
     "lr_dt_compare": lr_dt_compare,
     "cv_tuning": cv_tuning,
+    "cv_folds": cv_folds,
+    "lr_optimality": lr_optimality,
+    "rf_importances_check": rf_importances_check,
+    "rf_metrics_check": rf_metrics_check,
+    "auc_ranges": auc_ranges,
+    "forest_separates": forest_separates,
 }
 
 __all__ = ["QUERIES", "FIXTURE_CONFIG", "flagship", "FEATURE_COLUMNS"]
