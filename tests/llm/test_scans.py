@@ -1,7 +1,9 @@
 import datetime
 import hashlib
+import ipaddress
 import random
 import re
+import time
 
 import public_tokenizers
 import pytest
@@ -160,6 +162,89 @@ def test_values_within_failed_ones_and_in_groups(text, kind, value):
     assert kind != "iban" or pii.pseudonyms(value[:-1] + ("1" if value[-1] != "1" else "2"), P)[1] == []
 
 
+@pytest.mark.parametrize("letters", ["0123456789abcdef", "0123456789", "ABCDEF0123456789", "abcXYZ019+/_-"])
+@pytest.mark.parametrize("n", [127, 128, 129, 300, 5_000, 10_000])
+def test_long_secrets_come_back_and_stay_linked(letters, n):
+    rng = random.Random(n)
+    value = "".join(rng.choice(letters) for _ in range(n))
+    text = f"key={value} end"
+    new, found = pii.pseudonyms(text, P)
+    assert found == [("secret", 4, 4 + n)] and len(new) == len(text) and pii.pseudonyms(new, P, inverse=True)[0] == text
+    classes = lambda s: re.sub("[0-9]", "9", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", s)))
+    assert classes(new) == classes(text) or "f" in letters.lower()
+    # Equal values are linked; a change anywhere changes every block.
+    assert pii.pseudonyms(f"other text, secret: {value}", P)[0].endswith(new[4:4 + n])
+    other = value[:-1] + ("1" if value[-1] != "1" else "0")
+    if classes(other) == classes(value):
+        far = pii.pseudonyms(f"key={other} end", P)[0]
+        assert all(far[4 + k:4 + k + 40] != new[4 + k:4 + k + 40] for k in range(0, n - 40, pii.BLOCK))
+
+
+def test_a_secret_of_a_megabyte_takes_linear_time():
+    value = "".join(random.Random(3).choice("0123456789abcdef") for _ in range(1 << 20))
+    began = time.process_time()
+    new, found = pii.pseudonyms(f"token: {value}", P)
+    assert time.process_time() - began < 5 and len(found) == 1 and value not in new
+
+
+def test_digits_of_other_scripts_stay():
+    for text in ("٢٠٢١-٠٢-٢٨", "١٢٣-٤٥-٦٧٨٩", "call ٢١٢-٥٥٥-٠١٠٠", "٤١١١١١١١١١١١١١١١", "१०.०.०.२५५"):
+        assert pii.pseudonyms(text, P) == (text, []), text
+
+
+def test_findings_equal_those_of_a_plain_reading():
+    """Texts of single words, each read by Python's own parsers."""
+    rng = random.Random(12)
+
+    def checksum(digits):
+        return sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(digits))) % 10
+
+    def made():
+        kind = rng.choice(["card", "ssn", "ip", "date", "iban", "email", "word"])
+        if kind == "card":
+            return "".join(rng.choice("0123456789") for _ in range(rng.randrange(12, 21)))
+        if kind == "ssn":
+            return f"{rng.choice(['000', '123', '666', '899', '900'])}-{rng.choice(['00', '12'])}-{rng.choice(['0000', '4321'])}"
+        if kind == "ip":
+            return ".".join(str(rng.choice([0, 7, 255, 256, 999])) for _ in range(4))
+        if kind == "date":
+            return f"{rng.choice(['1899', '1900', '2024', '2099', '2100'])}-{rng.randrange(14):02d}-{rng.randrange(33):02d}"
+        if kind == "iban":
+            account = "".join(rng.choice("0123456789") for _ in range(18))
+            check = 98 - int(account + "131400") % 97 if rng.random() < 0.5 else rng.randrange(100)
+            return f"DE{check:02d}{account}"
+        return "jo.doe@mail.example.com" if kind == "email" else rng.choice(["jo@", "@home", "plain", "v1.2.3", "12345"])
+
+    def plain(word):
+        if re.fullmatch("[0-9]{13,19}", word):
+            return "card" if checksum(word) == 0 and word.strip("0") else None
+        if m := re.fullmatch("([0-9]{3})-([0-9]{2})-([0-9]{4})", word):
+            return "ssn" if 0 < int(m[1]) < 900 and int(m[1]) != 666 and int(m[2]) and int(m[3]) else None
+        if re.fullmatch("[0-9]{4}-[0-9]{2}-[0-9]{2}", word):
+            try:
+                return "date" if 1900 <= datetime.date.fromisoformat(word).year <= 2099 else None
+            except ValueError:
+                return None
+        if re.fullmatch("DE[0-9]{20}", word):
+            return "iban" if int(word[4:] + "1314" + word[2:4]) % 97 == 1 else None
+        try:
+            return "ip" if str(ipaddress.IPv4Address(word)) == word else None
+        except ValueError:
+            return "email" if word.endswith("@mail.example.com") else None
+
+    seen = set()
+    for _ in range(1500):
+        words = [made() for _ in range(rng.randrange(1, 6))]
+        text, want, at = "", [], 0
+        for k, word in enumerate(words):
+            text += (" and " if k else "") + word
+            if kind := plain(word):
+                want.append((kind, len(text) - len(word), len(text)))
+                seen.add(kind)
+        assert pii.pseudonyms(text, P)[1] == want, text
+    assert seen == {"card", "ssn", "ip", "date", "iban", "email"}
+
+
 def test_only_valid_values_are_changed():
     for text in ("4111111111111112", "999.1.1.1", "2021-02-30", "000-12-3456", "version 2.0.1", "GB83WEST12345698765432",
                  "1234567", "a@b", "token = short", "01.02.03.04"):

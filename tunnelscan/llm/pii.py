@@ -24,8 +24,10 @@ Edge cases: a NULL text stays NULL, an empty one empty, with no findings; where
 two patterns meet, the one that starts first wins, then the order of the table;
 numbers that fail their check stay as they are, and a value that starts within
 one is still found (the number around it may pass its check once the value is
-replaced: such a value is inverted alone, by its place); repeated rows and texts
-of any length are treated alike; other columns pass through.
+replaced: such a value is inverted alone, by its place); digits are
+ASCII ones: numbers in other digits are left as they are; repeated rows and texts
+of any length are treated alike; a value of more than ``BLOCK`` characters is
+permuted in blocks, in time linear in its length; other columns pass through.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ from pyspark.sql import functions as F
 from tunnelscan.llm.common import give_back
 
 ROUNDS = 8
+# Characters permuted as one number.
+BLOCK = 128
 # The key of the registered query; a deployment passes its own secret.
 DEMO_KEY = b"replace this key in production"
 
@@ -53,16 +57,16 @@ _NUMBERS = re.compile(r"""
   | (?P<date>(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}\.\d{1,2}\.\d{4}|\d{1,2}/\d{1,2}/\d{4})(?![\d/-]))
   | (?P<phone>\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<!\d)\(\d{3}\)[ ]?\d{3}-\d{4}(?!\d)
       |(?<![\d.-])\d{3}(?P<dot>[.-])\d{3}(?P=dot)\d{4}(?!\d))
-""", re.X)
+""", re.X | re.A)
 # Runs of the signs that the numbers above are made of.
-_RUN = re.compile(r"[\d+(][\d ().+/-]{6,}")
-_GROUP = re.compile(r"[+(]|\d+")
+_RUN = re.compile(r"[\d+(][\d ().+/-]{6,}", re.A)
+_GROUP = re.compile(r"[+(]|\d+", re.A)
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
 _DOMAIN = re.compile(r"(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])", re.A)
 # In groups of four, the last one shorter.
-_IBAN_START = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})(?=\d{2} [A-Z0-9]{4} )")
-_IBAN_GROUPS = re.compile(r"[A-Z]{2}\d{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3}(?![A-Za-z0-9]))?")
+_IBAN_START = re.compile(r"(?<![A-Za-z0-9])([A-Z]{2})(?=\d{2} [A-Z0-9]{4} )", re.A)
+_IBAN_GROUPS = re.compile(r"[A-Z]{2}\d{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3}(?![A-Za-z0-9]))?", re.A)
 # Characters of an IBAN by country; others end where their groups do.
 _IBAN_SIZES = {country: size for size, countries in {
     15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
@@ -122,35 +126,73 @@ def _put(shape: str, digits: str) -> str:
     return "".join(next(it) if c.isdigit() else c for c in shape)
 
 
-def _classes(text: str, hex_digits: bool = False) -> list[str]:
-    if hex_digits:
-        lower = "0123456789abcdef" if text.lower() == text else "0123456789ABCDEF"
-        return [lower] * len(text)
-    return ["0123456789" if c.isdigit() else "abcdefghijklmnopqrstuvwxyz" if c.islower()
-            else "ABCDEFGHIJKLMNOPQRSTUVWXYZ" if c.isupper() else c for c in text]
+_DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_CLASS = {c: of for of in (_DIGITS, _LOWER, _UPPER) for c in of}
+_HEX = {case: "".join(case(c) for c in _DIGITS + "abcdef") for case in (str.lower, str.upper)}
 
 
-def _by_class(p: Permutation, kind: str, text: str, inverse: bool, hex_digits: bool = False,
-              valid=lambda s: True) -> str:
+def _by_class(p: Permutation, kind: str, text: str, inverse: bool) -> str:
     """Permutes the texts of the same sequence of character classes."""
-    classes = _classes(text, hex_digits)
-    size = value = 0
-    size = 1
+    return _in_blocks(p, kind, text, inverse, lambda part: [_CLASS.get(c, c) for c in part])
+
+
+def _in_hex(p: Permutation, kind: str, text: str, inverse: bool) -> str:
+    """Permutes the hex strings of one letter case.  A part with a letter keeps one
+    and a part without stays without, so the image is read as hex again."""
+    of = _HEX[str.lower if text.lower() == text else str.upper]
+    return _in_blocks(p, kind, text, inverse, lambda part: [_DIGITS if part.isdigit() else of] * len(part),
+                      lambda part, image: part.isdigit() or not image.isdigit())
+
+
+def _in_blocks(p: Permutation, kind: str, text: str, inverse: bool, classes, valid=None) -> str:
+    """Permutes a short text as one number.  A long one is permuted block by block,
+    each under the digests of all others: of the images of those before it and of
+    the values of those after it, both of which the inverse has as well."""
+    if len(text) <= BLOCK:
+        return _block(p, kind, text, classes(text), inverse, valid)
+    blocks = [text[k:k + BLOCK] for k in range(0, len(text), BLOCK)]
+    digest = lambda k, block: int.from_bytes(hashlib.blake2b(
+        f"{k}|{block}".encode(), key=p.key, digest_size=16).digest(), "big")
+    others = 0
+    for k, block in enumerate(blocks):
+        others ^= digest(k, block)
+    for k in reversed(range(len(blocks))) if inverse else range(len(blocks)):
+        others ^= digest(k, blocks[k])
+        blocks[k] = _block(p, f"{kind}|{len(text)}|{k}|{others:x}", blocks[k], classes(blocks[k]), inverse, valid)
+        others ^= digest(k, blocks[k])
+    return "".join(blocks)
+
+
+def _number(text: str, classes: list[str]) -> tuple[int, int]:
+    """The text's number among those of its classes, and how many these are."""
+    value, size = 0, 1
     for c, of in zip(text, classes):
         value = value * len(of) + of.index(c)
         size *= len(of)
+    return value, size
+
+
+def _spelled(x: int, classes: list[str]) -> str:
+    out = []
+    for of in reversed(classes):
+        x, r = divmod(x, len(of))
+        out.append(of[r])
+    return "".join(reversed(out))
+
+
+def _block(p: Permutation, kind: str, text: str, classes: list[str], inverse: bool, valid) -> str:
+    # Hex strings of one case are the numbers that Python reads them as.
+    case = next((c for c, of in _HEX.items() if classes and classes.count(of) == len(classes)), None)
+    value, size = (int(text, 16), 16 ** len(text)) if case else _number(text, classes)
     if size == 1:
         return text
 
     def spelled(x: int) -> str:
-        out = []
-        for of in reversed(classes):
-            x, r = divmod(x, len(of))
-            out.append(of[r])
-        return "".join(reversed(out))
+        return case(f"{x:0{len(text)}x}") if case else _spelled(x, classes)
 
     tag = kind + "|" + "".join(of[0] if len(of) > 1 else "=" + of for of in classes)
-    return spelled(p.move(tag, size, value, inverse, lambda x: valid(spelled(x))))
+    stays = (lambda x: valid(text, spelled(x))) if valid else (lambda x: True)
+    return spelled(p.move(tag, size, value, inverse, stays))
 
 
 def _email(p, s, inverse):
@@ -173,7 +215,7 @@ def _iban(p, s, inverse):
 
 
 def _card(p, s, inverse):
-    d = re.sub(r"\D", "", s)
+    d = re.sub(r"[^0-9]", "", s)
     if not 13 <= len(d) <= 19 or luhn(d[:-1]) != int(d[-1]) or not d.strip("0"):
         return None
     n = len(d) - 2
@@ -201,7 +243,7 @@ def _ip(p, s, inverse):
 
 
 def _date(p, s, inverse):
-    sep = re.search(r"\D", s).group()
+    sep = re.search(r"[^0-9]", s).group()
     a, b, c = s.split(sep)
     day_first = sep == "." or (sep == "/" and int(a) > 12)
     y, m, d = (a, b, c) if sep == "-" else (c, b, a) if day_first else (c, a, b)
@@ -226,9 +268,9 @@ def _date(p, s, inverse):
 
 
 def _phone(p, s, inverse):
-    code = re.match(r"\+\d{1,3}", s)
+    code = re.match(r"\+[0-9]{1,3}", s)
     head = code.group() if code else ""
-    d = re.sub(r"\D", "", s[len(head):])
+    d = re.sub(r"[^0-9]", "", s[len(head):])
     total = len(d) + max(0, len(head) - 1)
     if not (8 <= total <= 15 if code else total == 10) or len(d) < 5:
         return None
@@ -236,12 +278,8 @@ def _phone(p, s, inverse):
 
 
 def _secret(p, s, inverse):
-    hex_digits = bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", s)) and bool(re.search("[a-fA-F]", s))
-    if hex_digits:
-        # Another string of the same letter case, also after the change.
-        case = re.compile("[a-f]" if s.lower() == s else "[A-F]")
-        return _by_class(p, "secret", s, inverse, True, lambda x: bool(case.search(x)))
-    return _by_class(p, "secret", s, inverse)
+    hex_digits = bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", s)) and not s.isdigit()
+    return (_in_hex if hex_digits else _by_class)(p, "secret", s, inverse)
 
 
 _MAKERS = {"email": _email, "iban": _iban, "card": _card, "ssn": _ssn, "ip": _ip, "date": _date, "phone": _phone,
