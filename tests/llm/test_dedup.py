@@ -134,3 +134,58 @@ def test_cut_documents_keep_first_copies_and_all_columns(spark):
     assert all(len(after[i]) < len(before[i]) for i in changed)
     assert after[900] is None and after[901] == ""
     assert substrings.op2_substrings(docs(spark, [])).count() == 0
+
+
+def test_a_run_held_by_several_earlier_documents_is_one_run(spark):
+    """A passage of 60 words in two documents, its middle in a still earlier one."""
+    rng, rows = random.Random(6), []
+    for k in range(100):
+        w = sentences(rng, 60, vocabulary=5000, letters="abcdefghijklmnop")
+        around = [sentences(rng, 30, vocabulary=5000, letters="qrstuvwxyz") for _ in range(6)]
+        rows.append((3 * k, " ".join(around[0] + w[18:42] + around[1])))
+        rows += [(3 * k + j, " ".join(around[2 * j] + w + around[2 * j + 1])) for j in (1, 2)]
+    words = {}
+    for r in substrings.op2_substrings(docs(spark, rows)).collect():
+        words.setdefault(r["doc_id"], []).append((r["start_word"], r["end_word"], r["first"]))
+    for k in range(100):
+        second, third = words[3 * k + 1], words[3 * k + 2]
+        # The same run in both, though the second document is the first holder of its ends.
+        assert [r[:2] for r in second] == [r[:2] for r in third] and len(second) == 1 and not third[0][2]
+    cut = {r["doc_id"]: tokens(r["text"]) for r in substrings.without_repeats(docs(spark, rows)).collect()}
+    held = dict(rows)
+    for k in range(100):
+        second, third = len(cut[3 * k + 1]), len(cut[3 * k + 2])
+        # What the second document is the first to hold stays there alone.
+        assert third <= second <= len(tokens(held[3 * k + 1])) and third <= 100
+    assert sum(len(cut[3 * k + 1]) for k in range(100)) > sum(len(cut[3 * k + 2]) for k in range(100))
+
+
+def test_runs_of_few_words_are_found_and_cut_alike(spark):
+    rng = random.Random(8)
+    for unit in (["0"], ["a", "b"], ["x", "yy", "z"], list("pqrst")):
+        run = (unit * 300)[:300]
+        rows = [(k, " ".join(sentences(rng, 40 + 7 * k, letters="klmnop") + run[:300 - 9 * k] + sentences(rng, 50, letters="uvwxyz")))
+                for k in range(4)] + [(9, " ".join(sentences(rng, 200)))]
+        found = {r["doc_id"]: r["n_words"] for r in substrings.op2_substrings(docs(spark, rows)).collect()}
+        assert set(found) == {0, 1, 2, 3} and all(n > 230 for n in found.values()), (unit, found)
+
+
+def test_long_shared_passages_of_the_tables_are_found(spark):
+    """Against all windows of 51 words that two documents hold."""
+    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r["doc_id"]: tokens(r["text"]) for r in frame.collect()}
+    holders = {}
+    for i, w in texts.items():
+        for k in range(len(w) - 50):
+            holders.setdefault(tuple(w[k:k + 51]), set()).add(i)
+    want = {i: {p for k in range(len(w) - 50) if len(holders[tuple(w[k:k + 51])]) > 1 for p in range(k, k + 51)}
+            for i, w in texts.items()}
+    got = {i: set() for i in texts}
+    for r in substrings.op2_substrings(frame).collect():
+        got[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+    holding = [i for i in texts if want[i]]
+    assert len(holding) > 20 and sum(1 for i in holding if got[i] & want[i]) >= 0.99 * len(holding)
+    # All but the words at a passage's ends, up to a chunk's length.
+    covered = sum(len(got[i] & want[i]) for i in holding) / sum(len(want[i]) for i in holding)
+    assert covered > 0.85, covered
+    print("documents", len(holding), "words covered", covered)

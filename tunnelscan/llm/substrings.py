@@ -6,9 +6,12 @@ falls after a word whose hash is smallest among its ``REACH`` neighbours on both
 sides, so cuts depend on a few words around them and move with the text when
 something is inserted before.  From every cut a variable chunk runs to the first
 later cut that makes it ``MIN_WORDS`` long; chunks overlap, so a repeated passage
-need not begin where a chunk of the last one ended.  Chunks with the same digest
-in more than one document are repeats; overlapping or adjoining repeats of a
-document are merged, and merged runs of ``MIN_RUN`` words or more are returned.
+need not begin where a chunk of the last one ended.  Where words repeat with a
+period of up to ``REACH`` no hash is the smallest; there a cut falls after every
+``MIN_WORDS`` words, counted from where the repetition begins, so it too moves with
+the text.  Chunks with the same digest in more than one document are repeats;
+overlapping or adjoining repeats of a document are merged, whichever document
+holds them first, and merged runs of ``MIN_RUN`` words or more are returned.
 A passage of 51 words holds such a run whatever stands around it but for one in a
 thousand (simulated), a longer one with still fewer exceptions.
 
@@ -59,6 +62,25 @@ def gear(h: np.ndarray, at: np.ndarray, reach: int = GEAR) -> np.ndarray:
     return mix(out)
 
 
+def periodic_cuts(v: np.ndarray, row: np.ndarray, reach: int = REACH, every: int = MIN_WORDS) -> np.ndarray:
+    """Every so many words of a stretch in which the hashes repeat with a period of
+    at most ``reach``, counted from the stretch's start."""
+    out = np.zeros(len(v), dtype=bool)
+    free = np.ones(len(v), dtype=bool)
+    for period in range(1, min(reach, len(v) - 1) + 1):
+        tied = np.zeros(len(v), dtype=bool)
+        tied[period:] = (v[period:] == v[:-period]) & (row[period:] == row[:-period])
+        tied &= free
+        at = np.flatnonzero(tied)
+        if len(at):
+            opens = np.flatnonzero(np.r_[True, at[1:] != at[:-1] + 1])
+            place = np.arange(len(at)) - np.repeat(opens, np.diff(np.r_[opens, len(at)]))
+            out[at[place % every == every - 1]] = True
+            # Of a stretch of this period, none of a multiple of it.
+            free[at] = False
+    return out
+
+
 def cuts(v: np.ndarray, row: np.ndarray, reach: int = REACH) -> np.ndarray:
     """Whether a chunk ends after each word; the last word of a text always does."""
     n = len(v)
@@ -67,6 +89,7 @@ def cuts(v: np.ndarray, row: np.ndarray, reach: int = REACH) -> np.ndarray:
         same = row[k:] == row[:-k]
         low[k:] &= ~same | (v[k:] < v[:-k])
         low[:-k] &= ~same | (v[:-k] <= v[k:])
+    low |= periodic_cuts(v, row, reach)
     if n:
         low[np.flatnonzero(row[1:] != row[:-1])] = True
         low[-1] = True
@@ -115,13 +138,10 @@ def _chunk(min_words: int):
     return run
 
 
-def repeated_passages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      min_words: int = MIN_WORDS, min_run: int = MIN_RUN) -> DataFrame:
-    """Runs of words that other documents hold as well: ``doc_id``,
-    ``start_word``, ``end_word`` (exclusive), ``n_words``, ``first_doc_id`` (the
-    smallest id that holds a part of it) and ``first`` (this document is the
-    first for all of the run's chunks).  Documents without repeats have no row.
-    """
+def _repeats(documents: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """Chunks that another document holds as well: their place, the smallest id that
+    holds them, whether it is this one, and the ``run`` of the document that they
+    are of (overlapping or adjoining chunks)."""
     docs = id_text(documents, id_col, text_col).where("doc_id is not null and text is not null")
     all_of = stage(docs.mapInArrow(_chunk(min_words), "digest long, check long, doc_id long, place long"), "chunks")
     held = all_of.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
@@ -135,18 +155,45 @@ def repeated_passages(documents: DataFrame, id_col: str = "doc_id", text_col: st
     rows = (found.join(firsts, ["digest", "check"])
             .select("doc_id", start.alias("start"), (start + n).alias("end"), "first_doc_id",
                     (F.col("doc_id") == F.col("first_doc_id")).alias("first")).distinct())
-    # Runs of overlapping or adjoining chunks: a document's own rows, in order.
-    order = Window.partitionBy("doc_id", "first").orderBy("start", "end")
+    return _merged(rows, ["doc_id"], "run")
+
+
+def _merged(rows: DataFrame, keys: list[str], number: str) -> DataFrame:
+    """The number of the run, within ``keys``, that each interval is of.  The keys
+    name a document: its own rows, in order."""
+    order = Window.partitionBy(*keys).orderBy("start", "end")
     reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     marked = rows.withColumn("new", F.when(F.col("start") <= reached, 0).otherwise(1))
-    runs = marked.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    out = runs.groupBy("doc_id", "first", "run").agg(
-        F.min("start").alias("start_word"), F.max("end").alias("end_word"), F.min("first_doc_id").alias("first_doc_id"))
+    return marked.withColumn(number, F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("new")
+
+
+def repeated_passages(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      min_words: int = MIN_WORDS, min_run: int = MIN_RUN) -> DataFrame:
+    """Runs of words that other documents hold as well: ``doc_id``,
+    ``start_word``, ``end_word`` (exclusive), ``n_words``, ``first_doc_id`` (the
+    smallest id that holds a part of it) and ``first`` (this document is the
+    first for all of the run's chunks).  Documents without repeats have no row.
+    """
+    out = _repeats(documents, id_col, text_col, min_words).groupBy("doc_id", "run").agg(
+        F.min("start").alias("start_word"), F.max("end").alias("end_word"), F.min("first_doc_id").alias("first_doc_id"),
+        F.bool_and("first").alias("first"))
     return (out.where(F.col("end_word") - F.col("start_word") >= min_run)
             .select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"),
                     "first_doc_id", "first"))
 
 
+def later_copies(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 min_words: int = MIN_WORDS, min_run: int = MIN_RUN) -> DataFrame:
+    """The parts of those runs that an earlier document holds: ``doc_id``,
+    ``start_word``, ``end_word``.  What this document is the first to hold stays
+    out, so cutting these parts leaves one copy of everything."""
+    chunked = _repeats(documents, id_col, text_col, min_words)
+    whole = Window.partitionBy("doc_id", "run")
+    long = chunked.withColumn("size", F.max("end").over(whole) - F.min("start").over(whole)).where(F.col("size") >= min_run)
+    parts = _merged(long.where("not first").select("doc_id", "run", "start", "end"), ["doc_id"], "part")
+    return parts.groupBy("doc_id", "part").agg(F.min("start").alias("start_word"), F.max("end").alias("end_word")).drop("part")
+
+
 def _cut(batches):
     for batch in batches:
         texts = batch.column(0).to_pylist()
@@ -165,10 +212,9 @@ def _cut(batches):
 
 
 def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents with every repeated run taken out that an earlier document
-    (by id) holds; all columns and rows stay."""
-    runs = stage(repeated_passages(documents, id_col, text_col, **options).where("not first")
-                 .groupBy("doc_id").agg(F.collect_list("start_word").alias("__starts"),
+    """The documents with every part of a repeated run taken out that an earlier
+    document (by id) holds; all columns and rows stay."""
+    runs = stage(later_copies(documents, id_col, text_col, **options).groupBy("doc_id").agg(F.collect_list("start_word").alias("__starts"),
                                         F.collect_list("end_word").alias("__ends"))
                  .withColumnRenamed("doc_id", "__id"), "runs")
     names = documents.columns
