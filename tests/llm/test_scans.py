@@ -110,6 +110,52 @@ def test_only_misses_are_encoded_and_appended(spark, tmp_path):
     assert spark.read.parquet(cache).count() == 6
 
 
+def test_normalised_copies_share_a_digest_and_are_encoded_once(spark, tmp_path):
+    path, cache = public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "cache")
+    same = ["Some  text,\nof WORDS", "some text, of words", "\tsome TEXT,\r\n\x0bof words  "]
+    rows = [(None, t) for t in same * 3] + [(5, same[0])] * 3
+    # Not the same: another white space, other letters, a special token's sign.
+    rows += [(6, "some\u00a0text, of words"), (7, "J\u030c"), (8, "j\u030c"), (9, "<|ENDOFTEXT|>"), (10, "<|endoftext|>")]
+    out = token_counts.token_counts(docs(spark, rows), path, cache).collect()
+    plain = Tokenizer.from_file(path)
+    given = {i: t for i, t in rows}
+    assert {(r["doc_id"], r["n_tokens"]) for r in out} == {
+        (i, len(plain.encode(t, add_special_tokens=False).ids)) for i, t in given.items()}
+    assert sorted(r["n_bytes"] for r in out) == sorted(len(t.encode()) for _, t in rows)
+    assert spark.read.parquet(cache).count() == 6 and len({bytes(r["digest"]) for r in out}) == 6
+    # Another version of the library would not find these entries.
+    versions = {r["version"] for r in spark.read.parquet(cache).collect()}
+    with open(path, "rb") as f:
+        data = f.read()
+    assert versions == {token_counts.version_digest(data, "json")} != {hashlib.sha256(data).hexdigest()}
+
+
+def test_normalising_never_changes_a_count():
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(3)
+    with open(path, "rb") as f:
+        data = f.read()
+    assert token_counts.lower_cases(data, "json") and not token_counts.splits_at_space(data, "model")
+    count = token_counts.load(data, "json")
+    letters = list("aBcIJ'sLL12.,<|>-") + [" ", "  ", "\n", "\t", "\r\n", "\x0b", "\x0c"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(3000)]
+    plain = [re.sub("[ \t-\r]+", " ", t).strip(" ") for t in texts]
+    plain = [p if "<|" in t else p.lower() for p, t in zip(plain, texts)]
+    assert count(plain) == count(texts)
+
+
+def test_compacted_cache_holds_each_entry_once(spark, tmp_path):
+    path, cache = public_tokenizers.path("word_bpe_49k.json"), str(tmp_path / "cache")
+    for k in range(3):
+        token_counts.op6_token_counts(docs(spark, [(k, f"text number {k}")]), path, cache).collect()
+    entries = spark.read.parquet(cache)
+    entries.write.mode("append").parquet(cache)
+    want = sorted((bytes(r["digest"]), r["n_tokens"]) for r in spark.read.parquet(cache).distinct().collect())
+    token_counts.compact(spark, cache)
+    assert sorted((bytes(r["digest"]), r["n_tokens"]) for r in spark.read.parquet(cache).collect()) == want and len(want) == 3
+    assert token_counts.op6_token_counts(docs(spark, [(9, "TEXT number 1 ")]), path, cache).first()["n_tokens"] == 3
+    assert spark.read.parquet(cache).count() == 3
+
+
 P = pii.Permutation(b"test key")
 VALUES = {
     "email": ["Jo.Doe_7@mail.example.com", "x@y.org"],
