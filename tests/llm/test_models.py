@@ -203,3 +203,28 @@ def test_search_of_empty_tables(spark):
     assert mtree.op5_mtree(frame).count() == 0
     one = spark.createDataFrame([(50, [1.0, 0.5], 0)], "vec_id long, embedding array<double>, label int")
     assert mtree.op5_mtree(one).count() == 0
+
+
+def test_scores_do_not_depend_on_the_partitioning(spark, monkeypatch):
+    # Several shards on a small table.
+    monkeypatch.setattr(mixing, "WORDS_PER_TASK", 2_000)
+    frame = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    seen = []
+    for n in (1, 4, 7):
+        rows = mixing.score_texts(frame.repartition(n)).collect()
+        seen.append({r["doc_id"]: (r["score"], r["base_score"], r["bits_per_byte"]) for r in rows})
+    for other in seen[1:]:
+        assert other.keys() == seen[0].keys()
+        assert max(abs(a - b) for i in other for a, b in zip(other[i], seen[0][i])) < 1e-9
+
+
+def test_common_buckets_count_whole_texts(spark):
+    # A word beyond any rank in its text, but the commonest of all.
+    rng = random.Random(4)
+    rows = [(k, " ".join([f"w{k}x{j}" for j in range(100) for _ in range(3)] + ["common"] * 2)) for k in range(300)]
+    texts = docs(spark, rows).select("text")
+    top = mixing.common_buckets(texts)
+    _, coded, h = mixing._words(pa.array(["common"], pa.large_string()))
+    assert int(mixing._bucket(h)[0]) in top.tolist() and len(top) == mixing.COMMON
+    rng.shuffle(rows)
+    assert (mixing.common_buckets(docs(spark, rows).select("text").repartition(5)) == top).all()
