@@ -362,6 +362,66 @@ def test_licences_in_blocks_of_any_length(lines):
     assert all(text[a:b].lower().count("mit license") for a, b, k, *_ in found.values() if k == "MIT")
 
 
+# Sentences as they stand in documents, none of them made from the templates.
+STATEMENTS = [
+    ("// SPDX-License-Identifier: MIT", {"MIT"}),
+    ("/* SPDX-License-Identifier: Apache-2.0 */", {"Apache-2.0"}),
+    ("# SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause) AND ISC -- see below", {"GPL-2.0-only", "BSD-3-Clause", "ISC"}),
+    ("<!-- spdx-license-identifier: LGPL-2.1+ WITH Linux-syscall-note -->", {"LGPL-2.1-or-later WITH Linux-syscall-note"}),
+    ("SPDX-License-Identifier: LicenseRef-Our-Own or MIT", {"LicenseRef-Our-Own", "MIT"}),
+    ("SPDX-License-Identifier:", set()),
+    ("This is distributed under the GNU Lesser General Public License v2.1.", {"LGPL-2.1"}),
+    ("It is under the GNU General Public License version 2 or later, like its parts.", {"GPL-2.0-or-later"}),
+    ("GNU General Public License v. 3 only", {"GPL-3.0-only"}),
+    ("the GNU Affero General Public License, version 3, or (at your option) any later version", {"AGPL-3.0-or-later"}),
+    ("Subject to the Boost Software License 1.0 as it stands", {"BSL-1.0"}),
+    ("made available under the Eclipse Public License 2.0", {"EPL-2.0"}),
+    ("Licence: European Union Public Licence v. 1.2", {"EUPL-1.2"}),
+    ("code licensed GPLv2? license: GPL v3, docs: GFDL 1.3", {"GPL-3.0", "GFDL-1.3"}),
+    ("Creative Commons Attribution-NonCommercial-ShareAlike 4.0 licence", {"CC-BY-NC-SA-4.0"}),
+    ("photos: CC BY-SA 2.5 license", {"CC-BY-SA-2.5"}),
+    ("the Apache Software License, Version 1.1", {"Apache-1.1"}),
+    ("the New BSD License and the Simplified BSD License", {"BSD-3-Clause", "BSD-2-Clause"}),
+    ("a license to speak, a gnu 2.0 and an Apache helicopter license 7", set()),
+]
+
+
+@pytest.mark.parametrize("text, want", STATEMENTS)
+def test_statements_not_made_from_templates(text, want):
+    all_of, alone = licenses.templates(), licenses.zstandard.ZstdCompressor(licenses.LEVEL)
+    found = licenses.scan(f"First line of it.\n{text}\nLast line.", all_of, alone)
+    assert {f[2] for f in found} == want
+    assert all(a >= 18 and b <= 19 + len(text) for a, b, *_ in found)
+
+
+def test_wordings_of_a_user(spark, tmp_path):
+    own = "The bearer of this license may use the machine on Sundays, may lend it to neighbours, and shall return it clean and dry."
+    (tmp_path / "notices").mkdir()
+    (tmp_path / "notices" / "Sunday-1.0.txt").write_text(own)
+    (tmp_path / "names").mkdir()
+    (tmp_path / "names" / "House.txt").write_text("House License of 1901")
+    more = licenses.read_wordings(spark, str(tmp_path / "notices")) + licenses.read_wordings(spark, str(tmp_path / "names"), exact=True)
+    rows = [(1, "x\n" + own.replace("neighbours", "friends")), (2, "under the house licence of 1901"), (3, "MIT License")]
+    got = {r["doc_id"]: (r["license_id"], r["missing"]) for r in licenses.scan_licenses(docs(spark, rows), more=more).collect()}
+    assert got == {1: ("Sunday-1.0", ["neighbours"]), 2: ("House", []), 3: ("MIT", [])}
+    (tmp_path / "notices" / "big.txt").write_text("x" * 100)
+    limit, licenses.MAX_WORDINGS = licenses.MAX_WORDINGS, 50
+    try:
+        with pytest.raises(ValueError):
+            licenses.read_wordings(spark, str(tmp_path / "notices"))
+    finally:
+        licenses.MAX_WORDINGS = limit
+
+
+def test_a_block_of_a_megabyte_takes_linear_time():
+    rng = random.Random(2)
+    text = "\n".join(" ".join(["license", *sentences(rng, 12, vocabulary=60)]) for _ in range(16_000))
+    assert len(text) > 1_000_000 and len(licenses.blocks(text)) == 1
+    all_of, alone = licenses.templates(), licenses.zstandard.ZstdCompressor(licenses.LEVEL)
+    began = time.process_time()
+    assert licenses.scan(text, all_of, alone) == [] and time.process_time() - began < 20
+
+
 def test_licences_on_odd_rows(spark):
     rows = ODD + [(1, "x\nReleased under the MIT License.\ny"), (1, "x\nReleased under the MIT License.\ny"),
                   (2, "your license to speak without warranty of anything")]

@@ -2,7 +2,9 @@
 
 ``NOTICES``: (licence, wording) of notices and whole short licences, which may
 be quoted with a few words changed.  ``NAMES``: (licence, wording) of names in a
-statement, which must stand word for word.
+statement, which must stand word for word.  ``FAMILIES``: (licence, names, versions,
+whether later versions may be allowed) of licences that are named with a version;
+``licenses.family_pattern`` has the ways to write it.
 """
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -61,7 +63,7 @@ NAMES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"), ("Apache-2.0", "Apache License 2.0"),
     *[(f"GPL-{v}.0", f"licensed under the GNU General Public License, version {v}") for v in (1, 2, 3)],
     *[(f"GPL-{v}.0", f"GNU General Public License v{v}") for v in (1, 2, 3)],
-    *[(f"LGPL-{v}", f"GNU Lesser General Public License, version {v}") for v in ("2.1", "3")],
+    *[(f"LGPL-{i}", f"GNU Lesser General Public License, version {v}") for i, v in (("2.1", "2.1"), ("3.0", "3"))],
     ("AGPL-3.0", "GNU Affero General Public License, version 3"),
     ("MPL-2.0", "Mozilla Public License 2.0"), ("MPL-2.0", "Mozilla Public License, version 2.0"),
     ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"), ("ISC", "ISC License"),
@@ -72,3 +74,38 @@ NAMES = [
     *[(f"CC-BY-SA-{v}", f"Creative Commons Attribution-ShareAlike {v}") for v in ("3.0", "4.0")],
     *[(f"CC-BY-NC-{v}", f"Creative Commons Attribution-NonCommercial {v}") for v in ("3.0", "4.0")],
 ]
+
+NAMES += [
+    ("BSD-3-Clause", "3-Clause BSD License"), ("BSD-3-Clause", "New BSD License"), ("BSD-3-Clause", "Modified BSD License"),
+    ("BSD-2-Clause", "2-Clause BSD License"), ("BSD-2-Clause", "Simplified BSD License"), ("BSD-2-Clause", "FreeBSD License"),
+    ("Zlib", "zlib License"), ("PostgreSQL", "PostgreSQL License"), ("OpenSSL", "OpenSSL License"), ("MS-PL", "Microsoft Public License"),
+    ("MS-RL", "Microsoft Reciprocal License"), ("NCSA", "University of Illinois/NCSA Open Source License"),
+    ("PSF-2.0", "Python Software Foundation License"), ("Unlicense", "released under the Unlicense"),
+    ("WTFPL", "Do What The Fuck You Want To Public License"), ("CC0-1.0", "CC0 1.0 Universal"), ("0BSD", "Zero-Clause BSD License"),
+]
+
+FAMILIES = [
+    ("GPL", ("GNU General Public License", "GNU GPL", "GPL"), ("1", "2", "3"), True),
+    ("LGPL", ("GNU Lesser General Public License", "GNU Library General Public License", "GNU LGPL", "LGPL"), ("2", "2.1", "3"), True),
+    ("AGPL", ("GNU Affero General Public License", "Affero General Public License", "GNU AGPL", "AGPL"), ("1", "3"), True),
+    ("GFDL", ("GNU Free Documentation License", "GFDL"), ("1.1", "1.2", "1.3"), True),
+    ("Apache", ("Apache License", "Apache Software License"), ("1.0", "1.1", "2.0"), False),
+    ("MPL", ("Mozilla Public License", "MPL"), ("1.0", "1.1", "2.0"), False),
+    ("EPL", ("Eclipse Public License", "EPL"), ("1.0", "2.0"), False),
+    ("EUPL", ("European Union Public License", "EUPL"), ("1.0", "1.1", "1.2"), False),
+    ("BSL", ("Boost Software License",), ("1.0",), False),
+    ("CDDL", ("Common Development and Distribution License", "CDDL"), ("1.0", "1.1"), False),
+    ("CPL", ("Common Public License",), ("1.0",), False),
+    ("AFL", ("Academic Free License",), ("1.1", "1.2", "2.0", "2.1", "3.0"), False),
+    ("OSL", ("Open Software License",), ("1.0", "1.1", "2.0", "2.1", "3.0"), False),
+    ("Artistic", ("Artistic License",), ("1.0", "2.0"), False),
+    ("OFL", ("SIL Open Font License",), ("1.0", "1.1"), False),
+    ("ODbL", ("Open Database License", "ODbL"), ("1.0",), False),
+    ("ODC-By", ("Open Data Commons Attribution License",), ("1.0",), False),
+    ("PDDL", ("Public Domain Dedication and License",), ("1.0",), False),
+    ("LPPL", ("LaTeX Project Public License",), ("1.0", "1.1", "1.2"), False),
+    *[(f"CC-{kind}", (f"CC {kind}", f"Creative Commons {spelled}"), ("1.0", "2.0", "2.5", "3.0", "4.0"), False)
+      for kind, spelled in (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+                            ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+                            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))],
+]

@@ -4,11 +4,16 @@ A block of text around licence words is compressed alone and with each template
 as a raw zstandard dictionary; what a template saves of the block's size says
 how much of the block it explains.  A notice that saves enough is confirmed by
 its wording, which may differ in at most a tenth of its words; the differences
-are reported.  A name must stand word for word, whatever it saves.
+are reported.  A name must stand word for word, whatever it saves; so must a name
+with a version (``v2``, ``version 2.0``, ``2.0``), after which ``only`` or a clause that
+allows later versions belongs to the licence.  A tag (``SPDX-License-Identifier:``)
+gives a finding for each licence of its expression (``AND``, ``OR``, ``WITH``, ``+``,
+parentheses), whatever its identifier.  Names and tags are templates by their own
+words.  A user's wordings come beside the shipped ones (``read_wordings``).
 
 A block of any length is searched: notices in overlapping windows of ``SPAN``
 times their own number of words, so that what else the block holds cannot hide
-one, and then in the block as a whole.  Start, end and saving of a finding are
+one, and then in windows of ``WIDE`` times them, for notices with much put in.  Start, end and saving of a finding are
 those of the window, where the block is longer than it.  A wording inside a
 longer one at the same place (BSD-2 in BSD-3) is no finding of its own.
 
@@ -34,11 +39,11 @@ from itertools import pairwise
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tunnelscan.llm.common import as_strings, batch_of, id_text
-from tunnelscan.llm.license_texts import NAMES, NOTICES
+from tunnelscan.llm.license_texts import FAMILIES, NAMES, NOTICES
 
 REACH = 300
 GAP = 200
@@ -47,6 +52,10 @@ SAVING = 0.05
 # Words of a window, as a multiple of the notice's; twice the notice fits wherever
 # it starts, so as many words may be put in as it has.
 SPAN = 3
+# The same for notices with other words in between.
+WIDE = 32
+# Bytes of a user's wordings, which go to every task.
+MAX_WORDINGS = 32 << 20
 # A name's saving is that of its block up to this many characters, beyond that of
 # the words around it.
 NAME_BLOCK = 2_000
@@ -59,10 +68,59 @@ _CUE = re.compile(r"licen[sc]e|copyright|warrant(?:y|ies)|permission|redistribut
 _HINTS = ("licen", "copyright", "warrant", "permission", "redistribut", "public domain", "creative commons", "cc by",
           "cc-by", "cc0", "gnu", "spdx")
 _WORD = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+_TAG = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.I)
+_TERM = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.:-]*\+?")
+
+
+def lowered(text: str) -> str:
+    """Lower case, one spelling of the word; every character keeps its place."""
+    # The one letter that gets longer in lower case would move the places.
+    return text.replace("\u0130", "i").lower().replace("licence", "license")
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return _WORD.findall(lowered(text))
+
+
+def family_pattern() -> tuple[re.Pattern, list[str]]:
+    """A pattern over words joined by blanks that finds every name of ``FAMILIES``
+    with a version, and the licence of each of its groups."""
+    parts, ids = [], []
+    for prefix, names, versions, later in FAMILIES:
+        # The longest name first; 2.0 is also written 2.
+        spelled = "|".join(re.escape(" ".join(words(n))) for n in sorted(names, key=len, reverse=True))
+        for v in versions:
+            number = re.escape(v) + (r"(?:\.0)?" if "." not in v else "") if not v.endswith(".0") else re.escape(v[:-2]) + r"(?:\.0)?"
+            ids.append(f"{prefix}-{v if '.' in v else v + '.0'}")
+            clause = (r"(?:(?P<o{0}> only)|(?P<l{0}> or (?:newer|later)(?: version)?s?| or (?:at your option )?any later version))?"
+                      .format(len(ids)) if later else "")
+            parts.append(rf"(?P<i{len(ids)}>(?:{spelled}) (?:version |v ?)?{number}{clause})")
+    return re.compile(" (?:" + "|".join(parts) + ")(?= )"), ids
+
+
+def tagged(expression: str) -> list[str]:
+    """The licences of an expression of a tag, as far as it can be read; a later
+    version (``+``) and an exception (``WITH``) belong to the licence."""
+    out: list[str] = []
+    terms, want, depth, k = _TERM.findall(expression), True, 0, 0
+    while k < len(terms):
+        t = terms[k]
+        if want and t == "(":
+            depth += 1
+        elif want and t != ")" and t.upper() not in ("AND", "OR", "WITH"):
+            name = t.removesuffix("+") + ("-or-later" if t.endswith("+") else "")
+            if k + 2 < len(terms) and terms[k + 1].upper() == "WITH" and terms[k + 2] not in "()":
+                name, k = f"{name} WITH {terms[k + 2]}", k + 2
+            out.append(name)
+            want = False
+        elif not want and t == ")" and depth:
+            depth -= 1
+        elif not want and t.upper() in ("AND", "OR"):
+            want = True
+        else:
+            break
+        k += 1
+    return out
 
 
 @dataclass
@@ -74,18 +132,24 @@ class Template:
     compressor: zstandard.ZstdCompressor
 
 
-def templates() -> list[Template]:
-    def of(license_id: str, text: str, exact: bool) -> Template:
-        flat = " ".join(text.split()).lower().encode()
-        # The library wants eight bytes of dictionary at least.
-        raw = zstandard.ZstdCompressionDict(flat.rjust(16), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        return Template(license_id, exact, words(text), Counter(words(text)), zstandard.ZstdCompressor(LEVEL, dict_data=raw))
-    return [of(k, t, False) for k, t in NOTICES] + [of(k, t, True) for k, t in NAMES]
+def template(license_id: str, text: str, exact: bool) -> Template:
+    flat = lowered(" ".join(text.split())).encode()
+    # The library wants eight bytes of dictionary at least.
+    raw = zstandard.ZstdCompressionDict(flat.rjust(16), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return Template(license_id, exact, words(text), Counter(words(text)), zstandard.ZstdCompressor(LEVEL, dict_data=raw))
+
+
+def templates(more=()) -> list[Template]:
+    """The shipped templates and ``more`` of (licence, wording, whether it is a name),
+    names by falling length."""
+    out = [template(k, t, False) for k, t in NOTICES] + [template(k, t, True) for k, t in NAMES]
+    out += [template(k, t, exact) for k, t, exact in more if words(t)]
+    return sorted(out, key=lambda t: -len(t.words) if t.exact else 0)
 
 
 def blocks(text: str) -> list[tuple[int, int]]:
     """(start, end) of the candidate blocks of a text."""
-    low = text.lower()
+    low = lowered(text)
     if not any(h in low for h in _HINTS):
         return []
     out: list[list[int]] = []
@@ -183,11 +247,38 @@ class _Block:
 
     def notices(self, template: Template) -> list[Finding]:
         out = list(self.sweep(template, 0, len(self.words)))
-        if not out and len(self.words) > SPAN * len(template.words):
-            whole = self.look(template, 0, len(self.words))
-            out = [whole] if whole else []
+        n = len(template.words)
+        if not out and len(self.words) > SPAN * n:
+            step = WIDE // 2 * n
+            for i in range(0, max(1, len(self.words) - step), step):
+                hit = self.look(template, i, min(i + WIDE * n, len(self.words)))
+                if hit and not (out and hit.first <= out[-1].last):
+                    out.append(hit)
+        return out
+
+    def versions(self, joined: str, a: int, b: int) -> list[Finding]:
+        """Names with versions within (``a``, ``b``)."""
+        out, k, before = [], 0, 0
+        pattern, ids = _FAMILY
+        for m in pattern.finditer(joined):
+            k += joined.count(" ", before, m.start())
+            before = m.start()
+            group = next(int(g[1:]) for g, v in m.groupdict().items() if v is not None and g[0] == "i")
+            n = m.group().count(" ")
+            if not (a <= self.spans[k][0] and self.spans[k + n - 1][1] <= b):
+                continue
+            parts = m.groupdict()
+            name = ids[group - 1] + ("-or-later" if parts.get(f"l{group}") else "-only" if parts.get(f"o{group}") else "")
+            t = template(name, m.group().strip(), True)
+            x, y = self.near(k, n, a, b)
+            out.append(Finding(t, x, y, self.saving(t, x, y), n, [], 0, k, k + n - 1))
         return out
 
+    def near(self, k: int, n: int, a: int, b: int) -> tuple[int, int]:
+        """The part of the block (``a``, ``b``) that the saving of the words ``k`` to ``k + n`` is of."""
+        x, y = self.spans[max(0, k - n)][0], self.spans[min(k + 2 * n, len(self.words)) - 1][1]
+        return (a, b) if b - a <= NAME_BLOCK else (max(a, x), min(b, y))
+
     def names(self, template: Template, joined: str, a: int, b: int, covered: set) -> Finding | None:
         """The first place of a name within (``a``, ``b``) outside the ``covered`` words."""
         name, n = f" {' '.join(template.words)} ", len(template.words)
@@ -196,8 +287,7 @@ class _Block:
             k += joined.count(" ", before, at)
             before = at
             if a <= self.spans[k][0] and self.spans[k + n - 1][1] <= b and k not in covered:
-                x, y = self.spans[max(0, k - n)][0], self.spans[min(k + 2 * n, len(self.words)) - 1][1]
-                x, y = (a, b) if b - a <= NAME_BLOCK else (max(a, x), min(b, y))
+                x, y = self.near(k, n, a, b)
                 return Finding(template, x, y, self.saving(template, x, y), n, [], 0, k, k + n - 1)
             at = joined.find(name, at + 1)
         return None
@@ -206,8 +296,7 @@ class _Block:
 def scan(text: str, all_of: list[Template], alone: zstandard.ZstdCompressor) -> list[tuple]:
     """(start, end, licence, saving, missing words, words put in) of each finding."""
     out = []
-    # The one letter that gets longer in lower case would move the places.
-    low = text.replace("\u0130", "i").lower()
+    low = lowered(text)
     for a, b in blocks(text):
         block = _Block(low, *widened(text, a, b), alone)
         found = [f for t in all_of if not t.exact for f in block.notices(t)]
@@ -219,9 +308,17 @@ def scan(text: str, all_of: list[Template], alone: zstandard.ZstdCompressor) ->
                 or len(g.missing) < len(f.missing) and _alike(f.template.words, g.template.words))
             for g in found)]
         joined = f" {' '.join(block.words)} "
-        for t in sorted((t for t in all_of if t.exact), key=lambda t: -len(t.words)):
+        tags = list(_TAG.finditer(text, a, b))
+        # What stands in a tag is read as its expression alone.
+        in_tags = {k for m in tags for k, (x, y) in enumerate(block.spans) if m.start() <= x and y <= m.end()}
+        found += [f for f in block.versions(joined, a, b) if f.first not in in_tags]
+        for m in tags:
+            for name in tagged(m.group(1)):
+                t = template(name, m.group(), True)
+                found.append(Finding(t, m.start(), m.end(), block.saving(t, m.start(), m.end()), len(t.words), [], 0, -1, -1))
+        for t in (t for t in all_of if t.exact):
             if f" {' '.join(t.words)} " in joined:
-                covered = {k for f in found if _within(t.words, f.template.words) for k in range(f.first, f.last + 1)}
+                covered = in_tags | {k for f in found if _within(t.words, f.template.words) for k in range(f.first, f.last + 1)}
                 f = block.names(t, joined, a, b, covered)
                 found += [f] if f else []
         best: dict[str, Finding] = {}
@@ -240,23 +337,41 @@ def _within(short: list, long: list) -> bool:
     return n < len(long) and any(long[k:k + n] == short for k in range(len(long) - n + 1))
 
 
-def _scan(batches):
+_FAMILY = family_pattern()
+
+
+def _scan(more):
     kinds = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("license_id", pa.string()),
                        ("saving", pa.float64()), ("missing", pa.list_(pa.string())), ("extra_words", pa.int32())])
-    all_of, alone = templates(), zstandard.ZstdCompressor(LEVEL)
-    for batch in batches:
-        rows = [(doc, *found) for doc, text in zip(batch.column(0).to_pylist(), as_strings(batch.column(1)).to_pylist())
-                for found in scan(text, all_of, alone)]
-        if rows:
-            yield batch_of(kinds, *(list(c) for c in zip(*rows)))
+
+    def run(batches):
+        all_of, alone = templates(more), zstandard.ZstdCompressor(LEVEL)
+        for batch in batches:
+            rows = [(doc, *found) for doc, text in zip(batch.column(0).to_pylist(), as_strings(batch.column(1)).to_pylist())
+                    for found in scan(text, all_of, alone)]
+            if rows:
+                yield batch_of(kinds, *(list(c) for c in zip(*rows)))
+    return run
+
+
+def read_wordings(spark: SparkSession, path: str, exact: bool = False) -> list[tuple]:
+    """A user's wordings from a folder of text files, one for each licence, which the
+    file's name tells: notices, or with ``exact`` names that stand word for word."""
+    rows = spark.read.format("binaryFile").load(path).select("path", "length", "content")
+    size = rows.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    if size > MAX_WORDINGS:
+        raise ValueError(f"{size} bytes of wordings are more than the {MAX_WORDINGS} that go to every task")
+    return sorted((re.sub(r"\.txt$", "", r["path"].rpartition("/")[2]), bytes(r["content"]).decode("utf-8", "replace"), exact)
+                  for r in rows.collect())
 
 
-def scan_licenses(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", more=()) -> DataFrame:
     """A row for each licence found: its block, the share of the block's size
-    that its template saves, and how the wording differs from the template."""
+    that its template saves, and how the wording differs from the template.
+    ``more``: a user's wordings, as ``read_wordings`` gives them."""
     return id_text(documents, id_col, text_col).mapInArrow(
-        _scan, "doc_id long, start int, end int, license_id string, saving double, missing array<string>, "
-               "extra_words int")
+        _scan(list(more)), "doc_id long, start int, end int, license_id string, saving double, missing array<string>, "
+                           "extra_words int")
 
 
 def op8_licenses(documents: DataFrame) -> DataFrame:
