@@ -228,3 +228,30 @@ def test_common_buckets_count_whole_texts(spark):
     assert int(mixing._bucket(h)[0]) in top.tolist() and len(top) == mixing.COMMON
     rng.shuffle(rows)
     assert (mixing.common_buckets(docs(spark, rows).select("text").repartition(5)) == top).all()
+
+
+@pytest.mark.parametrize("scale, wide", [(2.0 ** 16, False), (2.0 ** 20, False), (2.0 ** 30, True)])
+def test_search_of_large_components_is_exact(spark, scale, wide):
+    rng = random.Random(5)
+
+    def component(k, j):
+        # In the wide case queries and candidates are large in different places.
+        size = scale if not wide or (j < 2) == (k % 50 > 0) else 2.0
+        return math.floor(rng.gauss(0, 1) * size) + rng.randrange(256) / 256
+
+    rows = [(k, [component(k, j) for j in range(4)]) for k in range(400)]
+    out_of_range = [(1000, [2.0 ** 45, 1.0, 1.0, 1.0]), (1050, [1e300, 0.0, 0.0, 0.0])]
+    x = {i: [math.floor(256 * c) for c in v] for i, v in rows}
+    want = set()
+    for q in (i for i in x if i % 50 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(x[q], x[i])), i) for i in x if i != q)[:5]
+        want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)}
+    assert (max(abs(c) for v in x.values() for c in v) ** 2 * 4 >= 2 ** 63) is wide
+    frame = spark.createDataFrame(rows + out_of_range, "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in mtree.top_k(frame, F.col("vec_id") % 50 == 0, block_rows=64, page=16).collect()}
+    if not wide:
+        assert got == want
+        return
+    # Scores of two queries are beyond 64 bits: those are the nearest number, in either order.
+    cut = lambda rows: sorted((q, k, min(s, 2 ** 63 - 1)) for q, k, _, s in rows)
+    assert cut(got) == cut(want) and {r for r in got if r[3] < 2 ** 63 - 1} <= want

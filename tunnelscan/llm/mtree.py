@@ -17,8 +17,13 @@ distance when |d(q, parent) - stored distance| - radius already exceeds the
 distance of the k-th best score.  Queries first search the nearest block, which
 bounds the k-th score; then all blocks that the bound does not exclude.
 
+Distances are doubles, so every bound has a slack relative to the lengths; scores
+are exact at any size, in Python's integers where 64 bits do not hold them.
+
 Edge cases: a vector that is NULL or holds a NULL or non-finite component takes
-no part, nor does a NULL id; vectors of different lengths are not compared; rows
+no part, nor does one with a component of 2**45 or more (256 times it would not be
+exact) or a NULL id; scores beyond 64 bits are returned as the nearest 64-bit
+number, in either order; vectors of different lengths are not compared; rows
 of the query's own id are no candidates; with fewer candidates than k all are
 returned; equal scores go to the smaller id; repeated rows are candidates each;
 an empty table gives an empty result; other columns are ignored.
@@ -33,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunnelscan.llm.common import batch_of, list_array, stage
+from tunnelscan.llm.common import LARGEST, batch_of, list_array, stage
 
 TOP = 5
 BLOCK_ROWS = 4096
@@ -42,8 +47,11 @@ MAX_ROUTES = 1024
 PAGE = 64
 # Queries searched together in a block.
 QUERY_BLOCK = 1024
-# Slack of the bounds, far above the error of a distance and below a score step.
+# Slack of the bounds, far above the error of a distance: of distances, and of
+# their squares relative to the squared lengths that they are made of.
 SLACK = 1e-6
+RELATIVE = 1e-12
+_LONG = (-(1 << 63), (1 << 63) - 1)
 
 _PAGES = pa.schema([("block", pa.int64()), ("node", pa.int32()), ("parent", pa.int32()), ("centre", pa.list_(pa.float64())),
                     ("radius", pa.float64()), ("up", pa.float64()), ("ids", pa.list_(pa.int64())),
@@ -56,7 +64,7 @@ _FOUND_SQL = "query_id long, vec_id long, score long"
 
 def quantised(vec: Column) -> Column:
     """floor(256 * x) of every component; NULL where the vector takes no part."""
-    usable = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
+    usable = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < LARGEST))
     return F.when(vec.isNotNull() & usable, F.transform(vec, lambda x: F.floor(x.cast("double") * 256)))
 
 
@@ -73,6 +81,12 @@ def lifted(v: np.ndarray, most: float) -> np.ndarray:
     return np.hstack([v, rest[:, None]])
 
 
+def _within(square, best):
+    """Distance up to which a candidate may score ``best``; ``square``: the squared
+    lengths of query and candidate."""
+    return np.sqrt(np.maximum(square - 2 * best, 0.0) + RELATIVE * square) + SLACK
+
+
 def _distances(points: np.ndarray, centre: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(((points - centre) ** 2).sum(axis=1), 0.0))
 
@@ -117,7 +131,7 @@ def build(points: np.ndarray, page: int = PAGE, seed: int = 7):
 class Tree:
     """The pages of one block, searched best first."""
 
-    def __init__(self, pages: pa.Table, dim: int):
+    def __init__(self, pages: pa.Table, dim: int, wide: bool = False):
         pages = pages.sort_by("node")
         self.centre = _matrix(pages["centre"], dim + 1)
         self.radius = pages["radius"].to_numpy()
@@ -127,16 +141,18 @@ class Tree:
         column = lambda name: [x.values.to_numpy(zero_copy_only=False) for x in pages[name]]
         self.ids, self.ups = column("ids"), column("ups")
         self.vectors = [x.reshape(len(i), dim) for x, i in zip(column("vectors"), self.ids)]
+        if wide:
+            self.vectors = [x.astype(object) for x in self.vectors]
 
     def search(self, own: int, q: np.ndarray, most: float, top: int, best: list, bound: float) -> list:
         """``best`` (score, -id) entries, a heap of at most ``top``, completed;
         only scores of ``bound`` or more are of interest."""
-        square = float(q @ q) + most
         point = np.r_[q.astype(np.float64), 0.0]
+        square = float(point @ point) + most
 
         def reach() -> float:
             least = max(best[0][0] if len(best) == top else -np.inf, bound)
-            return np.sqrt(max(square - 2 * least, 0.0)) + SLACK if least > -np.inf else np.inf
+            return _within(square, float(least)) if least > -np.inf else np.inf
 
         d = float(_distances(self.centre[:1], point)[0])
         queue = [(max(0.0, d - self.radius[0]), 0, d)]
@@ -194,15 +210,18 @@ def _index(most: float, dim: int, page: int):
     return run
 
 
-def _search(most: float, dim: int, top: int):
+def _search(most: float, dim: int, top: int, wide: bool):
     def run(key, pages, queries):
         out = []
         if pages.num_rows and queries.num_rows:
-            tree = Tree(pages, dim)
-            for own, q, bound in zip(queries["query_id"].to_pylist(), _matrix(queries["q"], dim),
+            tree = Tree(pages, dim, wide)
+            vectors = _matrix(queries["q"], dim)
+            for own, q, bound in zip(queries["query_id"].to_pylist(), vectors.astype(object) if wide else vectors,
                                      queries["bound"].to_pylist()):
-                best = tree.search(own, q, most, top, [], -np.inf if bound is None else bound)
-                out += [(own, -i, s) for s, i in best]
+                # A score at an end of 64 bits stands for all beyond it.
+                bound = -np.inf if bound is None or bound == _LONG[0] else bound
+                best = tree.search(own, q, most, top, [], bound)
+                out += [(own, -i, min(max(s, _LONG[0]), _LONG[1])) for s, i in best]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), _FOUND)] if out
                         else [pa.array([], f.type) for f in _FOUND], schema=_FOUND)
     return run
@@ -218,7 +237,7 @@ def _candidates(routes: np.ndarray, radius: np.ndarray, most: float, dim: int):
             q = _matrix(batch.column(1), dim).astype(np.float64)
             bound = batch.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
             square = (q ** 2).sum(axis=1)
-            limit = np.where(np.isnan(bound), np.inf, np.sqrt(np.maximum(square + most - 2 * bound, 0.0))) + SLACK
+            limit = np.where(np.isnan(bound), np.inf, _within(square + most, np.nan_to_num(bound)))
             lists = []
             for k in range(len(q)):
                 d = np.sqrt(np.maximum(((routes - np.r_[q[k], 0.0]) ** 2).sum(axis=1), 0.0))
@@ -243,15 +262,17 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col:
                    .where("vec_id is not null and v is not null"), "vectors")
     sizes = usable.groupBy(F.size("v").alias("dim")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.max(F.aggregate("v", F.lit(0).cast("long"), lambda s, x: s + x * x)).alias("most")).collect()
+        F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)).alias("most"),
+        F.max(F.array_max(F.transform("v", F.abs))).alias("largest")).collect()
     out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    for dim, n, most in sizes:
+    for dim, n, most, largest in sizes:
         rows = usable.where(F.size("v") == dim)
-        out = out.unionByName(_top_k(rows, dim, n, float(most), top, block_rows, max_routes, page))
+        wide = (largest or 0) ** 2 * dim >= 1 << 63
+        out = out.unionByName(_top_k(rows, dim, n, float(most), wide, top, block_rows, max_routes, page))
     return out
 
 
-def _top_k(rows: DataFrame, dim: int, n: int, most: float, top: int, block_rows: int, max_routes: int,
+def _top_k(rows: DataFrame, dim: int, n: int, most: float, wide: bool, top: int, block_rows: int, max_routes: int,
            page: int) -> DataFrame:
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(min(max_routes, -(-n // block_rows))).toArrow()
     routes = lifted(_matrix(sample["v"], dim), most)
@@ -276,7 +297,7 @@ def _top_k(rows: DataFrame, dim: int, n: int, most: float, top: int, block_rows:
         wanted = queries.select(F.col("block").alias("b"), F.col("part").alias("p")).distinct()
         copies = pages.join(wanted, F.col("block") == F.col("b")).drop("block")
         return (copies.groupBy("b", "p").cogroup(queries.groupBy("block", "part"))
-                .applyInArrow(_search(most, dim, top), _FOUND_SQL))
+                .applyInArrow(_search(most, dim, top, wide), _FOUND_SQL))
 
     queries = asked.withColumn("part", spread)
     near = queries.select(F.col("query_id").alias("vec_id"), F.col("q").alias("v")).mapInArrow(
