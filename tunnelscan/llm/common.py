@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import ctypes
 import uuid
 from typing import Iterator
@@ -13,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tunnelscan.session import shared_path
+from tunnelscan.session import remove, shared_path
 
 # Text bytes laid out as numpy arrays at once; whole texts only, so a longer
 # single text makes a slice of its own.
@@ -24,17 +26,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Paths staged within a ``scratch`` block, innermost last.
+_STAGED: contextvars.ContextVar[tuple] = contextvars.ContextVar("staged", default=())
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back.
 
     The written files cut the lineage: a lost executor only costs a re-read.
-    They stay there for the folder's own retention, as results may be read late.
+    They stay there for the folder's own retention, as results may be read late;
+    a caller that knows when they are done with removes them by ``scratch``.
     """
     path = shared_path(df.sparkSession, "llm", f"{label}-{uuid.uuid4().hex}")
+    for paths in _STAGED.get()[-1:]:
+        paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Tables staged within the block are removed at its end.  What is to outlive
+    it is to be written by then; the block gets the list of paths, from which
+    those of tables to keep can be taken out."""
+    paths: list[str] = []
+    token = _STAGED.set((*_STAGED.get(), paths))
+    try:
+        yield paths
+    finally:
+        _STAGED.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
 def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` with a broadcast hint when it has at most ``max_rows`` rows.
 
