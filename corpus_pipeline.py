@@ -3,7 +3,7 @@ contamination, personal data, tokens.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows its
 predecessor kept; ``run`` writes each stage's rows under the shared checkpoint
-folder and reads them back as the next one's documents.  A stage judges
+folder, reads them back as the next one's documents and removes them after that.  A stage judges
 rows, not ids: rows that share an id are kept or dropped each by its own text.
 A row with a NULL id takes part in the stages that look at its text alone; as a
 near-duplicate it is never dropped.
@@ -20,7 +20,7 @@ from tunnelscan.llm import minhash as _minhash
 from tunnelscan.llm import pieces as _pieces
 from tunnelscan.llm import pii as _pii
 from tunnelscan.llm import toxicity as _toxicity
-from tunnelscan.llm.common import bounded, stage, table
+from tunnelscan.llm.common import bounded, scratch, stage, table
 
 # Near-duplicates, 24 bytes each, broadcast up to this many.
 MAX_BROADCAST = 500_000
@@ -68,9 +68,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return found.where(~_decontaminate.is_contaminated()).select("row.*")
 
 
-def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data in their texts replaced by pseudonyms."""
-    out = _pii.pseudonymise(docs, _pii.DEMO_KEY)
+def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str, key: bytes = _pii.DEMO_KEY) -> DataFrame:
+    """All documents, personal data in their texts replaced by pseudonyms.
+
+    Who has the key can invert them: the default one is public, for trials only."""
+    out = _pii.pseudonymise(docs, key)
     length = F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long"))
     return out.withColumn("n_chars", length)
 
@@ -91,8 +93,17 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+def run(spark: SparkSession, sf_dir: str, key: bytes = _pii.DEMO_KEY) -> DataFrame:
+    """All stages over ``documents``; ``key`` is that of the pseudonyms.
+
+    A stage's table stays until the next one's is written, the tables within a
+    stage until its own is."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        more = {"key": key} if step is pseudonymise else {}
+        with scratch(spark) as used:
+            docs = stage(step(spark, docs, sf_dir, **more), f"pipeline-{name}")
+            own = used.pop()
+            used += before
+        before = [own]
     return STAGES[-1][1](spark, docs, sf_dir)
