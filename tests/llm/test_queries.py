@@ -15,6 +15,7 @@ from test_scans import contamination
 
 import corpus_pipeline
 from tunnelscan.llm import pii, queries
+from tunnelscan.session import shared_path
 
 SF = "/root/testdata/sf0.001"
 
@@ -110,6 +111,21 @@ def test_stages_on_odd_rows(spark, tmp_path):
         assert step(spark, docs(spark, []), sf).count() == 0
 
 
+def test_run_takes_a_key_and_removes_its_tables(spark):
+    def staged():
+        root = shared_path(spark, "llm").removeprefix("file:")
+        return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+    before, texts = staged(), {}
+    for key in (pii.DEMO_KEY, b"another key"):
+        texts[key] = {r["doc_id"]: r["decoded"] for r in corpus_pipeline.run(spark, SF, key).collect()}
+    left = staged() - before
+    # The documents of the last stage, which its result reads, one for each run.
+    assert sorted(name.rpartition("-")[0] for name in left) == ["pipeline-pseudonymise"] * 2
+    one, other = texts.values()
+    assert one.keys() == other.keys() and 0 < sum(one[i] != other[i] for i in one) < len(one) / 2
+
+
 def test_stages_judge_rows_and_not_ids(spark, tmp_path):
     rng, sf = random.Random(8), str(tmp_path)
     one, two, item = (" ".join(sentences(rng, 60)) for _ in range(3))
