@@ -11,7 +11,8 @@
    comparisons as they have copies.  Then each bucket that still holds nodes of
    more than one component is split into blocks of at most ``BLOCK_NODES`` nodes,
    and each two blocks are compared within one task, which emits only links that
-   join components.  So every two nodes that share a bucket are in one component
+   join components.  A pair that shares several such buckets is compared in that of
+   its first shared band alone.  So every two nodes that share a bucket are in one component
    or were compared: no link is lost to a cap, no group is collected, and no
    list of all pairs is ever made.
 4. A pair links when 100 * |A & B| >= threshold * |A | B| on the full sets.
@@ -194,7 +195,10 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _block_links(threshold: int):
-    """Links between two blocks of a bucket that join different components."""
+    """Links between two blocks of a bucket that join different components.
+
+    Two nodes that share an earlier band are left to that band's bucket: it is
+    open too, or else they are in one component."""
     kinds = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(key, table):
@@ -204,19 +208,20 @@ def _block_links(threshold: int):
         size = np.array([len(x) for x in sets], dtype=np.int64)
         ends = np.cumsum(size)
         group = np.unique(np.array(table["component"].to_pylist(), dtype=object), return_inverse=True)[1]
+        earlier = np.array(table["bands"].to_pylist(), dtype=np.int64)[:, :table["band"][0].as_py()]
         number, of = np.unique(np.concatenate(sets), return_inverse=True)
         mark = np.zeros(len(number), dtype=bool)
         left = np.flatnonzero(block == i)
-        where = np.concatenate([of[ends[k] - size[k]:ends[k]] for k in left]) if len(left) else of[:0]
-        at = np.cumsum(size[left]) - size[left]
         found = []
         for k in np.flatnonzero(block == j):
-            mine = of[ends[k] - size[k]:ends[k]]
-            mark[mine] = True
-            both = np.add.reduceat(mark[where], at, dtype=np.int64) if len(left) else np.empty(0, np.int64)
-            mark[mine] = False
-            alike = 100 * both >= threshold * (size[left] + size[k] - both)
-            for m in left[alike & (group[left] != group[k])]:
+            some = left[(group[left] != group[k]) & ~(earlier[left] == earlier[k]).any(axis=1)]
+            if not len(some):
+                continue
+            mark[of[ends[k] - size[k]:ends[k]]] = True
+            where = np.concatenate([of[ends[m] - size[m]:ends[m]] for m in some])
+            both = np.add.reduceat(mark[where], np.cumsum(size[some]) - size[some], dtype=np.int64)
+            mark[of[ends[k] - size[k]:ends[k]]] = False
+            for m in some[100 * both >= threshold * (size[some] + size[k] - both)]:
                 if group[m] != group[k]:
                     found.append((nodes[m], nodes[k]))
                     group[group == group[m]] = group[k]
@@ -250,7 +255,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     nodes = signed.where("doc_id is not null and node is not null").groupBy("node").agg(
         F.min("doc_id").alias("lowest"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     nodes = stage(nodes, "nodes")
-    slots = nodes.select("node", "n", F.explode("bands").alias("key"))
+    slots = nodes.select("node", "n", F.posexplode("bands").alias("band", "key"))
     sizes = slots.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("hashes")).where("size > 1")
     shared = stage(slots.drop("n").join(sizes, "key"), "shared")
     popular = shared.groupBy("node").agg(F.sum("size").alias("popularity"))
@@ -263,7 +268,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     links = stage(_linked(pairs, sets, threshold), "links")
     groups = components(links)
     named = shared.join(groups, "node", "left").select(
-        "key", "node", "size", "hashes", F.coalesce("component", "node").alias("component"))
+        "key", "node", "band", "size", "hashes", F.coalesce("component", "node").alias("component"))
     mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
         "low <> high").select("key")
     rest = stage(named.join(mixed, "key"), "open")
@@ -272,9 +277,11 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         blocks = F.greatest(F.ceil(F.col("size") / BLOCK_NODES), F.ceil(F.col("hashes") / BLOCK_HASHES))
         own = rest.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
         other = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-        tasks = other.select("key", "node", "component", "block", F.least("block", "other").alias("i"),
-                             F.greatest("block", "other").alias("j")).join(
-            sets.select("node", F.col("hashes").alias("values")), "node")
+        open_nodes = rest.select("node").distinct()
+        banded = stage(sets.join(open_nodes, "node", "left_semi").join(nodes.select("node", "bands"), "node").select(
+            "node", "bands", F.col("hashes").alias("values")), "open-sets")
+        tasks = other.select("key", "node", "component", "band", "block", F.least("block", "other").alias("i"),
+                             F.greatest("block", "other").alias("j")).join(banded, "node")
         more = tasks.groupBy("key", "i", "j").applyInArrow(_block_links(threshold), "a binary, b binary")
         groups = components(links.unionByName(stage(more, "links")))
     return _labelled(signed, nodes, groups, () if content is None else ("content", "component"))
