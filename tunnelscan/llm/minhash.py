@@ -212,16 +212,18 @@ def _block_links(threshold: int):
         number, of = np.unique(np.concatenate(sets), return_inverse=True)
         mark = np.zeros(len(number), dtype=bool)
         left = np.flatnonzero(block == i)
+        where = np.concatenate([of[ends[k] - size[k]:ends[k]] for k in left]) if len(left) else of[:0]
+        at = np.cumsum(size[left]) - size[left]
         found = []
         for k in np.flatnonzero(block == j):
-            some = left[(group[left] != group[k]) & ~(earlier[left] == earlier[k]).any(axis=1)]
-            if not len(some):
+            new = (group[left] != group[k]) & ~(earlier[left] == earlier[k]).any(axis=1)
+            if not new.any():
                 continue
-            mark[of[ends[k] - size[k]:ends[k]]] = True
-            where = np.concatenate([of[ends[m] - size[m]:ends[m]] for m in some])
-            both = np.add.reduceat(mark[where], np.cumsum(size[some]) - size[some], dtype=np.int64)
-            mark[of[ends[k] - size[k]:ends[k]]] = False
-            for m in some[100 * both >= threshold * (size[some] + size[k] - both)]:
+            mine = of[ends[k] - size[k]:ends[k]]
+            mark[mine] = True
+            both = np.add.reduceat(mark[where], at, dtype=np.int64)
+            mark[mine] = False
+            for m in left[new & (100 * both >= threshold * (size[left] + size[k] - both))]:
                 if group[m] != group[k]:
                     found.append((nodes[m], nodes[k]))
                     group[group == group[m]] = group[k]
@@ -277,11 +279,9 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         blocks = F.greatest(F.ceil(F.col("size") / BLOCK_NODES), F.ceil(F.col("hashes") / BLOCK_HASHES))
         own = rest.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
         other = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-        open_nodes = rest.select("node").distinct()
-        banded = stage(sets.join(open_nodes, "node", "left_semi").join(nodes.select("node", "bands"), "node").select(
-            "node", "bands", F.col("hashes").alias("values")), "open-sets")
         tasks = other.select("key", "node", "component", "band", "block", F.least("block", "other").alias("i"),
-                             F.greatest("block", "other").alias("j")).join(banded, "node")
+                             F.greatest("block", "other").alias("j")).join(nodes.select("node", "bands"), "node").join(
+            sets.select("node", F.col("hashes").alias("values")), "node")
         more = tasks.groupBy("key", "i", "j").applyInArrow(_block_links(threshold), "a binary, b binary")
         groups = components(links.unionByName(stage(more, "links")))
     return _labelled(signed, nodes, groups, () if content is None else ("content", "component"))
