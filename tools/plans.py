@@ -1,5 +1,5 @@
-"""Write the formatted physical plans of the scoring job's main DataFrames to
-docs/PLANS.md (run: python tools/plans.py [sf_dir])."""
+"""Print the formatted physical plans of the scoring job's main DataFrames
+(run: python tools/plans.py [sf_dir])."""
 
 from __future__ import annotations
 
@@ -35,9 +35,7 @@ def main() -> None:
            "before being broadcast.", ""]
     for title, df in sections:
         out += [f"## {title}", "", "```", explain(df).strip(), "```", ""]
-    os.makedirs("docs", exist_ok=True)
-    with open("docs/PLANS.md", "w", encoding="utf-8") as fh:
-        fh.write("\n".join(out))
+    print("\n".join(out))
 
 
 if __name__ == "__main__":
