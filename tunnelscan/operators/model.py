@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tunnelscan.operators.joins import materialise
 from tunnelscan.schemas import FEATURE_COLUMNS
 
 # The reference's model settings.
@@ -269,17 +270,18 @@ def vote(rows: DataFrame, nodes: DataFrame, id_cols: Sequence[str], vector: str,
     tree, the leaves' class shares are added up, the first largest wins.
 
     An independent check of MLlib's predictions (``id_cols`` name a row); the
-    node table is broadcast, at most 2 ** (depth + 1) nodes for each tree."""
+    node table, at most 2 ** (depth + 1) nodes for each tree, is measured and
+    broadcast if it is under the bounds."""
+    nodes = materialise(nodes).for_join()
     trees = sorted(r["tree"] for r in nodes.select("tree").distinct().collect())
     at = rows.select(*id_cols, F.col(vector).alias("__x"), F.explode(F.array(*map(F.lit, trees))).alias("tree"),
                      F.lit(0).alias("__at"))
-    table = F.broadcast(nodes.select(F.col("tree").alias("__t"), F.col("node").alias("__n"), "left", "right", "feature",
-                                     "threshold"))
+    table = nodes.select(F.col("tree").alias("__t"), F.col("node").alias("__n"), "left", "right", "feature", "threshold")
     for _ in range(max_depth):
         here = at.join(table, (F.col("tree") == F.col("__t")) & (F.col("__at") == F.col("__n")))
         down = F.when(F.get("__x", F.col("feature")) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
         at = here.select(*id_cols, "__x", "tree", F.when(F.col("left") < 0, F.col("__at")).otherwise(down).alias("__at"))
-    leaves = F.broadcast(nodes.select(F.col("tree").alias("__t"), F.col("node").alias("__n"), "stats"))
+    leaves = nodes.select(F.col("tree").alias("__t"), F.col("node").alias("__n"), "stats")
     at = at.join(leaves, (F.col("tree") == F.col("__t")) & (F.col("__at") == F.col("__n")))
     total = F.aggregate("stats", F.lit(0.0), lambda a, x: a + x)
     classes = at.select(*id_cols, F.posexplode(F.transform("stats", lambda x: x / total)).alias("__k", "__p"))
