@@ -152,6 +152,12 @@ def test_periods_replace_only_their_own(spark, tmp_path):
         write_messages(rows, path, mode="periods")
 
 
+def test_unfinished_outputs_lie_beside_their_place():
+    assert hidden_sibling("out", "x") == ".out.x"
+    assert hidden_sibling("/a/b/", "x") == "/a/.b.x"
+    assert hidden_sibling("hdfs://h:1/t/datestr=1/hour=02", "x") == "hdfs://h:1/t/datestr=1/.hour=02.x"
+
+
 def test_modes_and_an_interrupted_replacement(spark, tmp_path):
     path, df = str(tmp_path / "out"), spark.range(3)
     write_messages(df, path)

@@ -118,8 +118,8 @@ def publish(spark: SparkSession, tmp: str, final: str) -> bool:
 
 def hidden_sibling(path: str, suffix: str) -> str:
     """A path beside ``path`` that readers of their common folder skip."""
-    parent, _, name = path.rstrip("/").rpartition("/")
-    return f"{parent}/.{name}.{suffix}"
+    parent, slash, name = path.rstrip("/").rpartition("/")
+    return f"{parent}{slash}.{name}.{suffix}"
 
 
 def remove(spark: SparkSession, path: str) -> None:
