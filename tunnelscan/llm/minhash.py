@@ -187,7 +187,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     fit = stage(fit, "fit")
     chunks = fit.groupBy("a").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_NODES),
                                              F.ceil(F.sum("n_b") / BLOCK_HASHES)).alias("chunks"))
-    members = fit.join(chunks, "a").select("a", F.pmod(F.xxhash64("b"), "chunks").alias("chunk"), F.col("b").alias("node"))
+    # Thin: one row for each leader.  A popular leader's nodes need not meet by a shuffle.
+    chunks = stage(chunks, "chunks")
+    members = fit.join(bounded(chunks, MAX_BROADCAST), "a").select("a", F.pmod(F.xxhash64("b"), "chunks").alias("chunk"), F.col("b").alias("node"))
     leaders = chunks.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"),
                             F.col("a").alias("node"))
     rows = members.unionByName(leaders).join(sets.select("node", F.col("hashes").alias("values")), "node")
@@ -263,6 +265,8 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     popular = shared.groupBy("node").agg(F.sum("size").alias("popularity"))
     leaders = shared.join(popular, "node").groupBy("key").agg(
         F.max(F.struct("popularity", "node")).alias("top")).select("key", F.col("top.node").alias("leader"))
+    # One row for each bucket: a large bucket's nodes need not meet by a shuffle.
+    leaders = bounded(stage(leaders, "leaders"), MAX_BROADCAST)
     pairs = stage(shared.join(leaders, "key").where("node <> leader")
                   .select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
     sets = _node_sets(docs.where("doc_id is not null"), signed.where("doc_id is not null"),
@@ -273,7 +277,7 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
         "key", "node", "band", "size", "hashes", F.coalesce("component", "node").alias("component"))
     mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
         "low <> high").select("key")
-    rest = stage(named.join(mixed, "key"), "open")
+    rest = stage(named.join(bounded(stage(mixed, "mixed"), MAX_BROADCAST), "key"), "open")
     if not rest.isEmpty():
         # Each node goes once to every pair of blocks that its own is part of.
         blocks = F.greatest(F.ceil(F.col("size") / BLOCK_NODES), F.ceil(F.col("hashes") / BLOCK_HASHES))
