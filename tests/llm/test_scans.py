@@ -5,7 +5,9 @@ import random
 import re
 import time
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import ODD, docs, item_words, sentences
 from tokenizers import Tokenizer
@@ -33,8 +35,8 @@ def contamination(rows, items, window=13):
     return out
 
 
-@pytest.mark.parametrize("block_words, round_words", [(50_000, 10_000_000), (30, 10_000_000), (30, 60)])
-def test_decontamination_equals_brute_force(spark, block_words, round_words):
+@pytest.mark.parametrize("block_words", [1_000_000, 150, 30])
+def test_decontamination_equals_brute_force(spark, block_words):
     rng = random.Random(5)
     items = [(k, " ".join(sentences(rng, rng.choice([3, 13, 14, 40])))) for k in range(12)]
     items += [(12, items[0][1]), (13, "Short, item!"), (14, ""), (15, None), (2, items[2][1])]
@@ -47,7 +49,7 @@ def test_decontamination_equals_brute_force(spark, block_words, round_words):
         rows.append((k, "; ".join(w)))
     rows += [(50, "a SHORT item."), *ODD[1:]]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = decontaminate.decontaminate(docs(spark, rows), bench, block_words=block_words, round_words=round_words)
+    found = decontaminate.decontaminate(docs(spark, rows), bench, block_words=block_words)
     want, texts = contamination(rows, items), dict(rows)
     for r in found.collect():
         assert (r["n_words"], r["n_hit"], len(r["items"]), r["items_sha256"]) == want[r["doc_id"]][:4]
@@ -58,17 +60,54 @@ def test_decontamination_equals_brute_force(spark, block_words, round_words):
     assert any(v[4] for v in want.values())
 
 
-@pytest.mark.parametrize("block_words, round_words", [(50_000, 10_000_000), (1, 1)])
-def test_items_without_an_id_hit_too(spark, block_words, round_words):
+@pytest.mark.parametrize("block_words", [1_000_000, 1])
+def test_items_without_an_id_hit_too(spark, block_words):
     bench = spark.createDataFrame([(None, "one two three"), (None, "four five"), (7, "four five")],
                                   "item_id long, text string")
     rows = [(1, "x one two three"), (2, "four five y"), (3, "one two x three")]
-    found = decontaminate.decontaminate(docs(spark, rows), bench, block_words=block_words, round_words=round_words)
+    found = decontaminate.decontaminate(docs(spark, rows), bench, block_words=block_words)
     assert {r["doc_id"]: (r["n_hit"], r["items"]) for r in found.collect()} == {1: (3, []), 2: (2, ["7"]), 3: (0, [])}
     out = {r["doc_id"]: r for r in decontaminate.op3_decontaminate(docs(spark, rows), bench).collect()}
     assert [out[k]["contaminated"] for k in (1, 2, 3)] == [True, True, False] and out[1]["n_items"] == 0
 
 
+def test_the_scan_finds_every_window_and_no_other():
+    rng = random.Random(11)
+    vocabulary = [b"w%d" % k for k in range(40)]
+    # Frequent words, so that windows share beginnings and short ones lie in long ones.
+    draw = lambda n: [vocabulary[min(39, int(rng.paretovariate(0.7)) - 1)] for _ in range(n)]
+    items = [(str(k), draw(rng.choice([1, 2, 5, 13, 20, 60]))) for k in range(60)] + [(None, draw(30))]
+    auto = decontaminate.packed(pa.array([i for i, _ in items], pa.string()),
+                                pa.array([w for _, w in items], pa.list_(pa.binary())), 13)
+    number = {w: k for k, w in enumerate(auto["words"].tobytes().split(), 1)}
+    windows = {tuple(w[k:k + 13]) for _, w in items for k in range(max(1, len(w) - 12))}
+    assert len(windows) == len(auto["ends"])
+    for size in (0, 1, decontaminate.LANE, 3 * decontaminate.LANE + 7):
+        text = draw(size // 2)
+        while len(text) < size:
+            text += rng.choice(items)[1] + draw(3)
+        text = text[:size]
+        want = {(k, n) for n in {len(w) for w in windows} for k in range(len(text)) if tuple(text[k:k + n]) in windows
+                and k + n <= len(text)}
+        end, state = decontaminate.scan(auto, np.array([number.get(w, 0) for w in text], np.int32))
+        found = [(e - n + 1, n) for e, n in zip(end.tolist(), auto["size"][state].tolist())]
+        assert sorted(found) == sorted(want)
+
+
+def test_items_longer_than_a_piece_and_shared_windows(spark):
+    rng = random.Random(3)
+    words = [f"word{rng.randrange(10**6)}" for _ in range(3 * decontaminate.PIECE)]
+    cut = decontaminate.PIECE - 5
+    items = [(1, " ".join(words)), (2, " ".join(words[cut:cut + 13])), (None, " ".join(words[:20]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, " ".join(words[cut:cut + 13])), (2, " ".join(words[cut:cut + 12])), (3, " ".join(words))]
+    want = contamination(rows, [(i, t) for i, t in items if i is not None])
+    for block_words in (decontaminate.BLOCK_WORDS, 5000):
+        found = decontaminate.decontaminate(docs(spark, rows), bench, block_words=block_words)
+        assert {r["doc_id"]: (r["n_words"], r["n_hit"], len(r["items"]), r["items_sha256"]) for r in found.collect()} == {
+            i: v[:4] for i, v in want.items()}
+
+
 def test_decontamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     out = decontaminate.op3_decontaminate(docs(spark, ODD), none).collect()
