@@ -184,6 +184,26 @@ def test_search_equals_brute_force(spark, block_rows, page):
     assert got == want
 
 
+@pytest.mark.parametrize("routes", [1, 3])
+def test_search_of_crowded_regions_in_parts(spark, monkeypatch, routes):
+    # Regions routed further in several tasks, equal vectors split, many parts of the queries.
+    monkeypatch.setattr(mtree, "ROUTED_BYTES", 8 * 6 * 30)
+    monkeypatch.setattr(mtree, "QUERY_BLOCK", 3)
+    rng = random.Random(4)
+    centres = [[rng.gauss(0, 2) for _ in range(6)] for _ in range(12)]
+    rows = [(k, [c + rng.gauss(0, 0.2) for c in rng.choice(centres)], 0) for k in range(500)]
+    rows += [(1000 + k, centres[0], 0) for k in range(250)]
+    rows += [(100, [-c for c in centres[3]], 0), (100, centres[5], 0), (150, rows[150][1], 0)]   # one id, several rows
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    out = mtree.top_k(frame, F.col("vec_id") % 50 == 0, block_rows=20, max_routes=routes, page=4).collect()
+    assert {tuple(r) for r in out if r["query_id"] != 100} == {r for r in brute(rows) if r[0] != 100}
+    # The rows of one id ask together: the best scores that any of them has.
+    vectors = [(i, [math.floor(256 * y) for y in x]) for i, x, _ in rows]
+    want = sorted((-sum(a * b for a, b in zip(q, x)), j) for i, q in vectors if i == 100 for j, x in vectors if j != 100)
+    got = sorted((r for r in out if r["query_id"] == 100), key=lambda r: r["rank"])
+    assert [(-r["score"], r["vec_id"]) for r in got] == want[:5]
+
+
 def test_pages_cover_their_vectors_and_prune():
     rng = np.random.default_rng(2)
     points = np.concatenate([rng.normal(c, 0.1, (300, 4)) for c in (0, 5, 10)])

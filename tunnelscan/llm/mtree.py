@@ -5,17 +5,20 @@ The largest inner product is the nearest neighbour in a metric space: with M the
 largest norm, a vector v gets one more coordinate sqrt(M^2 - |v|^2) and a query
 gets 0, so that distance^2 = |q|^2 + M^2 - 2 q.v.
 
-Index: every vector goes to the nearest of some sampled routing vectors and from
-there to one of the blocks of that routing vector (of about ``block_rows`` rows
-each, so a crowded or identical group is split).  Each block is an M-tree of
-pages: a node has a centre, a covering radius and its distance to its parent's
-centre; a leaf page has its vectors and their distances to its centre.  The pages
-are rows of a staged table.
+Index: every vector goes to the nearest of some sampled routing vectors, in a
+crowded region (over ``block_rows`` rows) to the nearest of further ones sampled in
+that region, and a region that is crowded still, as of equal vectors, is split by
+hash.  Each block so made is an M-tree of pages: a node has a centre, a covering
+radius and its distance to its parent's centre; a leaf page has its vectors and
+their distances to its centre.  The pages are rows of a staged table.
 
 Search, best page first: a page or an entry is skipped without computing its
 distance when |d(q, parent) - stored distance| - radius already exceeds the
-distance of the k-th best score.  Queries first search the nearest block, which
-bounds the k-th score; then all blocks that the bound does not exclude.
+distance of the k-th best score.  Queries first search their own block, which
+bounds the k-th score; then all blocks that the bound does not exclude, by the ball
+of the region and by that of the block's root.  Queries of neighbouring regions are
+searched together, so that they want the same blocks: a block's pages are sent once
+to each part of the queries, of about ``QUERY_BLOCK``.
 
 Distances are doubles, so every bound has a slack relative to the lengths; scores
 are exact at any size, in Python's integers where 64 bits do not hold them.
@@ -38,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tunnelscan.llm.common import LARGEST, batch_of, list_array, stage
+from tunnelscan.llm.common import LARGEST, batch_of, bounded, list_array, stage
 
 TOP = 5
 BLOCK_ROWS = 4096
@@ -46,17 +49,24 @@ BLOCK_ROWS = 4096
 MAX_ROUTES = 1024
 PAGE = 64
 # Queries searched together in a block.
-QUERY_BLOCK = 1024
+QUERY_BLOCK = 4096
+# Bytes of vectors of a crowded region that one task routes further.
+ROUTED_BYTES = 64 << 20
+# Regions, 32 bytes each, broadcast up to this many.
+MAX_BROADCAST = 500_000
 # Slack of the bounds, far above the error of a distance: of distances, and of
 # their squares relative to the squared lengths that they are made of.
 SLACK = 1e-6
 RELATIVE = 1e-12
 _LONG = (-(1 << 63), (1 << 63) - 1)
 
-_PAGES = pa.schema([("block", pa.int64()), ("node", pa.int32()), ("parent", pa.int32()), ("centre", pa.list_(pa.float64())),
-                    ("radius", pa.float64()), ("up", pa.float64()), ("ids", pa.list_(pa.int64())),
+# A block: its routing vector, the further one in a crowded region, the piece.
+_BLOCK = ["route", "sub", "piece"]
+_BLOCK_SQL = "route long, sub long, piece long"
+_PAGES = pa.schema([*[(c, pa.int64()) for c in _BLOCK], ("node", pa.int32()), ("parent", pa.int32()),
+                    ("centre", pa.list_(pa.float64())), ("radius", pa.float64()), ("up", pa.float64()), ("ids", pa.list_(pa.int64())),
                     ("vectors", pa.list_(pa.int64())), ("ups", pa.list_(pa.float64()))])
-_PAGES_SQL = ("block long, node int, parent int, centre array<double>, radius double, up double, ids array<long>, "
+_PAGES_SQL = (_BLOCK_SQL + ", node int, parent int, centre array<double>, radius double, up double, ids array<long>, "
               "vectors array<long>, ups array<double>")
 _FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 _FOUND_SQL = "query_id long, vec_id long, score long"
@@ -182,18 +192,36 @@ class Tree:
         return best
 
 
+def _nearest(p: np.ndarray, routes: np.ndarray) -> np.ndarray:
+    square = (p ** 2).sum(axis=1)[:, None] + (routes ** 2).sum(axis=1)[None, :] - 2 * p @ routes.T
+    return square.argmin(axis=1)
+
+
 def _route(routes: np.ndarray, most: float, dim: int):
-    kinds = pa.schema([("vec_id", pa.int64()), ("v", pa.list_(pa.int64())), ("route", pa.int64()), ("d", pa.float64())])
+    kinds = pa.schema([("vec_id", pa.int64()), ("v", pa.list_(pa.int64())), ("asks", pa.bool_()), ("route", pa.int64()),
+                       ("d", pa.float64())])
 
     def run(batches):
         for batch in batches:
             v = _matrix(batch.column(1), dim)
             for a in range(0, len(v), 4096):
                 p = lifted(v[a:a + 4096], most)
-                square = (p ** 2).sum(axis=1)[:, None] + (routes ** 2).sum(axis=1)[None, :] - 2 * p @ routes.T
-                near = square.argmin(axis=1)
+                near = _nearest(p, routes)
                 d = np.sqrt(((p - routes[near]) ** 2).sum(axis=1))
-                yield batch_of(kinds, batch.column(0).slice(a, len(p)), batch.column(1).slice(a, len(p)), near, d)
+                yield batch_of(kinds, *(batch.column(k).slice(a, len(p)) for k in range(3)), near, d)
+    return run
+
+
+def _route_further(most: float, dim: int):
+    """The further routing vector, named by its id, that is nearest; -1 without any."""
+    def run(key, rows, subs):
+        subs = subs.sort_by("sub")
+        names, places = subs["sub"].to_numpy(), lifted(_matrix(subs["v"], dim), most)
+        v = _matrix(rows["v"], dim)
+        near = [names[_nearest(lifted(v[a:a + 4096], most), places)] if len(names) else np.full(len(v[a:a + 4096]), -1)
+                for a in range(0, len(v), 4096)]
+        near = pa.array(np.concatenate([np.empty(0, np.int64), *near]), pa.int64())
+        return rows.select(["vec_id", "v", "asks", "route"]).append_column("sub", near)
     return run
 
 
@@ -203,9 +231,9 @@ def _index(most: float, dim: int, page: int):
         p = lifted(v, most)
         rows = []
         for k, (parent, centre, radius, up, at, ups) in enumerate(build(p, page)):
-            rows.append({"block": key[0].as_py(), "node": k, "parent": parent, "centre": centre, "radius": radius, "up": up,
-                         "ids": [] if at is None else ids[at], "vectors": [] if at is None else v[at].ravel(),
-                         "ups": [] if at is None else ups})
+            rows.append({**dict(zip(_BLOCK, (c.as_py() for c in key))), "node": k, "parent": parent, "centre": centre,
+                         "radius": radius, "up": up, "ids": [] if at is None else ids[at],
+                         "vectors": [] if at is None else v[at].ravel(), "ups": [] if at is None else ups})
         return pa.Table.from_pylist(rows, schema=_PAGES)
     return run
 
@@ -229,8 +257,8 @@ def _search(most: float, dim: int, top: int, wide: bool):
 
 def _candidates(routes: np.ndarray, radius: np.ndarray, most: float, dim: int):
     """The routes whose ball may hold a score of the bound or more."""
-    kinds = pa.schema([("query_id", pa.int64()), ("q", pa.list_(pa.int64())), ("bound", pa.int64()),
-                       ("routes", pa.list_(pa.int64()))])
+    kinds = pa.schema([("asked", pa.struct([("query_id", pa.int64()), ("part", pa.int64())])), ("q", pa.list_(pa.int64())),
+                       ("bound", pa.int64()), ("routes", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
@@ -248,6 +276,39 @@ def _candidates(routes: np.ndarray, radius: np.ndarray, most: float, dim: int):
     return run
 
 
+def _admitted(most: float, dim: int):
+    """The blocks of a region whose root's ball may hold a score of the bound or more."""
+    kinds = pa.schema([("query_id", pa.int64()), ("q", pa.list_(pa.int64())), ("bound", pa.int64()), ("part", pa.int64()),
+                       *[(c, pa.int64()) for c in _BLOCK]])
+
+    def run(key, queries, roots):
+        q = _matrix(queries["q"], dim).astype(np.float64)
+        bound = queries["bound"].to_numpy().astype(np.float64)
+        square = (q ** 2).sum(axis=1)
+        limit = np.where(np.isnan(bound), np.inf, _within(square + most, np.nan_to_num(bound)))
+        centres, radius = _matrix(roots["centre"], dim + 1), roots["radius"].to_numpy()
+        at, block = [], []
+        for k in range(len(q) if len(radius) else 0):
+            found = np.flatnonzero(_distances(centres, np.r_[q[k], 0.0]) - radius <= limit[k])
+            at.append(np.full(len(found), k))
+            block.append(found)
+        at, block = (np.concatenate([np.empty(0, np.int64), *x]) for x in (at, block))
+        queries, roots = queries.take(at), roots.take(block)
+        return pa.table([*(queries[c] for c in ("query_id", "q", "bound", "part")), *(roots[c] for c in _BLOCK)],
+                        schema=kinds)
+    return run
+
+
+def _chain(routes: np.ndarray) -> list[int]:
+    """The routing vectors in an order in which near ones follow each other."""
+    left, order = set(range(1, len(routes))), [0]
+    while left:
+        rest = np.fromiter(left, np.int64, len(left))
+        order.append(int(rest[_distances(routes[rest], routes[order[-1]]).argmin()]))
+        left.remove(order[-1])
+    return order
+
+
 def _best(found: DataFrame, top: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
@@ -276,48 +337,70 @@ def _top_k(rows: DataFrame, dim: int, n: int, most: float, wide: bool, top: int,
            page: int) -> DataFrame:
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(min(max_routes, -(-n // block_rows))).toArrow()
     routes = lifted(_matrix(sample["v"], dim), most)
-    routed = stage(rows.select("vec_id", "v").mapInArrow(_route(routes, most, dim),
-                                                         "vec_id long, v array<long>, route long, d double"), "routed")
-    # At most ``max_routes`` rows: blocks and covering radius of each route.
-    routes_of = routed.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.max("d").alias("radius")).collect()
+    spark = rows.sparkSession
+    routed = stage(rows.select("vec_id", "v", "asks").mapInArrow(
+        _route(routes, most, dim), "vec_id long, v array<long>, asks boolean, route long, d double"), "routed")
+    # At most ``max_routes`` rows: size, queries and covering radius of each region.
+    regions = routed.groupBy("route").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("asks").alias("asked"), F.max("d").alias("radius")).collect()
     radius = np.full(len(routes), -np.inf)
-    for r in routes_of:
+    for r in regions:
         radius[r["route"]] = r["radius"]
-    blocks = rows.sparkSession.createDataFrame(
-        [(r["route"], -(-r["n"] // block_rows)) for r in routes_of], "route long, blocks long")
-    number = F.col("route") * F.lit(1 << 40) + F.pmod(F.xxhash64("vec_id"), "blocks")
-    pages = stage(routed.join(F.broadcast(blocks), "route").select(number.alias("block"), "vec_id", "v")
-                  .groupBy("block").applyInArrow(_index(most, dim, page), _PAGES_SQL), "pages")
-    asked = stage(rows.where("asks").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")).distinct(), "queries")
-    parts = max(1, -(-asked.count() // QUERY_BLOCK))
-    spread = F.pmod(F.xxhash64("query_id"), F.lit(parts))
+    placed = routed.select("vec_id", "v", "asks", "route", F.lit(-1).cast("long").alias("sub"))
+    per_task = max(block_rows, ROUTED_BYTES // (8 * max(1, dim)))
+    crowded = [(r["route"], -(-r["n"] // per_task)) for r in regions if r["n"] > block_rows]
+    if crowded:
+        tasks = F.broadcast(spark.createDataFrame(crowded, "route long, tasks long"))
+        some = routed.join(tasks, "route")
+        # One row in ``block_rows`` by hash; of equal vectors one.
+        subs = stage(some.where(F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(block_rows)) == 0)
+                     .groupBy("route", "v", "tasks").agg(F.min("vec_id").alias("sub")), "further")
+        subs = subs.select("route", "v", "sub", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1))
+                           .alias("task"))
+        some = some.withColumn("task", F.pmod(F.xxhash64("vec_id"), "tasks"))
+        further = some.groupBy("route", "task").cogroup(subs.groupBy("route", "task")).applyInArrow(
+            _route_further(most, dim), "vec_id long, v array<long>, asks boolean, route long, sub long")
+        placed = placed.join(tasks, "route", "left_anti").select(*placed.columns).unionByName(further)
+    placed = stage(placed, "placed")
+    sizes = stage(placed.groupBy("route", "sub").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    pieces = F.when(F.col("n") > 2 * block_rows, F.ceil(F.col("n") / block_rows)).otherwise(1)
+    blocks = placed.join(bounded(sizes.withColumn("pieces", pieces).drop("n"), MAX_BROADCAST), ["route", "sub"])
+    blocks = blocks.withColumn("piece", F.pmod(F.xxhash64("vec_id"), "pieces"))
+    pages = stage(blocks.select(*_BLOCK, "vec_id", "v").groupBy(*_BLOCK)
+                  .applyInArrow(_index(most, dim, page), _PAGES_SQL), "pages")
+
+    # Parts of the queries: about QUERY_BLOCK of regions that follow each other.
+    asked_of, before, spans = {r["route"]: r["asked"] for r in regions}, 0, []
+    for route in _chain(routes):
+        if asked_of.get(route):
+            spans.append((route, before, asked_of[route]))
+            before += asked_of[route]
+    spans = F.broadcast(spark.createDataFrame(spans, "route long, before long, asked long"))
+    part = F.floor((F.col("before") + F.pmod(F.xxhash64("query_id"), "asked")) / QUERY_BLOCK).alias("part")
+    first = (blocks.where("asks").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), *_BLOCK)
+             .join(spans, "route").select("query_id", "q", F.lit(None).cast("long").alias("bound"), part, *_BLOCK).distinct())
+    first = stage(first, "first")
 
     def searched(queries: DataFrame) -> DataFrame:
         # A block's pages go to each part of its queries.
-        wanted = queries.select(F.col("block").alias("b"), F.col("part").alias("p")).distinct()
-        copies = pages.join(wanted, F.col("block") == F.col("b")).drop("block")
-        return (copies.groupBy("b", "p").cogroup(queries.groupBy("block", "part"))
+        copies = pages.join(queries.select(*_BLOCK, F.col("part").alias("to")).distinct(), _BLOCK)
+        return (copies.groupBy(*_BLOCK, "to").cogroup(queries.groupBy(*_BLOCK, "part"))
                 .applyInArrow(_search(most, dim, top, wide), _FOUND_SQL))
 
-    queries = asked.withColumn("part", spread)
-    near = queries.select(F.col("query_id").alias("vec_id"), F.col("q").alias("v")).mapInArrow(
-        _route(routes, most, dim), "vec_id long, v array<long>, route long, d double")
-    first = near.join(F.broadcast(blocks), "route").select(
-        F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.lit(None).cast("long").alias("bound"),
-        (F.col("route") * F.lit(1 << 40) + F.pmod(F.xxhash64("vec_id"), "blocks")).alias("block")
-    ).withColumn("part", spread)
-    first = stage(first, "first")
     found = stage(searched(first), "found")
     bounds = _best(found, top).groupBy("query_id").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n"))
     bounds = bounds.select("query_id", F.when(F.col("n") >= top, F.col("low")).alias("bound"))
-    second = (queries.drop("part").join(bounds, "query_id", "left").select("query_id", "q", "bound")
-              .mapInArrow(_candidates(routes, radius, most, dim),
-                          "query_id long, q array<long>, bound long, routes array<long>")
-              .select("query_id", "q", "bound", F.explode("routes").alias("route"))
-              .join(F.broadcast(blocks), "route")
-              .select("query_id", "q", "bound", F.explode(F.sequence(
-                  F.col("route") * F.lit(1 << 40), F.col("route") * F.lit(1 << 40) + F.col("blocks") - 1)).alias("block"))
-              .join(first.select("query_id", "block"), ["query_id", "block"], "left_anti").withColumn("part", spread))
+    near = (first.groupBy("query_id", "q").agg(F.min("part").alias("part")).join(bounds, "query_id", "left")
+            .select(F.struct("query_id", "part").alias("asked"), "q", "bound")
+            .mapInArrow(_candidates(routes, radius, most, dim),
+                        "asked struct<query_id: long, part: long>, q array<long>, bound long, routes array<long>")
+            .select("asked.query_id", "q", "bound", "asked.part", F.explode("routes").alias("route")))
+    near = stage(near, "near")
+    roots = pages.where("node = 0").select(*_BLOCK, "centre", "radius").join(
+        near.select("route", F.col("part").alias("to")).distinct(), "route")
+    second = (near.groupBy("route", "part").cogroup(roots.groupBy("route", "to"))
+              .applyInArrow(_admitted(most, dim), f"query_id long, q array<long>, bound long, part long, {_BLOCK_SQL}")
+              .join(first.select("query_id", "q", *_BLOCK), ["query_id", "q", *_BLOCK], "left_anti"))
     more = searched(stage(second, "second"))
     return _best(found.unionByName(more), top).select("query_id", "rank", "vec_id", "score")
 
