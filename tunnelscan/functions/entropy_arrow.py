@@ -1,9 +1,9 @@
-"""Entropy as Arrow-batched pandas UDFs, vectorised with numpy per batch.
+"""Entropy as Arrow UDFs, vectorised with numpy per batch.
 
 Spark's higher-order functions are interpreted per element, which makes the
 native counts-first entropy the most expensive expression of the feature set.
-These UDFs receive a whole Arrow batch, lay every string out as one array of
-code points, sort packed (string, code point) keys once, and turn run lengths
+These UDFs receive a whole Arrow batch, lay its strings out from their buffer as one
+array of code points (no Python string is made of any), sort packed (string, code point) keys once, and turn run lengths
 into per-string sums of c*log2(c) with ``np.bincount`` - no Python loop over
 characters.  Results equal the native form to ~1e-15.
 
@@ -16,13 +16,14 @@ from __future__ import annotations
 import sys
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Ship this module's code with the UDFs, so executors need only numpy/pandas,
+# Ship this module's code with the UDFs, so executors need only numpy/pyarrow,
 # not this package on their Python path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -33,21 +34,27 @@ PART_CHARS = 1 << 20
 
 def _entropies(strings: list) -> np.ndarray:
     """Entropy of each non-None string (None -> NaN, '' -> 0.0)."""
-    out = np.full(len(strings), np.nan)
-    part, size = [], 0
-    for i, s in enumerate(strings):
-        if s is None:
-            continue
-        if len(s) > PART_CHARS:
-            out[i] = _long_entropy(s)
-            continue
-        if size + len(s) > PART_CHARS:
-            out[part] = _part_entropies([strings[k] for k in part])
-            part, size = [], 0
-        part.append(i)
-        size += len(s)
-    if part:
-        out[part] = _part_entropies([strings[k] for k in part])
+    return entropies(pa.array(strings, pa.large_string()))
+
+
+def entropies(strings: pa.Array) -> np.ndarray:
+    """Entropy of each string of an Arrow array (NULL -> NaN, '' -> 0.0)."""
+    filled = pc.fill_null(strings.cast(pa.large_string()), "")
+    lengths = pc.utf8_length(filled).to_numpy(zero_copy_only=False).astype(np.int64)
+    offs = np.frombuffer(filled.buffers()[1], np.int64, len(filled) + 1, filled.offset * 8) if len(filled) else np.zeros(1, np.int64)
+    data = memoryview(filled.buffers()[2] or b"")
+    out = np.zeros(len(filled))
+    ends, start = np.cumsum(lengths), 0
+    while start < len(filled):
+        # As many whole strings as fit a part; one that does not goes alone.
+        stop = max(start + 1, int(np.searchsorted(ends, PART_CHARS + (ends[start - 1] if start else 0), side="right")))
+        text = str(data[offs[start]:offs[stop]], "utf-8")
+        if len(text) > PART_CHARS:
+            out[start] = _long_entropy(text)
+        else:
+            out[start:stop] = _part_entropies(text, lengths[start:stop])
+        start = stop
+    out[pc.is_null(strings).to_numpy(zero_copy_only=False)] = np.nan
     return out
 
 
@@ -65,52 +72,49 @@ def _long_entropy(s: str) -> float:
     return abs(np.log2(len(s)) - (counts * np.log2(counts)).sum() / len(s)) if len(counts) > 1 else 0.0
 
 
-def _part_entropies(present: list) -> np.ndarray:
-    lengths = np.fromiter((len(s) for s in present), dtype=np.int64, count=len(present))
-    codes = _codes("".join(present))
+def _part_entropies(text: str, lengths: np.ndarray) -> np.ndarray:
+    """Entropies of the strings that stand one after the other in ``text``."""
+    codes = _codes(text)
     if not codes.size:
-        return np.zeros(len(present))
+        return np.zeros(len(lengths))
     # One sort of packed (string index, code point) keys; code points < 2**21.
-    seg = np.repeat(np.arange(len(present), dtype=np.int64), lengths)
+    seg = np.repeat(np.arange(len(lengths), dtype=np.int64), lengths)
     key = (seg << 21) | codes.astype(np.int64)
     key.sort(kind="stable" if key.size < 64 else "quicksort")
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     counts = np.diff(np.r_[starts, key.size]).astype(np.float64)
     run_seg = key[starts] >> 21
     clog = counts * np.log2(counts)
-    sums = np.bincount(run_seg, weights=clog, minlength=len(present))
+    sums = np.bincount(run_seg, weights=clog, minlength=len(lengths))
     n = lengths.astype(np.float64)
     safe_n = np.where(n > 0, n, 1.0)
     vals = np.where(n > 0, np.log2(safe_n) - sums / safe_n, 0.0)
-    distinct = np.bincount(run_seg, minlength=len(present))
+    distinct = np.bincount(run_seg, minlength=len(lengths))
     vals[distinct <= 1] = 0.0
     return np.abs(vals)
 
 
-@F.pandas_udf(T.DoubleType())
-def entropy_udf(s: pd.Series) -> pd.Series:
-    vals = _entropies([None if v is None or (isinstance(v, float) and np.isnan(v)) else v for v in s])
-    return pd.Series(vals).where(~np.isnan(vals), None)
+def _doubles(values: np.ndarray) -> pa.Array:
+    return pa.array(values, pa.float64(), mask=np.isnan(values))
 
 
-@F.pandas_udf(T.DoubleType())
-def mean_item_entropy_udf(arrs: pd.Series) -> pd.Series:
+@F.arrow_udf(T.DoubleType())
+def entropy_udf(s: pa.Array) -> pa.Array:
+    return _doubles(entropies(s))
+
+
+@F.arrow_udf(T.DoubleType())
+def mean_item_entropy_udf(arrs: pa.Array) -> pa.Array:
     """Mean entropy of the items of each array: NULL array or NULL item -> NULL,
     empty array -> 0.0."""
     k = len(arrs)
-    null_row = arrs.isna().to_numpy()
-    sizes = np.zeros(k, dtype=np.int64)
-    present = np.flatnonzero(~null_row)
-    sizes[present] = [len(arrs.iat[i]) for i in present]
-    flat = (np.concatenate([np.asarray(arrs.iat[i], dtype=object) for i in present if sizes[i]])
-            if sizes.sum() else np.empty(0, dtype=object))
+    sizes = pc.fill_null(pc.list_value_length(arrs), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ents = entropies(arrs.flatten())
     owner = np.repeat(np.arange(k, dtype=np.int64), sizes)
-    ents = _entropies(list(flat))
-    null_item = np.isnan(ents)
-    bad = np.bincount(owner[null_item], minlength=k) > 0 if flat.size else np.zeros(k, dtype=bool)
-    total = np.bincount(owner, weights=np.where(null_item, 0.0, ents), minlength=k)
+    total = np.bincount(owner, weights=ents, minlength=k)   # NaN with a NULL item
     mean = np.where(sizes > 0, total / np.where(sizes > 0, sizes, 1), 0.0)
-    return pd.Series(mean).where(~(null_row | bad), None)
+    mean[pc.is_null(arrs).to_numpy(zero_copy_only=False)] = np.nan
+    return _doubles(mean)
 
 
 def entropy_arrow(col) -> Column:
