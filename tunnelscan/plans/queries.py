@@ -372,22 +372,56 @@ def _split(spark: SparkSession, sf: str):
     return model_ops.split_train_test(feats)
 
 
-def staged_model(spark: SparkSession, sf: str):
-    """Train once per input and code (O-60..O-63), save (O-05) and load (O-06)."""
+# What the fits and their evaluation read of a training row.
+_FITTED = ["QNAME", "RDATA", "label", *FEATURE_COLUMNS]
+
+
+def _staged_split(spark: SparkSession, sf: str):
+    """``_split`` of features that are computed once, for the train and the test rows.
+
+    Without that the assembler's filter for missing features computes all of them
+    once more, and every classifier's test rows do so again."""
+    return model_ops.split_train_test(_training_features(spark, sf).select(*_FITTED).checkpoint(eager=True))
+
+
+def _dealt(spark: SparkSession, train_df: DataFrame) -> DataFrame:
+    return train_df.repartition(_partitions(spark), "QNAME").checkpoint(eager=True)
+
+
+def _model_path(spark: SparkSession, sf: str) -> str:
     code = "".join(inspect.getsource(m) for m in (model_ops, training, lexical, entropy_arrow, features, domains, prepare))
     fp = fingerprint(spark, f"{sf}/events.parquet", f"{sf}/pages.parquet", f"{sf}/labels.parquet",
                      salt=fixtures.VIEW_VERSION + hashlib.sha256(code.encode()).hexdigest())
-    final = shared_path(spark, "staged", f"rf_{fp}")
+    return shared_path(spark, "staged", f"rf_{fp}")
+
+
+def staged_model(spark: SparkSession, sf: str, train_df: DataFrame | None = None):
+    """Train once per input and code (O-60..O-63), save (O-05) and load (O-06).
+
+    ``train_df``: the train rows of ``_split``, where the caller has them."""
+    final = _model_path(spark, sf)
     if not path_exists(spark, f"{final}/metadata"):
-        train_df, _ = _split(spark, sf)
-        train_df = train_df.repartition(_partitions(spark), "QNAME").checkpoint(eager=True)
-        fitted = model_ops.fit_pipeline(train_df)
+        if train_df is None:
+            train_df = _split(spark, sf)[0].select(*_FITTED)
+        fitted = model_ops.fit_pipeline(_dealt(spark, train_df))
         tmp = f"{final}.{uuid.uuid4().hex}.tmp"
         fitted.write().save(tmp)
         publish(spark, tmp, final)
     return model_ops.load_model(final)
 
 
+def _held_out_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """``label``, ``rawPrediction`` and ``prediction`` of the hold-out rows by the
+    staged model.  The features of all rows are computed once where it is to be
+    trained, and those of the hold-out rows alone where it is there."""
+    if path_exists(spark, f"{_model_path(spark, sf)}/metadata"):
+        train_df, test_df = None, _split(spark, sf)[1].select(*_FITTED).checkpoint(eager=True)
+    else:
+        train_df, test_df = _staged_split(spark, sf)
+    pred = staged_model(spark, sf, train_df).transform(test_df)
+    return pred.select("label", "rawPrediction", "prediction").checkpoint(eager=True)
+
+
 def rf_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """O-64 on the scoring rows, then O-21 (rows only)."""
     model = staged_model(spark, sf)
@@ -420,9 +454,7 @@ def rf_scoring_job(spark: SparkSession, sf: str) -> DataFrame:
 
 def rf_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """O-65, O-66, O-67 on the hold-out split (rows only)."""
-    model = staged_model(spark, sf)
-    _, test_df = _split(spark, sf)
-    pred = model.transform(test_df).checkpoint(eager=True)
+    pred = _held_out_predictions(spark, sf)
     values = model_ops.binary_metrics(pred)
     values.update(model_ops.multiclass_metrics(pred).first().asDict())
     schema = T.StructType([T.StructField(k, T.DoubleType()) for k in values])
@@ -433,8 +465,8 @@ def forest_votes(spark: SparkSession, sf: str) -> DataFrame:
     """O-62..O-64: the hold-out rows scored by the saved and reloaded forest,
     and again by walking its node table with joins; rows, and rows where both
     give the same class."""
-    train_df, test_df = _split(spark, sf)
-    train_df = train_df.repartition(_partitions(spark), "QNAME").checkpoint(eager=True)
+    train_df, test_df = _staged_split(spark, sf)
+    train_df = _dealt(spark, train_df)
     path = shared_path(spark, "out", f"forest_{_run_id(spark, sf)}")
     model_ops.fit_pipeline(train_df, model_ops.random_forest(num_trees=10, max_depth=5)).write().overwrite().save(path)
     scored = model_ops.load_model(path).transform(test_df).select(
@@ -450,19 +482,20 @@ def forest_votes(spark: SparkSession, sf: str) -> DataFrame:
 
 def rf_importances(spark: SparkSession, sf: str) -> DataFrame:
     """O-68 (rows only), of a forest fitted on the sample in this call."""
-    train_df, _ = _split(spark, sf)
-    train_df = train_df.repartition(_partitions(spark), "QNAME").checkpoint(eager=True)
+    train_df = _split(spark, sf)[0].select(*_FITTED)
+    train_df = _dealt(spark, train_df)
     return model_ops.feature_importances(spark, model_ops.fit_pipeline(train_df, model_ops.random_forest(num_trees=10)))
 
 
 def lr_dt_compare(spark: SparkSession, sf: str) -> DataFrame:
     """O-69: the two dormant alternatives on the same split (rows only)."""
-    train_df, test_df = _split(spark, sf)
-    train_df = train_df.repartition(_partitions(spark), "QNAME").checkpoint(eager=True)
+    train_df, test_df = _staged_split(spark, sf)
+    train_df = _dealt(spark, train_df)
     rows = []
     for name, clf in (("logistic_regression", model_ops.logistic_regression()),
                       ("decision_tree", model_ops.decision_tree())):
-        pred = model_ops.fit_pipeline(train_df, clf).transform(test_df).checkpoint(eager=True)
+        pred = model_ops.fit_pipeline(train_df, clf).transform(test_df).select(
+            "label", "rawPrediction", "prediction").checkpoint(eager=True)
         auc = model_ops.binary_metrics(pred)["areaUnderROC"]
         acc = model_ops.multiclass_metrics(pred).first()["accuracy"]
         rows.append((name, float(auc), float(acc)))
@@ -471,7 +504,7 @@ def lr_dt_compare(spark: SparkSession, sf: str) -> DataFrame:
 
 def lr_optimality(spark: SparkSession, sf: str) -> DataFrame:
     """O-69: the regression is at the optimum of its loss, by feature."""
-    train_df, _ = _split(spark, sf)
+    train_df = _split(spark, sf)[0].select(*_FITTED)
     train_df = train_df.checkpoint(eager=True)
     fitted = model_ops.fit_pipeline(train_df, model_ops.logistic_regression(max_iter=500, tol=1e-10))
     slopes = model_ops.regression_gradient(fitted, train_df)
@@ -480,8 +513,8 @@ def lr_optimality(spark: SparkSession, sf: str) -> DataFrame:
 
 def rf_importances_check(spark: SparkSession, sf: str) -> DataFrame:
     """O-68: the reported importances agree with the saved forest's node table."""
-    train_df, _ = _split(spark, sf)
-    train_df = train_df.repartition(_partitions(spark), "QNAME").checkpoint(eager=True)
+    train_df = _split(spark, sf)[0].select(*_FITTED)
+    train_df = _dealt(spark, train_df)
     path = shared_path(spark, "out", f"importances_{_run_id(spark, sf)}")
     fitted = model_ops.fit_pipeline(train_df, model_ops.random_forest(num_trees=10))
     fitted.write().overwrite().save(path)
@@ -507,8 +540,7 @@ def forest_separates(spark: SparkSession, sf: str) -> DataFrame:
 def rf_metrics_check(spark: SparkSession, sf: str) -> DataFrame:
     """O-65, O-66 on the forest's own scores: MLlib's areas and those of summed
     score ranges agree."""
-    _, test_df = _split(spark, sf)
-    pred = staged_model(spark, sf).transform(test_df).checkpoint(eager=True)
+    pred = _held_out_predictions(spark, sf)
     theirs = model_ops.binary_metrics(pred)
     ours = model_ops.area_under_curves(pred, vector_to_array("rawPrediction")[1])
     return ours.select(*[(F.abs(F.col(c) - F.lit(float(v))) < 1e-9).alias(f"{c}_agrees") for c, v in theirs.items()])
@@ -529,8 +561,8 @@ def cv_folds(spark: SparkSession, sf: str) -> DataFrame:
 
 def cv_tuning(spark: SparkSession, sf: str) -> DataFrame:
     """O-70: 2-fold cross-validation over forest size and depth (rows only)."""
-    train_df, _ = _split(spark, sf)
-    train_df = train_df.repartition(_partitions(spark), "QNAME").checkpoint(eager=True)
+    train_df = _split(spark, sf)[0].select(*_FITTED)
+    train_df = _dealt(spark, train_df)
     cv = model_ops.cross_validate(train_df, num_folds=2)
     rf = cv.bestModel.stages[-1]
     rows = []
