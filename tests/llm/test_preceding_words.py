@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from helpers import docs
 from tunnelscan.llm import mixing
@@ -50,3 +52,40 @@ def test_guesses_of_a_word_add_up_to_one_at_most():
     assert hit.nonzero()[0].tolist() == [7, 9]
     # Hits and the one way of missing both.
     assert abs(p[7] + p[9] + p[0] - 1) < 1e-9
+
+
+def test_counts_take_one_table_and_short_slices_of_memory():
+    rng = random.Random(3)
+    text = " ".join(f"w{rng.randrange(5000)}" for _ in range(2000))
+    batch = pa.record_batch([pa.array([text] * 1200)], names=["text"])
+    tracemalloc.start()
+    parts = sum(1 for _ in mixing._context_counts([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The table is 36 MB; a copy of it and arrays of 8 MB of text came to over 150 MB.
+    assert parts > 0 and peak < 90e6
+
+
+def test_chunks_of_tables_are_packed_whole():
+    rng = np.random.default_rng(4)
+    values = rng.poisson(3, mixing.CHUNK + 100).astype(np.float32)
+    for kind in (mixing._SINGLE, mixing._DOUBLE):
+        rows = list(mixing._pieces(values, 0, kind))
+        back = np.concatenate([mixing._unpacked(r.column(2)[0].as_buffer(), kind) for r in rows])
+        assert (back[:len(values)] == values).all() and not back[len(values):].any()
+        assert sum(len(r.column(2)[0].as_buffer()) for r in rows) < len(values) * 1.2
+
+
+def test_a_word_goes_back_to_each_slice_with_its_counts(spark, monkeypatch):
+    # Scores of many slices, of one document each, are those of one slice of all.
+    rng = random.Random(6)
+    rows = [(k, " ".join(f"w{rng.randrange(40 + k)}" for _ in range(30))) for k in range(60)] + [(70, ""), (71, None), (3, "w1 w1")]
+    frame = docs(spark, rows).coalesce(1)
+    fields = "doc_id", "n_tokens", "n_known", "base_score", "score"
+    seen = []
+    for size in (8 << 20, 1):
+        monkeypatch.setattr(mixing, "SLICE", size)
+        seen.append(sorted((tuple(r[f] for f in fields) for r in mixing.op10_mixing(frame).collect()), key=repr))
+    assert len(seen[0]) == len(rows)
+    for a, b in zip(*seen):
+        assert a[:3] == b[:3] and np.allclose(a[3:], b[3:], rtol=0, atol=1e-9)

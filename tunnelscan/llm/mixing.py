@@ -35,13 +35,16 @@ the word and on the kind of its text alone:
    by the shares of the commonest buckets in them (k-means, each step one job over
    all training texts; sums of whole numbers);
 2. one pass over the texts scores the guesses and writes, for each slice of
-   documents, its distinct (word, kind) pairs with their documents, counts and hits;
+   documents, its distinct (word, kind) pairs and, in one row, all their documents,
+   counts and hits;
 3. the pairs are counted over all training documents (held-out ones are those
-   whose crc32 of the id's text is divisible by ten);
+   whose crc32 of the id's text is divisible by ten), a row for each word with the
+   places of its pairs in the slices;
 4. the path counts are an aggregate of these; the spelling tables are filled from
    all training words; weights and maps are learned in shards of about
    ``WORDS_PER_TASK`` pairs, dealt and ordered by hash, and averaged in order;
-5. every distinct pair is scored once, and the scores are joined back.
+5. the counts go back to the places in the slices; there known words are scored by a
+   table of all paths, new ones are spelled, and the scores are summed by document.
 
 All tables have a fixed size; nothing that grows with the corpus reaches the
 driver.
@@ -61,10 +64,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunnelscan.llm.common import (as_strings, batch_of, flat, id_text, list_array, mix, slices, span_hashes, span_tables,
+from tunnelscan.llm.common import (as_strings, batch_of, flat, give_back, id_text, list_array, mix, slices, span_hashes, span_tables,
                                    stage)
 
 BITS = 20
@@ -77,7 +80,7 @@ BLOCK = 60_000
 # Symbols of one online step.
 STEP = 3_000
 # Text of a slice: larger slices repeat fewer words.
-SLICE = 8 << 20
+SLICE = 4 << 20
 KINDS = 8
 # Hash buckets whose shares tell the kind of a text, of so many buckets.
 COMMON = 64
@@ -327,7 +330,7 @@ class Guesses:
     """What words follow one and two words: counts by slot, of words and of the ones
     among each bit of their codes, and of all leaves."""
 
-    counts: np.ndarray    # (2, 1 << WORD_BITS, PATH + 1)
+    counts: np.ndarray    # (2, PATH + 1, 1 << WORD_BITS)
     leaves: np.ndarray    # (1 << PATH)
     mixer: Mixer
 
@@ -335,7 +338,7 @@ class Guesses:
 
     @staticmethod
     def blank(counts: np.ndarray) -> "Guesses":
-        return Guesses(counts[:Guesses.SIZE].reshape(2, 1 << WORD_BITS, PATH + 1), counts[Guesses.SIZE:],
+        return Guesses(counts[:Guesses.SIZE].reshape(2, PATH + 1, 1 << WORD_BITS), counts[Guesses.SIZE:],
                        Mixer(np.full((GUESS_GATES, 3), 0.3), 2))
 
     def __post_init__(self):
@@ -345,10 +348,16 @@ class Guesses:
     @staticmethod
     def majority(counts: np.ndarray):
         """(leaf or -1, words that may have it at most, words) of rows of counts."""
-        n, ones = counts[:, PATH], counts[:, :PATH]
-        bits = 2 * ones > n[:, None]
-        leaf = bits @ (1 << np.arange(PATH - 1, -1, -1))
-        return np.where(n > 0, leaf, -1), np.where(bits, ones, n[:, None] - ones).min(axis=1), n
+        return Guesses._majority(counts[:, PATH], (counts[:, j] for j in range(PATH)))
+
+    @staticmethod
+    def _majority(n: np.ndarray, ones):
+        """The same of the words and of the ones among each bit in turn."""
+        leaf, most = np.zeros(len(n), np.int64), n
+        for one in ones:
+            leaf = leaf * 2 + (2 * one > n)
+            most = np.minimum(most, np.maximum(one, n - one))
+        return np.where(n > 0, leaf, -1), most, n
 
     def decisions(self, found):
         """(candidate, whether asked for, inputs, gate, row) of the guess of two words
@@ -365,9 +374,11 @@ class Guesses:
 
     def cells(self, slots, leaf) -> np.ndarray:
         """Cells of the decisions on these training words, each taken out of the counts."""
-        own = np.ones((len(leaf), PATH + 1), np.float32)
-        own[:, :PATH] = leaf[:, None] >> np.arange(PATH - 1, -1, -1) & 1
-        found = [self.majority(np.maximum(self.counts[k][slot] - own, 0.0)) for k, slot in enumerate(slots)]
+        own = [(leaf >> (PATH - 1 - j) & 1).astype(np.float32) for j in range(PATH)]
+        found = []
+        for counts, slot in zip(self.counts, slots):
+            found.append(self._majority(np.maximum(counts[PATH][slot] - np.float32(1), 0), (
+                np.maximum(c[slot] - x, 0) for c, x in zip(counts, own))))
         out, left = [], np.ones(len(leaf), bool)
         for g, asked, inputs, gate, _ in self.decisions(found):
             asked &= left
@@ -391,7 +402,7 @@ class Guesses:
 
     def table(self):
         """The guesses of all slots, with every training word among the counts."""
-        found = [self.majority(c) for c in self.counts]
+        found = [self.majority(c.T) for c in self.counts]
         return self.leaves, [[x.astype(np.float32 if k else np.int32) for k, x in enumerate(f)] for f in found], (
             self.mixer.weights, self.mixer.refine)
 
@@ -418,22 +429,33 @@ def _slots(row: np.ndarray, h: np.ndarray) -> list[np.ndarray]:
     return [(c >> np.uint64(64 - WORD_BITS)).astype(np.int64) for c in (one, two)]
 
 
+def _following(row: np.ndarray, h: np.ndarray):
+    """(place, slots of the contexts before, leaf) of the words, ``TOKENS`` at a time."""
+    for a in range(0, len(h), TOKENS):
+        part, first = slice(a, a + TOKENS), max(0, a - 2)   # two words before tell the slots
+        slots = _slots(row[first:part.stop], h[first:part.stop])
+        yield part, [s[a - first:] for s in slots], _bucket(h[part])
+
+
 def _context_counts(batches):
     """Counts of this task's training words by the words before them, and by leaf."""
     size = 1 << WORD_BITS
-    total, leaves = np.zeros((2, size, PATH + 1), np.float32), np.zeros(1 << PATH, np.float32)
+    # One table and no copy of it, and short slices: what a task holds beside the table
+    # is what its worker takes of an executor's memory.
+    out = np.zeros(Guesses.SIZE + (1 << PATH), np.float32)
+    total, leaves = out[:Guesses.SIZE].reshape(2, PATH + 1, size), out[Guesses.SIZE:]
     for batch in batches:
         texts = as_strings(batch.column(0))
-        for a, b in slices(texts, SLICE):
+        for a, b in slices(texts):
             row, coded, h = _words(texts.slice(a, b - a))
             at = coded.indices.to_numpy(zero_copy_only=False)
             leaf = _bucket(h)[at]
             leaves += np.bincount(leaf, minlength=len(leaves))
             for k, slot in enumerate(_slots(row, h[at])):
-                total[k, :, PATH] += np.bincount(slot, minlength=size)
+                total[k, PATH] += np.bincount(slot, minlength=size)
                 for j in range(PATH):
-                    total[k, :, j] += np.bincount(slot[leaf >> (PATH - 1 - j) & 1 == 1], minlength=size)
-    yield from _pieces(np.concatenate([total.ravel(), leaves]), 0, _SINGLE)
+                    total[k, j] += np.bincount(slot[leaf >> (PATH - 1 - j) & 1 == 1], minlength=size)
+    yield from _pieces(out, 0, _SINGLE)
 
 
 def _context_cells(shared):
@@ -444,13 +466,10 @@ def _context_cells(shared):
         total = np.zeros(2 * GUESS_GATES * LEVELS ** 3, np.int64)
         for batch in batches:
             texts = as_strings(batch.column(0))
-            for a, b in slices(texts, SLICE):
+            for a, b in slices(texts):
                 row, coded, h = _words(texts.slice(a, b - a))
-                h = h[coded.indices.to_numpy(zero_copy_only=False)]
-                slots, leaf = _slots(row, h), _bucket(h)
-                found = [guesses.cells([s[k:k + TOKENS] for s in slots], leaf[k:k + TOKENS]) for k in range(0, len(h), TOKENS)]
-                if found:
-                    total += np.bincount(np.concatenate(found), minlength=len(total))
+                for _, slots, leaf in _following(row, h[coded.indices.to_numpy(zero_copy_only=False)]):
+                    np.add.at(total, guesses.cells(slots, leaf), 1)
         used = np.flatnonzero(total)
         yield batch_of(kinds, used, total[used])
     return run
@@ -464,7 +483,7 @@ def learn_guesses(training: DataFrame) -> Guesses:
     shared = training.sparkSession.sparkContext.broadcast(np.concatenate([guesses.counts.ravel(), guesses.leaves]))
     seen = training.mapInArrow(_context_cells(shared), "cell long, n long").groupBy("cell").agg(
         F.sum("n").alias("n")).orderBy("cell").toArrow()
-    shared.unpersist()
+    shared.destroy()
     guesses.learn(seen["cell"].to_numpy(), seen["n"].to_numpy())
     return guesses
 
@@ -479,7 +498,7 @@ def _bucket_counts(batches):
     total = np.zeros(1 << BUCKET_BITS, np.int64)
     for batch in batches:
         texts = as_strings(batch.column(0))
-        for a, b in slices(texts, SLICE):
+        for a, b in slices(texts):
             _, coded, h = _words(texts.slice(a, b - a))
             total += np.bincount(_bucket(h)[coded.indices.to_numpy(zero_copy_only=False)], minlength=len(total))
     used = np.flatnonzero(total)
@@ -493,7 +512,7 @@ def _profile(common: np.ndarray):
     def run(batches):
         for batch in batches:
             texts = as_strings(batch.column(0))
-            for a, b in slices(texts, SLICE):
+            for a, b in slices(texts):
                 row, coded, h = _words(texts.slice(a, b - a))
                 column = _column(_bucket(h), common)[coded.indices.to_numpy(zero_copy_only=False)]
                 counts = _counts(row[column >= 0], column[column >= 0], b - a)
@@ -580,65 +599,81 @@ def text_kinds(profiles: DataFrame) -> np.ndarray:
     return centres
 
 
+_OF_SLICE = ["kinds", "leaves", "sizes", "docs", "tfs", "hits"]
+
+
 def _postings(common: np.ndarray, centres: np.ndarray, shared):
-    """Rows of pairs (word, kind, count in training, documents, counts, hits of the
-    guesses; the row id is that of the slice's first document) and of documents (row
-    id, id, held out, kind, words, bytes, bits of the guesses) of each slice."""
-    kinds = pa.schema([("word", pa.large_string()), ("kind", pa.int32()), ("c", pa.int64()),
-                       ("docs", pa.list_(pa.int32())), ("tfs", pa.list_(pa.int32())), ("hits", pa.list_(pa.int32())),
-                       ("rid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_words", pa.int64()),
+    """Rows of pairs (word, kind, count in training, place in the slice), of documents
+    (row id, id, held out, kind, words, bytes, bits of the guesses) and, one for a slice,
+    of the kinds, leaves and numbers of documents of its pairs and of all their documents,
+    counts and hits of the guesses.  The row id of pairs and slices is that of the first
+    document."""
+    ints = pa.list_(pa.int32())
+    kinds = pa.schema([("word", pa.large_string()), ("kind", pa.int32()), ("c", pa.int64()), ("place", pa.int64()),
+                       *((x, ints) for x in _OF_SLICE), ("rid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_words", pa.int64()),
                        ("n_bytes", pa.int64()), ("guessing", pa.float64())])
     fields = list(kinds)
 
+    nothing = lambda n, of: (pa.nulls(n, f.type) for f in of)
+
+    def rows(guesses, table, ids, part, held, first):
+        """Of one slice: in a function of its own, so that nothing of it outlives it."""
+        m = len(part)
+        row, coded, h = _words(part)
+        at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        told, hit = _guessed(guesses, table, row, h[at])
+        guessing, n_words = -np.bincount(row, weights=told, minlength=m), np.bincount(row, minlength=m)
+        del told
+        column = _column(_bucket(h), common)[at]
+        kind = _nearest(_shares(_counts(row[column >= 0], column[column >= 0], m)), centres)
+        del column
+        yield batch_of(kinds, pa.nulls(m, fields[0].type), kind.astype(np.int32), *nothing(m, fields[2:-6]),
+                       first + np.arange(m), ids, held, n_words, pc.binary_length(part).cast(pa.int64()), guessing)
+        # By word, then kind, then document.
+        place = np.lexsort((np.arange(m), kind))
+        rank = np.empty(m, np.int64)
+        rank[place] = np.arange(m)
+        place_of = at * m + rank[row]
+        del at, row
+        key, tf = np.unique(place_of, return_counts=True)
+        right, n_right = np.unique(place_of[hit], return_counts=True)
+        del place_of, hit
+        hits = np.zeros(len(key), np.int32)
+        hits[np.searchsorted(key, right)] = n_right
+        doc = place[key % m]
+        pair, begin = np.unique(key // m * KINDS + kind[doc], return_index=True)
+        offs = np.r_[begin, len(key)]
+        del key, right, n_right
+        trained = ~held.to_numpy(zero_copy_only=False)
+        c = np.add.reduceat(tf * trained[doc], begin) if len(begin) else begin
+        yield batch_of(kinds, coded.dictionary.take(pa.array(pair // KINDS)), (pair % KINDS).astype(np.int32), c,
+                       np.arange(len(pair)), *nothing(len(pair), fields[4:-6]), np.full(len(pair), first),
+                       *nothing(len(pair), fields[-5:]))
+        if len(pair):
+            of_slice = pair % KINDS, _bucket(h)[pair // KINDS], np.diff(offs), doc, tf, hits
+            yield batch_of(kinds, *nothing(1, fields[:4]),
+                           *(list_array(x.astype(np.int32), [0, len(x)], pa.int32()) for x in of_slice),
+                           [first], *nothing(1, fields[-5:]))
+
     def run(batches):
         leaves, table, (weights, refine) = shared.value
         guesses = Guesses(np.empty(0), leaves, Mixer(weights, 2, refine))
         first = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = as_strings(batch.column(1))
-            held = batch.column(2).to_numpy(zero_copy_only=False)
             for a, b in slices(texts, SLICE):
-                m = b - a
-                part = texts.slice(a, m)
-                row, coded, h = _words(part)
-                at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                column = _column(_bucket(h), common)[at]
-                kind = _nearest(_shares(_counts(row[column >= 0], column[column >= 0], m)), centres)
-                # By word, then kind, then document.
-                place = np.lexsort((np.arange(m), kind))
-                rank = np.empty(m, np.int64)
-                rank[place] = np.arange(m)
-                place_of = at * m + rank[row]
-                key, tf = np.unique(place_of, return_counts=True)
-                told, hit = _guessed(guesses, table, row, h[at])
-                right, n_right = np.unique(place_of[hit], return_counts=True)
-                hits = np.zeros(len(key), np.int64)
-                hits[np.searchsorted(key, right)] = n_right
-                doc = place[key % m]
-                pair, begin = np.unique(key // m * KINDS + kind[doc], return_index=True)
-                offs = np.r_[begin, len(key)]
-                c = np.add.reduceat(tf * ~held[a:b][doc], begin) if len(begin) else begin
-                yield batch_of(kinds, coded.dictionary.take(pa.array(pair // KINDS)), (pair % KINDS).astype(np.int32), c,
-                               list_array(doc.astype(np.int32), offs, pa.int32()),
-                               list_array(tf.astype(np.int32), offs, pa.int32()),
-                               list_array(hits.astype(np.int32), offs, pa.int32()), np.full(len(pair), first),
-                               *(pa.nulls(len(pair), f.type) for f in fields[7:]))
-                yield batch_of(kinds, pa.nulls(m, fields[0].type), kind.astype(np.int32),
-                               *(pa.nulls(m, f.type) for f in fields[2:6]), first + np.arange(m),
-                               batch.column(0).slice(a, m), batch.column(2).slice(a, m),
-                               np.bincount(row, minlength=m), pc.binary_length(part).cast(pa.int64()),
-                               -np.bincount(row, weights=told, minlength=m))
-                first += m
+                yield from rows(guesses, table, batch.column(0).slice(a, b - a), texts.slice(a, b - a),
+                                batch.column(2).slice(a, b - a), first)
+                give_back()
+                first += b - a
     return run
 
 
 def _guessed(guesses: Guesses, table, row: np.ndarray, h: np.ndarray):
     """``Guesses.log2`` of every word of the texts."""
-    slots, leaf = _slots(row, h), _bucket(h)
     told, hit = np.zeros(len(h)), np.zeros(len(h), bool)
-    for a in range(0, len(h), TOKENS):
-        part = slice(a, a + TOKENS)
-        told[part], hit[part] = guesses.log2([[x[slot[part]] for x in t] for t, slot in zip(table, slots)], leaf[part])
+    for part, slots, leaf in _following(row, h):
+        told[part], hit[part] = guesses.log2([[x[slot] for x in t] for t, slot in zip(table, slots)], leaf)
     return told, hit
 
 
@@ -653,7 +688,21 @@ def _pieces(values: np.ndarray, part: int, kind: str):
     for k in range(0, len(values), CHUNK):
         piece = values[k:k + CHUNK]
         if piece.any():
-            yield batch_of(_PARTS, [part], [k // CHUNK], [piece.astype(kind).tobytes()])
+            yield batch_of(_PARTS, [part], [k // CHUNK], [_packed(piece, kind)])
+
+
+def _packed(piece: np.ndarray, kind: str) -> bytes:
+    """A chunk compressed, its numbers' first bytes together, then their second ones
+    and so on: of most counts one or two bytes tell all."""
+    whole = np.zeros(CHUNK, kind)
+    whole[:len(piece)] = piece
+    return pa.compress(whole.view(np.uint8).reshape(CHUNK, -1).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(values: pa.Buffer, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    raw = pa.decompress(values, CHUNK * size, codec="zstd")
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, CHUNK).T).view(kind).ravel()
 
 
 def _fill(batches):
@@ -695,10 +744,10 @@ def _add(kind: str):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for chunk, values in zip(batch.column(1).to_pylist(), batch.column(2)):
-                x = np.frombuffer(values.as_buffer(), kind).astype(np.float64)
+                x = _unpacked(values.as_buffer(), kind).astype(np.float64)
                 total[chunk] = total[chunk] + x if chunk in total else x
         for chunk, x in total.items():
-            yield batch_of(_PARTS, [0], [chunk], [x.astype(kind).tobytes()])
+            yield batch_of(_PARTS, [0], [chunk], [_packed(x, kind)])
     return run
 
 
@@ -707,42 +756,45 @@ def _summed(parts: DataFrame, size: int, kind: str) -> np.ndarray:
     added in their order, so the sum is the same in every run."""
     dealt = parts.repartition(-(-size // CHUNK), "chunk").sortWithinPartitions("chunk", "part")
     rows = dealt.mapInArrow(_add(kind), _PARTS_SQL).toArrow()
-    out = np.zeros(size, kind)
+    out = np.zeros(-(-size // CHUNK) * CHUNK, kind)
     for chunk, values in zip(rows["chunk"].to_pylist(), rows["values"]):
-        x = np.frombuffer(values.as_buffer(), kind)
-        out[chunk * CHUNK:chunk * CHUNK + len(x)] = x
-    return out
+        out[chunk * CHUNK:(chunk + 1) * CHUNK] = _unpacked(values.as_buffer(), kind)
+    return out[:size]
 
 
 @dataclass
 class Model:
     speller: Speller
     path: Path
+    paths: np.ndarray     # (KINDS, 1 << PATH): log2 P of the path to each leaf
 
     def arrays(self) -> tuple:
         """All of it as plain arrays, which a task unpickles without this package."""
         s, p = self.speller, self.path
-        return s.tables, s.mixer.weights, s.mixer.refine, p.leaves, p.once, p.mixer.weights, p.mixer.refine
+        return s.tables, s.mixer.weights, s.mixer.refine, p.leaves, p.once, p.mixer.weights, p.mixer.refine, self.paths
 
     @staticmethod
-    def of(tables, s_weights, s_refine, leaves, once, p_weights, p_refine) -> "Model":
-        return Model(Speller(tables, Mixer(s_weights, APM_ROWS, s_refine)), Path(leaves, once, Mixer(p_weights, PATH, p_refine)))
+    def of(tables, s_weights, s_refine, leaves, once, p_weights, p_refine, paths) -> "Model":
+        return Model(Speller(tables, Mixer(s_weights, APM_ROWS, s_refine)),
+                     Path(leaves, once, Mixer(p_weights, PATH, p_refine)), paths)
 
-    def log2(self, words: pa.Array, kind: np.ndarray, c_kind: np.ndarray, c: np.ndarray):
-        """(log2 P of every token that was not guessed, the part of its path)."""
+    def log2(self, words: pa.Array, leaf: np.ndarray, kind: np.ndarray, c_kind: np.ndarray, c: np.ndarray):
+        """(log2 P of every token that was not guessed, the part of its path); of known
+        tokens the leaf tells all, the words are those of new ones."""
         known = c > 0
         out, path = np.zeros(len(words)), np.zeros(len(words))
-        leaf = code(words)[known]
-        path[known] = self.path.steps(leaf, kind[known])
-        out[known] = path[known] + self.path.picked(leaf, kind[known], c_kind[known], c[known])
+        path[known] = self.paths[kind[known], leaf[known]]
+        out[known] = path[known] + self.path.picked(leaf[known], kind[known], c_kind[known], c[known])
         new = np.flatnonzero(~known)
         if len(new):
-            out[new] = np.log2(self.path.new(kind[new])) + self.speller.log2(words.take(pa.array(new)))
+            coded = words.take(pa.array(new)).dictionary_encode()
+            spelled = [self.speller.log2(coded.dictionary.slice(a, b - a)) for a, b in slices(coded.dictionary, 1 << 18)]
+            out[new] = np.log2(self.path.new(kind[new])) + np.concatenate(spelled)[coded.indices.to_numpy()]
         return out, path
 
 
 def train(pairs: DataFrame) -> Model:
-    """``pairs``, staged: ``word``, ``kind``, ``c_kind`` and ``c`` (training
+    """``pairs``, of a staged table: ``word``, ``kind``, ``c_kind`` and ``c`` (training
     counts of the word within the kind and at all), ``is_first`` (one row of
     each word).  The driver holds the tables (a fixed 40 MB) and nothing that grows
     with the words."""
@@ -762,8 +814,8 @@ def train(pairs: DataFrame) -> Model:
     leaves[0] = leaves.sum(axis=0)
     np.add.at(once, at[0], sums["once"].to_numpy())
     once[0] = once.sum()
-    model = Model(Speller.blank(tables), Path.blank(leaves, once))
-    s, p = model.speller.mixer, model.path.mixer
+    speller, path = Speller.blank(tables), Path.blank(leaves, once)
+    s, p = speller.mixer, path.mixer
     shared = spark.sparkContext.broadcast((tables, leaves, once))
     by_shard = known.groupBy(F.pmod(F.xxhash64("word", "kind"), F.lit(shards)).cast("int").alias("shard"))
     learned = _summed(by_shard.applyInArrow(_learn(shared), _PARTS_SQL),
@@ -773,8 +825,9 @@ def train(pairs: DataFrame) -> Model:
         _, s_w, p_w, s_r, p_r = np.split(learned.astype(float), cut)
         s.weights, p.weights = (s_w / learned[0]).reshape(s.weights.shape), (p_w / learned[0]).reshape(p.weights.shape)
         s.refine, p.refine = s_r.reshape(s.refine.shape), p_r.reshape(p.refine.shape)
-    shared.unpersist()
-    return model
+    shared.destroy()
+    every = np.arange(1 << PATH)
+    return Model(speller, path, np.stack([path.steps(every, np.full(len(every), k)) for k in range(KINDS)]))
 
 
 def _leaves(batches):
@@ -785,20 +838,24 @@ def _leaves(batches):
                        (batch.column(3).to_numpy(zero_copy_only=False) == 1).astype(np.int64))
 
 
-def _score(shared):
-    kinds = pa.schema([("word", pa.large_string()), ("kind", pa.int32()), ("c", pa.int64()), ("bits", pa.float64()),
-                       ("path", pa.float32())])
-
-    def run(batches):
-        model = Model.of(*shared.value)
-        for batch in batches:
-            words, c = as_strings(batch.column(0)), batch.column(3).to_numpy(zero_copy_only=False)
-            kind = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            c_kind = batch.column(2).to_numpy(zero_copy_only=False)
-            for a, b in slices(words, 1 << 18):
-                part = words.slice(a, b - a)
-                out, path = model.log2(part, kind[a:b], c_kind[a:b], c[a:b])
-                yield batch_of(kinds, part, batch.column(1).slice(a, b - a), c[a:b], -out, (-path).astype(np.float32))
+def _slice_sums(shared, mass: float):
+    """Sums of a slice's pairs, by document; ``mass``: of all tokens, with those added."""
+    kinds = pa.schema([("rid", pa.int64()), ("base", pa.float64()), ("bits", pa.float64()), ("known", pa.int64())])
+
+    def run(key, pairs, of_slice):
+        if not pairs.num_rows:
+            return pa.table([pa.array([], f.type) for f in kinds], schema=kinds)
+        kind, leaf, sizes, doc, tf, hits = (of_slice[x].combine_chunks().flatten().to_numpy() for x in _OF_SLICE)
+        # In the order of the pairs' places.
+        pairs = pairs.sort_by("place")
+        c_kind, c = pairs["c_kind"].to_numpy(), pairs["c"].to_numpy()
+        told, path = Model.of(*shared.value).log2(as_strings(pairs["word"]), leaf, kind, c_kind, c)
+        pair = np.repeat(np.arange(len(c)), sizes)
+        base = np.log10((c + 0.1) / mass)
+        sums = [np.bincount(doc, weights=x) for x in (tf * base[pair], hits * path[pair] - tf * told[pair], tf * (c[pair] > 0))]
+        used = np.flatnonzero(np.bincount(doc))
+        return pa.Table.from_batches([batch_of(kinds, key[0].as_py() + used, sums[0][used], sums[1][used],
+                                               np.rint(sums[2][used]).astype(np.int64))])
     return run
 
 
@@ -813,34 +870,42 @@ def score_texts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     centres = text_kinds(stage(training.mapInArrow(_profile(common), "p array<int>"), "profiles"))
     told = spark.sparkContext.broadcast(learn_guesses(training).table())
     rows = stage(texts.mapInArrow(
-        _postings(common, centres, told), "word string, kind int, c long, docs array<int>, tfs array<int>, hits array<int>, "
-        "rid long, doc_id long, held_out boolean, n_words long, n_bytes long, guessing double"), "postings")
-    told.unpersist()
-    docs, words = rows.where("word is null"), rows.where("word is not null")
+        _postings(common, centres, told), "word string, kind int, c long, place long, "
+        + "".join(f"{x} array<int>, " for x in _OF_SLICE) + "rid long, doc_id long, held_out boolean, n_words long, n_bytes long, guessing double"), "postings")
+    told.destroy()
+    docs, words = rows.where("held_out is not null"), rows.where("word is not null")
     # End tokens are one more word: one for each document, of its kind.
-    ends = docs.groupBy("kind").agg(F.count_if(~F.col("held_out")).alias("c")).select(F.lit(END).alias("word"), "kind", "c")
-    counted = words.groupBy("word", "kind").agg(F.sum("c").alias("c")).unionByName(ends)
-    of_word = Window.partitionBy("word")   # at most one row for each kind
-    pairs = stage(counted.select("word", "kind", F.col("c").alias("c_kind"), F.sum("c").over(of_word).alias("c"),
-                                 (F.col("kind") == F.min("kind").over(of_word)).alias("is_first")), "pairs")
+    ends = docs.groupBy("kind").agg(F.count_if(~F.col("held_out")).alias("c")).select(
+        F.lit(END).alias("word"), "kind", "c", F.lit(None).cast("struct<rid: long, place: long>").alias("at"))
+    # A row for each word: its counts by kind, and the pairs' places (one for each slice
+    # and kind), the kind in their last digit.
+    at = F.struct("rid", (F.col("place") * KINDS + F.col("kind")).alias("place"))
+    counted = stage(words.select("word", "kind", "c", at.alias("at")).unionByName(ends).groupBy("word").agg(
+        *(F.sum(F.when(F.col("kind") == k, F.col("c"))).alias(f"c{k}") for k in range(KINDS)),
+        F.collect_list("at").alias("at")), "counted")
+    by_kind = [F.col(f"c{k}") for k in range(KINDS)]
+    c = sum((F.coalesce(x, F.lit(0)) for x in by_kind), F.lit(0).cast("long")).alias("c")
+    found = F.filter(F.array(*(F.when(x.isNotNull(), F.struct(F.lit(k).alias("kind"), x.alias("c_kind")))
+                               for k, x in enumerate(by_kind))), lambda x: x.isNotNull())
+    pairs = counted.select("word", c, F.posexplode(found).alias("of", "pair")).select(
+        "word", "pair.kind", "pair.c_kind", "c", (F.col("of") == 0).alias("is_first"))
     n, v = pairs.agg(F.coalesce(F.sum("c_kind"), F.lit(0)), F.count_if(F.col("is_first") & (F.col("c") > 0))).first()
     model = train(pairs)
     shared = spark.sparkContext.broadcast(model.arrays())
-    scored = stage(pairs.select("word", "kind", "c_kind", "c").mapInArrow(_score(shared), "word string, kind int, c long, bits double, path float"),
-                   "scored")
-    base = lambda c: F.log10((c + 0.1) / F.lit(n + 0.1 * (v + 1)))
-    each = words.select("word", "kind", "docs", "tfs", "hits", "rid").join(scored, ["word", "kind"]).select(
-        F.explode(F.arrays_zip("docs", "tfs", "hits")).alias("p"), "rid", base(F.col("c")).alias("base"), "bits", "path",
-        (F.col("c") > 0).cast("long").alias("known"))
-    tf = F.col("p.tfs")
-    sums = each.groupBy((F.col("rid") + F.col("p.docs")).alias("rid")).agg(
-        F.sum(tf * F.col("base")).alias("base"), F.sum(tf * F.col("bits") - F.col("p.hits") * F.col("path")).alias("bits"),
-        F.sum(tf * F.col("known")).alias("known"))
+    # The counts go back to the slices as numbers; only new words go with them.
+    back = counted.select("word", c, F.array(*by_kind).alias("by_kind"), F.explode("at").alias("at")).select(
+        "at.rid", F.floor(F.col("at.place") / KINDS).alias("place"), "c",
+        F.get("by_kind", (F.col("at.place") % KINDS).cast("int")).alias("c_kind"),
+        F.when(F.col("c") == 0, F.col("word")).alias("word"))
+    sums = back.groupBy("rid").cogroup(rows.where("docs is not null").select("rid", *_OF_SLICE).groupBy("rid")).applyInArrow(
+        _slice_sums(shared, n + 0.1 * (v + 1)), "rid long, base double, bits double, known long")
     # By kind (at most KINDS rows): bits of the end token and of the kind itself.
-    end = scored.where(F.col("word") == END).select("kind", "c", "bits").collect()
+    end = pairs.where(F.col("word") == END).collect()
     n_end = end[0]["c"] if end else 0
-    shares = {r["kind"]: r["c_kind"] for r in pairs.where(F.col("word") == END).collect()}
-    extra = {r["kind"]: r["bits"] - math.log2((shares[r["kind"]] + 0.1) / (n_end + 0.1 * KINDS)) for r in end}
+    words_of = pa.array([END] * len(end), pa.large_string())
+    kind, c_kind, c = (np.array([r[x] for r in end], np.int64) for x in ("kind", "c_kind", "c"))
+    told_end, _ = model.log2(words_of, code(words_of), kind, c_kind, c)
+    extra = {r["kind"]: -float(t) - math.log2((r["c_kind"] + 0.1) / (n_end + 0.1 * KINDS)) for r, t in zip(end, told_end)}
     bits = F.col("guessing") + F.coalesce("bits", F.lit(0.0)) + F.create_map(*[F.lit(x) for p in (extra or {0: 0.0}).items() for x in p])[
         F.col("kind")]
     end_base = math.log10((n_end + 0.1) / (n + 0.1 * (v + 1)))
