@@ -218,6 +218,46 @@ def test_pages_cover_their_vectors_and_prune():
             assert up == pytest.approx(np.sqrt(((centre - nodes[parent][1]) ** 2).sum()))
 
 
+def tree_of(v, ids, page, kind=np.int64):
+    most = float((v.astype(float) ** 2).sum(axis=1).max())
+    rows = [{"route": 0, "sub": 0, "piece": 0, "node": k, "parent": n[0], "centre": n[1], "radius": n[2], "up": n[3],
+             "ids": [] if n[4] is None else ids[n[4]], "vectors": [] if n[4] is None else v[n[4]].ravel(),
+             "ups": [] if n[4] is None else n[5]} for k, n in enumerate(mtree.build(mtree.lifted(v, most), page))]
+    return mtree.Tree(pa.Table.from_pylist(rows, schema=mtree._PAGES), v.shape[1], kind), most
+
+
+def test_queries_of_a_block_search_its_pages_together(monkeypatch):
+    # Distances are computed once for a page and all its queries, not for each query.
+    rng = np.random.default_rng(3)
+    v = rng.integers(-100, 100, (700, 6))
+    v[300:600] = v[300]                                        # equal vectors: ties
+    ids = rng.permutation(np.r_[np.arange(690), np.arange(10)])     # and repeated ids
+    tree, most = tree_of(v, ids, 16, np.float64)
+    calls = []
+    distances = mtree._distances
+    monkeypatch.setattr(mtree, "_distances", lambda *a: calls.append(1) or distances(*a))
+    monkeypatch.setattr(mtree, "SCORES", 1000)
+    own, q = ids[::2], v[::2].astype(float)
+    row, found, score = tree.search(own, q, most, 5, np.full(len(q), -np.inf))
+    assert len(calls) <= len(tree.radius)
+    for k in range(len(q)):
+        want = sorted((-int(s), int(i)) for s, i in zip(v @ q[k].astype(int), ids) if i != own[k])[:5]
+        assert sorted((-int(s), int(i)) for s, i in zip(score[row == k], found[row == k])) == want
+
+
+def test_search_keeps_to_its_bounds():
+    rng = np.random.default_rng(5)
+    v = rng.integers(-100, 100, (400, 4))
+    for kind, none in ((np.float64, -np.inf), (np.int64, mtree._LONG[0]), (object, -np.inf)):
+        tree, most = tree_of(v, np.arange(400), 8, kind)
+        q, scores = v[:50], v[:50] @ v.T
+        bound = np.array([none if k % 2 else int(np.sort(scores[k])[-3]) for k in range(50)], object).astype(kind)
+        row, found, score = tree.search(np.arange(50), q.astype(kind), most, 5, bound)
+        for k in range(50):
+            want = sorted((-int(s), i) for i, s in enumerate(scores[k]) if i != k and (k % 2 or s >= bound[k]))[:5]
+            assert sorted((-int(s), int(i)) for s, i in zip(score[row == k], found[row == k])) == want
+
+
 def test_search_of_empty_tables(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert mtree.op5_mtree(frame).count() == 0

@@ -12,9 +12,10 @@ hash.  Each block so made is an M-tree of pages: a node has a centre, a covering
 radius and its distance to its parent's centre; a leaf page has its vectors and
 their distances to its centre.  The pages are rows of a staged table.
 
-Search, best page first: a page or an entry is skipped without computing its
-distance when |d(q, parent) - stored distance| - radius already exceeds the
-distance of the k-th best score.  Queries first search their own block, which
+Search, near pages first, by all queries of a part together: a query skips a page
+without computing its distance when |d(q, parent) - stored distance| - radius already
+exceeds the distance of its k-th best score, and an entry that all queries of the page
+may skip so is not scored.  The scores of a page are one matrix product.  Queries first search their own block, which
 bounds the k-th score; then all blocks that the bound does not exclude, by the ball
 of the region and by that of the block's root.  Queries of neighbouring regions are
 searched together, so that they want the same blocks: a block's pages are sent once
@@ -34,8 +35,6 @@ an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -50,6 +49,8 @@ MAX_ROUTES = 1024
 PAGE = 64
 # Queries searched together in a block.
 QUERY_BLOCK = 4096
+# Scores of a page and its queries worked on at once.
+SCORES = 1 << 20
 # Bytes of vectors of a crowded region that one task routes further.
 ROUTED_BYTES = 64 << 20
 # Regions, 32 bytes each, broadcast up to this many.
@@ -139,9 +140,10 @@ def build(points: np.ndarray, page: int = PAGE, seed: int = 7):
 
 
 class Tree:
-    """The pages of one block, searched best first."""
+    """The pages of one block, searched by many queries together, near pages first."""
 
-    def __init__(self, pages: pa.Table, dim: int, wide: bool = False):
+    def __init__(self, pages: pa.Table, dim: int, kind=np.int64):
+        """``kind``: numbers in which all scores are exact."""
         pages = pages.sort_by("node")
         self.centre = _matrix(pages["centre"], dim + 1)
         self.radius = pages["radius"].to_numpy()
@@ -149,47 +151,93 @@ class Tree:
         parent = pages["parent"].to_numpy()
         self.children = [np.flatnonzero(parent == k) for k in range(len(parent))]
         column = lambda name: [x.values.to_numpy(zero_copy_only=False) for x in pages[name]]
-        self.ids, self.ups = column("ids"), column("ups")
-        self.vectors = [x.reshape(len(i), dim) for x, i in zip(column("vectors"), self.ids)]
-        if wide:
-            self.vectors = [x.astype(object) for x in self.vectors]
-
-    def search(self, own: int, q: np.ndarray, most: float, top: int, best: list, bound: float) -> list:
-        """``best`` (score, -id) entries, a heap of at most ``top``, completed;
-        only scores of ``bound`` or more are of interest."""
-        point = np.r_[q.astype(np.float64), 0.0]
-        square = float(point @ point) + most
-
-        def reach() -> float:
-            least = max(best[0][0] if len(best) == top else -np.inf, bound)
-            return _within(square, float(least)) if least > -np.inf else np.inf
-
-        d = float(_distances(self.centre[:1], point)[0])
-        queue = [(max(0.0, d - self.radius[0]), 0, d)]
-        while queue:
-            low, node, d = heapq.heappop(queue)
-            limit = reach()
-            if low > limit:
-                break
+        ids = column("ids")
+        order = [np.argsort(x, kind="stable") for x in ids]     # ties go to smaller ids
+        self.ids, self.ups = ([x[o] for x, o in zip(c, order)] for c in (ids, column("ups")))
+        self.vectors = [x.reshape(len(o), dim)[o].astype(kind, copy=False) for x, o in zip(column("vectors"), order)]
+
+    def search(self, own: np.ndarray, q: np.ndarray, most: float, top: int, bound: np.ndarray):
+        """(query, id, score) of the ``top`` best of each query, those of ``bound`` or
+        more; ``q`` and ``bound`` as ``kind``, the smallest ``bound`` for none."""
+        points = np.hstack([q.astype(np.float64), np.zeros((len(q), 1))])
+        square = np.einsum("ij,ij->i", points, points) + most
+        best = Best(top, bound)
+        every = np.arange(len(q))
+        stack = [(0, every, _distances(points, self.centre[0]))]
+        while stack:
+            node, asks, d = stack.pop()
+            limit = best.reach(square, asks)
+            held = d - self.radius[node] <= limit
+            asks, d, limit = asks[held], d[held], limit[held]
+            if not len(asks):
+                continue
             kids = self.children[node]
             if len(kids):
-                kids = kids[np.abs(d - self.up[kids]) - self.radius[kids] <= limit]
-                for k, x in zip(kids.tolist(), _distances(self.centre[kids], point).tolist()):
-                    low = max(0.0, x - self.radius[k])
-                    if low <= limit:
-                        heapq.heappush(queue, (low, k, x))
+                found = []
+                for k in kids.tolist():
+                    # Without a distance first, then by the distance to the centre.
+                    some = asks[np.abs(d - self.up[k]) - self.radius[k] <= limit]
+                    if len(some):
+                        x = _distances(points[some], self.centre[k])
+                        found.append((float(x.mean()), k, some, x))
+                stack += [(k, some, x) for _, k, some, x in sorted(found, key=lambda f: -f[0])]
                 continue
-            near = np.flatnonzero(np.abs(d - self.ups[node]) <= limit)
-            scores = self.vectors[node][near] @ q
-            ids = self.ids[node][near]
-            keep = np.flatnonzero((ids != own) & (scores >= (best[0][0] if len(best) == top else bound)))
-            for k in keep.tolist():
-                entry = (int(scores[k]), -int(ids[k]))
-                if len(best) < top:
-                    heapq.heappush(best, entry)
-                elif entry > best[0]:
-                    heapq.heapreplace(best, entry)
-        return best
+            near = np.flatnonzero((np.abs(d[:, None] - self.ups[node]) <= limit[:, None]).any(axis=0))
+            vectors, ids = self.vectors[node][near], self.ids[node][near]
+            step = max(1, SCORES // max(1, len(ids)))
+            for some in (asks[a:a + step] for a in range(0, len(asks), step)):
+                scores = q[some] @ vectors.T
+                row, at = _entries(scores, (scores >= best.least[some][:, None]) & (own[some][:, None] != ids), top)
+                best.add(some[row], ids[at], scores[row, at])
+        return best.row, best.id, best.score
+
+
+def _entries(scores: np.ndarray, asked: np.ndarray, top: int):
+    """Row and column of the entries ``asked`` for, of a row with more the ``top`` best;
+    of equal ones the first."""
+    many = np.flatnonzero(asked.sum(axis=1) > top)
+    if len(many):
+        x, used = scores[many], asked[many]
+        least = x[used].min()
+        ordered = np.sort(np.where(used, x, least), axis=1)[:, -top][:, None]
+        ties = used & (x == ordered)
+        over = used & (x > ordered)
+        asked[many] = over | (ties & (ties.cumsum(axis=1) <= top - over.sum(axis=1)[:, None]))
+    return np.nonzero(asked)
+
+
+class Best:
+    """The ``top`` best entries of each query, ties to smaller ids; ``least``: the score
+    that an entry must have to be of interest."""
+
+    def __init__(self, top: int, bound: np.ndarray):
+        self.top, self.least = top, bound.copy()
+        self.row, self.id, self.score = np.empty(0, np.int64), np.empty(0, np.int64), bound[:0]
+
+    def reach(self, square: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Distance up to which a candidate may be of interest."""
+        least = self.least[rows].astype(np.float64)
+        any_of = least <= _LONG[0]
+        return np.where(any_of, np.inf, _within(square[rows], np.where(any_of, 0.0, least)))
+
+    def add(self, row: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        if not len(row):
+            return
+        # Only the queries with new entries are sorted again.
+        again = np.zeros(len(self.least), bool)
+        again[row] = True
+        old = again[self.row]
+        row, ids, score = (np.concatenate([x[old], new]) for x, new in ((self.row, row), (self.id, ids), (self.score, score)))
+        order = np.lexsort((ids, -score, row)) if score.dtype != object else np.array(
+            sorted(range(len(row)), key=lambda k: (row[k], -score[k], ids[k])))
+        row, ids, score = row[order], ids[order], score[order]
+        start = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        rank = np.arange(len(row)) - np.repeat(start, np.diff(np.r_[start, len(row)]))
+        last = rank == self.top - 1
+        self.least[row[last]] = np.maximum(self.least[row[last]], score[last])
+        kept = rank < self.top
+        self.row, self.id, self.score = (np.concatenate([x[~old], new[kept]]) for x, new in (
+            (self.row, row), (self.id, ids), (self.score, score)))
 
 
 def _nearest(p: np.ndarray, routes: np.ndarray) -> np.ndarray:
@@ -238,20 +286,19 @@ def _index(most: float, dim: int, page: int):
     return run
 
 
-def _search(most: float, dim: int, top: int, wide: bool):
+def _search(most: float, dim: int, top: int, kind):
     def run(key, pages, queries):
-        out = []
+        out = [np.empty(0, np.int64)] * 3
         if pages.num_rows and queries.num_rows:
-            tree = Tree(pages, dim, wide)
-            vectors = _matrix(queries["q"], dim)
-            for own, q, bound in zip(queries["query_id"].to_pylist(), vectors.astype(object) if wide else vectors,
-                                     queries["bound"].to_pylist()):
-                # A score at an end of 64 bits stands for all beyond it.
-                bound = -np.inf if bound is None or bound == _LONG[0] else bound
-                best = tree.search(own, q, most, top, [], bound)
-                out += [(own, -i, min(max(s, _LONG[0]), _LONG[1])) for s, i in best]
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out), _FOUND)] if out
-                        else [pa.array([], f.type) for f in _FOUND], schema=_FOUND)
+            own = queries["query_id"].to_numpy()
+            # A score at an end of 64 bits stands for all beyond it.
+            bound = np.array([_LONG[0] if b is None else b for b in queries["bound"].to_pylist()], object)
+            if kind is not np.int64:
+                bound = np.where(bound == _LONG[0], -np.inf, bound)
+            row, ids, score = Tree(pages, dim, kind).search(
+                own, _matrix(queries["q"], dim).astype(kind), most, top, bound.astype(kind))
+            out = own[row], ids, np.clip(score, *_LONG).astype(np.int64) if kind is object else score.astype(np.int64)
+        return pa.table([pa.array(c, f.type) for c, f in zip(out, _FOUND)], schema=_FOUND)
     return run
 
 
@@ -328,12 +375,14 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col:
     out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     for dim, n, most, largest in sizes:
         rows = usable.where(F.size("v") == dim)
-        wide = (largest or 0) ** 2 * dim >= 1 << 63
-        out = out.unionByName(_top_k(rows, dim, n, float(most), wide, top, block_rows, max_routes, page))
+        # Doubles where all sums are whole numbers that they hold, else 64 bits or Python's integers.
+        size = (largest or 0) ** 2 * dim
+        kind = np.float64 if size < 1 << 53 else np.int64 if size < 1 << 63 else object
+        out = out.unionByName(_top_k(rows, dim, n, float(most), kind, top, block_rows, max_routes, page))
     return out
 
 
-def _top_k(rows: DataFrame, dim: int, n: int, most: float, wide: bool, top: int, block_rows: int, max_routes: int,
+def _top_k(rows: DataFrame, dim: int, n: int, most: float, kind, top: int, block_rows: int, max_routes: int,
            page: int) -> DataFrame:
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(min(max_routes, -(-n // block_rows))).toArrow()
     routes = lifted(_matrix(sample["v"], dim), most)
@@ -385,7 +434,7 @@ def _top_k(rows: DataFrame, dim: int, n: int, most: float, wide: bool, top: int,
         # A block's pages go to each part of its queries.
         copies = pages.join(queries.select(*_BLOCK, F.col("part").alias("to")).distinct(), _BLOCK)
         return (copies.groupBy(*_BLOCK, "to").cogroup(queries.groupBy(*_BLOCK, "part"))
-                .applyInArrow(_search(most, dim, top, wide), _FOUND_SQL))
+                .applyInArrow(_search(most, dim, top, kind), _FOUND_SQL))
 
     found = stage(searched(first), "found")
     bounds = _best(found, top).groupBy("query_id").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n"))
