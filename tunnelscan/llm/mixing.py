@@ -790,7 +790,7 @@ class Model:
             coded = words.take(pa.array(new)).dictionary_encode()
             spelled = [self.speller.log2(coded.dictionary.slice(a, b - a)) for a, b in slices(coded.dictionary, 1 << 18)]
             out[new] = np.log2(self.path.new(kind[new])) + np.concatenate(spelled)[coded.indices.to_numpy()]
-        return out, path
+        return out, path.astype(np.float32)
 
 
 def train(pairs: DataFrame) -> Model:
