@@ -1,5 +1,6 @@
 import random
 import tracemalloc
+import types
 
 import numpy as np
 import pyarrow as pa
@@ -89,3 +90,79 @@ def test_a_word_goes_back_to_each_slice_with_its_counts(spark, monkeypatch):
     assert len(seen[0]) == len(rows)
     for a, b in zip(*seen):
         assert a[:3] == b[:3] and np.allclose(a[3:], b[3:], rtol=0, atol=1e-9)
+
+
+def test_a_word_of_a_slice_is_one_row_with_all_its_pairs(monkeypatch):
+    # Two texts of different kinds share "w": a row for each kind before.
+    monkeypatch.setattr(mixing, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 3)))
+    texts = pa.array(["a w w", "b w", None], pa.string())
+    batch = pa.record_batch([pa.array([1, 2, 3]), texts, pa.array([False, True, False])], names=["doc_id", "text", "held_out"])
+    _, coded, h = mixing._words(pa.array(["a b"], pa.large_string()))
+    a, b = mixing._bucket(h)
+    centres = np.zeros((mixing.KINDS, 2))
+    common = np.sort([a, b])
+    centres[1, np.searchsorted(common, a)] = centres[4, np.searchsorted(common, b)] = 1.0
+    monkeypatch.setattr(mixing, "COMMON", 2)
+    counts = np.zeros(mixing.Guesses.SIZE + (1 << mixing.PATH), np.float32)
+    told = types.SimpleNamespace(value=mixing.Guesses.blank(counts).table())
+    out = pa.Table.from_batches(mixing._postings(common, centres, told)([batch])).to_pylist()
+    words = {r["word"]: r for r in out if r["word"] is not None}
+    assert sum(r["word"] is not None for r in out) == len(words) == 3
+    # Counted in training: twice in the text of kind 1, not in the held-out one of kind 4.
+    assert np.frombuffer(words["w"]["pairs"], "<i8").tolist() == [2 * mixing.KINDS + 1, 4]
+    (packed,) = [r["packed"] for r in out if r["packed"] is not None]
+    kind, leaf, sizes, doc, tf, hits = mixing._slice_unpacked(packed)
+    at = words["w"]["place"]
+    assert kind[at:at + 2].tolist() == [1, 4] and len(kind) == len(leaf) == len(sizes) == 4
+    assert sorted(zip(doc.tolist(), tf.tolist())) == [(0, 1), (0, 2), (1, 1), (1, 1)] and not hits.any()
+
+
+def test_counts_of_a_word_meet_across_batches():
+    # By word: two slices and the end token; the second word goes on in the next batch.
+    def pairs(*of):
+        c, kind = np.array(of).T
+        return mixing._pairs(c, kind, np.array([0, len(of)]))[0].as_py()
+
+    rows = [("a", pairs((3, 0)), 7, 5), ("b", pairs((1, 2), (0, 4)), 2, 5), ("b", pairs((4, 2)), 9, 6), ("b", pairs((2, 0)), 0, None),
+            ("c", pairs((0, 1)), 1, 6)]
+    kinds = pa.schema([("word", pa.string()), ("pairs", pa.binary()), ("place", pa.int64()), ("rid", pa.int64())])
+    for cut in range(len(rows) + 1):
+        batches = [pa.RecordBatch.from_pylist([dict(zip(kinds.names, r)) for r in x], schema=kinds) for x in (rows[:cut], rows[cut:])]
+        out = pa.Table.from_batches(mixing._by_word(batches)).to_pylist()
+        assert [[r["word"], *([r[c] for c in mixing._COUNTS[:5]])] for r in out] == [
+            ["a", 3, None, None, None, None], ["b", 2, None, 5, None, 0], ["c", None, 0, None, None, None]]
+        assert [[(x["rid"], x["place"]) for x in r["at"]] for r in out] == [
+            [(5, 7 * 8)], [(5, 2 * 8 + 2), (5, 3 * 8 + 4), (6, 9 * 8 + 2)], [(6, 1 * 8 + 1)]]
+    assert not list(mixing._by_word([]))
+
+
+def test_majority_without_a_word_comes_from_the_table():
+    rng = np.random.default_rng(2)
+    pool = rng.integers(0, 1 << mixing.PATH, 6)
+    slot = rng.integers(0, 300, 1500)
+    leaf = np.where(rng.random(1500) < 0.8, pool[slot % 6], pool[rng.integers(0, 6, 1500)])
+    counts = np.zeros((2, mixing.PATH + 1, 1 << mixing.WORD_BITS), np.float32)
+    for j in range(mixing.PATH):
+        np.add.at(counts[0, j], slot, leaf >> (mixing.PATH - 1 - j) & 1)
+    np.add.at(counts[0, mixing.PATH], slot, 1)
+    guesses = mixing.Guesses.blank(np.r_[counts.ravel(), np.zeros(1 << mixing.PATH, np.float32)])
+    own = np.array([[x >> (mixing.PATH - 1 - j) & 1 for j in range(mixing.PATH)] + [1] for x in leaf])
+    want = mixing.Guesses.majority(counts[0][:, slot].T - own)
+    got = mixing.Guesses.others(guesses.without_one()[0], slot, leaf)
+    assert all((a == b).all() for a, b in zip(got, want))
+
+
+def test_texts_are_read_by_three_passes(spark, monkeypatch):
+    # Each pass splits all texts into words again; there were five.
+    frame = type(spark.range(1))
+    passes, run = [], frame.mapInArrow
+
+    def seen(self, *a, **b):
+        passes.append("text" in self.columns)
+        return run(self, *a, **b)
+
+    monkeypatch.setattr(frame, "mapInArrow", seen)
+    rng = random.Random(8)
+    rows = [(k, " ".join(f"w{rng.randrange(50)}" for _ in range(20))) for k in range(40)]
+    assert mixing.op10_mixing(docs(spark, rows)).count() == 40
+    assert sum(passes) == 3

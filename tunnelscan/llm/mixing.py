@@ -31,15 +31,16 @@ rounded predictions), whole numbers, from which the weights are learned.
 The rest of the work is shared through the vocabulary, as those decisions depend on
 the word and on the kind of its text alone:
 
-1. all tokens of all training texts are counted by hash bucket; texts are grouped
-   by the shares of the commonest buckets in them (k-means, each step one job over
-   all training texts; sums of whole numbers);
-2. one pass over the texts scores the guesses and writes, for each slice of
-   documents, its distinct (word, kind) pairs and, in one row, all their documents,
-   counts and hits;
-3. the pairs are counted over all training documents (held-out ones are those
-   whose crc32 of the id's text is divisible by ten), a row for each word with the
-   places of its pairs in the slices;
+1. all tokens of all training texts are counted by hash bucket, and by the words
+   before them, in one pass; a second one judges the guesses and takes each text's
+   shares of the commonest buckets, by which texts are grouped (k-means, each step
+   one job over all training texts; sums of whole numbers);
+2. a third pass, over all texts, scores the guesses and writes, for each slice of
+   documents, its distinct words with their (word, kind) pairs and, in one row, all
+   their documents, counts and hits;
+3. the words meet in order, a row for each: the counts of its pairs over all training
+   documents (held-out ones are those whose crc32 of the id's text is divisible by
+   ten), and the places of the pairs in the slices;
 4. the path counts are an aggregate of these; the spelling tables are filled from
    all training words; weights and maps are learned in shards of about
    ``WORDS_PER_TASK`` pairs, dealt and ordered by hash, and averaged in order;
@@ -75,6 +76,7 @@ ORDERS = (1, 2, 4)
 CONTEXTS = len(ORDERS) + 1
 WORDS_PER_TASK = 500_000
 CHUNK = 1 << 16
+CHUNKS_PER_TASK = 8
 # Symbols and words worked on at a time.
 BLOCK = 60_000
 # Symbols of one online step.
@@ -82,9 +84,8 @@ STEP = 3_000
 # Text of a slice: larger slices repeat fewer words.
 SLICE = 4 << 20
 KINDS = 8
-# Hash buckets whose shares tell the kind of a text, of so many buckets.
+# Hash buckets (leaves) whose shares tell the kind of a text.
 COMMON = 64
-BUCKET_BITS = 16
 # Distinct profiles among which the k-means starts; shares as whole numbers.
 START = 512
 UNIT = 1 << 20
@@ -372,13 +373,36 @@ class Guesses:
                 inputs.append(stretched(n - backed, backed, 0.4))
             yield g, (g >= 0) & ((which == 0) | (g1 != g2)), inputs, cell + which, np.full(len(g), which)
 
-    def cells(self, slots, leaf) -> np.ndarray:
+    def without_one(self) -> list:
+        """By slot: words, words that may have the majority at most, and four codes that
+        tell both once a word is taken out: the majority without a word whose bits are all
+        0, or all 1, the bits that allow fewest words, and the majority of those."""
+        out = []
+        for counts in self.counts:
+            n = counts[PATH]
+            most = n.copy()
+            for one in counts[:PATH]:
+                most = np.minimum(most, np.maximum(one, n - one))
+            codes = np.zeros((4, len(n)), np.int64)
+            for one in counts[:PATH]:
+                tight = (np.maximum(one, n - one) == most) & (2 * one != n)
+                codes = codes * 2 + np.stack([2 * one >= n, 2 * one > n + 1, tight, 2 * one > n])
+            out.append((n, most, codes[0] << 3 * PATH | codes[1] << 2 * PATH | codes[2] << PATH | codes[3]))
+        return out
+
+    @staticmethod
+    def others(table, slot, leaf):
+        """``majority`` of the slots of these words, each taken out of the counts;
+        ``table``: of a context, by ``without_one``."""
+        n, most, codes = (x[slot] for x in table)
+        zeros, ones, tight, major = (codes >> k * PATH & (1 << PATH) - 1 for k in (3, 2, 1, 0))
+        n = np.maximum(n - np.float32(1), 0)
+        return (np.where(n > 0, zeros & ~leaf | ones & leaf, -1),
+                np.maximum(most - (tight & ~(major ^ leaf) != 0).astype(np.float32), 0), n)
+
+    def cells(self, tables, slots, leaf) -> np.ndarray:
         """Cells of the decisions on these training words, each taken out of the counts."""
-        own = [(leaf >> (PATH - 1 - j) & 1).astype(np.float32) for j in range(PATH)]
-        found = []
-        for counts, slot in zip(self.counts, slots):
-            found.append(self._majority(np.maximum(counts[PATH][slot] - np.float32(1), 0), (
-                np.maximum(c[slot] - x, 0) for c, x in zip(counts, own))))
+        found = [self.others(*x, leaf) for x in zip(tables, slots)]
         out, left = [], np.ones(len(leaf), bool)
         for g, asked, inputs, gate, _ in self.decisions(found):
             asked &= left
@@ -451,73 +475,64 @@ def _context_counts(batches):
             at = coded.indices.to_numpy(zero_copy_only=False)
             leaf = _bucket(h)[at]
             leaves += np.bincount(leaf, minlength=len(leaves))
-            for k, slot in enumerate(_slots(row, h[at])):
-                total[k, PATH] += np.bincount(slot, minlength=size)
+            for k, slot in enumerate(_slots(row, h[at]) if len(at) else ()):
+                # The words of a slot stand together: a sum over each run, bit by bit.
+                both = np.sort(slot << PATH | leaf)
+                slot = both >> PATH
+                begin = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
+                used = slot[begin]
+                total[k, PATH, used] += np.diff(np.r_[begin, len(slot)])
                 for j in range(PATH):
-                    total[k, j] += np.bincount(slot[leaf >> (PATH - 1 - j) & 1 == 1], minlength=size)
+                    total[k, j, used] += np.add.reduceat(both >> (PATH - 1 - j) & 1, begin)
     yield from _pieces(out, 0, _SINGLE)
 
 
-def _context_cells(shared):
-    kinds = pa.schema([("cell", pa.int64()), ("n", pa.int64())])
+def _judged(common: np.ndarray, shared):
+    """Each training text's counts in the common buckets, and the task's training words
+    by the cells of their guesses."""
+    kinds = pa.schema([("p", pa.list_(pa.int32())), ("cell", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
-        guesses = Guesses.blank(shared.value)
+        leaves, tables = shared.value
+        guesses = Guesses(np.empty(0), leaves, Mixer(np.empty((0, 3)), 0))
         total = np.zeros(2 * GUESS_GATES * LEVELS ** 3, np.int64)
         for batch in batches:
             texts = as_strings(batch.column(0))
             for a, b in slices(texts):
                 row, coded, h = _words(texts.slice(a, b - a))
-                for _, slots, leaf in _following(row, h[coded.indices.to_numpy(zero_copy_only=False)]):
-                    np.add.at(total, guesses.cells(slots, leaf), 1)
+                at = coded.indices.to_numpy(zero_copy_only=False)
+                column = _column(_bucket(h), common)[at]
+                counts = _counts(row[column >= 0], column[column >= 0], b - a)
+                yield batch_of(kinds, list_array(counts.ravel().astype(np.int32), np.arange(b - a + 1) * COMMON, pa.int32()),
+                               *(pa.nulls(b - a, pa.int64()) for _ in range(2)))
+                for _, slots, leaf in _following(row, h[at]):
+                    np.add.at(total, guesses.cells(tables, slots, leaf), 1)
         used = np.flatnonzero(total)
-        yield batch_of(kinds, used, total[used])
+        yield batch_of(kinds, pa.nulls(len(used), kinds.field(0).type), used, total[used])
     return run
 
 
-def learn_guesses(training: DataFrame) -> Guesses:
-    """Contexts of preceding words, from all training texts (``text``)."""
+def context_counts(training: DataFrame) -> np.ndarray:
+    """Words of all training texts (``text``) by the words before them, and by leaf."""
     size = training.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     dealt = training.coalesce(max(1, -(-size // FILL_BYTES)))
-    guesses = Guesses.blank(_summed(dealt.mapInArrow(_context_counts, _PARTS_SQL), Guesses.SIZE + (1 << PATH), _SINGLE))
-    shared = training.sparkSession.sparkContext.broadcast(np.concatenate([guesses.counts.ravel(), guesses.leaves]))
-    seen = training.mapInArrow(_context_cells(shared), "cell long, n long").groupBy("cell").agg(
-        F.sum("n").alias("n")).orderBy("cell").toArrow()
+    return _summed(dealt.mapInArrow(_context_counts, _PARTS_SQL), Guesses.SIZE + (1 << PATH), _SINGLE)
+
+
+def learn_guesses(training: DataFrame, counts: np.ndarray, common: np.ndarray) -> tuple[Guesses, DataFrame]:
+    """Contexts of preceding words, from all training texts, and the profiles of these
+    texts, from the same pass."""
+    guesses = Guesses.blank(counts)
+    shared = training.sparkSession.sparkContext.broadcast((guesses.leaves, guesses.without_one()))
+    judged = stage(training.mapInArrow(_judged(common, shared), "p array<int>, cell long, n long"), "profiles")
     shared.destroy()
+    seen = judged.where("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toArrow()
     guesses.learn(seen["cell"].to_numpy(), seen["n"].to_numpy())
-    return guesses
+    return guesses, judged.where("p is not null").select("p")
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:
-    return (h.view(np.uint64) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-
-
-def _bucket_counts(batches):
-    """Tokens of this task's training texts by hash bucket."""
-    kinds = pa.schema([("bucket", pa.int32()), ("n", pa.int64())])
-    total = np.zeros(1 << BUCKET_BITS, np.int64)
-    for batch in batches:
-        texts = as_strings(batch.column(0))
-        for a, b in slices(texts):
-            _, coded, h = _words(texts.slice(a, b - a))
-            total += np.bincount(_bucket(h)[coded.indices.to_numpy(zero_copy_only=False)], minlength=len(total))
-    used = np.flatnonzero(total)
-    yield batch_of(kinds, used.astype(np.int32), total[used])
-
-
-def _profile(common: np.ndarray):
-    """Each training text's counts in the common buckets."""
-    kinds = pa.schema([("p", pa.list_(pa.int32()))])
-
-    def run(batches):
-        for batch in batches:
-            texts = as_strings(batch.column(0))
-            for a, b in slices(texts):
-                row, coded, h = _words(texts.slice(a, b - a))
-                column = _column(_bucket(h), common)[coded.indices.to_numpy(zero_copy_only=False)]
-                counts = _counts(row[column >= 0], column[column >= 0], b - a)
-                yield batch_of(kinds, list_array(counts.ravel().astype(np.int32), np.arange(b - a + 1) * COMMON, pa.int32()))
-    return run
+    return (h.view(np.uint64) >> np.uint64(64 - PATH)).astype(np.int64)
 
 
 def _words(part: pa.Array):
@@ -568,11 +583,12 @@ def _assign(centres: np.ndarray):
     return run
 
 
-def common_buckets(texts: DataFrame) -> np.ndarray:
-    """The hash buckets that hold most tokens of all training texts, ascending."""
-    rows = texts.mapInArrow(_bucket_counts, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    top = rows.orderBy(F.desc("n"), "bucket").limit(COMMON).collect()
-    return np.sort(np.array([r["bucket"] for r in top], dtype=np.int64))
+def common_buckets(texts: DataFrame, counts: np.ndarray | None = None) -> np.ndarray:
+    """The hash buckets that hold most tokens of all training texts, ascending;
+    ``counts``: the texts' ``context_counts``, whose leaves are these buckets."""
+    n = (context_counts(texts) if counts is None else counts)[Guesses.SIZE:]
+    top = np.argsort(-n, kind="stable")[:COMMON]
+    return np.sort(top[n[top] > 0])
 
 
 def text_kinds(profiles: DataFrame) -> np.ndarray:
@@ -599,19 +615,81 @@ def text_kinds(profiles: DataFrame) -> np.ndarray:
     return centres
 
 
-_OF_SLICE = ["kinds", "leaves", "sizes", "docs", "tfs", "hits"]
+_COUNTS = [f"c{k}" for k in range(KINDS)]
+
+
+def _pairs(c: np.ndarray, kind: np.ndarray, offs: np.ndarray) -> pa.Array:
+    """Pairs' counts in training and kinds, packed: one value for each word."""
+    packed = (c.astype(np.int64) * KINDS + kind).astype("<i8")
+    return pa.Array.from_buffers(pa.binary(), len(offs) - 1, [
+        None, pa.py_buffer((offs * 8).astype(np.int32)), pa.py_buffer(packed)])
+
+
+def _slice_packed(kind, leaf, sizes, doc, tf, hits) -> bytes:
+    """Of the pairs of a slice: kinds, leaves, numbers of documents; of these documents:
+    places, counts, hits.  Packed as chunks are, after the number of pairs."""
+    values = np.concatenate([[len(kind)], kind, leaf, sizes, doc, tf, hits]).astype("<i4")
+    raw = values.view(np.uint8).reshape(-1, 4).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _slice_unpacked(packed: bytes) -> list[np.ndarray]:
+    size = int.from_bytes(packed[:8], "little")
+    raw = pa.decompress(packed[8:], 4 * size, codec="zstd")
+    values = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, size).T).view("<i4").ravel()
+    n = int(values[0])
+    return np.split(values[1:3 * n + 1], 3) + np.split(values[3 * n + 1:], 3)
+
+
+def _by_word(batches):
+    """From rows ordered by word, one for each word: its counts by kind, and the places
+    of its pairs (row id of the slice; place, the kind in the last digit)."""
+    place = pa.struct([("rid", pa.int64()), ("place", pa.int64())])
+    kinds = pa.schema([("word", pa.large_string()), *((c, pa.int64()) for c in _COUNTS), ("at", pa.list_(place))])
+
+    def rows(words, begin, packed, first, rid):
+        data, offs = flat(packed.cast(pa.large_binary()))
+        value, offs = data.view("<i8"), offs // 8
+        size, n = np.diff(offs), len(begin)
+        word = np.repeat(np.repeat(np.arange(n), np.diff(np.r_[begin, len(words)])), size)
+        kind = value % KINDS
+        c = np.bincount(word * KINDS + kind, weights=value // KINDS, minlength=n * KINDS).reshape(n, KINDS)
+        none = np.bincount(word * KINDS + kind, minlength=n * KINDS).reshape(n, KINDS) == 0
+        within = np.arange(len(value)) - np.repeat(offs[:-1], size)
+        # End tokens have no place.
+        placed = np.repeat(rid.is_valid().to_numpy(zero_copy_only=False), size)
+        at = [np.repeat(x.fill_null(0).to_numpy(zero_copy_only=False), size) for x in (rid, first)]
+        at = pa.StructArray.from_arrays([pa.array(at[0][placed]), pa.array(((at[1] + within) * KINDS + kind)[placed])], fields=list(place))
+        ends = np.r_[0, np.cumsum(np.bincount(word[placed], minlength=n))]
+        return batch_of(kinds, words.take(pa.array(begin)),
+                        *(pa.array(c[:, k].astype(np.int64), mask=none[:, k]) for k in range(KINDS)),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), at))
+
+    def run():
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
+            if not table.num_rows:
+                continue
+            words = as_strings(table.column(0))
+            begin = np.r_[0, 1 + np.flatnonzero(pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False))]
+            # The last word may go on in the next batch.
+            if last := int(begin[-1]):
+                yield rows(words.slice(0, last), begin[:-1], *(x.combine_chunks() for x in table.slice(0, last).columns[1:]))
+            rest = table.slice(last).combine_chunks().to_batches()[0]
+        if rest is not None:
+            yield rows(as_strings(rest.column(0)), np.zeros(1, np.int64), *rest.columns[1:])
+    return run()
 
 
 def _postings(common: np.ndarray, centres: np.ndarray, shared):
-    """Rows of pairs (word, kind, count in training, place in the slice), of documents
+    """Rows of words (word, its pairs, place of the first in the slice), of documents
     (row id, id, held out, kind, words, bytes, bits of the guesses) and, one for a slice,
     of the kinds, leaves and numbers of documents of its pairs and of all their documents,
-    counts and hits of the guesses.  The row id of pairs and slices is that of the first
+    counts and hits of the guesses.  The row id of words and slices is that of the first
     document."""
-    ints = pa.list_(pa.int32())
-    kinds = pa.schema([("word", pa.large_string()), ("kind", pa.int32()), ("c", pa.int64()), ("place", pa.int64()),
-                       *((x, ints) for x in _OF_SLICE), ("rid", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_words", pa.int64()),
-                       ("n_bytes", pa.int64()), ("guessing", pa.float64())])
+    kinds = pa.schema([("word", pa.large_string()), ("pairs", pa.binary()), ("place", pa.int64()), ("packed", pa.binary()), ("rid", pa.int64()), ("kind", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
+                       ("n_words", pa.int64()), ("n_bytes", pa.int64()), ("guessing", pa.float64())])
     fields = list(kinds)
 
     nothing = lambda n, of: (pa.nulls(n, f.type) for f in of)
@@ -627,8 +705,8 @@ def _postings(common: np.ndarray, centres: np.ndarray, shared):
         column = _column(_bucket(h), common)[at]
         kind = _nearest(_shares(_counts(row[column >= 0], column[column >= 0], m)), centres)
         del column
-        yield batch_of(kinds, pa.nulls(m, fields[0].type), kind.astype(np.int32), *nothing(m, fields[2:-6]),
-                       first + np.arange(m), ids, held, n_words, pc.binary_length(part).cast(pa.int64()), guessing)
+        yield batch_of(kinds, *nothing(m, fields[:-7]), first + np.arange(m), kind.astype(np.int32), ids, held,
+                       n_words, pc.binary_length(part).cast(pa.int64()), guessing)
         # By word, then kind, then document.
         place = np.lexsort((np.arange(m), kind))
         rank = np.empty(m, np.int64)
@@ -646,14 +724,14 @@ def _postings(common: np.ndarray, centres: np.ndarray, shared):
         del key, right, n_right
         trained = ~held.to_numpy(zero_copy_only=False)
         c = np.add.reduceat(tf * trained[doc], begin) if len(begin) else begin
-        yield batch_of(kinds, coded.dictionary.take(pa.array(pair // KINDS)), (pair % KINDS).astype(np.int32), c,
-                       np.arange(len(pair)), *nothing(len(pair), fields[4:-6]), np.full(len(pair), first),
-                       *nothing(len(pair), fields[-5:]))
+        # Every word of the dictionary has pairs, in its order.
+        n = len(coded.dictionary)
+        at = np.searchsorted(pair, np.arange(n + 1) * KINDS)
+        yield batch_of(kinds, coded.dictionary, _pairs(c, pair % KINDS, at), at[:-1], *nothing(n, fields[3:-7]),
+                       np.full(n, first), *nothing(n, fields[-6:]))
         if len(pair):
-            of_slice = pair % KINDS, _bucket(h)[pair // KINDS], np.diff(offs), doc, tf, hits
-            yield batch_of(kinds, *nothing(1, fields[:4]),
-                           *(list_array(x.astype(np.int32), [0, len(x)], pa.int32()) for x in of_slice),
-                           [first], *nothing(1, fields[-5:]))
+            packed = _slice_packed(pair % KINDS, _bucket(h)[pair // KINDS], np.diff(offs), doc, tf, hits)
+            yield batch_of(kinds, *nothing(1, fields[:3]), [packed], [first], *nothing(1, fields[-6:]))
 
     def run(batches):
         leaves, table, (weights, refine) = shared.value
@@ -712,7 +790,7 @@ def _fill(batches):
         for a, b in slices(words, 1 << 18):
             for _, _, _, bit, slots in Spelling(words.slice(a, b - a)).blocks():
                 for k, slot in enumerate(slots):
-                    tables[k] += np.bincount(slot * 2 + bit, minlength=2 << BITS)
+                    np.add.at(tables[k], slot * 2 + bit, np.float32(1))
     yield from _pieces(tables.ravel(), 0, _SINGLE)
 
 
@@ -754,7 +832,7 @@ def _add(kind: str):
 def _summed(parts: DataFrame, size: int, kind: str) -> np.ndarray:
     """The sum of all tables: ``size`` floats, gathered on the driver.  Parts are
     added in their order, so the sum is the same in every run."""
-    dealt = parts.repartition(-(-size // CHUNK), "chunk").sortWithinPartitions("chunk", "part")
+    dealt = parts.repartition(-(-size // (CHUNK * CHUNKS_PER_TASK)), "chunk").sortWithinPartitions("chunk", "part")
     rows = dealt.mapInArrow(_add(kind), _PARTS_SQL).toArrow()
     out = np.zeros(-(-size // CHUNK) * CHUNK, kind)
     for chunk, values in zip(rows["chunk"].to_pylist(), rows["values"]):
@@ -793,21 +871,20 @@ class Model:
         return out, path.astype(np.float32)
 
 
-def train(pairs: DataFrame) -> Model:
-    """``pairs``, of a staged table: ``word``, ``kind``, ``c_kind`` and ``c`` (training
-    counts of the word within the kind and at all), ``is_first`` (one row of
-    each word).  The driver holds the tables (a fixed 40 MB) and nothing that grows
-    with the words."""
-    spark = pairs.sparkSession
-    known = pairs.where("c_kind > 0").select("word", "kind", "c_kind", "c")
+def train(counted: DataFrame, n_pairs: int) -> Model:
+    """``counted``, a staged table of a row for each word: ``word``, ``c`` and
+    ``_COUNTS`` (training counts of the word at all and within the kinds), with
+    ``n_pairs`` counts above 0 within kinds.  The driver holds the tables (a fixed
+    40 MB) and nothing that grows with the words."""
+    spark = counted.sparkSession
+    counted = counted.where("c > 0")
     # By the number of distinct pairs, which is the table's alone.
-    shards = max(1, -(-known.count() // WORDS_PER_TASK))
-    # The staged files were dealt by hash: a task's words are no alphabetical run.
-    # The end token is not spelled.
-    once_each = pairs.where(F.col("is_first") & (F.col("c") > 0) & (F.col("word") != END)).select("word").coalesce(shards)
+    shards = max(1, -(-n_pairs // WORDS_PER_TASK))
+    # A few tasks fill whole tables; the end token is not spelled.
+    once_each = counted.where(F.col("word") != END).select("word").coalesce(shards)
     tables = _summed(once_each.mapInArrow(_fill, _PARTS_SQL), CONTEXTS * (2 << BITS), _SINGLE).reshape(CONTEXTS, 1 << BITS, 2)
     leaves, once = np.zeros((1 + KINDS, 1 << PATH)), np.zeros(1 + KINDS)
-    sums = known.mapInArrow(_leaves, "kind int, leaf int, c long, once long").groupBy("kind", "leaf").agg(
+    sums = counted.select("word", "c", *_COUNTS).mapInArrow(_leaves, "kind int, leaf int, c long, once long").groupBy("kind", "leaf").agg(
         F.sum("c").alias("c"), F.sum("once").alias("once")).toArrow()
     at = sums["kind"].to_numpy() + 1, sums["leaf"].to_numpy()
     leaves[at] = sums["c"].to_numpy()
@@ -817,6 +894,8 @@ def train(pairs: DataFrame) -> Model:
     speller, path = Speller.blank(tables), Path.blank(leaves, once)
     s, p = speller.mixer, path.mixer
     shared = spark.sparkContext.broadcast((tables, leaves, once))
+    of = [x for k, c in enumerate(_COUNTS) for x in (F.lit(k), F.col(c))]
+    known = counted.select("word", F.stack(F.lit(KINDS), *of).alias("kind", "c_kind"), "c").where("c_kind > 0")
     by_shard = known.groupBy(F.pmod(F.xxhash64("word", "kind"), F.lit(shards)).cast("int").alias("shard"))
     learned = _summed(by_shard.applyInArrow(_learn(shared), _PARTS_SQL),
                       1 + s.weights.size + p.weights.size + s.refine.size + p.refine.size, _DOUBLE)
@@ -831,11 +910,18 @@ def train(pairs: DataFrame) -> Model:
 
 
 def _leaves(batches):
+    """Sums of this task's words by kind and leaf."""
     kinds = pa.schema([("kind", pa.int32()), ("leaf", pa.int32()), ("c", pa.int64()), ("once", pa.int64())])
+    total = np.zeros((2, KINDS, 1 << PATH), np.int64)
     for batch in batches:
-        words = as_strings(batch.column(0))
-        yield batch_of(kinds, batch.column(1), code(words).astype(np.int32), batch.column(2),
-                       (batch.column(3).to_numpy(zero_copy_only=False) == 1).astype(np.int64))
+        leaf, once = code(as_strings(batch.column(0))), batch.column(1).to_numpy(zero_copy_only=False) == 1
+        for k in range(KINDS):
+            c = batch.column(k + 2).fill_null(0).to_numpy(zero_copy_only=False)
+            used = np.flatnonzero(c > 0)
+            np.add.at(total[0, k], leaf[used], c[used])
+            np.add.at(total[1, k], leaf[used], once[used])
+    kind, leaf = np.nonzero(total[0])
+    yield batch_of(kinds, kind, leaf, *total[:, kind, leaf])
 
 
 def _slice_sums(shared, mass: float):
@@ -845,7 +931,7 @@ def _slice_sums(shared, mass: float):
     def run(key, pairs, of_slice):
         if not pairs.num_rows:
             return pa.table([pa.array([], f.type) for f in kinds], schema=kinds)
-        kind, leaf, sizes, doc, tf, hits = (of_slice[x].combine_chunks().flatten().to_numpy() for x in _OF_SLICE)
+        kind, leaf, sizes, doc, tf, hits = _slice_unpacked(of_slice["packed"][0].as_py())
         # In the order of the pairs' places.
         pairs = pairs.sort_by("place")
         c_kind, c = pairs["c_kind"].to_numpy(), pairs["c"].to_numpy()
@@ -866,46 +952,44 @@ def score_texts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     held = F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("long").cast("string"), F.lit(""))) % 10 == 0
     texts = id_text(documents, id_col, text_col, held.alias("held_out"))
     training = texts.where("not held_out").select("text")
-    common = common_buckets(training)
-    centres = text_kinds(stage(training.mapInArrow(_profile(common), "p array<int>"), "profiles"))
-    told = spark.sparkContext.broadcast(learn_guesses(training).table())
+    counts = context_counts(training)
+    common = common_buckets(training, counts)
+    guesses, profiles = learn_guesses(training, counts, common)
+    centres = text_kinds(profiles)
+    told = spark.sparkContext.broadcast(guesses.table())
     rows = stage(texts.mapInArrow(
-        _postings(common, centres, told), "word string, kind int, c long, place long, "
-        + "".join(f"{x} array<int>, " for x in _OF_SLICE) + "rid long, doc_id long, held_out boolean, n_words long, n_bytes long, guessing double"), "postings")
+        _postings(common, centres, told), "word string, pairs binary, place long, packed binary, rid long, kind int, doc_id long, "
+        "held_out boolean, n_words long, n_bytes long, guessing double"), "postings")
     told.destroy()
     docs, words = rows.where("held_out is not null"), rows.where("word is not null")
-    # End tokens are one more word: one for each document, of its kind.
-    ends = docs.groupBy("kind").agg(F.count_if(~F.col("held_out")).alias("c")).select(
-        F.lit(END).alias("word"), "kind", "c", F.lit(None).cast("struct<rid: long, place: long>").alias("at"))
+    # End tokens are one more word: one for each document, of its kind (at most KINDS rows).
+    ends = docs.groupBy("kind").agg(F.count_if(~F.col("held_out")).alias("c")).orderBy("kind").collect()
+    kind, c_kind = (np.array([r[x] for r in ends], np.int64) for x in ("kind", "c"))
+    packed = _pairs(c_kind, kind, np.array([0, len(ends)]))[0].as_py()
+    ended = spark.createDataFrame([(END, packed, 0, None)] if ends else [], "word string, pairs binary, place long, rid long")
     # A row for each word: its counts by kind, and the pairs' places (one for each slice
     # and kind), the kind in their last digit.
-    at = F.struct("rid", (F.col("place") * KINDS + F.col("kind")).alias("place"))
-    counted = stage(words.select("word", "kind", "c", at.alias("at")).unionByName(ends).groupBy("word").agg(
-        *(F.sum(F.when(F.col("kind") == k, F.col("c"))).alias(f"c{k}") for k in range(KINDS)),
-        F.collect_list("at").alias("at")), "counted")
-    by_kind = [F.col(f"c{k}") for k in range(KINDS)]
-    c = sum((F.coalesce(x, F.lit(0)) for x in by_kind), F.lit(0).cast("long")).alias("c")
-    found = F.filter(F.array(*(F.when(x.isNotNull(), F.struct(F.lit(k).alias("kind"), x.alias("c_kind")))
-                               for k, x in enumerate(by_kind))), lambda x: x.isNotNull())
-    pairs = counted.select("word", c, F.posexplode(found).alias("of", "pair")).select(
-        "word", "pair.kind", "pair.c_kind", "c", (F.col("of") == 0).alias("is_first"))
-    n, v = pairs.agg(F.coalesce(F.sum("c_kind"), F.lit(0)), F.count_if(F.col("is_first") & (F.col("c") > 0))).first()
-    model = train(pairs)
+    ordered = words.select(*ended.columns).unionByName(ended).repartition("word").sortWithinPartitions("word")
+    counted = stage(ordered.mapInArrow(
+        _by_word, "word string, " + "".join(f"{x} long, " for x in _COUNTS) + "at array<struct<rid: long, place: long>>"), "counted")
+    by_kind = [F.col(x) for x in _COUNTS]
+    counted = counted.withColumn("c", sum((F.coalesce(x, F.lit(0)) for x in by_kind), F.lit(0).cast("long")))
+    n, v, n_pairs = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0),
+                                sum(F.count_if(x > 0) for x in by_kind)).first()
+    model = train(counted, n_pairs)
     shared = spark.sparkContext.broadcast(model.arrays())
     # The counts go back to the slices as numbers; only new words go with them.
-    back = counted.select("word", c, F.array(*by_kind).alias("by_kind"), F.explode("at").alias("at")).select(
+    back = counted.select("word", "c", F.array(*by_kind).alias("by_kind"), F.explode("at").alias("at")).select(
         "at.rid", F.floor(F.col("at.place") / KINDS).alias("place"), "c",
         F.get("by_kind", (F.col("at.place") % KINDS).cast("int")).alias("c_kind"),
         F.when(F.col("c") == 0, F.col("word")).alias("word"))
-    sums = back.groupBy("rid").cogroup(rows.where("docs is not null").select("rid", *_OF_SLICE).groupBy("rid")).applyInArrow(
+    sums = back.groupBy("rid").cogroup(rows.where("packed is not null").select("rid", "packed").groupBy("rid")).applyInArrow(
         _slice_sums(shared, n + 0.1 * (v + 1)), "rid long, base double, bits double, known long")
-    # By kind (at most KINDS rows): bits of the end token and of the kind itself.
-    end = pairs.where(F.col("word") == END).collect()
-    n_end = end[0]["c"] if end else 0
-    words_of = pa.array([END] * len(end), pa.large_string())
-    kind, c_kind, c = (np.array([r[x] for r in end], np.int64) for x in ("kind", "c_kind", "c"))
-    told_end, _ = model.log2(words_of, code(words_of), kind, c_kind, c)
-    extra = {r["kind"]: -float(t) - math.log2((r["c_kind"] + 0.1) / (n_end + 0.1 * KINDS)) for r, t in zip(end, told_end)}
+    # By kind: bits of the end token and of the kind itself.
+    n_end = int(c_kind.sum())
+    words_of = pa.array([END] * len(ends), pa.large_string())
+    told_end, _ = model.log2(words_of, code(words_of), kind, c_kind, np.full(len(ends), n_end))
+    extra = {r["kind"]: -float(t) - math.log2((r["c"] + 0.1) / (n_end + 0.1 * KINDS)) for r, t in zip(ends, told_end)}
     bits = F.col("guessing") + F.coalesce("bits", F.lit(0.0)) + F.create_map(*[F.lit(x) for p in (extra or {0: 0.0}).items() for x in p])[
         F.col("kind")]
     end_base = math.log10((n_end + 0.1) / (n + 0.1 * (v + 1)))
