@@ -166,3 +166,24 @@ def test_texts_are_read_by_three_passes(spark, monkeypatch):
     rows = [(k, " ".join(f"w{rng.randrange(50)}" for _ in range(20))) for k in range(40)]
     assert mixing.op10_mixing(docs(spark, rows)).count() == 40
     assert sum(passes) == 3
+
+
+def test_counts_of_bits_add_up_by_slot(monkeypatch):
+    rng = np.random.default_rng(7)
+    slot, leaf = rng.integers(0, 40, 3000), rng.integers(0, 1 << mixing.PATH, 3000)
+    leaf[:500] = (1 << mixing.PATH) - 1
+    want = np.zeros((mixing.PATH + 1, 64), np.float32)
+    for j in range(mixing.PATH):
+        np.add.at(want[j], slot, leaf >> (mixing.PATH - 1 - j) & 1)
+    np.add.at(want[mixing.PATH], slot, 1)
+    got = np.zeros_like(want)
+    for a in (0, 1000, 2999):
+        b = {0: 1000, 1000: 2999, 2999: 3000}[a]
+        mixing._add_bits(got, slot[a:b], leaf[a:b], mixing._spread())
+    assert (got == want).all()
+    # Long slices are added up in parts that no field overflows.
+    texts = pa.array([" ".join(f"w{x}" for x in slot.tolist())] * 2, pa.string())
+    batch = pa.record_batch([texts], names=["text"])
+    whole = [r.column(2)[0].as_py() for r in mixing._context_counts([batch])]
+    monkeypatch.setattr(mixing, "FIELD", 9)
+    assert [r.column(2)[0].as_py() for r in mixing._context_counts([batch])] == whole

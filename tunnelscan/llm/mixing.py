@@ -101,6 +101,8 @@ PATH_GATES = 6 * PATH
 WORD_BITS = 18
 FILL_BYTES = 64 << 20
 TOKENS = 1 << 16
+# Bits of a count among those that are added up together.
+FIELD = 21
 # By the counts of both contexts, whether they agree, and whose guess it is.
 GUESS_GATES = 6 * 6 * 2 * 2
 # Predictions of a guess rounded to whole numbers, and steps of learning from them.
@@ -461,9 +463,28 @@ def _following(row: np.ndarray, h: np.ndarray):
         yield part, [s[a - first:] for s in slots], _bucket(h[part])
 
 
+def _spread() -> list[np.ndarray]:
+    """Of every leaf, its bits and a 1 for the word: three to a number, ``FIELD`` apart."""
+    bits = [np.arange(1 << PATH) >> (PATH - 1 - j) & 1 for j in range(PATH)] + [np.ones(1 << PATH, np.int64)]
+    return [sum(x << FIELD * i for i, x in enumerate(bits[j:j + 3])) for j in range(0, PATH + 1, 3)]
+
+
+def _add_bits(total: np.ndarray, slot: np.ndarray, leaf: np.ndarray, spread) -> None:
+    """Add words, fewer than fill a field, to the counts of their slots: those of a slot
+    stand together, so sums over runs tell three counts at a time."""
+    both = np.sort(slot << PATH | leaf)
+    slot, leaf = both >> PATH, both & (1 << PATH) - 1
+    last = np.flatnonzero(np.r_[slot[1:] != slot[:-1], True])
+    used = slot[last]
+    for j, x in enumerate(spread):
+        run = np.diff(np.cumsum(x.take(leaf))[last], prepend=0)
+        for i, counts in enumerate(total[3 * j:3 * j + 3]):
+            counts[used] = counts.take(used) + (run >> FIELD * i & (1 << FIELD) - 1)
+
+
 def _context_counts(batches):
     """Counts of this task's training words by the words before them, and by leaf."""
-    size = 1 << WORD_BITS
+    size, spread = 1 << WORD_BITS, _spread()
     # One table and no copy of it, and short slices: what a task holds beside the table
     # is what its worker takes of an executor's memory.
     out = np.zeros(Guesses.SIZE + (1 << PATH), np.float32)
@@ -475,15 +496,9 @@ def _context_counts(batches):
             at = coded.indices.to_numpy(zero_copy_only=False)
             leaf = _bucket(h)[at]
             leaves += np.bincount(leaf, minlength=len(leaves))
-            for k, slot in enumerate(_slots(row, h[at]) if len(at) else ()):
-                # The words of a slot stand together: a sum over each run, bit by bit.
-                both = np.sort(slot << PATH | leaf)
-                slot = both >> PATH
-                begin = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
-                used = slot[begin]
-                total[k, PATH, used] += np.diff(np.r_[begin, len(slot)])
-                for j in range(PATH):
-                    total[k, j, used] += np.add.reduceat(both >> (PATH - 1 - j) & 1, begin)
+            for k, slot in enumerate(_slots(row, h[at])):
+                for c in range(0, len(at), 1 << FIELD - 1):
+                    _add_bits(total[k], slot[c:c + (1 << FIELD - 1)], leaf[c:c + (1 << FIELD - 1)], spread)
     yield from _pieces(out, 0, _SINGLE)
 
 
